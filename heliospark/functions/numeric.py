@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 # Per-value precision for exact sums: 6 decimals, 18 integer digits.
 EXACT = "decimal(24,6)"
+# Precision for exact second moments: x*x stays exact at decimal(33,12).
+MOMENT = "decimal(16,6)"
 
 
 def col_(c: str | Column) -> Column:
@@ -35,6 +37,31 @@ def exact_avg(c: str | Column) -> Column:
     return F.when(n > 0, exact_sum(x).cast("double") / n)
 
 
+def quantized_mean(total: Column, n: Column, digits: int = 6) -> Column:
+    """HALF_UP(total / n) at ``digits`` decimals, computed in integers.
+
+    ``total`` must be an exact DECIMAL with scale ``digits``. Integer
+    arithmetic makes the result identical in every engine (ties included);
+    NULL when ``n`` is 0.
+    """
+    scale = 10**digits
+    si = (total * F.lit(scale)).cast("bigint")
+    a = F.abs(si) * 2 + n
+    b = n * 2
+    q = (a - F.pmod(a, b)) / b
+    return F.when(n > 0, F.signum(si) * q / F.lit(float(scale)))
+
+
+def quantize(x: Column, digits: int = 6) -> Column:
+    """Round a derived double to ``digits`` decimals with plain double ops.
+
+    ``floor(x * 10^d + 0.5) / 10^d`` evaluates identically in every IEEE
+    engine, unlike decimal casts whose tie rules differ.
+    """
+    scale = float(10**digits)
+    return F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+
+
 def round_dec(value: Column, digits: int) -> Column:
     """HALF_UP rounding in DECIMAL, returned as DOUBLE."""
     return F.round(value, digits).cast("double")

@@ -28,7 +28,7 @@ from ..config import (
     DashboardConfig,
 )
 from ..functions import decisions as D
-from ..functions.numeric import EXACT, exact_sum, pearson_r
+from ..functions.numeric import EXACT, exact_sum
 
 KEY = "city"
 
@@ -456,19 +456,39 @@ def ghi_histogram(hourly: DataFrame, width: int = 100) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pairwise-complete Pearson matrix in long form (NULL on zero variance)."""
+    """Pairwise-complete Pearson matrix in long form (NULL on zero variance).
+
+    One global aggregate of exact DECIMAL moments per pair (order-independent),
+    unpivoted with ``stack``; r is finished in double from those sums.
+    """
+    from ..functions.numeric import MOMENT
+
     exprs = []
     names = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
             both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            xa = F.when(both, F.col(a))
-            xb = F.when(both, F.col(b))
-            exprs.append(pearson_r(xa, xb).alias(f"r_{i}_{j}"))
-            names.append((a, b, f"r_{i}_{j}"))
+            xa = F.when(both, F.col(a)).cast(MOMENT)
+            xb = F.when(both, F.col(b)).cast(MOMENT)
+            p = f"p{i}_{j}_"
+            exprs += [
+                F.count(xa).alias(p + "n"),
+                F.sum(xa).cast("double").alias(p + "sa"),
+                F.sum(xb).cast("double").alias(p + "sb"),
+                F.sum(xa * xb).cast("double").alias(p + "sab"),
+                F.sum(xa * xa).cast("double").alias(p + "saa"),
+                F.sum(xb * xb).cast("double").alias(p + "sbb"),
+            ]
+            names.append((a, b, p))
     wide = df.agg(*exprs)
-    stack = ", ".join(f"'{a}', '{b}', {c}" for a, b, c in names)
-    return wide.selectExpr(f"stack({len(names)}, {stack}) AS (col_a, col_b, r)")
+    rs = []
+    for a, b, p in names:
+        n, sa, sb, sab, saa, sbb = (F.col(p + k) for k in ("n", "sa", "sb", "sab", "saa", "sbb"))
+        dx = n * saa - sa * sa
+        dy = n * sbb - sb * sb
+        rs.append(F.when((dx > 0) & (dy > 0), (n * sab - sa * sb) / F.sqrt(dx * dy)).alias(f"r_{p}"))
+    stack = ", ".join(f"'{a}', '{b}', r_{p}" for a, b, p in names)
+    return wide.select(*rs).selectExpr(f"stack({len(names)}, {stack}) AS (col_a, col_b, r)")
 
 
 # -- forecast quality (A20-A26) ---------------------------------------------

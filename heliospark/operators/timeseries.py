@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..config import LAG_HOURS, ImputeConfig
 from ..functions.calendar import cyclical_columns, local_ts
-from ..functions.numeric import EXACT, exact_avg, mean_of_nonnull
+from ..functions.numeric import EXACT, MOMENT, exact_avg, mean_of_nonnull, quantize, quantized_mean
 
 KEY = "city"
 TS = "ts"
@@ -130,8 +130,7 @@ def impute(grid: DataFrame, cfg: ImputeConfig = ImputeConfig(), key: str = KEY,
     clim_w = Window.partitionBy(key, "_lmonth", "_lhour")
     for f in cfg.features:
         s2 = F.col(f"_{f}_s2")
-        n = F.count(s2).over(clim_w)
-        clim = F.when(n > 0, F.sum(s2.cast(EXACT)).over(clim_w).cast("double") / n)
+        clim = quantized_mean(F.sum(s2.cast(EXACT)).over(clim_w), F.count(s2).over(clim_w))
         out = out.withColumn(f"_{f}_s3", F.coalesce(s2, clim))
     night = (F.col("_lhour") >= cfg.night_start_hour) | (F.col("_lhour") <= cfg.night_end_hour)
     cols = [key, ts, "i"]
@@ -181,16 +180,35 @@ def with_lags(df: DataFrame, features=BASE, lags=LAG_HOURS, key: str = KEY, ts:
     return df.select("*", *[F.lag(f, k).over(w).alias(f"{f}_lag_{k}") for f in features for k in lags])
 
 
+def _window_mean(c: str, w) -> Column:
+    """Frame mean, exact and rounded HALF_UP at 1e-6."""
+    return quantized_mean(F.sum(F.col(c).cast(EXACT)).over(w), F.count(c).over(w))
+
+
+def _window_std(c: str, w) -> Column:
+    """Sample sigma from exact DECIMAL moments (>= 2 values, else NULL)."""
+    x = F.col(c).cast(MOMENT)
+    n = F.count(c).over(w)
+    sx = F.sum(x).over(w).cast("double")
+    sxx = F.sum(x * x).over(w).cast("double")
+    var = (sxx - sx * sx / n) / (n - 1)
+    return F.when(n >= 2, quantize(F.sqrt(F.greatest(var, F.lit(0.0)))))
+
+
 def with_rolling(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
-    """Leakage-safe rolling statistics ending at t-1."""
+    """Leakage-safe rolling statistics ending at t-1.
+
+    Frame sums are exact DECIMAL sums, so the result does not depend on the
+    order in which an engine folds the frame.
+    """
     w = city_window(key, ts)
     w3 = w.rowsBetween(-3, -1)
     w6 = w.rowsBetween(-6, -1)
     return df.select(
         "*",
-        F.avg("ghi").over(w3).alias("ghi_rolling_mean_3h"),
-        F.stddev_samp("ghi").over(w3).alias("ghi_rolling_std_3h"),
-        F.avg("temp").over(w6).alias("temp_rolling_mean_6h"),
+        _window_mean("ghi", w3).alias("ghi_rolling_mean_3h"),
+        _window_std("ghi", w3).alias("ghi_rolling_std_3h"),
+        _window_mean("temp", w6).alias("temp_rolling_mean_6h"),
     )
 
 
@@ -212,51 +230,65 @@ def scaled_columns(columns: list[str]) -> list[str]:
     return [c for c in order if c in columns]
 
 
+def _moments(cols: list[str]) -> list[Column]:
+    out = []
+    for i, c in enumerate(cols):
+        x = F.col(c).cast(MOMENT)
+        out += [F.count(c).alias(f"n{i}"), F.sum(x).alias(f"sx{i}"), F.sum(x * x).alias(f"sxx{i}")]
+    return out
+
+
+def _mean_std(i: int, prefix: str = "") -> tuple[Column, Column]:
+    n = F.col(f"{prefix}n{i}")
+    sx = F.col(f"{prefix}sx{i}").cast("double")
+    sxx = F.col(f"{prefix}sxx{i}").cast("double")
+    mean = F.when(n > 0, sx / n)
+    std = F.when(n > 0, F.sqrt(F.greatest((sxx - sx * sx / n) / n, F.lit(0.0))))
+    return mean, std
+
+
 def scaler_params(df: DataFrame, cols: list[str]) -> DataFrame:
     """T10 fit: one row per column with mean and population sigma (NULLs ignored)."""
-    stats = df.agg(
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
-        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)],
-    )
+    stats = df.agg(*_moments(cols))
+    ms = []
+    for i, _ in enumerate(cols):
+        m, sd = _mean_std(i)
+        ms += [m.alias(f"m{i}"), sd.alias(f"s{i}")]
     stack = ", ".join(f"'{c}', m{i}, s{i}" for i, c in enumerate(cols))
-    return stats.selectExpr(f"stack({len(cols)}, {stack}) AS (feature, mean, std)")
+    return stats.select(*ms).selectExpr(f"stack({len(cols)}, {stack}) AS (feature, mean, std)")
 
 
 def standardise(df: DataFrame, cols: list[str] | None = None, fit_on: DataFrame | None = None):
     """z = (x - mean) / sigma with population sigma; sigma 0 -> 1.
 
-    The fitted parameters are a single row computed by one aggregate and
-    attached as a scalar subquery (no join); ``fit_on`` lets callers fit on
-    the training slice only.
+    The fit is one global aggregate of exact moments, attached to every row
+    as a scalar subquery (no join, nothing collected); ``fit_on`` lets
+    callers fit on the training slice only.
     """
     cols = cols or scaled_columns(df.columns)
     src = fit_on if fit_on is not None else df
-    params = src.agg(
-        F.struct(
-            *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
-            *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)],
-        ).alias("p")
-    )
-    p = params.scalar()
+    p = src.agg(F.struct(*_moments(cols)).alias("p")).scalar()
     out = df.withColumn("_p", p)
     repl = {}
     for i, c in enumerate(cols):
-        sd = F.col(f"_p.s{i}")
+        mean, sd = _mean_std(i, "_p.")
         denom = F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd)
-        repl[c] = ((F.col(c) - F.col(f"_p.m{i}")) / denom).alias(c)
+        repl[c] = ((F.col(c) - mean) / denom).alias(c)
     return out.select(*[repl.get(c, F.col(c)) for c in df.columns])
 
 
 # -- T16, T17 ---------------------------------------------------------------
 
-def sequences(df: DataFrame, features: list[str], label: str, n: int = 24, key: str = KEY, ts: str = TS) -> DataFrame:
+def sequences(
+    df: DataFrame, features: list[str], label: str, n: int = 24, key: str = KEY, ts: str = TS, dtype: str = "double"
+) -> DataFrame:
     """The ``n`` preceding rows' feature vectors (current row excluded).
 
     Rows with fewer than ``n`` predecessors emit nothing. Bounded: each output
     row carries exactly ``n`` small structs.
     """
     w = city_window(key, ts).rowsBetween(-n, -1)
-    vec = F.array(*[F.col(f).cast("float") for f in features])
+    vec = F.array(*[F.col(f).cast(dtype) for f in features])
     seq = F.collect_list(vec).over(w)
     return df.select(key, ts, seq.alias("sequence"), F.col(label).alias("label")).filter(F.size("sequence") == n)
 

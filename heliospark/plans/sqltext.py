@@ -24,6 +24,16 @@ def xavg(e: str) -> str:
     return f"CASE WHEN count({e}) > 0 THEN CAST({xsum(e)} AS DOUBLE) / count({e}) END"
 
 
+def qmean(total: str, n: str, digits: int = 6) -> str:
+    """Integer HALF_UP of total / n at ``digits`` decimals (see quantized_mean)."""
+    scale = 10**digits
+    si = f"CAST(({total}) * {scale} AS BIGINT)"
+    return (
+        f"CASE WHEN ({n}) > 0 THEN sign({si}) * ((2 * abs({si}) + ({n})) // (2 * ({n}))) / "
+        f"CAST({scale} AS DOUBLE) END"
+    )
+
+
 def psh_from_sum(s: str, digits: int = 4) -> str:
     return f"CAST(round({s}, {digits - 3}) AS DOUBLE) / 1000"
 
