@@ -37,19 +37,24 @@ def exact_avg(c: str | Column) -> Column:
     return F.when(n > 0, exact_sum(x).cast("double") / n)
 
 
-def quantized_mean(total: Column, n: Column, digits: int = 6) -> Column:
+def quantized_mean(total: Column, n: Column, digits: int = 6, total_scale: int = 6) -> Column:
     """HALF_UP(total / n) at ``digits`` decimals, computed in integers.
 
-    ``total`` must be an exact DECIMAL with scale ``digits``. Integer
-    arithmetic makes the result identical in every engine (ties included);
-    NULL when ``n`` is 0.
+    ``total`` must be an exact DECIMAL of scale ``total_scale`` (>= digits).
+    Integer arithmetic makes the result identical in every engine, ties
+    included; NULL when ``n`` is 0.
     """
-    scale = 10**digits
-    si = (total * F.lit(scale)).cast("bigint")
-    a = F.abs(si) * 2 + n
-    b = n * 2
+    unit = 10 ** (total_scale - digits)
+    si = (total * F.lit(10**total_scale)).cast("bigint")
+    a = F.abs(si) * 2 + n * unit
+    b = n * (2 * unit)
     q = (a - F.pmod(a, b)) / b
-    return F.when(n > 0, F.signum(si) * q / F.lit(float(scale)))
+    return F.when(n > 0, F.signum(si) * q / F.lit(float(10**digits)))
+
+
+def round_exact(x: str | Column, digits: int) -> Column:
+    """Display rounding of a derived double: DECIMAL HALF_UP, back to DOUBLE."""
+    return F.round(col_(x).cast(EXACT), digits).cast("double")
 
 
 def quantize(x: Column, digits: int = 6) -> Column:

@@ -28,7 +28,7 @@ from ..config import (
     DashboardConfig,
 )
 from ..functions import decisions as D
-from ..functions.numeric import EXACT, exact_sum
+from ..functions.numeric import EXACT, MOMENT, exact_sum, quantize, quantized_mean, round_exact
 
 KEY = "city"
 
@@ -122,16 +122,15 @@ def city_operating(hourly: DataFrame, cfg: CoolingConfig = CoolingConfig(), hour
     g = in_range.groupBy(KEY, _date().alias("date")).agg(
         F.max("ghi").alias("_peak"), F.count(F.lit(1)).alias("_n"), exact_sum("ghi").alias("_s")
     )
-    pct = (
-        (F.col("solar_hours") + F.col("no_cooling_hours")).cast("double")
-        / F.greatest(F.col("total_hours"), F.lit(1)).cast("double")
-        * F.lit(100.0)
-    )
     peak = F.when(F.col("_n") < n_slots, F.greatest(F.col("_peak"), F.lit(0.0))).otherwise(F.col("_peak"))
     return s.join(g, [KEY, "date"], "left").select(
         KEY,
         "date",
-        F.round(pct, 1).alias("operating_pct"),
+        quantized_mean(
+            ((F.col("solar_hours") + F.col("no_cooling_hours")) * 100).cast(EXACT),
+            F.greatest(F.col("total_hours"), F.lit(1)),
+            1,
+        ).alias("operating_pct"),
         F.coalesce(peak, F.lit(0.0)).alias("peak_ghi"),
         (F.coalesce(F.col("_s"), F.lit(0).cast(EXACT)).cast("double") / F.lit(float(n_slots))).alias("avg_ghi"),
         (F.coalesce(F.col("_s"), F.lit(0).cast(EXACT)).cast("double") / F.lit(1000.0)).alias("psh"),
@@ -154,8 +153,8 @@ def ghi_daily(hourly: DataFrame) -> DataFrame:
     return agg.select(
         KEY,
         "date",
-        F.round("_peak", 2).alias("peak_ghi"),
-        F.round(F.col("_s").cast("double") / F.col("_n"), 2).alias("avg_ghi"),
+        round_exact("_peak", 2).alias("peak_ghi"),
+        quantized_mean(F.col("_s"), F.col("_n"), 2).alias("avg_ghi"),
         F.round("_s", 2).cast("double").alias("total_irradiance_whm2"),
         _psh_from_sum(F.col("_s"), 3).alias("psh"),
         F.col("zero_hours").cast("bigint").alias("zero_hours"),
@@ -185,8 +184,8 @@ def city_profile(hourly: DataFrame) -> DataFrame:
     return agg.select(
         KEY,
         "date",
-        F.round("_peak", 2).alias("peak_ghi"),
-        F.round(F.col("_s").cast("double") / F.lit(24.0), 2).alias("avg_ghi"),
+        round_exact("_peak", 2).alias("peak_ghi"),
+        quantized_mean(F.col("_s"), F.lit(24), 2).alias("avg_ghi"),
         _psh_from_sum(F.col("_s"), 3).alias("psh"),
     )
 
@@ -219,8 +218,8 @@ def seasonal_curve(hourly: DataFrame, mode: str = "average") -> DataFrame:
         KEY,
         "season",
         "hour",
-        F.round(F.col("_sg").cast("double") / F.col("_ng"), 2).alias("avg_ghi_wm2"),
-        F.round(F.col("_st").cast("double") / F.col("_nt"), 2).alias("avg_temp_c"),
+        quantized_mean(F.col("_sg"), F.col("_ng"), 2).alias("avg_ghi_wm2"),
+        quantized_mean(F.col("_st"), F.col("_nt"), 2).alias("avg_temp_c"),
     )
 
 
@@ -254,7 +253,7 @@ def hour_pivot(curve: DataFrame, dim: str = "season", values=SEASONS, value: str
     """A10: hour x dim pivot on a 24-hour spine, missing -> 0."""
     piv = curve.groupBy(KEY, "hour").pivot(dim, list(values)).agg(F.first(value))
     keys = curve.select(KEY).distinct()
-    spine = keys.select(KEY, F.explode(F.sequence(F.lit(0), F.lit(23))).cast("bigint").alias("hour"))
+    spine = keys.select(KEY, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(23).cast("bigint"))).alias("hour"))
     out = spine.join(piv, [KEY, "hour"], "left")
     return out.fillna(0.0, subset=list(values))
 
@@ -268,8 +267,8 @@ def load_series(hourly: DataFrame, cfg: DashboardConfig = DashboardConfig()) ->
         "ts",
         _date().alias("date"),
         F.hour("ts").cast("bigint").alias("hour"),
-        F.round("ghi", 2).alias("ghi"),
-        F.round("temp", 2).alias("temp"),
+        round_exact("ghi", 2).alias("ghi"),
+        round_exact("temp", 2).alias("temp"),
     )
     return D.with_load_series(base, cfg)
 
@@ -289,10 +288,10 @@ def kpi_row(series: DataFrame) -> DataFrame:
     return agg.select(
         KEY,
         "date",
-        F.when(F.col("_cool") > 0, F.round(F.col("_cov") / F.col("_cool") * F.lit(100.0), 1))
+        F.when(F.col("_cool") > 0, quantized_mean((F.col("_cov") * 100).cast(EXACT), F.col("_cool"), 1))
         .otherwise(F.lit(100.0))
         .alias("self_sufficiency_pct"),
-        F.round("_peak", 0).alias("peak_ghi"),
+        round_exact("_peak", 0).alias("peak_ghi"),
         _psh_from_sum(F.col("_sg"), 2).alias("psh"),
         F.round("_def", 2).cast("double").alias("total_deficit_kwh"),
         F.round("_sol", 2).cast("double").alias("solar_produced_kwh"),
@@ -363,7 +362,7 @@ def thermal_inertia(series: DataFrame) -> DataFrame:
 
 def peak_hour(hourly: DataFrame) -> DataFrame:
     """Arg-max GHI per city-day, earliest hour on ties."""
-    h = hourly.select(KEY, _date().alias("date"), F.hour("ts").alias("hour"), F.round("ghi", 2).alias("ghi"))
+    h = hourly.select(KEY, _date().alias("date"), F.hour("ts").alias("hour"), round_exact("ghi", 2).alias("ghi"))
     agg = h.groupBy(KEY, "date").agg(_first_argmax("ghi").alias("peak_hour"), F.max("ghi").alias("peak_ghi"))
     return agg.select(
         KEY, "date", F.col("peak_hour").cast("bigint").alias("peak_hour"), "peak_ghi", D.hour_label("peak_hour").alias(
@@ -394,9 +393,9 @@ def daylight_regression(hourly: DataFrame) -> DataFrame:
     Moments are exact DECIMAL sums of the 2-dp display values, so slope and r
     are order-independent. r = 0 on zero variance; n < 2 -> NULL.
     """
-    x = F.round("ghi", 2).cast("decimal(20,2)")
-    y = F.round("temp", 2).cast("decimal(20,2)")
-    day = hourly.filter(F.round("ghi", 2) > 0).select(KEY, _date().alias("date"), x.alias("x"), y.alias("y"))
+    x = round_exact("ghi", 2).cast("decimal(18,2)")
+    y = round_exact("temp", 2).cast("decimal(18,2)")
+    day = hourly.filter(round_exact("ghi", 2) > 0).select(KEY, _date().alias("date"), x.alias("x"), y.alias("y"))
     agg = day.groupBy(KEY, "date").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("x").alias("sx"),
@@ -408,12 +407,13 @@ def daylight_regression(hourly: DataFrame) -> DataFrame:
         F.max("x").alias("max_x"),
     )
     n = F.col("n")
-    num = (n * F.col("sxy") - F.col("sx") * F.col("sy")).cast("double")
-    dx = (n * F.col("sxx") - F.col("sx") * F.col("sx")).cast("double")
-    dy = (n * F.col("syy") - F.col("sy") * F.col("sy")).cast("double")
+    sx, sy, sxy, sxx, syy = (F.col(c).cast("double") for c in ("sx", "sy", "sxy", "sxx", "syy"))
+    num = n * sxy - sx * sy
+    dx = n * sxx - sx * sx
+    dy = n * syy - sy * sy
     ok = n >= 2
     slope = F.when(ok & (dx != 0), num / dx)
-    intercept = (F.col("sy").cast("double") - slope * F.col("sx").cast("double")) / n
+    intercept = (sy - slope * sx) / n
     r = F.when(ok, F.when((dx > 0) & (dy > 0), num / F.sqrt(dx * dy)).otherwise(F.lit(0.0)))
     return agg.select(
         KEY,
@@ -431,7 +431,7 @@ def daylight_regression(hourly: DataFrame) -> DataFrame:
 
 def ghi_histogram(hourly: DataFrame, width: int = 100) -> DataFrame:
     """Per city-day histogram of the 2-dp GHI, floor bins; hour list <= 24."""
-    g = F.round("ghi", 2)
+    g = round_exact("ghi", 2)
     h = hourly.select(
         KEY,
         _date().alias("date"),
@@ -501,7 +501,7 @@ def backtest_pairs(actual: DataFrame, predicted: DataFrame, as_of, days: int = 7
 
     def side(df, name):
         return df.select(
-            KEY, _date().alias("date"), F.hour("ts").cast("bigint").alias("hour"), F.round("ghi", 2).alias(name)
+            KEY, _date().alias("date"), F.hour("ts").cast("bigint").alias("hour"), round_exact("ghi", 2).alias(name)
         ).filter(F.col("date").between(lo, hi))
 
     pairs = side(actual, "actual_ghi").join(side(predicted, "predicted_ghi"), [KEY, "date", "hour"])

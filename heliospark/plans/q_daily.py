@@ -91,8 +91,8 @@ def psh_daily(spark, sf_dir):
 
 
 _SQL_GHI_DAILY = (
-    "SELECT city, CAST(ts AS DATE) AS date, round(max(ghi), 2) AS peak_ghi, "
-    f"round(CAST({S.xsum('ghi')} AS DOUBLE) / count(ghi), 2) AS avg_ghi, "
+    f"SELECT city, CAST(ts AS DATE) AS date, {S.rnd('max(ghi)', 2)} AS peak_ghi, "
+    f"{S.qmean(S.xsum('ghi'), 'count(ghi)', 2)} AS avg_ghi, "
     f"CAST(round({S.xsum('ghi')}, 2) AS DOUBLE) AS total_irradiance_whm2, "
     f"{S.psh_from_sum(S.xsum('ghi'), 3)} AS psh, "
     "CAST(count(*) FILTER (WHERE ghi < 1.0) AS BIGINT) AS zero_hours, "
@@ -124,8 +124,8 @@ def weekly_trend(spark, sf_dir):
 @query(
     "city_profile",
     "A7",
-    f"WITH {S.CTE_DENSE_HOURLY} SELECT city, CAST(ts AS DATE) AS date, round(max(ghi), 2) AS peak_ghi, "
-    f"round(CAST({S.xsum('ghi')} AS DOUBLE) / 24.0, 2) AS avg_ghi, {S.psh_from_sum(S.xsum('ghi'), 3)} AS psh "
+    f"WITH {S.CTE_DENSE_HOURLY} SELECT city, CAST(ts AS DATE) AS date, {S.rnd('max(ghi)', 2)} AS peak_ghi, "
+    f"{S.qmean(S.xsum('ghi'), '24', 2)} AS avg_ghi, {S.psh_from_sum(S.xsum('ghi'), 3)} AS psh "
     "FROM hourly GROUP BY 1, 2",
 )
 def city_profile(spark, sf_dir):
@@ -138,8 +138,9 @@ def city_profile(spark, sf_dir):
     f"WITH {S.CTE_DENSE_HOURLY}, {_SQL_SUMMARY_CTE}, "
     f"g AS (SELECT city, CAST(ts AS DATE) AS date, max(ghi) AS peak, {S.xsum('ghi')} AS sg FROM hourly "
     "WHERE hour(ts) BETWEEN 0 AND 23 GROUP BY 1, 2) "
-    "SELECT summ.city, summ.date, round(CAST(solar_hours + no_cooling_hours AS DOUBLE) / "
-    "CAST(greatest(total_hours, 1) AS DOUBLE) * 100.0, 1) AS operating_pct, "
+    "SELECT summ.city, summ.date, "
+    f"{S.qmean(f'CAST((solar_hours + no_cooling_hours) * 100 AS {S.DEC})', 'greatest(total_hours, 1)', 1)} "
+    "AS operating_pct, "
     "coalesce(peak, 0.0) AS peak_ghi, CAST(coalesce(sg, 0) AS DOUBLE) / 24.0 AS avg_ghi, "
     "CAST(coalesce(sg, 0) AS DOUBLE) / 1000.0 AS psh FROM summ LEFT JOIN g USING (city, date)",
 )

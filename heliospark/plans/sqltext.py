@@ -24,16 +24,21 @@ def xavg(e: str) -> str:
     return f"CASE WHEN count({e}) > 0 THEN CAST({xsum(e)} AS DOUBLE) / count({e}) END"
 
 
-def qmean(total: str, n: str, digits: int = 6) -> str:
+def qmean(total: str, n: str, digits: int = 6, total_scale: int = 6) -> str:
     """Integer HALF_UP of total / n at ``digits`` decimals (see quantized_mean)."""
-    scale = 10**digits
-    si = f"CAST(({total}) * {scale} AS BIGINT)"
+    unit = 10 ** (total_scale - digits)
+    si = f"CAST(({total}) * {10**total_scale} AS BIGINT)"
     return (
-        f"CASE WHEN ({n}) > 0 THEN sign({si}) * ((2 * abs({si}) + ({n})) // (2 * ({n}))) / "
-        f"CAST({scale} AS DOUBLE) END"
+        f"CASE WHEN ({n}) > 0 THEN sign({si}) * ((2 * abs({si}) + ({n}) * {unit}) // (2 * {unit} * ({n}))) / "
+        f"CAST({10**digits} AS DOUBLE) END"
     )
 
 
+def rnd(x: str, digits: int) -> str:
+    """Display rounding of a derived double (see round_exact)."""
+    return f"CAST(round(CAST({x} AS {DEC}), {digits}) AS DOUBLE)"
+
+
 def psh_from_sum(s: str, digits: int = 4) -> str:
     return f"CAST(round({s}, {digits - 3}) AS DOUBLE) / 1000"
 
