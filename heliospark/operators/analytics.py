@@ -527,21 +527,61 @@ def backtest_daily(pairs: DataFrame) -> DataFrame:
     )
 
 
+def persistence_predictions(hourly: DataFrame, lags=(1, 24)) -> DataFrame:
+    """naive forecasters (value ``lag`` hours earlier, same city) in long
+    form ``model_name, target, city, ts, actual, predicted``.
+
+    The shifted copies are one generator plus one equi-join on (city, ts).
+    """
+    src = hourly.select("city", "ts", "ghi", "temp").withColumn(
+        "lag", F.explode(F.array(*[F.lit(int(k)) for k in lags]))
+    )
+    shifted = src.select(
+        "city",
+        F.timestamp_add("HOUR", F.col("lag"), F.col("ts")).alias("ts"),
+        "lag",
+        F.col("ghi").alias("p_ghi"),
+        F.col("temp").alias("p_temp"),
+    )
+    pairs = hourly.select("city", "ts", "ghi", "temp").join(shifted, ["city", "ts"])
+    rows = F.explode(
+        F.array(
+            F.struct(F.lit("GHI").alias("target"), F.col("ghi").alias("actual"), F.col("p_ghi").alias("predicted")),
+            F.struct(F.lit("Temp").alias("target"), F.col("temp").alias("actual"), F.col("p_temp").alias("predicted")),
+        )
+    )
+    out = pairs.select("city", "ts", "lag", rows.alias("r"))
+    return out.select(
+        F.concat(F.lit("persistence_"), F.col("lag").cast("string"), F.lit("h_"), F.col("r.target")).alias("model_name"),
+        F.col("r.target").alias("target"),
+        "city",
+        "ts",
+        F.col("r.actual").alias("actual"),
+        F.col("r.predicted").alias("predicted"),
+    )
+
+
 def regression_metrics(pred: DataFrame, group: list[str], y: str = "actual", yhat: str = "predicted") -> DataFrame:
-    """MAE, RMSE, R^2 = 1 - SSE / (n * var_pop) per group."""
-    err = F.col(yhat) - F.col(y)
+    """MAE, RMSE, R^2 = 1 - SSE / SST per group.
+
+    Residuals and actuals are quantized to 1e-6 and summed exactly, so the
+    metrics do not depend on row order.
+    """
+    e = quantize(F.col(yhat) - F.col(y)).cast(MOMENT)
+    yq = quantize(F.col(y)).cast(MOMENT)
     agg = pred.groupBy(*group).agg(
-        F.avg(F.abs(err)).alias("mae"),
-        F.sqrt(F.avg(err * err)).alias("rmse"),
-        F.sum(err * err).alias("_sse"),
-        F.var_pop(y).alias("_var"),
         F.count(F.lit(1)).alias("n"),
+        F.sum(F.abs(e)).cast("double").alias("_sae"),
+        F.sum(e * e).cast("double").alias("_see"),
+        F.sum(yq).cast("double").alias("_sy"),
+        F.sum(yq * yq).cast("double").alias("_syy"),
     )
+    sst = F.col("_syy") - F.col("_sy") * F.col("_sy") / F.col("n")
     return agg.select(
         *group,
-        "mae",
-        "rmse",
-        F.when(F.col("_var") > 0, F.lit(1.0) - F.col("_sse") / (F.col("_var") * F.col("n"))).alias("r2"),
+        (F.col("_sae") / F.col("n")).alias("mae"),
+        F.sqrt(F.col("_see") / F.col("n")).alias("rmse"),
+        F.when(sst > 0, F.lit(1.0) - F.col("_see") / sst).alias("r2"),
         F.col("n").cast("bigint").alias("n"),
     )
 
@@ -549,29 +589,44 @@ def regression_metrics(pred: DataFrame, group: list[str], y: str = "actual", yha
 def residual_density(resid: DataFrame, group: list[str], value: str = "residual", points: int = 64) -> DataFrame:
     """Gaussian KDE of residuals on a fixed grid per group.
 
-    Bandwidth = sample sigma * n^(-1/5); grid spans [min - 3h, max + 3h].
-    The grid is a fixed-size generator per row (``points`` outputs) with
-    map-side partial aggregation -- linear in the data, no pairwise join.
+    Bandwidth = sample sigma * n^(-1/5) (exact moments); grid spans
+    [min - 3h, max + 3h]. The grid is a fixed-size generator per row
+    (``points`` outputs) followed by a map-side-combined aggregate -- linear
+    in the data, no pairwise join. The per-group stats table has one row per
+    model and is broadcast.
     """
-    stats = resid.groupBy(*group).agg(
-        F.stddev_samp(value).alias("_sd"),
-        F.count(value).alias("_n"),
-        F.min(value).alias("_lo"),
-        F.max(value).alias("_hi"),
-    ).select(
-        *group,
-        "_n",
-        (F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))).alias("_h"),
-        "_lo",
-        "_hi",
-    ).filter(F.col("_h") > 0)
-    # One row per group (a handful of models x targets): safe to broadcast.
+    x = quantize(F.col(value)).cast(MOMENT)
+    stats = (
+        resid.groupBy(*group)
+        .agg(
+            F.count(x).alias("_n"),
+            F.sum(x).cast("double").alias("_sx"),
+            F.sum(x * x).cast("double").alias("_sxx"),
+            F.min(value).alias("_lo"),
+            F.max(value).alias("_hi"),
+        )
+        .select(
+            *group,
+            "_n",
+            "_lo",
+            "_hi",
+            (
+                F.sqrt(F.greatest((F.col("_sxx") - F.col("_sx") * F.col("_sx") / F.col("_n")) / (F.col("_n") - 1), F.lit(0.0)))
+                * F.pow(F.col("_n").cast("double"), F.lit(-0.2))
+            ).alias("_h"),
+        )
+        .filter((F.col("_n") >= 2) & (F.col("_h") > 0))
+    )
     joined = resid.select(*group, value).join(F.broadcast(stats), group)
     step = (F.col("_hi") - F.col("_lo") + F.lit(6.0) * F.col("_h")) / F.lit(float(points - 1))
     g = joined.select(
-        *group, value, "_h", "_n", "_lo", step.alias("_step"),
+        *group,
+        value,
+        "_h",
+        (F.col("_lo") - F.lit(3.0) * F.col("_h")).alias("_x0"),
+        step.alias("_step"),
         F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("grid_idx"),
-    ).withColumn("x", F.col("_lo") - F.lit(3.0) * F.col("_h") + F.col("grid_idx") * F.col("_step"))
+    ).withColumn("x", F.col("_x0") + F.col("grid_idx") * F.col("_step"))
     z = (F.col("x") - F.col(value)) / F.col("_h")
     kern = F.exp(F.lit(-0.5) * z * z) / (F.col("_h") * F.lit((2.0 * 3.141592653589793) ** 0.5))
     return g.groupBy(*group, "grid_idx").agg(F.first("x").alias("x"), F.avg(kern).alias("density")).select(
