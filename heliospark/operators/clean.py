@@ -33,7 +33,7 @@ def coerce_numeric(df: DataFrame, cols) -> DataFrame:
     out = df
     for c in cols:
         if c in out.columns:
-            v = F.try_cast(F.col(c).cast("string"), "double") if dict(out.dtypes)[c] == "string" else F.col(c).cast("double")
+            v = F.col(c).try_cast("double") if dict(out.dtypes)[c] == "string" else F.col(c).cast("double")
             out = out.withColumn(c, F.when(~F.isnan(v), v))
     return out
 

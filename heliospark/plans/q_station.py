@@ -1 +1,128 @@
-"""Placeholder."""
+"""Station plans (S9, B4-B7, B9, T12-T15, B27) over the F7 per-file view."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..config import STATION_GHI_LAGS
+from ..operators import station as ST
+from ..sources import fixtures as FX
+from ..sources import station as SS
+from . import sqltext as S
+from .catalog import query
+
+NUM = ["temperature", "humidity", "wind_direction", "wind_speed", "wind_gust", "pressure", "ghi"]
+
+
+def station_frame(spark, sf_dir):
+    return SS.harmonise(FX.station_files(spark, sf_dir), row_col="_row")
+
+
+_EV = (
+    "ev AS (SELECT event_id, event_type, date_trunc('second', ts) AS t, round(value * 8, 4) AS ghi, "
+    "CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, value, "
+    "CAST(100 + 3 * CAST(json_extract_string(props, '$.k') AS INTEGER) AS DOUBLE) / 10 AS temp FROM events)"
+)
+_N = "CAST(NULL AS DOUBLE)"
+_ST = (
+    f"{_EV}, st0 AS ("
+    f"SELECT t AS timestamp, temp AS temperature, CAST(k AS DOUBLE) AS humidity, {_N} AS wind_direction, "
+    f"value / 10 AS wind_speed, {_N} AS wind_gust, {_N} AS pressure, ghi, 'station_click.csv' AS source_file, "
+    "event_id AS _row FROM ev WHERE event_type = 'click' UNION ALL "
+    f"SELECT t, temp, {_N}, {_N}, {_N}, {_N}, CAST(900 + k AS DOUBLE), ghi, 'station_error.csv', event_id "
+    "FROM ev WHERE event_type = 'error' UNION ALL "
+    f"SELECT t, temp, {_N}, {_N}, value / 10, value / 5, {_N}, ghi, 'station_purchase.csv', event_id "
+    "FROM ev WHERE event_type = 'purchase' UNION ALL "
+    f"SELECT t, {_N}, CAST(k AS DOUBLE), k * {S.dbl(3.6)}, {_N}, {_N}, {_N}, CASE WHEN k = 0 THEN NULL ELSE ghi END, "
+    "'station_signup.csv', event_id FROM ev WHERE event_type = 'signup'), "
+    "st AS (SELECT * FROM st0 WHERE ghi IS NOT NULL AND timestamp IS NOT NULL)"
+)
+
+
+def _interp(c: str) -> str:
+    back = "OVER (ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    fwd = "OVER (ORDER BY g ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    return (
+        f"max(CASE WHEN {c} IS NOT NULL THEN g END) {back} AS {c}_pi, last_value({c} IGNORE NULLS) {back} AS {c}_pv, "
+        f"min(CASE WHEN {c} IS NOT NULL THEN g END) {fwd} AS {c}_ni, first_value({c} IGNORE NULLS) {fwd} AS {c}_nv"
+    )
+
+
+def _filled(c: str) -> str:
+    return (
+        f"CASE WHEN {c} IS NOT NULL THEN {c} WHEN {c}_pi IS NOT NULL AND {c}_ni IS NOT NULL THEN "
+        f"({c}_nv - {c}_pv) / ({c}_ni - {c}_pi) * (g - {c}_pi) + {c}_pv WHEN {c}_pi IS NOT NULL THEN {c}_pv "
+        f"ELSE {c}_nv END AS {c}"
+    )
+
+
+def _q(x: str) -> str:
+    return f"floor(({x}) * {S.dbl(1e6)} + {S.dbl(0.5)}) / {S.dbl(1e6)}"
+
+
+_W = "OVER (ORDER BY timestamp)"
+_W3 = "OVER (ORDER BY timestamp ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)"
+_TWO_PI = S.dbl(2 * 3.141592653589793)
+
+CTE_STATION = (
+    _ST
+    + ", ix AS (SELECT *, row_number() OVER (ORDER BY timestamp, source_file, _row) - 1 AS g FROM st)"
+    + ", nb AS (SELECT *, " + ", ".join(_interp(c) for c in NUM) + " FROM ix)"
+    + ", fi AS (SELECT timestamp, " + ", ".join(_filled(c) for c in NUM) + " FROM nb)"
+    + ", co AS (SELECT timestamp, "
+    + ", ".join(S.qmean(f"sum(CAST({_q(c)} AS {S.DEC}))", f"count({_q(c)})") + f" AS {c}" for c in NUM)
+    + " FROM fi GROUP BY timestamp)"
+    + ", fe AS (SELECT *, CAST(hour(timestamp) AS BIGINT) AS hour, CAST(dayofyear(timestamp) AS BIGINT) AS day_of_year, "
+    + "CAST(month(timestamp) AS BIGINT) AS month, "
+    + f"sin({_TWO_PI} * hour(timestamp) / {S.dbl(24)}) AS hour_sin, cos({_TWO_PI} * hour(timestamp) / {S.dbl(24)}) AS hour_cos, "
+    + f"sin({_TWO_PI} * dayofyear(timestamp) / {S.dbl(365.25)}) AS doy_sin, "
+    + f"cos({_TWO_PI} * dayofyear(timestamp) / {S.dbl(365.25)}) AS doy_cos, "
+    + ", ".join(f"lag(ghi, {k}) {_W} AS ghi_lag_{k}" for k in STATION_GHI_LAGS)
+    + f", lag(temperature, 1) {_W} AS temp_lag_1, "
+    + S.qmean(f"sum(CAST(ghi AS {S.DEC})) {_W3}", f"count(ghi) {_W3}")
+    + " AS ghi_rolling_mean_3h, "
+    + f"CASE WHEN count(ghi) {_W3} >= 2 THEN floor(sqrt(greatest((CAST(sum(CAST(ghi AS DECIMAL(19,6)) * "
+    + f"CAST(ghi AS DECIMAL(16,6))) {_W3} AS DOUBLE) - CAST(sum(CAST(ghi AS DECIMAL(16,6))) {_W3} AS DOUBLE) * "
+    + f"CAST(sum(CAST(ghi AS DECIMAL(16,6))) {_W3} AS DOUBLE) / count(ghi) {_W3}) / (count(ghi) {_W3} - 1), "
+    + f"{S.dbl(0)})) * {S.dbl(1e6)} + {S.dbl(0.5)}) / {S.dbl(1e6)} END AS ghi_rolling_std_3h, "
+    + f"lead(ghi, 1) {_W} AS target_ghi_next_1h, lead(temperature, 1) {_W} AS target_temperature_next_1h FROM co)"
+)
+
+_OUT = (
+    ["timestamp", *NUM, "hour", "day_of_year", "month", "hour_sin", "hour_cos", "doy_sin", "doy_cos"]
+    + [f"ghi_lag_{k}" for k in STATION_GHI_LAGS]
+    + ["temp_lag_1", "ghi_rolling_mean_3h", "ghi_rolling_std_3h", "target_ghi_next_1h", "target_temperature_next_1h"]
+)
+_CYC = ("hour_sin", "hour_cos", "doy_sin", "doy_cos")
+
+
+def _out_sql(c: str) -> str:
+    if c == "timestamp":
+        return c
+    if c in ("hour", "day_of_year", "month"):
+        return c
+    e = f"round({c}, 9)" if c in _CYC else c
+    return f"coalesce({e}, {S.dbl(0)}) AS {c}"
+
+
+@query(
+    "station_features",
+    "S9 B4 B5 B6 B7 B9 T12 T13 T14 T15 B27 U1",
+    f"WITH {CTE_STATION} SELECT {', '.join(_out_sql(c) for c in _OUT)} FROM fe "
+    "WHERE target_ghi_next_1h IS NOT NULL AND target_temperature_next_1h IS NOT NULL",
+    dates=(),
+)
+def station_features(spark, sf_dir):
+    f = ST.station_features(station_frame(spark, sf_dir))
+    return f.select(*[F.round(c, 9).alias(c) if c in _CYC else F.col(c) for c in _OUT])
+
+
+@query(
+    "station_harmonised",
+    "S9 B4 B5 B6 B7 U1",
+    f"WITH {_ST} SELECT timestamp, {', '.join(NUM)}, source_file FROM st",
+    dates=(),
+)
+def station_harmonised(spark, sf_dir):
+    st = station_frame(spark, sf_dir)
+    return st.select("timestamp", *NUM, "source_file")

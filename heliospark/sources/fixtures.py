@@ -80,3 +80,54 @@ SQL_LONG = (
     "SELECT l_returnflag AS city, l_shipdate + to_hours(CAST(l_partkey % 24 AS BIGINT)) AS ts, "
     "l_extendedprice / 100 AS ghi, l_quantity AS temp FROM lineitem"
 )
+
+
+def station_files(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """the events table written out as five per-type "station files",
+    each with its own raw header names and text formats (as a CSV read
+    would return them). Together they hold every event; one file has no GHI
+    column and is unusable, one has unparseable GHI text."""
+    ev = events_raw(spark, sf_dir)
+    t = F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss")
+    s = lambda c: c.cast("string")
+    row = F.col("event_id").alias("_row")
+
+    def of(kind):
+        return ev.filter(F.col("event_type") == kind)
+
+    return {
+        "station_click.csv": of("click").select(
+            t.alias("TIMESTAMP"),
+            s(F.col("ghi")).alias("GHI_corr_Avg"),
+            s(F.col("temp")).alias("Tair_Avg"),
+            s(F.col("k")).alias("RH_Avg"),
+            s(F.col("value") / 10).alias("WS"),
+            row,
+        ),
+        "station_error.csv": of("error").select(
+            F.date_format("ts", "yyyy-MM-dd").alias("Date"),
+            F.date_format("ts", "HH:mm:ss").alias("Time"),
+            s(F.col("ghi")).alias("GHI"),
+            s(F.col("temp")).alias("Tamb"),
+            s(F.lit(900) + F.col("k")).alias("BP"),
+            row,
+        ),
+        "station_purchase.csv": of("purchase").select(
+            t.alias("TS"),
+            s(F.col("ghi")).alias("ghi_corr_avg"),
+            s(F.col("temp")).alias("Temp"),
+            s(F.col("value") / 10).alias("WindSpeed"),
+            s(F.col("value") / 5).alias("WSgust"),
+            row,
+        ),
+        "station_signup.csv": of("signup").select(
+            t.alias("Timestamp"),
+            F.when(F.col("k") == 0, F.lit("n/a")).otherwise(s(F.col("ghi"))).alias("GHI"),
+            s(F.col("k")).alias("RH"),
+            s(F.col("k") * F.lit(3.6)).alias("WD"),
+            row,
+        ),
+        "station_view.csv": of("view").select(
+            t.alias("Timestamp"), s(F.col("temp")).alias("Tair_Avg"), s(F.col("k")).alias("RH"), row
+        ),
+    }
