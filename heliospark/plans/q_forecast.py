@@ -223,3 +223,72 @@ def chrono_split(spark, sf_dir):
     from ..operators.models import chronological_split
 
     return chronological_split(dense_hourly(spark, sf_dir).select("city", "ts"), ["ts", "city"], TRAIN_FRACTION)
+
+
+# -- boosted trees (M2-M4, M6, A27, S10, S11): rows-only checks ------------------
+
+_MODEL_CACHE: dict = {}
+
+
+def _dense_features(spark, sf_dir):
+    from ..operators import timeseries as TS
+    from ..sources import fixtures as FX
+    from .q_features import IMP
+
+    grid = TS.hourly_grid(FX.dense(spark, sf_dir))
+    imp = TS.impute(grid, IMP).select("city", "ts", "ghi", "temp")
+    feats = TS.with_targets(TS.with_rolling(TS.with_lags(TS.with_cyclical(imp))))
+    return TS.standardise(feats)
+
+
+def trained_models(spark, sf_dir):
+    """M6: chronological split, one boosted-tree model per target, holdout
+    metrics. Fitted models are memoised per session and input folder."""
+    from ..config import HOURLY_TREE_PARAMS
+    from ..operators import clean as C
+    from ..operators import models as M
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _MODEL_CACHE:
+        return _MODEL_CACHE[key]
+    feats = _dense_features(spark, sf_dir)
+    cats = C.categories_of(FX_dense_cities(spark, sf_dir))
+    numeric = [c for c, t in feats.dtypes if t in ("double", "bigint", "int") and not c.startswith("target_")]
+    matrix = C.model_matrix(feats, cats, numeric)
+    matrix = matrix.join(feats.select("city", "ts", "target_ghi_next_1h", "target_temp_next_1h"), ["city", "ts"])
+    split = M.chronological_split(matrix, ["ts", "city"], TRAIN_FRACTION)
+    features = ["epoch_seconds", *[f"city_{c}" for c in cats], *numeric]
+    out = {}
+    for target, label in (("GHI", "target_ghi_next_1h"), ("Temp", "target_temp_next_1h")):
+        model, scored, metrics = M.train_and_evaluate(
+            split, features, label, HOURLY_TREE_PARAMS, f"boosted_trees_{target}"
+        )
+        out[target] = (model, features, metrics.withColumn("target", F.lit(target)))
+    _MODEL_CACHE[key] = out
+    return out
+
+
+def FX_dense_cities(spark, sf_dir):
+    from ..sources import fixtures as FX
+
+    return FX.dense(spark, sf_dir).select("city")
+
+
+@query("gbt_train_score", "M1 M2 M3 M6 A22 S10")
+def gbt_train_score(spark, sf_dir):
+    """Holdout metrics of the boosted-tree models (one row per target)."""
+    models = trained_models(spark, sf_dir)
+    frames = [m[2] for m in models.values()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out.select("model_name", "target", "mae", "rmse", "r2", "n", "n_train")
+
+
+@query("feature_importance", "M4 A27 S11")
+def feature_importance(spark, sf_dir):
+    """Importance ranking of the GHI model's features (sorted, percent, rank)."""
+    from ..operators import models as M
+
+    model, features, _ = trained_models(spark, sf_dir)["GHI"]
+    return A.importance_rank(M.feature_importances(spark, model, features))
