@@ -146,3 +146,16 @@ def city_profile(spark, sf_dir):
 )
 def city_operating(spark, sf_dir):
     return A.city_operating(dense_hourly(spark, sf_dir), CFG, (0, 23))
+
+
+@query(
+    "daily_profile",
+    "T17 J7",
+    f"WITH {S.CTE_DENSE_HOURLY}, d AS (SELECT DISTINCT city, CAST(ts AS DATE) AS date FROM hourly), "
+    "spine AS (SELECT city, date, CAST(h AS INTEGER) AS hour FROM d, range(0, 24) r(h)) "
+    "SELECT s.city, s.date, s.hour, h.ghi, h.temp FROM spine s LEFT JOIN hourly h "
+    "ON s.city = h.city AND s.date = CAST(h.ts AS DATE) AND s.hour = hour(h.ts)",
+)
+def daily_profile(spark, sf_dir):
+    """24 UTC slots per city-day from the hourly table; missing -> NULL."""
+    return TS.daily_profile(dense_hourly(spark, sf_dir))
