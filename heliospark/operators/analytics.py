@@ -467,6 +467,8 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     names = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
+            if j < i:
+                continue  # r is symmetric: aggregate each unordered pair once
             both = F.col(a).isNotNull() & F.col(b).isNotNull()
             xa = F.when(both, F.col(a)).cast(MOMENT)
             xb = F.when(both, F.col(b)).cast(MOMENT)
@@ -487,8 +489,9 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
         dx = n * saa - sa * sa
         dy = n * sbb - sb * sb
         rs.append(F.when((dx > 0) & (dy > 0), (n * sab - sa * sb) / F.sqrt(dx * dy)).alias(f"r_{p}"))
-    stack = ", ".join(f"'{a}', '{b}', r_{p}" for a, b, p in names)
-    return wide.select(*rs).selectExpr(f"stack({len(names)}, {stack}) AS (col_a, col_b, r)")
+    cells = [(a, b, p) for a, b, p in names] + [(b, a, p) for a, b, p in names if a != b]
+    stack = ", ".join(f"'{a}', '{b}', r_{p}" for a, b, p in cells)
+    return wide.select(*rs).selectExpr(f"stack({len(cells)}, {stack}) AS (col_a, col_b, r)")
 
 
 # -- forecast quality (A20-A26) ---------------------------------------------

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 
 POS_BITS = 33
 POS_MASK = (1 << POS_BITS) - 1
@@ -34,10 +34,9 @@ def with_global_index(
     """Add a dense 0-based global row index in ``order_cols`` order, plus
     ``_pid`` (range partition) and ``_pos`` (position inside it)."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-    tagged = ranged.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    tagged = materialize(ranged.withColumn("_mid", F.monotonically_increasing_id()))
     tagged = tagged.withColumn("_pid", F.shiftright("_mid", POS_BITS).cast("int")).withColumn(
         "_pos", F.col("_mid").bitwiseAND(F.lit(POS_MASK))
     )
@@ -61,9 +60,9 @@ def carry_fill(df: DataFrame, cols: list[str], idx: str = "gidx") -> DataFrame:
     the carry is a window partitioned by ``_pid`` (bounded by the partition
     size); across partitions it comes from a per-partition edge table.
     """
-    w = Window.partitionBy("_pid").orderBy(idx)
-    back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fwd = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    back = Window.partitionBy("_pid").orderBy(idx).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Running frame over descending order: incremental, unlike UNBOUNDED FOLLOWING.
+    fwd = Window.partitionBy("_pid").orderBy(F.col(idx).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = df
     edge_aggs = []
     for c in cols:
@@ -72,7 +71,7 @@ def carry_fill(df: DataFrame, cols: list[str], idx: str = "gidx") -> DataFrame:
             out.withColumn(f"_{c}_pi", F.max(i_nn).over(back))
             .withColumn(f"_{c}_pv", F.last(c, ignorenulls=True).over(back))
             .withColumn(f"_{c}_ni", F.min(i_nn).over(fwd))
-            .withColumn(f"_{c}_nv", F.first(c, ignorenulls=True).over(fwd))
+            .withColumn(f"_{c}_nv", F.last(c, ignorenulls=True).over(fwd))
         )
         edge_aggs += [
             F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(idx))).alias(f"_{c}_lv"),

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..config import LAG_HOURS, ImputeConfig
 from ..functions.calendar import cyclical_columns, local_ts
+from ..session import materialize
 from ..functions.numeric import EXACT, MOMENT, exact_avg, mean_of_nonnull, quantize, quantized_mean
 
 KEY = "city"
@@ -64,15 +65,17 @@ def hourly_grid(df: DataFrame, features=BASE, key: str = KEY, ts: str = TS, mean
 
 def _neighbours(df: DataFrame, col: str, key: str = KEY, ts: str = TS) -> DataFrame:
     """Previous / next non-NULL value and grid index for ``col``."""
-    w = city_window(key, ts)
-    back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fwd = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    back = city_window(key, ts).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # "Next non-NULL" as a running frame over descending time: Spark evaluates
+    # running frames incrementally (O(n)); an UNBOUNDED FOLLOWING frame would
+    # be re-aggregated for every row (O(n^2) per city).
+    fwd = Window.partitionBy(key).orderBy(F.col(ts).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     idx = F.when(F.col(col).isNotNull(), F.col("i"))
     return (
         df.withColumn(f"_{col}_pi", F.max(idx).over(back))
         .withColumn(f"_{col}_pv", F.last(col, ignorenulls=True).over(back))
         .withColumn(f"_{col}_ni", F.min(idx).over(fwd))
-        .withColumn(f"_{col}_nv", F.first(col, ignorenulls=True).over(fwd))
+        .withColumn(f"_{col}_nv", F.last(col, ignorenulls=True).over(fwd))
     )
 
 
@@ -258,7 +261,9 @@ def scaler_params(df: DataFrame, cols: list[str]) -> DataFrame:
     return stats.select(*ms).selectExpr(f"stack({len(cols)}, {stack}) AS (feature, mean, std)")
 
 
-def standardise(df: DataFrame, cols: list[str] | None = None, fit_on: DataFrame | None = None):
+def standardise(
+    df: DataFrame, cols: list[str] | None = None, fit_on: DataFrame | None = None, checkpoint_input: bool = True
+) -> DataFrame:
     """z = (x - mean) / sigma with population sigma; sigma 0 -> 1.
 
     The fit is one global aggregate of exact moments, attached to every row
@@ -266,6 +271,11 @@ def standardise(df: DataFrame, cols: list[str] | None = None, fit_on: DataFrame
     callers fit on the training slice only.
     """
     cols = cols or scaled_columns(df.columns)
+    if fit_on is None and checkpoint_input:
+        # The fit and the transform both need the full input; cut lineage once
+        # (reliable checkpoint in the shared folder) instead of computing the
+        # upstream window chain twice.
+        df = materialize(df)
     src = fit_on if fit_on is not None else df
     p = src.agg(F.struct(*_moments(cols)).alias("p")).scalar()
     out = df.withColumn("_p", p)

@@ -66,3 +66,20 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir for a written table."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared folder.
+
+    The frame is persisted first so the checkpoint write reuses the rows of
+    the job that computes them (otherwise Spark runs the whole lineage twice),
+    then unpersisted; later reads come from the checkpoint files, which
+    survive executor loss.
+    """
+    from pyspark import StorageLevel
+
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
