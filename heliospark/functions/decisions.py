@@ -126,8 +126,9 @@ def day_hour_label(day: str | Column, hour: str | Column) -> Column:
 
 
 def clamp(x: str | Column, lo: float, hi: float) -> Column:
-    """B22."""
-    return F.least(F.greatest(_c(x), F.lit(lo)), F.lit(hi))
+    """B22 (NULL stays NULL: ``greatest``/``least`` alone would skip it)."""
+    v = _c(x)
+    return F.when(v.isNotNull(), F.least(F.greatest(v, F.lit(lo)), F.lit(hi)))
 
 
 def heat_intensity(ghi: str | Column) -> Column:

@@ -33,6 +33,7 @@ def query(name: str, ids: str, sql: str | None = None, dates: tuple[str, ...] =
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
+        run.__wrapped__ = fn
         QUERIES[name] = run
         IDS[name] = ids
         if sql is not None:

@@ -47,7 +47,7 @@ def _series(spark, sf_dir, cfg=DASH):
     "B13 B15 B18 B22 B25",
     f"WITH {S.CTE_DENSE_HOURLY}, {series_cte(ALT)} SELECT city, ts, date, hour, "
     f"{S.hour_label('hour')} AS hour_label, ghi, temp, solar_kw, load_kw, grid_deficit_kw, "
-    f"{_window_sql(ALT)} AS in_window, least(greatest(ghi, {S.dbl(0)}), {S.dbl(1100)}) AS ghi_clamped, "
+    f"{_window_sql(ALT)} AS in_window, CASE WHEN ghi IS NOT NULL THEN least(greatest(ghi, {S.dbl(0)}), {S.dbl(1100)}) END AS ghi_clamped, "
     f"least(ghi / {S.dbl(1000)}, {S.dbl(1)}) AS heat_intensity FROM ser",
 )
 def operating_window(spark, sf_dir):

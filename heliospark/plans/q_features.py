@@ -16,7 +16,7 @@ from ..operators import timeseries as TS
 from ..sources import fixtures as FX
 from . import sqltext as S
 from .catalog import query
-from .common import sites_grid
+from .common import AS_OF_TS, sites_grid
 
 IMP = ImputeConfig()
 TWO_PI = 2.0 * math.pi
@@ -377,3 +377,22 @@ def sequence_digest(spark, sf_dir):
         .alias("sum_temp"),
         F.col("label"),
     )
+
+
+@query(
+    "feature_roundtrip",
+    "S7 S8 B2 B20 T11",
+    f"WITH {CTE_PARAMS} SELECT {_scaled_select()}, CASE WHEN ts <= TIMESTAMP '{AS_OF_TS}' - INTERVAL 2 DAY "
+    "THEN 'stable' ELSE 'recent' END AS slice FROM feat, mom",
+    dates=(),
+)
+def feature_roundtrip(spark, sf_dir):
+    """S7 sink (partitioned by city and stable/recent slice) and the S8
+    reader with its guards (non-empty, every timestamp parseable)."""
+    from ..session import shared_path
+    from ..sources import ingest as I
+    from ..sources.tables import read_features, write_features
+
+    path = shared_path(spark, "features")
+    write_features(I.stable_recent_split(feature_pipeline.__wrapped__(spark, sf_dir), AS_OF_TS, 2), path)
+    return read_features(spark, path)

@@ -191,3 +191,25 @@ def model_matrix(spark, sf_dir):
     grid = TS.hourly_grid(FX.dense(spark, sf_dir))
     cats = C.categories_of(FX.dense(spark, sf_dir).select("city"))
     return C.model_matrix(grid, cats, ["ghi", "temp"])
+
+
+_F1_MAPPING = {
+    "city": "event_type",
+    "ts": "CAST(ts AS TIMESTAMP)",
+    "ghi": "round(value * 8, 4)",
+    "temp": "CAST(100 + 3 * CAST(get_json_object(props, '$.k') AS INT) AS DOUBLE) / 10",
+}
+
+
+@query("weather_source", "S3 S4 O1 O2 B1", f"{S.SQL_DENSE_WRAPPED}", dates=())
+def weather_source(spark, sf_dir):
+    """S4 precedence: a curated table if registered, else the events file,
+    each with its own column mapping; S3 projected scan, non-empty guard."""
+    from ..sources.tables import Source, first_existing, require_non_empty
+
+    candidates = [
+        Source("weather_observations", {"city": "city_name", "ts": "timestamp", "ghi": "shortwave_radiation",
+                                        "temp": "temperature_2m"}),
+        Source(f"{sf_dir}/events.parquet", _F1_MAPPING, is_path=True),
+    ]
+    return require_non_empty(first_existing(spark, candidates), "weather source")

@@ -65,6 +65,7 @@ def hourly_cte(source: str, name: str = "hourly") -> str:
 
 
 CTE_DENSE = f"dense AS ({SQL_DENSE})"
+SQL_DENSE_WRAPPED = f"SELECT * FROM ({SQL_DENSE}) q"
 CTE_SITES = f"sites AS ({SQL_SITES})"
 CTE_LONG = f"long AS ({SQL_LONG})"
 CTE_DENSE_HOURLY = CTE_DENSE + ", " + hourly_cte("dense")
