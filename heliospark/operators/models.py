@@ -8,6 +8,7 @@ compared by tolerance, not equality.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -68,7 +69,10 @@ def train_and_evaluate(
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """M6 for one target: M1 -> M2 -> M3 -> A22. Returns (model, scored test, metrics)."""
     split = df.filter(F.col(label).isNotNull())
-    train = split.filter(F.col("split") == "train")
+    # Boosting runs one distributed pass per tree: give it one partition per
+    # core (not the SQL shuffle count) and keep the rows in memory / disk.
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    train = split.filter(F.col("split") == "train").repartition(parallelism).persist(StorageLevel.MEMORY_AND_DISK)
     test = split.filter(F.col("split") == "test")
     model = boosted_tree_pipeline(features, label, params).fit(train)
     scored = score(model, test, label)
@@ -79,6 +83,7 @@ def train_and_evaluate(
         ["model_name"],
     )
     n_train = train.count()
+    train.unpersist()
     return model, scored, metrics.withColumn("n_train", F.lit(n_train).cast("bigint"))
 
 
