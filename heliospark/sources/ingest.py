@@ -88,3 +88,12 @@ def guard_training_slice(df: DataFrame, allow_recent: bool = False) -> DataFrame
             F.col("slice")
         ),
     )
+
+
+def slice_city_range(df: DataFrame, city: str, start, end, ts: str = "ts", key: str = "city") -> DataFrame:
+    """One city between two instants (inclusive); an empty slice is an
+    error (checked with a one-row probe). The predicates reach the scan."""
+    out = df.filter((F.col(key) == city) & F.col(ts).between(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")))
+    if out.isEmpty():
+        raise ValueError(f"no rows for {city} between {start} and {end}")
+    return out

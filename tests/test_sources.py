@@ -120,3 +120,33 @@ def test_training_window_and_sparse_days(spark):
     c = clip_and_drop_sparse_days(df)
     assert c.filter(F.col("ghi") > 1400).count() == 0
     assert c.count() == 199  # the day with a missing temperature (50 % missing) is dropped
+
+
+def test_city_range_slice_and_empty(spark):
+    from heliospark.sources import ingest as I
+
+    df = spark.createDataFrame([("a", T0, 1.0), ("b", T0, 2.0)], "city string, ts timestamp, ghi double")
+    assert I.slice_city_range(df, "a", "2023-12-31", "2024-01-02").count() == 1
+    with pytest.raises(ValueError):
+        I.slice_city_range(df, "c", "2023-12-31", "2024-01-02")
+
+
+def test_training_guard_refuses_recent(spark):
+    from heliospark.sources import ingest as I
+
+    df = I.stable_recent_split(
+        spark.createDataFrame([(T0,), (T0 + dt.timedelta(days=10),)], "ts timestamp"), "2024-01-10", 2
+    )
+    with pytest.raises(Exception):
+        I.guard_training_slice(df).collect()
+    assert I.guard_training_slice(df, allow_recent=True).count() == 2
+
+
+def test_partition_scoped_upsert(spark):
+    from heliospark.sources import upsert as U
+
+    schema = "city_name string, day string, timestamp timestamp, v double"
+    target = spark.createDataFrame([("a", "d1", T0, 1.0), ("a", "d2", T0 + dt.timedelta(days=1), 2.0)], schema)
+    batch = spark.createDataFrame([("a", "d2", T0 + dt.timedelta(days=1), 9.0)], schema)
+    out = U.upsert_partitions(target, batch, ["city_name", "timestamp"], ["city_name", "day"]).collect()
+    assert len(out) == 1 and out[0]["v"] == 9.0  # only the touched partition is rewritten
