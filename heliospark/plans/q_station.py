@@ -126,3 +126,18 @@ def station_features(spark, sf_dir):
 def station_harmonised(spark, sf_dir):
     st = station_frame(spark, sf_dir)
     return st.select("timestamp", *NUM, "source_file")
+
+
+def station_models(spark, sf_dir, target_mode: str = "ghi"):
+    """M6 on the station frame with the station hyper-parameters (depth 6,
+    500 trees, 0.9 row / column sampling) and B28 target selection. Not a
+    registered plan: its cost is the 500-iteration schedule."""
+    from ..config import STATION_TREE_PARAMS
+    from ..operators import clean as C
+    from ..operators import models as M
+
+    feats = ST.station_features(station_frame(spark, sf_dir))
+    targets = {"ghi": "target_ghi_next_1h", "temperature": "target_temperature_next_1h"}
+    features, label = C.select_for_target(feats, target_mode, targets, exclude=("timestamp", *targets.values()))
+    split = M.chronological_split(feats, ["timestamp"], 0.8)
+    return M.train_and_evaluate(split, features, label, STATION_TREE_PARAMS, f"station_boosted_{target_mode}")

@@ -97,3 +97,11 @@ def slice_city_range(df: DataFrame, city: str, start, end, ts: str = "ts", key:
     if out.isEmpty():
         raise ValueError(f"no rows for {city} between {start} and {end}")
     return out
+
+
+def assert_any_delivered(report: DataFrame) -> DataFrame:
+    """A poll in which no expected key delivered anything is an error
+    (one-row probe on the coverage report)."""
+    if report.filter(F.col("delivered")).isEmpty():
+        raise RuntimeError("no expected city delivered any record")
+    return report

@@ -150,3 +150,22 @@ def test_partition_scoped_upsert(spark):
     batch = spark.createDataFrame([("a", "d2", T0 + dt.timedelta(days=1), 9.0)], schema)
     out = U.upsert_partitions(target, batch, ["city_name", "timestamp"], ["city_name", "day"]).collect()
     assert len(out) == 1 and out[0]["v"] == 9.0  # only the touched partition is rewritten
+
+
+def test_coverage_all_failed_is_error(spark):
+    from heliospark.sources import ingest as I
+
+    exp = spark.createDataFrame([("a",), ("b",)], "city string")
+    batch = spark.createDataFrame([], "city string")
+    with pytest.raises(RuntimeError):
+        I.assert_any_delivered(I.coverage(exp, batch))
+
+
+def test_sequences_need_enough_rows(spark):
+    from heliospark.operators import timeseries as TS
+
+    df = spark.createDataFrame([("a", T0 + dt.timedelta(hours=h), 1.0) for h in range(5)], "city string, ts timestamp, ghi double")
+    with pytest.raises(ValueError):
+        TS.sequences(df, ["ghi"], "ghi", 24)
+    ok = TS.sequences(df, ["ghi"], "ghi", 2).collect()
+    assert len(ok) == 3 and all(len(r["sequence"]) == 2 for r in ok)
