@@ -455,14 +455,14 @@ def ghi_histogram(hourly: DataFrame, width: int = 100) -> DataFrame:
     )
 
 
-def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
+def corr_matrix(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
     """Pairwise-complete Pearson matrix in long form (NULL on zero variance).
 
-    One global aggregate of exact DECIMAL moments per pair (order-independent),
-    unpivoted with ``stack``; r is finished in double from those sums.
+    One global aggregate over the unordered pairs with Spark's streaming
+    (co-)moment aggregates, which are numerically stable; r lies in [-1, 1]
+    and is reported at ``digits`` decimals, so row order cannot change it.
+    ANSI-safe: zero variance gives NULL instead of a division error.
     """
-    from ..functions.numeric import MOMENT
-
     exprs = []
     names = []
     for i, a in enumerate(cols):
@@ -470,28 +470,16 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
             if j < i:
                 continue  # r is symmetric: aggregate each unordered pair once
             both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            xa = F.when(both, F.col(a)).cast(MOMENT)
-            xb = F.when(both, F.col(b)).cast(MOMENT)
-            p = f"p{i}_{j}_"
-            exprs += [
-                F.count(xa).alias(p + "n"),
-                F.sum(xa).cast("double").alias(p + "sa"),
-                F.sum(xb).cast("double").alias(p + "sb"),
-                F.sum(xa * xb).cast("double").alias(p + "sab"),
-                F.sum(xa * xa).cast("double").alias(p + "saa"),
-                F.sum(xb * xb).cast("double").alias(p + "sbb"),
-            ]
+            xa = F.when(both, F.col(a))
+            xb = F.when(both, F.col(b))
+            p = f"p{i}_{j}"
+            den = F.stddev_pop(xa) * F.stddev_pop(xb)
+            exprs.append(F.round(F.when(den > 0, F.covar_pop(xa, xb) / den), digits).alias(p))
             names.append((a, b, p))
     wide = df.agg(*exprs)
-    rs = []
-    for a, b, p in names:
-        n, sa, sb, sab, saa, sbb = (F.col(p + k) for k in ("n", "sa", "sb", "sab", "saa", "sbb"))
-        dx = n * saa - sa * sa
-        dy = n * sbb - sb * sb
-        rs.append(F.when((dx > 0) & (dy > 0), (n * sab - sa * sb) / F.sqrt(dx * dy)).alias(f"r_{p}"))
-    cells = [(a, b, p) for a, b, p in names] + [(b, a, p) for a, b, p in names if a != b]
-    stack = ", ".join(f"'{a}', '{b}', r_{p}" for a, b, p in cells)
-    return wide.select(*rs).selectExpr(f"stack({len(cells)}, {stack}) AS (col_a, col_b, r)")
+    cells = names + [(b, a, p) for a, b, p in names if a != b]
+    stack = ", ".join(f"'{a}', '{b}', {p}" for a, b, p in cells)
+    return wide.selectExpr(f"stack({len(cells)}, {stack}) AS (col_a, col_b, r)")
 
 
 # -- forecast quality (A20-A26) ---------------------------------------------

@@ -63,22 +63,20 @@ def carry_fill(df: DataFrame, cols: list[str], idx: str = "gidx") -> DataFrame:
     back = Window.partitionBy("_pid").orderBy(idx).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # Running frame over descending order: incremental, unlike UNBOUNDED FOLLOWING.
     fwd = Window.partitionBy("_pid").orderBy(F.col(idx).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = df
     edge_aggs = []
+    backs, fwds = [], []
     for c in cols:
         i_nn = F.when(F.col(c).isNotNull(), F.col(idx))
-        out = (
-            out.withColumn(f"_{c}_pi", F.max(i_nn).over(back))
-            .withColumn(f"_{c}_pv", F.last(c, ignorenulls=True).over(back))
-            .withColumn(f"_{c}_ni", F.min(i_nn).over(fwd))
-            .withColumn(f"_{c}_nv", F.last(c, ignorenulls=True).over(fwd))
-        )
+        backs += [F.max(i_nn).over(back).alias(f"_{c}_pi"), F.last(c, ignorenulls=True).over(back).alias(f"_{c}_pv")]
+        fwds += [F.min(i_nn).over(fwd).alias(f"_{c}_ni"), F.last(c, ignorenulls=True).over(fwd).alias(f"_{c}_nv")]
         edge_aggs += [
             F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(idx))).alias(f"_{c}_lv"),
             F.max(i_nn).alias(f"_{c}_li"),
             F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(idx))).alias(f"_{c}_fv"),
             F.min(i_nn).alias(f"_{c}_fi"),
         ]
+    # One ascending and one descending pass for all columns together.
+    out = df.select("*", *backs).select("*", *fwds)
     edges = df.groupBy("_pid").agg(*edge_aggs)
     # Carry tables: one row per partition.
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

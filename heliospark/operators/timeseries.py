@@ -63,20 +63,25 @@ def hourly_grid(df: DataFrame, features=BASE, key: str = KEY, ts: str = TS, mean
 
 # -- T2 / T3 ----------------------------------------------------------------
 
-def _neighbours(df: DataFrame, col: str, key: str = KEY, ts: str = TS) -> DataFrame:
-    """Previous / next non-NULL value and grid index for ``col``."""
+def _neighbours(df: DataFrame, cols: str | list[str], key: str = KEY, ts: str = TS) -> DataFrame:
+    """Previous / next non-NULL value and grid index for each of ``cols``.
+
+    All backward carries are one projection (one ascending sort) and all
+    forward carries another (one descending sort), whatever the number of
+    columns.
+    """
+    cols = [cols] if isinstance(cols, str) else list(cols)
     back = city_window(key, ts).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # "Next non-NULL" as a running frame over descending time: Spark evaluates
     # running frames incrementally (O(n)); an UNBOUNDED FOLLOWING frame would
     # be re-aggregated for every row (O(n^2) per city).
     fwd = Window.partitionBy(key).orderBy(F.col(ts).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    idx = F.when(F.col(col).isNotNull(), F.col("i"))
-    return (
-        df.withColumn(f"_{col}_pi", F.max(idx).over(back))
-        .withColumn(f"_{col}_pv", F.last(col, ignorenulls=True).over(back))
-        .withColumn(f"_{col}_ni", F.min(idx).over(fwd))
-        .withColumn(f"_{col}_nv", F.last(col, ignorenulls=True).over(fwd))
-    )
+    backs, fwds = [], []
+    for col in cols:
+        idx = F.when(F.col(col).isNotNull(), F.col("i"))
+        backs += [F.max(idx).over(back).alias(f"_{col}_pi"), F.last(col, ignorenulls=True).over(back).alias(f"_{col}_pv")]
+        fwds += [F.min(idx).over(fwd).alias(f"_{col}_ni"), F.last(col, ignorenulls=True).over(fwd).alias(f"_{col}_nv")]
+    return df.select("*", *backs).select("*", *fwds)
 
 
 def gap_runs(grid: DataFrame, col: str = "ghi", long_after: int = 3, key: str = KEY, ts: str = TS) -> DataFrame:
@@ -120,21 +125,23 @@ def impute(grid: DataFrame, cfg: ImputeConfig = ImputeConfig(), key: str = KEY,
     of the tier-2 series. Output keeps ``<f>_source`` labels per cell.
     """
     w = city_window(key, ts)
-    out = grid
-    for f in cfg.features:
-        out = _neighbours(out, f, key, ts)
-        out = out.withColumn(f"_{f}_s1", short_gap_fill(out, f, f"_{f}_s1", cfg.short_gap_max))
+    out = _neighbours(grid, list(cfg.features), key, ts)
+    out = out.select("*", *[short_gap_fill(out, f, f"_{f}_s1", cfg.short_gap_max) for f in cfg.features])
     lt = local_ts(F.col(ts))
     out = out.withColumn("_lmonth", F.month(lt)).withColumn("_lhour", F.hour(lt))
+    s2 = []
     for f in cfg.features:
         s1 = F.col(f"_{f}_s1")
         hist = mean_of_nonnull([F.lag(s1, 24 * k).over(w) for k in range(1, cfg.history_days + 1)])
-        out = out.withColumn(f"_{f}_s2", F.coalesce(s1, hist))
+        s2.append(F.coalesce(s1, hist).alias(f"_{f}_s2"))
+    out = out.select("*", *s2)
     clim_w = Window.partitionBy(key, "_lmonth", "_lhour")
+    s3 = []
     for f in cfg.features:
-        s2 = F.col(f"_{f}_s2")
-        clim = quantized_mean(F.sum(s2.cast(EXACT)).over(clim_w), F.count(s2).over(clim_w))
-        out = out.withColumn(f"_{f}_s3", F.coalesce(s2, clim))
+        v = F.col(f"_{f}_s2")
+        clim = quantized_mean(F.sum(v.cast(EXACT)).over(clim_w), F.count(v).over(clim_w))
+        s3.append(F.coalesce(v, clim).alias(f"_{f}_s3"))
+    out = out.select("*", *s3)
     night = (F.col("_lhour") >= cfg.night_start_hour) | (F.col("_lhour") <= cfg.night_end_hour)
     cols = [key, ts, "i"]
     for f in cfg.features:

@@ -287,23 +287,21 @@ def feature_pipeline(spark, sf_dir):
 
 def _corr_sql() -> str:
     parts = []
-    for a in CORR_COLS:
-        for b in CORR_COLS:
+    for i, a in enumerate(CORR_COLS):
+        for j, b in enumerate(CORR_COLS):
+            if j < i:
+                continue
             both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
-            xa = f"CAST(CASE WHEN {both} THEN {a} END AS {MOMENT})"
-            xb = f"CAST(CASE WHEN {both} THEN {b} END AS {MOMENT})"
-            wa = f"CAST(CASE WHEN {both} THEN {a} END AS {WIDE})"
-            wb = f"CAST(CASE WHEN {both} THEN {b} END AS {WIDE})"
-            parts.append(
-                f"SELECT '{a}' AS col_a, '{b}' AS col_b, count({xa}) AS n, CAST(sum({xa}) AS DOUBLE) AS sa, "
-                f"CAST(sum({xb}) AS DOUBLE) AS sb, CAST(sum({wa} * {xb}) AS DOUBLE) AS sab, "
-                f"CAST(sum({wa} * {xa}) AS DOUBLE) AS saa, CAST(sum({wb} * {xb}) AS DOUBLE) AS sbb FROM feat"
+            xa = f"CASE WHEN {both} THEN {a} END"
+            xb = f"CASE WHEN {both} THEN {b} END"
+            r = (
+                f"round(CASE WHEN stddev_pop({xa}) * stddev_pop({xb}) > 0 THEN "
+                f"covar_pop({xa}, {xb}) / (stddev_pop({xa}) * stddev_pop({xb})) END, 9)"
             )
-    return (
-        f"WITH {CTE_FEATURES}, m AS ({' UNION ALL '.join(parts)}) SELECT col_a, col_b, "
-        "CASE WHEN (n * saa - sa * sa) > 0 AND (n * sbb - sb * sb) > 0 THEN "
-        "(n * sab - sa * sb) / sqrt((n * saa - sa * sa) * (n * sbb - sb * sb)) END AS r FROM m"
-    )
+            parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, {r} AS r FROM feat")
+            if a != b:
+                parts.append(f"SELECT '{b}' AS col_a, '{a}' AS col_b, {r} AS r FROM feat")
+    return f"WITH {CTE_FEATURES} {' UNION ALL '.join(parts)}"
 
 
 @query("corr_matrix", "A19", _corr_sql(), dates=())
