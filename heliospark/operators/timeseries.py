@@ -273,9 +273,10 @@ def standardise(
 ) -> DataFrame:
     """z = (x - mean) / sigma with population sigma; sigma 0 -> 1.
 
-    The fit is one global aggregate of exact moments, attached to every row
-    as a scalar subquery (no join, nothing collected); ``fit_on`` lets
-    callers fit on the training slice only.
+    The fit is one global aggregate of exact moments (partial aggregation on
+    every partition, one small merge); its single result row -- two numbers
+    per column, computed by Spark -- is bound into the projection as
+    literals. ``fit_on`` lets callers fit on the training slice only.
     """
     cols = cols or scaled_columns(df.columns)
     if fit_on is None and checkpoint_input:
@@ -284,14 +285,16 @@ def standardise(
         # upstream window chain twice.
         df = materialize(df)
     src = fit_on if fit_on is not None else df
-    p = src.agg(F.struct(*_moments(cols)).alias("p")).scalar()
-    out = df.withColumn("_p", p)
+    moments = src.agg(*_moments(cols))
+    fitted = moments.select(
+        *[e.alias(f"{k}{i}") for i in range(len(cols)) for k, e in zip(("m", "s"), _mean_std(i))]
+    ).first()
     repl = {}
     for i, c in enumerate(cols):
-        mean, sd = _mean_std(i, "_p.")
-        denom = F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd)
-        repl[c] = ((F.col(c) - mean) / denom).alias(c)
-    return out.select(*[repl.get(c, F.col(c)) for c in df.columns])
+        mean, sd = fitted[f"m{i}"], fitted[f"s{i}"]
+        denom = 1.0 if sd is None or sd == 0 else sd
+        repl[c] = ((F.col(c) - F.lit(mean).cast("double")) / F.lit(denom)).alias(c)
+    return df.select(*[repl.get(c, F.col(c)) for c in df.columns])
 
 
 # -- T16, T17 ---------------------------------------------------------------
