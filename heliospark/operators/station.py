@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from ..config import STATION_GHI_LAGS, STATION_NUMERIC
 from ..functions.calendar import station_calendar_columns
-from ..functions.numeric import EXACT, MOMENT, quantize, quantized_mean
+from ..functions.numeric import EXACT, quantize, quantized_mean
+from .timeseries import _finish_mean, _finish_std, _frame_moments
 from .clean import require_columns
 from .global_order import interpolate_both, with_global_index, with_halo
 
@@ -42,18 +43,6 @@ def consolidate(df: DataFrame) -> DataFrame:
     return df.groupBy("timestamp").agg(*aggs)
 
 
-def _mean(c, w):
-    return quantized_mean(F.sum(F.col(c).cast(EXACT)).over(w), F.count(c).over(w))
-
-
-def _std(c, w):
-    x = F.col(c).cast(MOMENT)
-    n = F.count(c).over(w)
-    sx = F.sum(x).over(w).cast("double")
-    sxx = F.sum(x * x).over(w).cast("double")
-    return F.when(n >= 2, quantize(F.sqrt(F.greatest((sxx - sx * sx / n) / (n - 1), F.lit(0.0)))))
-
-
 def station_features(st: DataFrame) -> DataFrame:
     """B6 -> T12 -> T13 -> B9 -> T14 -> B27 on a harmonised station frame."""
     require_columns(st, ["timestamp", "ghi", "temperature", "source_file", "_row"])
@@ -63,17 +52,20 @@ def station_features(st: DataFrame) -> DataFrame:
     halo = with_halo(idx, back=max(STATION_GHI_LAGS), ahead=1)
     w = Window.partitionBy("_pid").orderBy("gidx")
     w3 = w.rowsBetween(-3, -1)
-    feats = halo.select(
+    base = halo.select(
         "_own",
         "timestamp",
         *present,
         *station_calendar_columns("timestamp"),
         *[F.lag("ghi", k).over(w).alias(f"ghi_lag_{k}") for k in STATION_GHI_LAGS],
         F.lag("temperature", 1).over(w).alias("temp_lag_1"),
-        _mean("ghi", w3).alias("ghi_rolling_mean_3h"),
-        _std("ghi", w3).alias("ghi_rolling_std_3h"),
         F.lead("ghi", 1).over(w).alias("target_ghi_next_1h"),
         F.lead("temperature", 1).over(w).alias("target_temperature_next_1h"),
+        *_frame_moments("ghi", w3, "g3", second=True),
+    )
+    keep = [c for c in base.columns if not c.startswith("_g3_")]
+    feats = base.select(
+        *keep, _finish_mean("g3").alias("ghi_rolling_mean_3h"), _finish_std("g3").alias("ghi_rolling_std_3h")
     )
     own = feats.filter(F.col("_own")).drop("_own").dropna(subset=TARGETS)
     # Remaining feature NULLs -> 0 (lags at the head of the series).

@@ -175,12 +175,8 @@ def impute(
     if shard_hours:
         out = out.filter(F.col("_own")).drop("_own", "_blk")
     clim_w = Window.partitionBy(key, "_lmonth", "_lhour")
-    s3 = []
-    for f in cfg.features:
-        v = F.col(f"_{f}_s2")
-        clim = quantized_mean(F.sum(v.cast(EXACT)).over(clim_w), F.count(v).over(clim_w))
-        s3.append(F.coalesce(v, clim).alias(f"_{f}_s3"))
-    out = out.select("*", *s3)
+    out = out.select("*", *[m for f in cfg.features for m in _frame_moments(f"_{f}_s2", clim_w, f"c{f}")])
+    out = out.select("*", *[F.coalesce(F.col(f"_{f}_s2"), _finish_mean(f"c{f}")).alias(f"_{f}_s3") for f in cfg.features])
     night = (F.col("_lhour") >= cfg.night_start_hour) | (F.col("_lhour") <= cfg.night_end_hour)
     cols = [key, ts, "i"]
     for f in cfg.features:
@@ -229,36 +225,54 @@ def with_lags(df: DataFrame, features=BASE, lags=LAG_HOURS, key: str = KEY, ts:
     return df.select("*", *[F.lag(f, k).over(w).alias(f"{f}_lag_{k}") for f in features for k in lags])
 
 
-def _window_mean(c: str, w) -> Column:
+def _frame_moments(c: str, w, tag: str, second: bool = False) -> list[Column]:
+    """Exact frame count / sum (/ sum of squares) of ``c`` as columns.
+
+    Each window aggregate is computed once; the mean and sigma expressions
+    then read these columns (referencing a window expression several times
+    would make Spark evaluate it several times).
+    """
+    out = [F.count(c).over(w).alias(f"_{tag}_n"), F.sum(F.col(c).cast(EXACT)).over(w).alias(f"_{tag}_s")]
+    if second:
+        x = F.col(c).cast(MOMENT)
+        out += [F.sum(x).over(w).alias(f"_{tag}_m"), F.sum(x * x).over(w).alias(f"_{tag}_mm")]
+    return out
+
+
+def _finish_mean(tag: str) -> Column:
     """Frame mean, exact and rounded HALF_UP at 1e-6."""
-    return quantized_mean(F.sum(F.col(c).cast(EXACT)).over(w), F.count(c).over(w))
+    return quantized_mean(F.col(f"_{tag}_s"), F.col(f"_{tag}_n"))
 
 
-def _window_std(c: str, w) -> Column:
+def _finish_std(tag: str) -> Column:
     """Sample sigma from exact DECIMAL moments (>= 2 values, else NULL)."""
-    x = F.col(c).cast(MOMENT)
-    n = F.count(c).over(w)
-    sx = F.sum(x).over(w).cast("double")
-    sxx = F.sum(x * x).over(w).cast("double")
+    n = F.col(f"_{tag}_n")
+    sx = F.col(f"_{tag}_m").cast("double")
+    sxx = F.col(f"_{tag}_mm").cast("double")
     var = (sxx - sx * sx / n) / (n - 1)
     return F.when(n >= 2, quantize(F.sqrt(F.greatest(var, F.lit(0.0)))))
 
 
+def _rolling_select(df: DataFrame, w) -> DataFrame:
+    """T8 columns on ``df`` for window spec ``w`` (frames end at t-1)."""
+    w3 = w.rowsBetween(-3, -1)
+    w6 = w.rowsBetween(-6, -1)
+    tmp = df.select("*", *_frame_moments("ghi", w3, "g3", second=True), *_frame_moments("temp", w6, "t6"))
+    return tmp.select(
+        *df.columns,
+        _finish_mean("g3").alias("ghi_rolling_mean_3h"),
+        _finish_std("g3").alias("ghi_rolling_std_3h"),
+        _finish_mean("t6").alias("temp_rolling_mean_6h"),
+    )
+
+
 def with_rolling(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
     """Leakage-safe rolling statistics ending at t-1.
 
     Frame sums are exact DECIMAL sums, so the result does not depend on the
     order in which an engine folds the frame.
     """
-    w = city_window(key, ts)
-    w3 = w.rowsBetween(-3, -1)
-    w6 = w.rowsBetween(-6, -1)
-    return df.select(
-        "*",
-        _window_mean("ghi", w3).alias("ghi_rolling_mean_3h"),
-        _window_std("ghi", w3).alias("ghi_rolling_std_3h"),
-        _window_mean("temp", w6).alias("temp_rolling_mean_6h"),
-    )
+    return _rolling_select(df, city_window(key, ts))
 
 
 def with_targets(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
@@ -280,17 +294,15 @@ def with_features(df: DataFrame, key: str = KEY, ts: str = TS, shard_hours: int
         src = shard_blocks(src, shard_hours, max(LAG_HOURS), 1)
         keys = [key, "_blk"]
     w = city_window(keys, ts)
-    w3 = w.rowsBetween(-3, -1)
-    w6 = w.rowsBetween(-6, -1)
-    out = src.select(
+    lagged = src.select(
         "*",
         *[F.lag(f, k).over(w).alias(f"{f}_lag_{k}") for f in BASE for k in LAG_HOURS],
-        _window_mean("ghi", w3).alias("ghi_rolling_mean_3h"),
-        _window_std("ghi", w3).alias("ghi_rolling_std_3h"),
-        _window_mean("temp", w6).alias("temp_rolling_mean_6h"),
         F.lead("ghi", 1).over(w).alias("target_ghi_next_1h"),
         F.lead("temp", 1).over(w).alias("target_temp_next_1h"),
     )
+    out = _rolling_select(lagged, w)
+    order = [c for c in out.columns if not c.startswith("target_")] + ["target_ghi_next_1h", "target_temp_next_1h"]
+    out = out.select(*order)
     if shard_hours:
         out = out.filter(F.col("_own")).drop("_own", "_blk")
     return out.dropna(subset=["target_ghi_next_1h", "target_temp_next_1h"])
