@@ -339,15 +339,21 @@ def cooling_banner(series: DataFrame) -> DataFrame:
     )
 
 
-def _first_argmax(value: str, hour: str = "hour") -> Column:
-    """Hour of the maximum, earliest hour on ties."""
-    return F.min_by(F.col(hour), F.struct(-F.col(value), F.col(hour)))
+def _first_argmax(value: str, digits: int, hour: str = "hour") -> Column:
+    """Hour of the maximum, earliest hour on ties, as a hash-aggregatable min.
+
+    ``value`` has at most ``digits`` decimals, so (-value, hour) packs exactly
+    into one BIGINT: min(-round(value * 10^d) * 32 + hour) -> pmod(., 32).
+    (``min_by`` with a struct ordering would fall back to sort aggregation.)
+    """
+    key = -F.round(F.col(value) * F.lit(10**digits)).cast("bigint") * 32 + F.col(hour).cast("bigint")
+    return F.pmod(F.min(key), F.lit(32))
 
 
 def thermal_inertia(series: DataFrame) -> DataFrame:
     """Hours from solar peak to load peak, mod 24 (first max wins)."""
     agg = series.groupBy(KEY, "date").agg(
-        _first_argmax("load_kw").alias("load_peak_hour"), _first_argmax("solar_kw").alias("solar_peak_hour")
+        _first_argmax("load_kw", 3).alias("load_peak_hour"), _first_argmax("solar_kw", 3).alias("solar_peak_hour")
     )
     return agg.select(
         KEY,
@@ -363,7 +369,7 @@ def thermal_inertia(series: DataFrame) -> DataFrame:
 def peak_hour(hourly: DataFrame) -> DataFrame:
     """Arg-max GHI per city-day, earliest hour on ties."""
     h = hourly.select(KEY, _date().alias("date"), F.hour("ts").alias("hour"), round_exact("ghi", 2).alias("ghi"))
-    agg = h.groupBy(KEY, "date").agg(_first_argmax("ghi").alias("peak_hour"), F.max("ghi").alias("peak_ghi"))
+    agg = h.groupBy(KEY, "date").agg(_first_argmax("ghi", 2).alias("peak_hour"), F.max("ghi").alias("peak_ghi"))
     return agg.select(
         KEY, "date", F.col("peak_hour").cast("bigint").alias("peak_hour"), "peak_ghi", D.hour_label("peak_hour").alias(
             "peak_label"
