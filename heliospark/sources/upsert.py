@@ -20,18 +20,19 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], seq: str | None
     latest delivery wins deterministically).
     """
     cols = [c for c in target.columns]
-    seq_col = F.col(seq) if seq else F.lit(0)
-    t = target.select(*cols, F.lit(0).alias("_rank"), F.lit(0).cast("long").alias("_seq"))
-    b = batch.select(*cols, F.lit(1).alias("_rank"), seq_col.cast("long").alias("_seq"))
+    seq_col = F.col(seq).cast("long") if seq else F.lit(0).cast("long")
+    # Source rank in the high bits, delivery sequence in the low 40: one
+    # BIGINT ordering, so each max_by keeps a fixed-width buffer and the merge
+    # stays a hash aggregate (a struct value would force sort aggregation).
+    t = target.select(*cols, (F.lit(0).cast("long") * (1 << 40)).alias("_ord"))
+    b = batch.select(*cols, (F.lit(1).cast("long") * (1 << 40) + seq_col).alias("_ord"))
     u = t.unionByName(b)
     vals = [c for c in cols if c not in keys]
-    merged = u.groupBy(*keys).agg(
-        F.max_by(F.struct(*vals, F.col("_rank")), F.struct("_rank", "_seq")).alias("_row")
-    )
+    merged = u.groupBy(*keys).agg(*[F.max_by(c, "_ord").alias(c) for c in vals], F.max("_ord").alias("_ord"))
     return merged.select(
         *keys,
-        *[F.col(f"_row.{c}").alias(c) for c in vals],
-        F.when(F.col("_row._rank") == 1, F.lit("batch")).otherwise(F.lit("target")).alias("origin"),
+        *vals,
+        F.when(F.col("_ord") >= (1 << 40), F.lit("batch")).otherwise(F.lit("target")).alias("origin"),
     )
 
 

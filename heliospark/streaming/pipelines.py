@@ -79,12 +79,15 @@ def hourly_means_stream(readings: DataFrame, watermark: str = "2 hours", name: s
 
 
 def settle(versions: DataFrame, keys: list[str], seq: str | None = None) -> DataFrame:
-    """Merge-on-read: the latest (batch id, sequence) row per key."""
+    """Merge-on-read: the latest (batch id, sequence) row per key.
+
+    Batch id and sequence are packed into one BIGINT ordering so every
+    column is a fixed-width ``max_by`` and the merge is a hash aggregate.
+    """
     vals = [c for c in versions.columns if c not in keys and c not in ("_batch", seq)]
-    order = F.struct(F.col("_batch"), F.col(seq) if seq else F.lit(0))
-    return versions.groupBy(*keys).agg(F.max_by(F.struct(*vals), order).alias("_r")).select(
-        *keys, *[F.col(f"_r.{c}").alias(c) for c in vals]
-    )
+    order = F.col("_batch").cast("long") * (1 << 24) + (F.col(seq).cast("long") if seq else F.lit(0).cast("long"))
+    v = versions.withColumn("_ord", order)
+    return v.groupBy(*keys).agg(*[F.max_by(c, "_ord").alias(c) for c in vals])
 
 
 def upsert_stream(deliveries: DataFrame, keys: list[str], seq: str, name: str = "upsert") -> DataFrame:
