@@ -378,16 +378,21 @@ def peak_hour(hourly: DataFrame) -> DataFrame:
 
 
 def live_status(series: DataFrame, now_hour: int) -> DataFrame:
-    """Status at ``now_hour`` of each city-day, else of its first row."""
-    pick = F.struct(F.when(F.col("hour") == now_hour, 0).otherwise(1), F.col("hour"))
-    agg = series.groupBy(KEY, "date").agg(
-        F.min_by(F.struct("hour", "load_kw", "solar_kw"), pick).alias("_r")
+    """Status at ``now_hour`` of each city-day, else of its first row.
+
+    The pick order (not-now flag, hour) is packed into one BIGINT so the
+    aggregation stays hash-based.
+    """
+    pick = F.when(F.col("hour") == now_hour, 0).otherwise(1).cast("bigint") * 32 + F.col("hour").cast("bigint")
+    src = series.withColumn("_pick", pick)
+    agg = src.groupBy(KEY, "date").agg(
+        F.min("_pick").alias("_p"), F.min_by("load_kw", "_pick").alias("_load"), F.min_by("solar_kw", "_pick").alias("_solar")
     )
     return agg.select(
         KEY,
         "date",
-        F.col("_r.hour").alias("status_hour"),
-        D.live_status(F.col("_r.load_kw"), F.col("_r.solar_kw")).alias("status"),
+        F.pmod(F.col("_p"), F.lit(32)).cast("bigint").alias("status_hour"),
+        D.live_status(F.col("_load"), F.col("_solar")).alias("status"),
     )
 
 
