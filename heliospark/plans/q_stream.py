@@ -39,7 +39,7 @@ def _events_stream(spark, sf_dir):
 )
 def stream_hourly_mean(spark, sf_dir):
     """Events as a file stream -> watermarked tumbling hour mean per city."""
-    return P.hourly_means_stream(_events_stream(spark, sf_dir), "2 hours", "stream-hourly")
+    return P.hourly_means_stream(_events_stream(spark, sf_dir), 2, "stream-hourly")
 
 
 @query(

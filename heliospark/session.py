@@ -50,6 +50,23 @@ def build_session(
     return spark
 
 
+def recommended_shuffle_partitions(input_bytes: int, target_bytes: int = 256 << 20, cores: int = 8) -> int:
+    """Shuffle partitions for an input of ``input_bytes``: about one
+    ``target_bytes`` partition of shuffled data each, never fewer than the
+    cores. (AQE then coalesces small partitions and splits skewed ones.)"""
+    return max(cores, -(-input_bytes // target_bytes))
+
+
+def cluster_conf(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings to pass when submitting to a cluster for a given input size."""
+    return {
+        "spark.sql.shuffle.partitions": str(recommended_shuffle_partitions(input_bytes, cores=cores)),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)

@@ -2,9 +2,10 @@
 
 * ST1 ``file_stream``: a file-source stream over landed parquet / JSON.
 * ST3 ``hourly_means_stream``: event-time tumbling hour per city with a
-  watermark (late rows beyond it are dropped by the engine); ``update``
-  output through ``foreachBatch`` into a merge-on-read table keyed by
-  (city, hour) and versioned by batch id.
+  watermark bounding the state; ``update`` output through ``foreachBatch``
+  into a merge-on-read table keyed by (city, hour) and versioned by batch
+  id, which also enforces the lateness bound (updates to windows that
+  closed before the batch are discarded).
 * ST2 ``upsert_stream``: every micro-batch is appended with its batch id;
   the table is read back with the S5 rule (latest batch, then the producer's
   delivery sequence, wins per key). Replayed batches write the same batch id,
@@ -54,27 +55,66 @@ def run_available_now(query_builder, checkpoint: str):
     return q
 
 
-def hourly_means_stream(readings: DataFrame, watermark: str = "2 hours", name: str = "hourly") -> DataFrame:
-    """ST3: streaming hourly mean per city; returns the settled result table."""
+def _close_late_windows(sink: str, progress: str, lateness_hours: int):
+    """foreachBatch writer for windowed aggregates with a strict lateness bound.
+
+    Spark's watermark evicts window state but does not refuse late rows: a
+    row older than the watermark re-creates its (already emitted) window and
+    would be emitted again as a partial value. Here the watermark in force
+    before batch ``b`` is rebuilt from a progress table (one row per batch:
+    the largest event time seen) and every update to a window that had
+    already closed is discarded, so the earlier complete value stands.
+    """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        seen = spark.read.parquet(progress).filter(F.col("batch") < batch_id).agg(F.max("max_ts")).first()[0]
+        out = df
+        if seen is not None:
+            wm = F.timestamp_add("HOUR", F.lit(-lateness_hours), F.lit(seen))
+            out = df.filter(F.col("window_end") > wm)
+        out.drop("max_ts", "window_end").withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode(
+            "append"
+        ).parquet(sink)
+        df.agg(F.max("max_ts").alias("max_ts")).select(F.lit(batch_id).cast("bigint").alias("batch"), "max_ts").write.mode(
+            "append"
+        ).parquet(progress)
+
+    return write
+
+
+def hourly_means_stream(readings: DataFrame, lateness_hours: int = 2, name: str = "hourly") -> DataFrame:
+    """ST3: streaming hourly mean per city with a lateness bound of
+    ``lateness_hours``; returns the settled result table.
+
+    ``withWatermark`` bounds the aggregation state; the sink discards updates
+    to windows that closed before the batch (see ``_close_late_windows``).
+    """
     spark = readings.sparkSession
     sink, ckpt = shared_path(spark, f"{name}-sink"), shared_path(spark, f"{name}-ckpt")
+    progress = sink + "-progress"
+    spark.createDataFrame([], "batch bigint, max_ts timestamp").write.mode("overwrite").parquet(progress)
     agg = (
-        readings.withWatermark("ts", watermark)
+        readings.withWatermark("ts", f"{lateness_hours} hours")
         .groupBy("city", F.window("ts", "1 hour").alias("w"))
         .agg(
             exact_sum("ghi").alias("_sg"),
             F.count("ghi").alias("_ng"),
             exact_sum("temp").alias("_st"),
             F.count("temp").alias("_nt"),
+            F.max("ts").alias("max_ts"),
         )
         .select(
             "city",
             F.col("w.start").alias("ts"),
+            F.col("w.end").alias("window_end"),
+            "max_ts",
             F.when(F.col("_ng") > 0, F.col("_sg").cast("double") / F.col("_ng")).alias("ghi"),
             F.when(F.col("_nt") > 0, F.col("_st").cast("double") / F.col("_nt")).alias("temp"),
         )
     )
-    run_available_now(agg.writeStream.outputMode("update").foreachBatch(_append_with_batch_id(sink)), ckpt)
+    writer = _close_late_windows(sink, progress, lateness_hours)
+    run_available_now(agg.writeStream.outputMode("update").foreachBatch(writer), ckpt)
     return settle(spark.read.parquet(sink), ["city", "ts"])
 
 
