@@ -26,10 +26,6 @@ def exact_sum(c: str | Column) -> Column:
     return F.sum(col_(c).cast(EXACT))
 
 
-def exact_sum_double(c: str | Column) -> Column:
-    return exact_sum(c).cast("double")
-
-
 def exact_avg(c: str | Column) -> Column:
     """Mean ignoring NULLs: exact sum converted to double, then one division."""
     x = col_(c)
@@ -67,28 +63,6 @@ def quantize(x: Column, digits: int = 6) -> Column:
     return F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
-def round_dec(value: Column, digits: int) -> Column:
-    """HALF_UP rounding in DECIMAL, returned as DOUBLE."""
-    return F.round(value, digits).cast("double")
-
-
-def null_if_nan(c: str | Column) -> Column:
-    x = col_(c)
-    return F.when(~F.isnan(x), x)
-
-
-def pearson_r(x: str | Column, y: str | Column, zero_variance: Column | None = None) -> Column:
-    """Population-moment Pearson r that never divides by zero (ANSI-safe).
-
-    ``corr`` raises DIVIDE_BY_ZERO under ANSI mode on zero variance; this
-    returns ``zero_variance`` (NULL by default) instead.
-    """
-    cov = F.covar_pop(col_(x), col_(y))
-    den = F.stddev_pop(col_(x)) * F.stddev_pop(col_(y))
-    r = F.when(den > 0, cov / den)
-    return r if zero_variance is None else F.coalesce(r, zero_variance)
-
-
 def mean_of_nonnull(cols: list[Column]) -> Column:
     """Row-wise mean of the non-NULL entries of ``cols`` (NULL if none)."""
     total = None

@@ -69,8 +69,3 @@ def select_for_target(df: DataFrame, mode: str, target_cols: dict[str, str], exc
     excluded = set(exclude) | set(target_cols.values())
     feats = [c for c, t in df.dtypes if c not in excluded and t in ("double", "float", "int", "bigint")]
     return feats, target_cols[mode]
-
-
-def nan_to_null(c: str | Column) -> Column:
-    x = F.col(c) if isinstance(c, str) else c
-    return F.when(~F.isnan(x), x)

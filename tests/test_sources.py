@@ -169,3 +169,19 @@ def test_sequences_need_enough_rows(spark):
         TS.sequences(df, ["ghi"], "ghi", 24)
     ok = TS.sequences(df, ["ghi"], "ghi", 2).collect()
     assert len(ok) == 3 and all(len(r["sequence"]) == 2 for r in ok)
+
+
+def test_coercion_zero_fill_historic_window_and_missing_keys(spark):
+    from heliospark.sources import ingest as I
+
+    df = spark.createDataFrame([("1.5", 2.0), ("bad", float("nan"))], "a string, b double")
+    out = C.coerce_numeric(df, ["a", "b"]).collect()
+    assert out[0]["a"] == 1.5 and out[1]["a"] is None and out[1]["b"] is None
+    z = C.zero_fill(spark.createDataFrame([(1.0, None), (None, 2.0)], "t double, x double"), ["t"]).collect()
+    assert len(z) == 1 and z[0]["x"] == 0.0
+    lo, hi = I.historic_window("2025-06-10")
+    row = spark.range(1).select(lo.alias("lo"), hi.alias("hi")).first()
+    assert (row["lo"], row["hi"]) == (dt.date(2024, 6, 10), dt.date(2025, 6, 8))
+    exp = spark.createDataFrame([("a",), ("b",)], "city string")
+    got = I.missing_keys(exp, spark.createDataFrame([("a",)], "city string")).collect()
+    assert [r["city"] for r in got] == ["b"]
