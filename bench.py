@@ -39,7 +39,7 @@ HEADLINE = [
     "ghi_histogram",
     "gap_runs",
     "impute_tiers",
-    "feature_pipeline",
+    "feature_matrix",
     "corr_matrix",
     "sequence_digest",
     "backtest_daily",

@@ -84,7 +84,7 @@ SEASON_REPRESENTATIVE_MONTH_DAY: dict[str, tuple[int, int]] = {
     "Spring": (4, 15),
 }
 
-# Lags (rows) used by the hourly feature pipeline.
+# Lags (rows) used by the hourly feature matrix.
 LAG_HOURS: tuple[int, ...] = (1, 2, 3, 24, 48)
 # Lags used by the station feature frame.
 STATION_GHI_LAGS: tuple[int, ...] = (1, 2, 3, 24)

@@ -37,7 +37,7 @@ def chronological_split(df: DataFrame, order_cols: list[str], train_fraction: fl
     )
 
 
-def boosted_tree_pipeline(features: list[str], label: str, params: BoostedTreeParams) -> Pipeline:
+def boosted_tree_estimator(features: list[str], label: str, params: BoostedTreeParams) -> Pipeline:
     """M2: assembler + gradient-boosted regression trees."""
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(
@@ -81,7 +81,7 @@ def train_and_evaluate(
     parts = max(1, min(parallelism, -(-n_train // ROWS_PER_PARTITION)))
     train = cached.repartition(parts)
     test = split.filter(F.col("split") == "test")
-    model = boosted_tree_pipeline(features, label, params).fit(train)
+    model = boosted_tree_estimator(features, label, params).fit(train)
     scored = score(model, test, label)
     metrics = A.regression_metrics(
         scored.select(F.col(label).alias("actual"), F.col("prediction").alias("predicted")).withColumn(

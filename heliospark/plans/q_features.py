@@ -1,4 +1,4 @@
-"""Feature-pipeline plans.
+"""Feature-matrix plans.
 
 Input is the sparse per-site view (F2) on its hourly grid: every tier of the
 imputation is exercised there (short gaps, same-hour history, climatology).
@@ -282,12 +282,12 @@ def scaled_features(spark, sf_dir):
 
 
 @query(
-    "feature_pipeline",
+    "feature_matrix",
     "T11 B1 T1 T6 B8 T7 T8 T9 T10",
     f"WITH {CTE_PARAMS} SELECT {_scaled_select()} FROM feat, mom",
     dates=(),
 )
-def feature_pipeline(spark, sf_dir):
+def feature_matrix_plan(spark, sf_dir):
     return _round_cyc(feature_matrix(spark, sf_dir))
 
 
@@ -398,5 +398,5 @@ def feature_roundtrip(spark, sf_dir):
     from ..sources.tables import read_features, write_features
 
     path = shared_path(spark, "features")
-    write_features(I.stable_recent_split(feature_pipeline.__wrapped__(spark, sf_dir), AS_OF_TS, 2), path)
+    write_features(I.stable_recent_split(feature_matrix_plan.__wrapped__(spark, sf_dir), AS_OF_TS, 2), path)
     return read_features(spark, path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import CoolingConfig
 from ..sources import fixtures as FX
-from ..streaming import pipelines as P
+from ..streaming import jobs as P
 from ..session import shared_path
 from . import sqltext as S
 from .catalog import query

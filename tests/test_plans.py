@@ -32,7 +32,7 @@ def test_no_single_partition_window_over_data(spark):
     # per-range-partition edge tables (one row per partition).
     # (Keyless aggregates still merge their partial rows in one partition.)
     unpartitioned = re.compile(r"Window \[.*\], \[\], \[")
-    for name in ("impute_tiers", "feature_pipeline", "daily_decision_summary", "kpi_row", "upsert_merge", "lags"):
+    for name in ("impute_tiers", "feature_matrix", "daily_decision_summary", "kpi_row", "upsert_merge", "lags"):
         plan = _plan(catalog.QUERIES[name](spark, SMALL))
         bad = [ln for ln in plan.splitlines() if unpartitioned.search(ln)]
         assert not bad, (name, bad)

@@ -8,7 +8,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from heliospark.streaming import pipelines as P
+from heliospark.streaming import jobs as P
 
 SCHEMA = "city string, ts timestamp, ghi double, temp double"
 
