@@ -6,16 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii
+from . import bpe, packing, pii
 from .common import read
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.round_trip_report(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data_report(read(spark, sf_dir, "documents"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.packed_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_byte_bpe": op2_byte_bpe,
     "op8_personal_data": op8_personal_data,
+    "op9_packing": op9_packing,
 }
 # No operator here is expressible in DuckDB SQL within reach; each is tested
 # against brute force, a round trip or held-out accuracy in tests/llm.
