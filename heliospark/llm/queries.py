@@ -6,16 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, pii
+from . import bpe, htmlcut, packing, pii, toxicity
 from .common import read
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return bpe.round_trip_report(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmlcut.page_texts(read(spark, sf_dir, "pages"))
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data_report(read(spark, sf_dir, "documents"))
 
@@ -27,7 +35,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_byte_bpe": op2_byte_bpe,
+    "op7_html_text": op7_html_text,
     "op8_personal_data": op8_personal_data,
     "op9_packing": op9_packing,
 }
