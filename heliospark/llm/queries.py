@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, htmlcut, packing, pii, toxicity
+from . import bpe, htmlcut, packing, pii, secret_scan, toxicity
 from .common import read
 
 
@@ -34,12 +34,17 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_findings(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_byte_bpe": op2_byte_bpe,
     "op7_html_text": op7_html_text,
     "op8_personal_data": op8_personal_data,
     "op9_packing": op9_packing,
+    "op10_secret_scan": op10_secret_scan,
 }
 # No operator here is expressible in DuckDB SQL within reach; each is tested
 # against brute force, a round trip or held-out accuracy in tests/llm.
