@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, htmlcut, packing, pii, secret_scan, toxicity
+from . import bpe, fingerprint, htmlcut, packing, pii, secret_scan, toxicity
 from .common import read
 
 
@@ -20,6 +20,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_report(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_report(read(spark, sf_dir, "documents"))
+
+
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmlcut.page_texts(read(spark, sf_dir, "pages"))
 
@@ -41,6 +45,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_fingerprint": op3_fingerprint,
     "op7_html_text": op7_html_text,
     "op8_personal_data": op8_personal_data,
     "op9_packing": op9_packing,
