@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, hnsw, htmlcut, packing, pii, secret_scan, toxicity
+from . import bpe, fingerprint, hnsw, htmlcut, minhash, packing, pii, secret_scan, toxicity
 from .common import read
 
 
@@ -24,6 +24,10 @@ def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_report(read(spark, sf_dir, "documents"))
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes_report(read(spark, sf_dir, "documents"))
+
+
 def op6_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.near_duplicates(read(spark, sf_dir, "embeddings"))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_fingerprint": op3_fingerprint,
+    "op4_minhash": op4_minhash,
     "op6_embedding_links": op6_embedding_links,
     "op7_html_text": op7_html_text,
     "op8_personal_data": op8_personal_data,
