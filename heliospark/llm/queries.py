@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, hnsw, htmlcut, minhash, packing, pii, secret_scan, toxicity
+from . import bpe, fingerprint, hnsw, htmlcut, minhash, packing, pii, secret_scan, suffix, toxicity
 from .common import read
 
 
@@ -28,6 +28,10 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes_report(read(spark, sf_dir, "documents"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeats_report(read(spark, sf_dir, "documents"))
+
+
 def op6_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.near_duplicates(read(spark, sf_dir, "embeddings"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_fingerprint": op3_fingerprint,
     "op4_minhash": op4_minhash,
+    "op5_repeats": op5_repeats,
     "op6_embedding_links": op6_embedding_links,
     "op7_html_text": op7_html_text,
     "op8_personal_data": op8_personal_data,
