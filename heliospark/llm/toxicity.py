@@ -297,12 +297,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     return Model(counts, {f: float(w[i]) for f, i in index.items()}, b)
 
 
-def score(df: DataFrame, model: Model, restored: bool = False, text_column: str = "text") -> DataFrame:
+def score(df: DataFrame, model: Model, restored: bool = False, keep_text: bool = True, text_column: str = "text") -> DataFrame:
     """Add ``score`` and, if asked, ``restored``, the deobfuscated lower-case
-    text; the text column itself stays only if ``restored`` is asked for."""
+    text. Other columns pass through, the text if ``keep_text``."""
     from pyspark.sql import types as T
 
-    keep = [c for c in df.columns if c not in ("score", "restored") and (restored or c != text_column)]
+    keep = [c for c in df.columns if c not in ("score", "restored") and (keep_text or c != text_column)]
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField("score", T.DoubleType(), False)] + [T.StructField("restored", T.StringType(), False)] * restored)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,7 +315,12 @@ def score(df: DataFrame, model: Model, restored: bool = False, text_column: str
     return df.select(*keep, F.col(text_column).alias("_scored_text")).mapInArrow(run, schema)
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``least``."""
+    return score(docs, fit(docs, labels)).where(F.col("score") < least).select(*docs.columns)
+
+
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
-    scored = score(docs.select("doc_id", "text"), fit(docs, labels))
+    scored = score(docs.select("doc_id", "text"), fit(docs, labels), keep_text=False)
     return scored.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
