@@ -21,14 +21,19 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def no_nan(c: str | Column) -> Column:
+    """A double with NaN, the missing value of some producers, read as NULL."""
+    return F.nanvl(col_(c).cast("double"), F.lit(None).cast("double"))
+
+
 def exact_sum(c: str | Column) -> Column:
-    """DECIMAL sum (exact, order-independent); NULL when all inputs are NULL."""
-    return F.sum(col_(c).cast(EXACT))
+    """DECIMAL sum (exact, order-independent); NULL when all inputs are NULL or NaN."""
+    return F.sum(no_nan(c).cast(EXACT))
 
 
 def exact_avg(c: str | Column) -> Column:
-    """Mean ignoring NULLs: exact sum converted to double, then one division."""
-    x = col_(c)
+    """Mean ignoring NULL and NaN: exact sum converted to double, then one division."""
+    x = no_nan(c)
     n = F.count(x)
     return F.when(n > 0, exact_sum(x).cast("double") / n)
 

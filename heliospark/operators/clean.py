@@ -17,15 +17,15 @@ def require_columns(df: DataFrame, cols) -> DataFrame:
 
 
 def parse_utc_strict(df: DataFrame, col: str = "ts") -> DataFrame:
-    """B2: parse ``col`` as UTC; any unparseable value fails the job.
+    """B2: parse ``col`` as UTC; any missing or unparseable value fails the job.
 
-    The check is a per-row ``raise_error`` inside the projection, so it runs
+    The check is a filter, which no later projection or count prunes; it runs
     on the executors as part of the same scan (no extra pass, no collect).
     """
     raw = F.col(col)
     parsed = raw.cast("timestamp") if dict(df.dtypes)[col].startswith("timestamp") else parse_wall_time(raw)
-    checked = F.when(raw.isNotNull() & parsed.isNull(), F.raise_error(F.concat(F.lit("Unable to parse timestamp: "), raw.cast("string")))).otherwise(parsed)
-    return df.withColumn(col, checked)
+    failure = F.raise_error(F.concat(F.lit("Unable to parse timestamp: "), F.coalesce(raw.cast("string"), F.lit("NULL"))))
+    return df.filter(F.when(parsed.isNull(), failure.cast("boolean")).otherwise(True)).withColumn(col, parsed)
 
 
 def coerce_numeric(df: DataFrame, cols) -> DataFrame:

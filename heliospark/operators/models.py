@@ -19,8 +19,6 @@ from ..config import BoostedTreeParams
 from . import analytics as A
 from .global_order import with_global_index
 
-ROWS_PER_PARTITION = 100_000
-
 
 def chronological_split(df: DataFrame, order_cols: list[str], train_fraction: float = 0.8) -> DataFrame:
     """M1: the first int(fraction * n) rows in global order are ``train``.
@@ -71,15 +69,10 @@ def train_and_evaluate(
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """M6 for one target: M1 -> M2 -> M3 -> A22. Returns (model, scored test, metrics)."""
     split = df.filter(F.col(label).isNotNull())
-    # Boosting runs several distributed passes per tree, so task count is paid
-    # on every pass: size partitions by rows (~ROWS_PER_PARTITION each, at most
-    # one per core) instead of inheriting the SQL shuffle count, and keep the
-    # rows in memory / disk for the whole fit.
-    cached = split.filter(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
-    n_train = cached.count()
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, min(parallelism, -(-n_train // ROWS_PER_PARTITION)))
-    train = cached.repartition(parts)
+    # Boosting runs several distributed passes per tree: keep the rows in memory
+    # or on disk for the whole fit, in the input's own partitions.
+    train = split.filter(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
+    n_train = train.count()
     test = split.filter(F.col("split") == "test")
     model = boosted_tree_estimator(features, label, params).fit(train)
     scored = score(model, test, label)
@@ -89,7 +82,7 @@ def train_and_evaluate(
         ),
         ["model_name"],
     )
-    cached.unpersist()
+    train.unpersist()
     return model, scored, metrics.withColumn("n_train", F.lit(n_train).cast("bigint"))
 
 

@@ -47,19 +47,21 @@ def hourly_grid(df: DataFrame, features=BASE, key: str = KEY, ts: str = TS, mean
     gap arithmetic use plain subtraction instead of extra windows.
     """
     h = means if means is not None else hourly_means(df, features, key, ts)
-    bounds = h.groupBy(key).agg(F.min(ts).alias("_t0"), F.max(ts).alias("_t1"))
-    spine = bounds.select(
-        key,
-        "_t0",
-        F.explode(F.sequence(F.col("_t0"), F.col("_t1"), F.expr("INTERVAL 1 HOUR"))).alias(ts),
-    ).select(
+    # Each hour stands for itself and the missing hours up to the next one, so
+    # the grid needs no second scan and no join, and an array is one gap long.
+    # The window's exchange by city is the one that later city windows reuse.
+    w = city_window(key, ts)
+    hour = F.expr("INTERVAL 1 HOUR")
+    t0 = F.first(ts).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    marked = h.select("*", F.lead(ts).over(w).alias("_next"), t0.alias("_t0"))
+    hours = F.sequence(F.col(ts), F.coalesce(F.col("_next") - hour, F.col(ts)), hour)
+    values = [c for c in h.columns if c not in (key, ts)]
+    return marked.select(key, F.col(ts).alias("_own"), "_t0", *values, F.explode(hours).alias(ts)).select(
         key,
         ts,
         ((F.unix_seconds(F.col(ts)) - F.unix_seconds(F.col("_t0"))) / 3600).cast("bigint").alias("i"),
+        *[F.when(F.col(ts) == F.col("_own"), F.col(c)).alias(c) for c in values],
     )
-    # Both sides are keyed by (city, ts): the join shuffles on the composite
-    # key, so a long-history city is still split across tasks.
-    return spine.join(h, [key, ts], "left")
 
 
 # -- P3: time-block shards with halo rows ------------------------------------

@@ -34,15 +34,9 @@ def imputed_sites(spark, sf_dir):
     return TS.impute(sites_grid(spark, sf_dir), IMP)
 
 
-# P3 time-block sharding of the per-city windows: None = plain city windows
-# (one shuffle; right while a city's hourly history fits one task). Set to a
-# block length in hours (>= 171) for histories that do not.
-SHARD_HOURS: int | None = None
-
-
 def features_unscaled(spark, sf_dir, grid_fn=sites_grid):
-    imp = TS.impute(grid_fn(spark, sf_dir), IMP, shard_hours=SHARD_HOURS).select("city", "ts", "i", "ghi", "temp")
-    return TS.with_features(imp, shard_hours=SHARD_HOURS and max(SHARD_HOURS, 48)).drop("i")
+    imp = TS.impute(grid_fn(spark, sf_dir), IMP).select("city", "ts", "i", "ghi", "temp")
+    return TS.with_features(imp).drop("i")
 
 
 def feature_matrix(spark, sf_dir):

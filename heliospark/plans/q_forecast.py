@@ -227,8 +227,6 @@ def chrono_split(spark, sf_dir):
 
 # -- boosted trees (M2-M4, M6, A27, S10, S11): rows-only checks ------------------
 
-_MODEL_CACHE: dict = {}
-
 
 def _dense_features(spark, sf_dir):
     from ..operators import timeseries as TS
@@ -241,17 +239,17 @@ def _dense_features(spark, sf_dir):
     return TS.standardise(feats)
 
 
-def trained_models(spark, sf_dir):
-    """M6: chronological split, one boosted-tree model per target, holdout
-    metrics. Fitted models are memoised per session and input folder."""
+TARGETS = {"GHI": "target_ghi_next_1h", "Temp": "target_temp_next_1h"}
+
+
+def trained_models(spark, sf_dir, targets=tuple(TARGETS)):
+    """M6: chronological split, one boosted-tree model per asked target,
+    holdout metrics."""
     from ..config import HOURLY_TREE_PARAMS
     from ..operators import clean as C
     from ..operators import models as M
     from ..sources import fixtures as FX
 
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _MODEL_CACHE:
-        return _MODEL_CACHE[key]
     feats = _dense_features(spark, sf_dir)
     cats = C.categories_of(FX.dense(spark, sf_dir).select("city"))
     numeric = [c for c, t in feats.dtypes if t in ("double", "bigint", "int") and not c.startswith("target_")]
@@ -260,12 +258,12 @@ def trained_models(spark, sf_dir):
     split = M.chronological_split(matrix, ["ts", "city"], TRAIN_FRACTION)
     features = ["epoch_seconds", *[f"city_{c}" for c in cats], *numeric]
     out = {}
-    for target, label in (("GHI", "target_ghi_next_1h"), ("Temp", "target_temp_next_1h")):
+    for target in targets:
+        label = TARGETS[target]
         model, scored, metrics = M.train_and_evaluate(
             split, features, label, HOURLY_TREE_PARAMS, f"boosted_trees_{target}"
         )
         out[target] = (model, features, metrics.withColumn("target", F.lit(target)))
-    _MODEL_CACHE[key] = out
     return out
 
 
@@ -285,5 +283,5 @@ def feature_importance(spark, sf_dir):
     """Importance ranking of the GHI model's features (sorted, percent, rank)."""
     from ..operators import models as M
 
-    model, features, _ = trained_models(spark, sf_dir)["GHI"]
+    model, features, _ = trained_models(spark, sf_dir, ["GHI"])["GHI"]
     return A.importance_rank(M.feature_importances(spark, model, features))

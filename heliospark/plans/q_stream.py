@@ -38,8 +38,8 @@ def _events_stream(spark, sf_dir):
     dates=(),
 )
 def stream_hourly_mean(spark, sf_dir):
-    """Events as a file stream -> watermarked tumbling hour mean per city."""
-    return P.hourly_means_stream(_events_stream(spark, sf_dir), 2, "stream-hourly")
+    """Events as a file stream -> tumbling hour mean per city."""
+    return P.hourly_means_stream(_events_stream(spark, sf_dir), name="stream-hourly")
 
 
 @query(
@@ -56,8 +56,8 @@ def stream_hourly_mean(spark, sf_dir):
     dates=(),
 )
 def stream_upsert(spark, sf_dir):
-    """Two deliveries (first load, re-delivery) land as files and are merged
-    batch by batch; the producer's delivery sequence breaks ties."""
+    """Two deliveries (first load, re-delivery) land as files and are merged;
+    the producer's delivery sequence decides within a micro-batch."""
     base, batch = _upsert_inputs(spark, sf_dir)
     landing = shared_path(spark, "landing-upsert")
     base.withColumn("_delivery", F.lit(0)).write.parquet(landing + "/d0")
@@ -65,7 +65,6 @@ def stream_upsert(spark, sf_dir):
     schema = spark.read.parquet(landing + "/d0").schema
     stream = (
         spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", "1")
         .option("recursiveFileLookup", "true")
         .parquet(landing)
     )

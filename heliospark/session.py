@@ -74,7 +74,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc_dir:
         return sc_dir
     if not conf_dir:
-        # Only reached in local tests: the cluster always names a shared folder.
+        # A machine-local folder serves only where the driver is the executor.
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="heliospark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     spark.sparkContext.setCheckpointDir(conf_dir)

@@ -82,12 +82,9 @@ def guard_training_slice(df: DataFrame, allow_recent: bool = False) -> DataFrame
     """Refuse to train on rows marked ``recent`` unless overridden."""
     if allow_recent:
         return df
-    return df.withColumn(
-        "slice",
-        F.when(F.col("slice") == "recent", F.raise_error(F.lit("refusing to train on the recent slice"))).otherwise(
-            F.col("slice")
-        ),
-    )
+    # A filter, so that no later projection or count prunes the check.
+    refusal = F.raise_error(F.lit("refusing to train on the recent slice")).cast("boolean")
+    return df.filter(F.when(F.col("slice") == "recent", refusal).otherwise(True))
 
 
 def slice_city_range(df: DataFrame, city: str, start, end, ts: str = "ts", key: str = "city") -> DataFrame:

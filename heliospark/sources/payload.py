@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import HOURLY_VARIABLES
+from ..functions.numeric import no_nan
 
 HOURLY_SCHEMA = T.StructType(
     [T.StructField("time", T.ArrayType(T.StringType()))]
@@ -25,22 +26,27 @@ RAW_SCHEMA = T.StructType(
     + [T.StructField(v, T.DoubleType()) for v in HOURLY_VARIABLES]
 )
 
-# ISO-8601 shapes accepted for the wall-clock part of a payload time.
-TIME_FORMATS = (
-    "yyyy-MM-dd'T'HH:mm",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd",
+# ISO-8601 date and time, extended or basic, down to any unit; the offset is
+# part of the pattern so that it is told from a date's last part.
+ISO_TIME = (
+    r"^(\d{4})(-?)(\d{2})\2(\d{2})"
+    r"(?:[^\d](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d{1,6})\d*)?)?)?\s*(?:[Zz]|[+-]\d{2}(?::?\d{2}(?::?\d{2})?)?)?)?$"
 )
 
 
 def parse_wall_time(s: Column) -> Column:
     """Parse an ISO time as UTC wall time; a trailing offset is dropped, not
     applied (the reference replaces the zone instead of converting)."""
-    bare = F.regexp_replace(F.trim(s), r"(Z|[+-]\d{2}:?\d{2})$", "")
-    return F.coalesce(*[F.try_to_timestamp(bare, F.lit(f)) for f in TIME_FORMATS])
+    text = F.trim(s)
+
+    def part(group: int, width: int, left: bool = True) -> Column:
+        pad = F.lpad if left else F.rpad
+        return pad(F.regexp_extract(text, ISO_TIME, group), width, "0")
+
+    date = F.concat_ws("-", part(1, 4), part(3, 2), part(4, 2))
+    time = F.concat(part(5, 2), F.lit(":"), part(6, 2), F.lit(":"), part(7, 2), F.lit("."), part(8, 6, left=False))
+    whole = F.try_to_timestamp(F.concat(date, F.lit(" "), time), F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    return F.when(text.rlike(ISO_TIME), whole)
 
 
 def explode_payload(df: DataFrame, city: str = "city", payload: str = "payload", strict: bool = False) -> DataFrame:
@@ -68,7 +74,7 @@ def explode_payload(df: DataFrame, city: str = "city", payload: str = "payload",
     out = rows.select(
         "city_name",
         parse_wall_time(F.col("t")).alias("timestamp"),
-        *[F.get(F.col(f"p.hourly.{v}"), F.col("pos")).alias(v) for v in HOURLY_VARIABLES],
+        *[no_nan(F.get(F.col(f"p.hourly.{v}"), F.col("pos"))).alias(v) for v in HOURLY_VARIABLES],
     )
     return out.filter(F.col("timestamp").isNotNull())
 

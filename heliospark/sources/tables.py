@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from ..functions.numeric import no_nan
 from ..operators.clean import parse_utc_strict, require_columns
 
 WEATHER_COLUMNS = ("city", "ts", "ghi", "temp")
@@ -26,12 +27,14 @@ class Source:
 
 
 def weather_scan(df: DataFrame, mapping: dict[str, str], order: bool = False) -> DataFrame:
-    """S3: projected, aliased scan; only mapped columns reach the reader.
+    """S3: projected, aliased scan; only mapped columns reach the reader, and
+    NaN is read as NULL here, once for all operators above.
 
     Sorting (O1) is optional and meant for sinks only; an empty source is an
     error raised by the caller via :func:`require_non_empty`.
     """
     out = df.select(*[F.expr(src).alias(dst) for dst, src in mapping.items()])
+    out = out.select(*[no_nan(c).alias(c) if t in ("double", "float") else F.col(c) for c, t in out.dtypes])
     return out.orderBy("city", "ts") if order else out
 
 

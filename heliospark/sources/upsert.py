@@ -8,31 +8,42 @@ included -- with partial aggregation before the shuffle. Keys are
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Room for every BIGINT sequence, negative ones included, within one rank.
+RANK_STEP = 1 << 65
+
+
+def delivery_order(rank: Column, seq: Column) -> Column:
+    """Order by (rank, sequence) as one DECIMAL(38): exact for every BIGINT
+    sequence, NULL lowest, and of fixed width, so that ``max_by`` stays a hash
+    aggregate (a struct would force sort aggregation). Rank 0 with sequence 0 is 0."""
+    step = F.lit(Decimal(RANK_STEP)).cast("decimal(38,0)")
+    low = F.coalesce(seq.cast("long"), F.lit(-(1 << 63))).cast("decimal(20,0)")
+    return (rank.cast("decimal(18,0)") * step + low).cast("decimal(38,0)")
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], seq: str | None = None) -> DataFrame:
     """Rows of ``batch`` replace rows of ``target`` with equal ``keys``.
 
     Empty batch -> target unchanged. Duplicate keys inside one batch: the
     highest ``seq`` wins (Postgres would reject the statement; here the
-    latest delivery wins deterministically).
+    latest delivery wins deterministically); a NULL ``seq`` is the lowest.
     """
     cols = [c for c in target.columns]
-    seq_col = F.col(seq).cast("long") if seq else F.lit(0).cast("long")
-    # Source rank in the high bits, delivery sequence in the low 40: one
-    # BIGINT ordering, so each max_by keeps a fixed-width buffer and the merge
-    # stays a hash aggregate (a struct value would force sort aggregation).
-    t = target.select(*cols, (F.lit(0).cast("long") * (1 << 40)).alias("_ord"))
-    b = batch.select(*cols, (F.lit(1).cast("long") * (1 << 40) + seq_col).alias("_ord"))
+    t = target.select(*cols, delivery_order(F.lit(0), F.lit(0)).alias("_ord"))
+    b = batch.select(*cols, delivery_order(F.lit(1), F.col(seq) if seq else F.lit(0)).alias("_ord"))
     u = t.unionByName(b)
     vals = [c for c in cols if c not in keys]
     merged = u.groupBy(*keys).agg(*[F.max_by(c, "_ord").alias(c) for c in vals], F.max("_ord").alias("_ord"))
     return merged.select(
         *keys,
         *vals,
-        F.when(F.col("_ord") >= (1 << 40), F.lit("batch")).otherwise(F.lit("target")).alias("origin"),
+        F.when(F.col("_ord") > 0, F.lit("batch")).otherwise(F.lit("target")).alias("origin"),
     )
 
 

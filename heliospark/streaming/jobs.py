@@ -26,6 +26,7 @@ from ..config import CoolingConfig
 from ..functions import decisions as D
 from ..functions.numeric import exact_sum
 from ..session import shared_path
+from ..sources.upsert import delivery_order
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", glob: str | None = None,
@@ -55,7 +56,7 @@ def run_available_now(query_builder, checkpoint: str):
     return q
 
 
-def _close_late_windows(sink: str, progress: str, lateness_hours: int):
+def _close_late_windows(sink: str, progress: str, lateness_hours: int | None):
     """foreachBatch writer for windowed aggregates with a strict lateness bound.
 
     Spark's watermark evicts window state but does not refuse late rows: a
@@ -63,40 +64,43 @@ def _close_late_windows(sink: str, progress: str, lateness_hours: int):
     would be emitted again as a partial value. Here the watermark in force
     before batch ``b`` is rebuilt from a progress table (one row per batch:
     the largest event time seen) and every update to a window that had
-    already closed is discarded, so the earlier complete value stands.
+    already closed is discarded, so the earlier complete value stands; the
+    progress table counts what was discarded. Without a bound nothing is.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         seen = spark.read.parquet(progress).filter(F.col("batch") < batch_id).agg(F.max("max_ts")).first()[0]
-        out = df
-        if seen is not None:
-            wm = F.timestamp_add("HOUR", F.lit(-lateness_hours), F.lit(seen))
-            out = df.filter(F.col("window_end") > wm)
-        out.drop("max_ts", "window_end").withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode(
-            "append"
-        ).parquet(sink)
-        df.agg(F.max("max_ts").alias("max_ts")).select(F.lit(batch_id).cast("bigint").alias("batch"), "max_ts").write.mode(
-            "append"
-        ).parquet(progress)
+        # Two writes read the batch: keep its rows, or the state side runs twice.
+        rows = df.persist()
+        late = F.lit(False)
+        if seen is not None and lateness_hours is not None:
+            late = F.col("window_end") <= F.timestamp_add("HOUR", F.lit(-lateness_hours), F.lit(seen))
+        batch = F.lit(batch_id).cast("bigint")
+        rows.filter(~late).drop("max_ts", "window_end").withColumn("_batch", batch).write.mode("append").parquet(sink)
+        rows.agg(F.max("max_ts").alias("max_ts"), F.count_if(late).alias("n_late")).select(
+            batch.alias("batch"), "max_ts", "n_late"
+        ).write.mode("append").parquet(progress)
+        rows.unpersist()
 
     return write
 
 
-def hourly_means_stream(readings: DataFrame, lateness_hours: int = 2, name: str = "hourly") -> DataFrame:
-    """ST3: streaming hourly mean per city with a lateness bound of
-    ``lateness_hours``; returns the settled result table.
+def hourly_means_stream(readings: DataFrame, lateness_hours: int | None = None, name: str = "hourly") -> DataFrame:
+    """ST3: streaming hourly mean per city; returns the settled result table.
 
-    ``withWatermark`` bounds the aggregation state; the sink discards updates
-    to windows that closed before the batch (see ``_close_late_windows``).
+    With ``lateness_hours`` a watermark bounds the aggregation state, and the
+    sink discards (and counts) updates to windows that closed before the
+    batch (see ``_close_late_windows``). By default a late correction, however
+    late, updates its hour.
     """
     spark = readings.sparkSession
     sink, ckpt = shared_path(spark, f"{name}-sink"), shared_path(spark, f"{name}-ckpt")
     progress = sink + "-progress"
-    spark.createDataFrame([], "batch bigint, max_ts timestamp").write.mode("overwrite").parquet(progress)
+    spark.createDataFrame([], "batch bigint, max_ts timestamp, n_late bigint").write.mode("overwrite").parquet(progress)
+    timed = readings if lateness_hours is None else readings.withWatermark("ts", f"{lateness_hours} hours")
     agg = (
-        readings.withWatermark("ts", f"{lateness_hours} hours")
-        .groupBy("city", F.window("ts", "1 hour").alias("w"))
+        timed.groupBy("city", F.window("ts", "1 hour").alias("w"))
         .agg(
             exact_sum("ghi").alias("_sg"),
             F.count("ghi").alias("_ng"),
@@ -121,12 +125,10 @@ def hourly_means_stream(readings: DataFrame, lateness_hours: int = 2, name: str
 def settle(versions: DataFrame, keys: list[str], seq: str | None = None) -> DataFrame:
     """Merge-on-read: the latest (batch id, sequence) row per key.
 
-    Batch id and sequence are packed into one BIGINT ordering so every
-    column is a fixed-width ``max_by`` and the merge is a hash aggregate.
+    The batch outranks any sequence; a NULL sequence is the lowest.
     """
     vals = [c for c in versions.columns if c not in keys and c not in ("_batch", seq)]
-    order = F.col("_batch").cast("long") * (1 << 24) + (F.col(seq).cast("long") if seq else F.lit(0).cast("long"))
-    v = versions.withColumn("_ord", order)
+    v = versions.withColumn("_ord", delivery_order(F.col("_batch"), F.col(seq) if seq else F.lit(0)))
     return v.groupBy(*keys).agg(*[F.max_by(c, "_ord").alias(c) for c in vals])
 
 
