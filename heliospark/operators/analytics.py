@@ -231,6 +231,7 @@ def seasonal_summary(curve: DataFrame) -> DataFrame:
         exact_sum(g).alias("_sg"),
         F.count(g).alias("_n"),
         exact_sum(t).alias("_st"),
+        F.count(t).alias("_nt"),
         F.max(t).alias("peak_temp"),
         F.min(F.when(g > 10, h)).alias("sunrise_gt10"),
         F.max(F.when(g > 10, h)).alias("sunset_gt10"),
@@ -241,9 +242,9 @@ def seasonal_summary(curve: DataFrame) -> DataFrame:
         KEY,
         "season",
         "peak_ghi",
-        (F.col("_sg").cast("double") / F.col("_n")).alias("avg_ghi"),
+        F.try_divide(F.col("_sg").cast("double"), F.col("_n")).alias("avg_ghi"),
         (F.col("_sg").cast("double") / F.lit(1000.0)).alias("psh"),
-        (F.col("_st").cast("double") / F.col("_n")).alias("avg_temp"),
+        F.try_divide(F.col("_st").cast("double"), F.col("_nt")).alias("avg_temp"),
         "peak_temp",
         *[F.col(c).cast("bigint").alias(c) for c in ("sunrise_gt10", "sunset_gt10", "sunrise_ge1", "sunset_ge1")],
     )
@@ -469,13 +470,14 @@ def ghi_histogram(hourly: DataFrame, width: int = 100) -> DataFrame:
 def corr_matrix(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
     """Pairwise-complete Pearson matrix in long form (NULL on zero variance).
 
-    One global aggregate over the unordered pairs with Spark's streaming
-    (co-)moment aggregates, which are numerically stable; r lies in [-1, 1]
-    and is reported at ``digits`` decimals, so row order cannot change it.
-    ANSI-safe: zero variance gives NULL instead of a division error.
+    One global aggregate over the unordered pairs: count, sums and products of
+    the columns, a third of the work of three (co-)moment aggregates a pair. r lies in [-1, 1] and is reported at
+    ``digits`` decimals, so row order cannot change it. ANSI-safe: zero
+    variance gives NULL instead of a division error.
     """
     exprs = []
     names = []
+    sums = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
             if j < i:
@@ -484,10 +486,16 @@ def corr_matrix(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
             xa = F.when(both, F.col(a))
             xb = F.when(both, F.col(b))
             p = f"p{i}_{j}"
-            den = F.stddev_pop(xa) * F.stddev_pop(xb)
-            exprs.append(F.round(F.when(den > 0, F.covar_pop(xa, xb) / den), digits).alias(p))
+            parts = {"n": F.count(xa), "a": F.sum(xa), "b": F.sum(xb), "ab": F.sum(xa * xb), "aa": F.sum(xa * xa), "bb": F.sum(xb * xb)}
+            sums += [e.cast("double").alias(f"{p}_{k}") for k, e in parts.items()]
+            n, sa, sb, sab, saa, sbb = (F.col(f"{p}_{k}") for k in parts)
+            va, vb = n * saa - sa * sa, n * sbb - sb * sb
+            # A variance within rounding of nothing counts as none.
+            some = (va > 1e-12 * n * saa) & (vb > 1e-12 * n * sbb)
+            r = F.when(some, (n * sab - sa * sb) / (F.sqrt(va) * F.sqrt(vb)))
+            exprs.append(F.round(F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)), digits).alias(p))
             names.append((a, b, p))
-    wide = df.agg(*exprs)
+    wide = df.agg(*sums).select(*exprs)
     cells = names + [(b, a, p) for a, b, p in names if a != b]
     stack = ", ".join(f"'{a}', '{b}', {p}" for a, b, p in cells)
     return wide.selectExpr(f"stack({len(cells)}, {stack}) AS (col_a, col_b, r)")
@@ -592,10 +600,9 @@ def residual_density(resid: DataFrame, group: list[str], value: str = "residual"
     """Gaussian KDE of residuals on a fixed grid per group.
 
     Bandwidth = sample sigma * n^(-1/5) (exact moments); grid spans
-    [min - 3h, max + 3h]. The grid is a fixed-size generator per row
-    (``points`` outputs) followed by a map-side-combined aggregate -- linear
-    in the data, no pairwise join. The per-group stats table has one row per
-    model and is broadcast.
+    [min - 3h, max + 3h]. One map-side-combined aggregate holds an average for
+    each of the ``points`` grid places -- linear in the data, no fan-out of
+    rows and no pairwise join. Spark sizes the join with the group statistics.
     """
     x = quantize(F.col(value)).cast(MOMENT)
     stats = (
@@ -619,21 +626,20 @@ def residual_density(resid: DataFrame, group: list[str], value: str = "residual"
         )
         .filter((F.col("_n") >= 2) & (F.col("_h") > 0))
     )
-    joined = resid.select(*group, value).join(F.broadcast(stats), group)
+    joined = resid.select(*group, value).join(stats, group)
     step = (F.col("_hi") - F.col("_lo") + F.lit(6.0) * F.col("_h")) / F.lit(float(points - 1))
-    g = joined.select(
-        *group,
-        value,
-        "_h",
-        (F.col("_lo") - F.lit(3.0) * F.col("_h")).alias("_x0"),
-        step.alias("_step"),
-        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("grid_idx"),
-    ).withColumn("x", F.col("_x0") + F.col("grid_idx") * F.col("_step"))
-    z = (F.col("x") - F.col(value)) / F.col("_h")
-    kern = F.exp(F.lit(-0.5) * z * z) / (F.col("_h") * F.lit((2.0 * 3.141592653589793) ** 0.5))
-    return g.groupBy(*group, "grid_idx").agg(F.first("x").alias("x"), F.avg(kern).alias("density")).select(
-        *group, F.col("grid_idx").cast("bigint").alias("grid_idx"), "x", "density"
-    )
+    g = joined.select(*group, value, "_h", (F.col("_lo") - F.lit(3.0) * F.col("_h")).alias("_x0"), step.alias("_step"))
+
+    def place(k: int) -> Column:
+        return F.col("_x0") + F.lit(k) * F.col("_step")
+
+    def kernel(k: int) -> Column:
+        z = (place(k) - F.col(value)) / F.col("_h")
+        return F.exp(F.lit(-0.5) * z * z) / (F.col("_h") * F.lit((2.0 * 3.141592653589793) ** 0.5))
+
+    wide = g.groupBy(*group, "_x0", "_step").agg(*[F.avg(kernel(k)).alias(f"d{k}") for k in range(points)])
+    grid = F.array(*[F.struct(F.lit(k).cast("bigint").alias("grid_idx"), place(k).alias("x"), F.col(f"d{k}").alias("density")) for k in range(points)])
+    return wide.select(*group, F.explode(grid).alias("_g")).select(*group, "_g.*")
 
 
 def model_rank(metrics: DataFrame) -> DataFrame:

@@ -310,12 +310,13 @@ def with_features(df: DataFrame, key: str = KEY, ts: str = TS, shard_hours: int
     return out.dropna(subset=["target_ghi_next_1h", "target_temp_next_1h"])
 
 
+# The continuous features; GHI itself, calendar and target columns stay as they are.
+CONTINUOUS = ("temp", *(f"{f}_lag_{k}" for f in BASE for k in LAG_HOURS), "ghi_rolling_mean_3h", "ghi_rolling_std_3h", "temp_rolling_mean_6h")
+
+
 def scaled_columns(columns: list[str]) -> list[str]:
-    order = ["temp"]
-    order += [c for c in columns if c.startswith("ghi_lag_")]
-    order += [c for c in columns if c.startswith("temp_lag_")]
-    order += ["ghi_rolling_mean_3h", "ghi_rolling_std_3h", "temp_rolling_mean_6h"]
-    return [c for c in order if c in columns]
+    """Those of ``columns`` that standardisation applies to."""
+    return [c for c in CONTINUOUS if c in set(columns)]
 
 
 def _moments(cols: list[str]) -> list[Column]:

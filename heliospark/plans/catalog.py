@@ -52,4 +52,4 @@ def _wrap_dates(sql: str, dates: tuple[str, ...]) -> str:
 
 def load_all() -> None:
     """Import every plan module so the registry is complete."""
-    from . import q_daily, q_dashboard, q_features, q_forecast, q_ingest, q_quality, q_station, q_stream  # noqa: F401
+    from . import q_daily, q_dashboard, q_extra, q_features, q_forecast, q_ingest, q_quality, q_station, q_stream  # noqa: F401

@@ -186,7 +186,7 @@ def seasonal_curve_representative(spark, sf_dir):
     f"WITH {S.CTE_LONG_HOURLY}, curve AS ({_curve_sql('average')}) SELECT city, season, max(avg_ghi_wm2) AS peak_ghi, "
     f"CAST({S.xsum('avg_ghi_wm2')} AS DOUBLE) / count(avg_ghi_wm2) AS avg_ghi, "
     f"CAST({S.xsum('avg_ghi_wm2')} AS DOUBLE) / {S.dbl(1000)} AS psh, "
-    f"CAST({S.xsum('avg_temp_c')} AS DOUBLE) / count(avg_ghi_wm2) AS avg_temp, max(avg_temp_c) AS peak_temp, "
+    f"CAST({S.xsum('avg_temp_c')} AS DOUBLE) / count(avg_temp_c) AS avg_temp, max(avg_temp_c) AS peak_temp, "
     "CAST(min(CASE WHEN avg_ghi_wm2 > 10 THEN hour END) AS BIGINT) AS sunrise_gt10, "
     "CAST(max(CASE WHEN avg_ghi_wm2 > 10 THEN hour END) AS BIGINT) AS sunset_gt10, "
     "CAST(min(CASE WHEN avg_ghi_wm2 >= 1 THEN hour END) AS BIGINT) AS sunrise_ge1, "

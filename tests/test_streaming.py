@@ -36,4 +36,3 @@ def test_settle_keeps_latest_batch_and_sequence(spark):
     v = spark.createDataFrame(rows, "key string, v double, _batch long, seq long")
     out = {r["key"]: r["v"] for r in P.settle(v, ["key"], "seq").collect()}
     assert out == {"k": 3.0, "j": None}  # a NULL in the latest delivery overwrites
-    assert F  # keep import
