@@ -10,11 +10,15 @@ from ..operators import timeseries as TS
 from ..sources import fixtures as FX
 from ..sources import ingest as I
 from ..sources.payload import parse_wall_time
-from ..sources.tables import weather_scan
+from ..session import shared_path
+from ..sources.tables import append_registry, read_registry, weather_scan
 from ..sources.upsert import upsert
+from . import catalog
+from . import q_features as Q
 from . import sqltext as S
 from .catalog import query
 from .common import AS_OF, dense_hourly, long_hourly
+from .q_forecast import predictions
 from .q_quality import clip_and_drop_sparse_days, training_window
 
 # -- values that are missing, NaN or out of order ---------------------------------
@@ -216,3 +220,27 @@ def ghi_analysis_parts(spark, sf_dir):
     cities = daily.where(F.col("date") == day).select(F.lit("cities").alias("part"), F.col("city").alias("label"), place, "value")
     season = h.where("city = 'click'").groupBy(A.season_of(F.month("ts")).alias("label"), F.hour("ts").cast("string").alias("place")).agg(F.round(F.max("ghi"), 3).alias("value"))
     return trend.unionByName(cities).unionByName(season.select(F.lit("season").alias("part"), "label", "place", "value"))
+
+
+# -- saved parameters and registries -------------------------------------------------
+
+
+@query("scaler_reapplied", "T10 S7 S8", catalog.ORACLES["feature_matrix"], dates=())
+def scaler_reapplied(spark, sf_dir):
+    """The feature matrix from parameters that were fitted, written and read
+    again, applied to the stored unscaled features."""
+    features, params = shared_path(spark, "features"), shared_path(spark, "scaler")
+    Q.features_unscaled(spark, sf_dir).write.parquet(features)
+    stored = spark.read.parquet(features)
+    TS.scaler_params(stored, Q.SCALED).write.parquet(params)
+    return Q._round_cyc(TS.apply_scaler(stored, spark.read.parquet(params)))
+
+
+@query("metrics_registry", "S10 S11 A22", catalog.ORACLES["model_metrics"], dates=())
+def metrics_registry(spark, sf_dir):
+    """Metrics of two runs appended to a registry table; the last run read back."""
+    path = shared_path(spark, "registry")
+    metrics = A.regression_metrics(predictions(spark, sf_dir), ["model_name", "target"])
+    append_registry(metrics.withColumn("mae", F.lit(0.0)), path, "run-0")
+    append_registry(metrics, path, "run-1")
+    return read_registry(spark, path).where("run_id = 'run-1'").select(*metrics.columns)

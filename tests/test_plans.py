@@ -42,3 +42,13 @@ def test_city_windows_share_one_exchange(spark):
     plan = _plan(catalog.QUERIES["lags"](spark, SMALL))
     # scan-side aggregates + the city window exchange; no per-window reshuffle
     assert plan.count("Exchange hashpartitioning(city") <= 4
+
+
+def test_grid_scans_once_without_a_join(spark):
+    plan = _plan(catalog.QUERIES["hourly_grid"](spark, SMALL))
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_backtest_reads_its_week_only(spark):
+    plan = _plan(catalog.QUERIES["backtest_pairs"](spark, SMALL))
+    assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
