@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from .common import stored, text_of
 
 LENGTH = 400
-GRAM = 32
+GRAM = 128  # a power of two; strings of one class share at least so many bytes
 BLOCK = 1 << 20  # bytes worked on together
 CLASS_FRAGMENTS = 3000  # of one class in a shard; a larger class is halved
 SHARD_BYTES = 3 << 20
@@ -298,7 +298,8 @@ def repeats(texts: DataFrame) -> DataFrame:
     same = every.groupBy("anchor", "fragment").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("key", "h", "lo", "n", "ahead")).alias("at"))
     same = stored(same, "repeat_variants")
     whole = same.where("c > 1").select("anchor", "fragment", F.lit(0).alias("a"), F.col("at.n").alias("b"))
-    several = same.groupBy("anchor").agg(F.count(F.lit(1)).alias("_v")).where("_v > 1").select("anchor")
+    # Only a fragment seen once, beside others of its anchor, is still open.
+    several = same.groupBy("anchor").agg(F.count(F.lit(1)).alias("_v"), F.min("c").alias("_c")).where("_v > 1 AND _c = 1").select("anchor")
     fetch = same.join(several, "anchor").groupBy("at.key", "at.h").agg(F.collect_list(F.struct("anchor", "fragment", "at.lo", "at.n", "at.ahead")).alias("wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,9 +320,10 @@ def repeats(texts: DataFrame) -> DataFrame:
     return placed.distinct().groupBy("key", "h").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
 
 
-def cleaned(docs: DataFrame, key: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with the text replaced by ``kept`` (binary, its remaining bytes)
-    and with ``n_bytes``, ``n_removed``, ``n_spans``."""
+def cleaned(docs: DataFrame, key: str = "doc_id", text_column: str = "text", as_text: bool = False) -> DataFrame:
+    """``docs`` with the text replaced by ``kept`` (its remaining bytes, or the
+    text they make without characters that a cut has split) and with
+    ``n_bytes``, ``n_removed``, ``n_spans``."""
     from pyspark.sql import types as T
 
     names = ("kept", "n_bytes", "n_removed", "n_spans")
@@ -331,7 +333,7 @@ def cleaned(docs: DataFrame, key: str = "doc_id", text_column: str = "text") ->
     found = repeats(rows.select("key", "h", F.col(text_column).alias("text")))
     packed = rows.select("key", "h", F.struct(*rest).alias("_rest"), F.col(text_column).alias("_text"))
     both = _beside(packed, found, "left").select("_rest", "_text", "runs")
-    schema = T.StructType([T.StructField("_rest", both.schema["_rest"].dataType)] + [T.StructField("kept", T.BinaryType())] + [T.StructField(c, T.LongType()) for c in names[1:]])
+    schema = T.StructType([T.StructField("_rest", both.schema["_rest"].dataType)] + [T.StructField("kept", T.StringType() if as_text else T.BinaryType())] + [T.StructField(c, T.LongType()) for c in names[1:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -347,7 +349,8 @@ def cleaned(docs: DataFrame, key: str = "doc_id", text_column: str = "text") ->
                 edges = [0, *(e for s in spans for e in s), len(data)]
                 kept.append(b"".join(data[i:j] for i, j in zip(edges[::2], edges[1::2], strict=True)))
                 counts.append((len(data), len(data) - len(kept[-1]), len(spans)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()), *(pa.array(c, pa.int64()) for c in zip(*counts, strict=True))], names=schema.names)
+            made = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), made, *(pa.array(c, pa.int64()) for c in zip(*counts, strict=True))], names=schema.names)
 
     return both.mapInArrow(run, schema).select("_rest.*", *names)
 
@@ -360,5 +363,5 @@ def repeats_report(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame, key: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with repeated strings cut out of the text; a character that a
     cut has split goes as well."""
-    names = [F.regexp_replace(F.decode(F.col("kept"), "UTF-8"), "�", "").alias(c) if c == text_column else F.col(c) for c in docs.columns]
-    return cleaned(docs, key, text_column).select(*names)
+    names = [F.col("kept").alias(c) if c == text_column else F.col(c) for c in docs.columns]
+    return cleaned(docs, key, text_column, as_text=True).select(*names)
