@@ -52,9 +52,13 @@ def model_matrix(df: DataFrame, categories: list[str], numeric: list[str], key:
     )
 
 
-def categories_of(df: DataFrame, key: str = "city") -> list[str]:
-    """Distinct category labels (one row per category: bounded by design)."""
-    return sorted(r[0] for r in df.select(key).distinct().collect())
+def categories_of(df: DataFrame, key: str = "city", most: int = 1000) -> list[str]:
+    """Distinct category labels. Each becomes a column of the model matrix, so
+    more than ``most`` of them is an error, not a wider matrix."""
+    found = df.select(key).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{key} has more than {most} categories")
+    return sorted(r[0] for r in found)
 
 
 def zero_fill(df: DataFrame, targets: list[str]) -> DataFrame:
