@@ -44,7 +44,9 @@ GRAM = 128  # a power of two; strings of one class share at least so many bytes
 BLOCK = 1 << 20  # bytes worked on together
 CLASS_FRAGMENTS = 3000  # of one class in a shard; a larger class is halved
 SHARD_BYTES = 3 << 20
-BROADCAST_ROWS = 300_000  # of about 100 bytes; beyond it both sides are shuffled
+# Rows per document are broadcast if their items, of so many bytes each, stay
+# below this size; beyond it both sides are shuffled.
+BROADCAST_BYTES, ITEM_BYTES = 160 << 20, 48
 
 _B = 0x9E3779B97F4A7C15
 
@@ -89,12 +91,15 @@ def anchors(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 
 
 def fragments(texts: DataFrame) -> DataFrame:
-    """(anchor, fragment, key, h, lo, n): every fragment of every (key, h, text);
-    it has n strings, which start at lo, lo + 1, ..."""
+    """(anchor, fragment, key, h, places, n, ahead): every fragment of every
+    (key, h, text). It has n strings, the first of which is ``ahead`` bytes
+    ahead of the anchor and starts at each of ``places`` in the text (a text
+    that repeats itself has one row with many places, not many rows)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list[np.ndarray]] = []
+            starts: list[np.ndarray] = []
             for key, h, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 data = text.encode()
                 if len(data) < LENGTH:
@@ -104,11 +109,20 @@ def fragments(texts: DataFrame) -> DataFrame:
                 ends = (lo + n + LENGTH - 1).tolist()
                 seeds = (at - lo).tolist()
                 own = np.fromiter((digest(data[i:j], s) for i, j, s in zip(lo.tolist(), ends, seeds, strict=True)), np.uint64, len(lo))
-                out.append([a, own.view(np.int64), np.full(len(a), key), np.full(len(a), h), lo, n, at - lo])
+                by = np.lexsort((lo, own, a))
+                a, own, lo, n, ahead = a[by], own.view(np.int64)[by], lo[by], n[by], (at - lo)[by]
+                first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (own[1:] != own[:-1])))
+                k = len(first)
+                out.append([a[first], own[first], np.full(k, key), np.full(k, h), n[first], ahead[first], np.diff(np.append(first, len(a)))])
+                starts.append(lo)
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(t)) for c, t in zip(zip(*out, strict=True), [np.int64] * 4 + [np.int32] * 3, strict=True)], names=["anchor", "fragment", "key", "h", "lo", "n", "ahead"])
+                a, own, key, h, n, ahead, count = (np.concatenate(c) for c in zip(*out, strict=True))
+                ends = np.append(0, np.cumsum(count)).astype(np.int32)
+                places = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(starts).astype(np.int32)))
+                made = [pa.array(c.astype(np.int64)) for c in (a, own, key, h)] + [places] + [pa.array(c.astype(np.int32)) for c in (n, ahead)]
+                yield pa.RecordBatch.from_arrays(made, names=["anchor", "fragment", "key", "h", "places", "n", "ahead"])
 
-    return texts.mapInArrow(run, "anchor long, fragment long, key long, h long, lo int, n int, ahead int")
+    return texts.mapInArrow(run, "anchor long, fragment long, key long, h long, places array<int>, n int, ahead int")
 
 
 def suffix_order(x: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
@@ -274,10 +288,11 @@ def repeated_runs(pieces: DataFrame, width: int = 256) -> DataFrame:
     return found.unionByName(parts.join(below, ["sub", "part"]).select("class", "fragment", (F.col("a") + F.col("shift")).alias("a"), (F.col("b") + F.col("shift")).alias("b")))
 
 
-def _beside(texts: DataFrame, few: DataFrame, how: str) -> DataFrame:
-    """Join of texts with rows of some of them; these are broadcast if few."""
+def _beside(texts: DataFrame, few: DataFrame, items: F.Column, how: str) -> DataFrame:
+    """Join of texts with rows of some of them, each with a number of items."""
     few = stored(few, "repeat_rows")
-    return texts.join(F.broadcast(few) if few.count() <= BROADCAST_ROWS else few, ["key", "h"], how)
+    size = ITEM_BYTES * (few.agg(F.sum(items + 1)).first()[0] or 0)
+    return texts.join(F.broadcast(few) if size <= BROADCAST_BYTES else few, ["key", "h"], how)
 
 
 NO_KEY = -(1 << 63)  # stands for a NULL key
@@ -290,12 +305,12 @@ def keyed(docs: DataFrame, key: str, text_column: str) -> DataFrame:
 
 def repeats(texts: DataFrame) -> DataFrame:
     """(key, h, runs) of the (key, h, text) rows with repeated strings: runs of
-    their starts, as array<struct<a, b>>, half open."""
+    their starts, as array<struct<places, a, b>>: [p + a, p + b) for each place p."""
     every = stored(fragments(texts), "fragments")
-    again = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("anchor")
+    again = every.groupBy("anchor").agg(F.sum(F.size("places")).alias("_c")).where("_c > 1").select("anchor")
     every = stored(every.join(again, "anchor"), "repeat_fragments")
     # Of equal fragments one place stands for all.
-    same = every.groupBy("anchor", "fragment").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("key", "h", "lo", "n", "ahead")).alias("at"))
+    same = every.groupBy("anchor", "fragment").agg(F.sum(F.size("places")).alias("c"), F.min(F.struct("key", "h", F.col("places")[0].alias("lo"), "n", "ahead")).alias("at"))
     same = stored(same, "repeat_variants")
     whole = same.where("c > 1").select("anchor", "fragment", F.lit(0).alias("a"), F.col("at.n").alias("b"))
     # Only a fragment seen once, beside others of its anchor, is still open.
@@ -311,13 +326,14 @@ def repeats(texts: DataFrame) -> DataFrame:
             types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["class", "fragment", "ahead", "n", "data"])
 
-    pieces = _beside(texts, fetch, "inner").select("text", "wanted").mapInArrow(cut, "class long, fragment long, ahead int, n int, data binary").dropDuplicates(["class", "fragment"])
+    pieces = _beside(texts, fetch, F.size("wanted"), "inner").select("text", "wanted").mapInArrow(cut, "class long, fragment long, ahead int, n int, data binary").dropDuplicates(["class", "fragment"])
     sorted_ = repeated_runs(pieces).withColumnRenamed("class", "anchor")
     # Fragments seen twice are whole already; of the others the runs that shards found.
     marked = whole.unionByName(sorted_.join(whole.select("anchor", "fragment"), ["anchor", "fragment"], "left_anti"))
-    placed = every.join(stored(marked, "repeat_marked"), ["anchor", "fragment"]).select("key", "h", (F.col("lo") + F.col("a")).alias("a"), (F.col("lo") + F.col("b")).alias("b"))
+    found = every.join(stored(marked, "repeat_marked"), ["anchor", "fragment"])
     # Rows alike in key and text bring every run again.
-    return placed.distinct().groupBy("key", "h").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
+    found = found.groupBy("key", "h", "anchor", "fragment", "a", "b").agg(F.first("places").alias("places"))
+    return found.groupBy("key", "h").agg(F.collect_list(F.struct("places", "a", "b")).alias("runs"))
 
 
 def cleaned(docs: DataFrame, key: str = "doc_id", text_column: str = "text", as_text: bool = False) -> DataFrame:
@@ -332,7 +348,8 @@ def cleaned(docs: DataFrame, key: str = "doc_id", text_column: str = "text", as_
     rows = keyed(docs, key, text_column)
     found = repeats(rows.select("key", "h", F.col(text_column).alias("text")))
     packed = rows.select("key", "h", F.struct(*rest).alias("_rest"), F.col(text_column).alias("_text"))
-    both = _beside(packed, found, "left").select("_rest", "_text", "runs")
+    items = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + F.size(r["places"]) + 1)
+    both = _beside(packed, found, items, "left").select("_rest", "_text", "runs")
     schema = T.StructType([T.StructField("_rest", both.schema["_rest"].dataType)] + [T.StructField("kept", T.StringType() if as_text else T.BinaryType())] + [T.StructField(c, T.LongType()) for c in names[1:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,7 +358,7 @@ def cleaned(docs: DataFrame, key: str = "doc_id", text_column: str = "text", as_
             for text, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 data = text.encode()
                 spans: list[list[int]] = []
-                for a, b in sorted((r["a"], r["b"] + LENGTH - 1) for r in runs or ()):
+                for a, b in sorted((p + r["a"], p + r["b"] + LENGTH - 1) for r in runs or () for p in r["places"]):
                     if spans and a <= spans[-1][1]:
                         spans[-1][1] = max(spans[-1][1], b)
                     else:
