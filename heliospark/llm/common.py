@@ -26,9 +26,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def parts(spark: SparkSession, bytes_each: int, total_bytes: int) -> int:
-    """Partitions so that each holds about ``bytes_each`` (no upper cap)."""
-    return max(spark.sparkContext.defaultParallelism, -(-total_bytes // bytes_each), 1)
+def discard(table: DataFrame) -> None:
+    """Delete the files of a table made by ``stored`` that nothing reads any more."""
+    spark = table.sparkSession
+    for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def component_labels(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -50,7 +53,8 @@ def component_labels(edges: DataFrame, name: str = "components") -> DataFrame:
         large = large.where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
-        cur = stored(small.where("a <> b").distinct(), name)
+        cur, before = stored(small.where("a <> b").distinct(), name), cur
+        discard(before)
         now = cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == last:
             break

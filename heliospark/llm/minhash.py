@@ -42,6 +42,7 @@ REGISTERS = BANDS * ROWS
 LOOKS_ALIKE = int(REGISTERS * LEAST - 4.2 * (REGISTERS * LEAST * (1 - LEAST)) ** 0.5)
 BROADCAST_ROWS = 500_000  # of 40 bytes
 SALTS = 8  # tasks that share the members compared with one node
+QUICK = 2  # partners of its block that a member meets in the first round
 BLOCK = 512  # members of a bucket compared at once
 KNOWN_WORDS = 300_000  # hashes remembered by a worker; emptied when full
 
@@ -173,30 +174,62 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, least: float) -> DataFrame:
-    """Of (a, b) pairs those whose bags overlap enough. The bag of b goes to
-    the tasks of a, where the bag of a waits (one copy for each salt)."""
-    pairs = stored(pairs, "near_pairs")
-    wanted = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().select(F.col("a").alias("node"))
-    wanted = stored(nodes.select("node", "key", "digest").join(wanted, "node"), "near_wanted")
-    if wanted.count() <= BROADCAST_ROWS:  # else both sides are shuffled
-        wanted = F.broadcast(wanted)
-    texts = docs.join(wanted, ["key", "digest"]).select("node", "text").dropDuplicates(["node"])
-
-    def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = []
-            for t in batch.column(1).to_pylist():
-                _, h, w = bags([t or ""])
-                made.append(h.tobytes() + w.astype(np.uint32).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["node", "bag"])
-
-    held = stored(texts.mapInArrow(bag, "node long, bag binary"), "near_bags")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    centre = pairs.select("a").distinct().join(held, F.col("a") == F.col("node")).select("a", salts.alias("salt"), F.lit(None).cast("long").alias("b"), "bag")
-    member = pairs.join(held, F.col("b") == F.col("node")).select("a", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int").alias("salt"), "b", "bag")
-    meeting = centre.unionByName(member).repartition("a", "salt").sortWithinPartitions("a", "salt", F.asc_nulls_first("b"))
-
+class _Links:
+    """Classes of the links so far, the pairs already compared, the bags at hand."""
+
+    def __init__(self, nodes: DataFrame, docs: DataFrame, least: float) -> None:
+        self.nodes, self.docs, self.least = nodes, docs, least
+        self.stars: DataFrame | None = None  # (node, component) of the links so far
+        self.tested: DataFrame | None = None
+        self.bags: DataFrame | None = None
+
+    def _hold(self, pairs: DataFrame) -> None:
+        """Compute the bags of nodes that have none yet."""
+        wanted = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().select(F.col("a").alias("node"))
+        if self.bags is not None:
+            wanted = wanted.join(self.bags.select("node"), "node", "left_anti")
+        wanted = stored(self.nodes.select("node", "key", "digest").join(wanted, "node"), "near_wanted")
+        n = wanted.count()
+        if not n:
+            return
+        # A few rows are broadcast; else both sides are shuffled.
+        texts = self.docs.join(F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted, ["key", "digest"]).select("node", "text").dropDuplicates(["node"])
+
+        def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                made = []
+                for t in batch.column(1).to_pylist():
+                    _, h, w = bags([t or ""])
+                    made.append(h.tobytes() + w.astype(np.uint32).tobytes())
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["node", "bag"])
+
+        more = stored(texts.mapInArrow(bag, "node long, bag binary"), "near_bags")
+        self.bags = more if self.bags is None else self.bags.unionByName(more)
+
+    def compare(self, pairs: DataFrame) -> DataFrame:
+        """Verify (a, b) pairs by the exact overlap of their bags and return the
+        new (node, component) rows. The bag of b goes to the tasks of a, where
+        the bag of a waits, one copy for each salt."""
+        if self.tested is not None:
+            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
+        pairs = stored(pairs.select("a", "b").distinct(), "near_pairs")
+        self._hold(pairs)
+        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
+        if self.bags is None:
+            found = pairs
+        else:
+            salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+            centre = pairs.select("a").distinct().join(self.bags, F.col("a") == F.col("node")).select("a", salts.alias("salt"), F.lit(None).cast("long").alias("b"), "bag")
+            member = pairs.join(self.bags, F.col("b") == F.col("node")).select("a", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int").alias("salt"), "b", "bag")
+            meeting = centre.unionByName(member).repartition("a", "salt").sortWithinPartitions("a", "salt", F.asc_nulls_first("b"))
+            found = stored(meeting.mapInArrow(_overlapping(self.least), "a long, b long"), "near_links")
+        if self.stars is not None:  # old links count as the stars they have made
+            found = found.unionByName(self.stars.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        self.stars = component_labels(found, "near_classes")
+        return self.stars
+
+
+def _overlapping(least: float):
     def parse(data: bytes) -> tuple[np.ndarray, np.ndarray]:
         n = len(data) // 12
         return np.frombuffer(data, np.uint64, n), np.frombuffer(data, np.uint32, n, 8 * n)
@@ -219,32 +252,37 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, least: float)
                     found.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
 
-    return meeting.mapInArrow(run, "a long, b long")
+    return run
 
 
-def _across(open_: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(a, b) pairs that look alike between different classes of a bucket, from
-    (bucket, node, class). Members meet in blocks: a bucket of k blocks sends a
-    block to k tasks, and only pairs that look alike leave them."""
-    sized = open_.join(open_.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "bucket")
-    sized = sized.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_o")
-    sent = sized.select("bucket", "node", "class", "block", other).select("bucket", F.least("block", "_o").alias("p"), F.greatest("block", "_o").alias("q"), "block", "node", "class")
-    sent = sent.join(nodes.select("node", "signature"), "node").select("bucket", "p", "q", "block", "node", "class", "signature")
+def _partners(open_: DataFrame, nodes: DataFrame, seed: int, most: int, everywhere: bool) -> DataFrame:
+    """(a, b, more): for members outside the largest class of their bucket the
+    ``most`` members of other classes whose signatures agree best, if they look
+    alike; ``more`` tells that some were left out. Members meet in blocks, each
+    with itself or, ``everywhere``, with every block of its bucket."""
+    largest = open_.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket").agg(F.sum("c").alias("n"), F.max_by("class", F.struct("c", "class")).alias("main"))
+    sized = open_.join(largest, "bucket").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    sized = sized.withColumn("block", F.pmod(F.xxhash64("node", F.lit(seed)), F.col("blocks")).cast("int"))
+    to = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)) if everywhere else F.col("block")
+    sent = sized.select("bucket", "node", "class", "main", "block", to.alias("_o")).select("bucket", F.least("block", "_o").alias("p"), F.greatest("block", "_o").alias("q"), "block", "node", "class", "main")
+    sent = sent.join(nodes.select("node", "signature"), "node").select("bucket", "p", "q", "block", "node", "class", "main", "signature")
 
     def compare(rows: pa.Table) -> pa.Table:
         sig = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint32).reshape(-1, REGISTERS)
         node, cls, block = (rows[c].to_numpy() for c in ("node", "class", "block"))
-        left, right = np.flatnonzero(block == rows["p"][0].as_py()), np.flatnonzero(block == rows["q"][0].as_py())
-        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for i in left:
-            to = right[(cls[right] != cls[i]) & (node[right] != node[i])]
-            good = to[(sig[to] == sig[i]).sum(1) >= LOOKS_ALIKE]
-            a.append(np.minimum(node[good], node[i]))
-            b.append(np.maximum(node[good], node[i]))
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+        p, q, main = (rows[c][0].as_py() for c in ("p", "q", "main"))
+        a, b, more = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
+        for i in np.flatnonzero(cls != main):
+            others = np.flatnonzero((block == (q if block[i] == p else p)) & (cls != cls[i]))
+            agree = (sig[others] == sig[i]).sum(1)
+            good = np.flatnonzero(agree >= LOOKS_ALIKE)
+            best = others[good[np.argsort(-agree[good], kind="stable")[:most]]]
+            a.append(np.minimum(node[best], node[i]))
+            b.append(np.maximum(node[best], node[i]))
+            more.append(np.full(len(best), len(good) > most))
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b), "more": np.concatenate(more)})
 
-    return sent.groupBy("bucket", "p", "q").applyInArrow(compare, "a long, b long").distinct()
+    return sent.groupBy("bucket", "p", "q").applyInArrow(compare, "a long, b long, more boolean")
 
 
 def near_classes(docs: DataFrame, key: str = "doc_id", text_column: str = "text", least: float = LEAST) -> DataFrame:
@@ -262,13 +300,23 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text_column: str = "text"
     shared = stored(buckets.join(heads, "bucket").select("bucket", "node", "head"), "near_buckets")
 
     stars = shared.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    links = stored(_verified(_agreeing(stars, nodes), nodes, rows, least), "near_links")
-    classes = component_labels(links, "near_classes")
-    members = shared.join(classes, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("class"))
-    split = members.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
-    across = _across(members.join(split, "bucket"), nodes).join(stars, ["a", "b"], "left_anti")
-    more = _verified(across, nodes, rows, least)
-    classes = component_labels(links.unionByName(more), "near_classes")
+    links = _Links(nodes, rows, least)
+    classes = links.compare(_agreeing(stars, nodes))
+    step = 0
+    while True:
+        members = shared.join(classes, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("class"))
+        split = members.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
+        open_ = stored(members.join(split, "bucket"), "near_open")
+        if not open_.take(1):
+            break
+        # First a quick round, then every look-alike pair between classes, the
+        # best of each member first, until none has been left out.
+        everywhere = step > 0
+        found = stored(_partners(open_, nodes, step, 8**step if everywhere else QUICK, everywhere), "near_partners")
+        classes = links.compare(found)
+        if everywhere and not found.where("more").take(1):
+            break
+        step += 1
 
     own = nodes.select("digest", "node", "key").join(classes, "node", "left").select("digest", "key", F.coalesce("component", "node").alias("class"))
     # Of a class the least key; among texts of one key the least digest.
