@@ -26,9 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Memory of a task: words and pre-tokens remembered (each memory is emptied when
-# full) and the longest one worth remembering, in characters.
-REMEMBERED = 400_000
+# Memory of a task: words and pre-tokens remembered (a memory is emptied when
+# full) and the longest one worth remembering, in characters. A pre-token costs
+# more to find again than a word, which is made of known ones.
+WORDS_REMEMBERED, REMEMBERED = 150_000, 1_200_000
 LONGEST_REMEMBERED = 48
 # Up to this length a bucket's positions are a bitmap, beyond it a heap.
 SHORT = 128
@@ -80,36 +81,42 @@ class Coder:
                 fresh.append(i)
             left = r
         while True:
-            for i in fresh:
-                r = pair[i]
-                bucket = buckets.get(r)
-                if bucket:
-                    if short:
-                        buckets[r] = bucket | 1 << i
+            if top or len(fresh) != 1:
+                for i in fresh:
+                    r = pair[i]
+                    if r in buckets:
+                        if short:
+                            buckets[r] |= 1 << i
+                        else:
+                            heapq.heappush(buckets[r], i)
                     else:
-                        heapq.heappush(bucket, i)
+                        buckets[r] = 1 << i if short else [i]
+                        w = r >> 8
+                        words[w] = words.get(w, 0) | 1 << (r & 255)
+                        top |= 1 << w
+                if not top:
+                    break
+                w = (top & -top).bit_length() - 1
+                word = words[w]
+                low = word & -word
+                rank = w << 8 | low.bit_length() - 1
+                bucket = buckets[rank]
+                if short:
+                    first = bucket & -bucket
+                    i = first.bit_length() - 1
+                    bucket ^= first
+                    if bucket:
+                        buckets[rank] = bucket
                 else:
-                    buckets[r] = 1 << i if short else [i]
-                    w = r >> 8
-                    words[w] = words.get(w, 0) | 1 << (r & 255)
-                    top |= 1 << w
-            if not top:
-                break
-            w = (top & -top).bit_length() - 1
-            word = words[w]
-            low = word & -word
-            rank = w << 8 | low.bit_length() - 1
-            bucket = buckets[rank]
-            if short:
-                first = bucket & -bucket
-                i = first.bit_length() - 1
-                bucket = buckets[rank] = bucket ^ first
-            else:
-                i = heapq.heappop(bucket)
-            if not bucket:
-                words[w] = word = word ^ low
-                if not word:
-                    top ^= 1 << w
+                    i = heapq.heappop(bucket)
+                if not bucket:
+                    del buckets[rank]
+                    words[w] = word = word ^ low
+                    if not word:
+                        top ^= 1 << w
+            else:  # an only entry is the next one
+                i = fresh[0]
+                rank = pair[i]
             fresh = []
             if pair[i] != rank:
                 continue  # stale: one of the two has merged meanwhile
@@ -166,7 +173,7 @@ class Coder:
             return None
         ids = self.text(" " + word)
         if len(word) <= LONGEST_REMEMBERED:
-            if len(self.words) >= REMEMBERED:
+            if len(self.words) >= WORDS_REMEMBERED:
                 self.words.clear()
             self.words[word] = ids
         return ids
