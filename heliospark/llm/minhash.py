@@ -37,11 +37,12 @@ WORDS = 5
 LEAST = 0.8
 BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
-# Registers that agree, of REGISTERS, for a pair to be verified: over four
+# Registers that agree, of REGISTERS, for a pair to be verified: three
 # standard deviations below what a similarity of LEAST gives.
-LOOKS_ALIKE = int(REGISTERS * LEAST - 4.2 * (REGISTERS * LEAST * (1 - LEAST)) ** 0.5)
+LOOKS_ALIKE = int(REGISTERS * LEAST - 3 * (REGISTERS * LEAST * (1 - LEAST)) ** 0.5)
 BROADCAST_ROWS = 500_000  # of 40 bytes
 SALTS = 8  # tasks that share the members compared with one node
+BEST = 16  # partners of a block that a member meets before all others
 QUICK = 2  # partners of its block that a member meets in the first round
 BLOCK = 512  # members of a bucket compared at once
 KNOWN_WORDS = 300_000  # hashes remembered by a worker; emptied when full
@@ -129,7 +130,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def signed(texts: DataFrame) -> DataFrame:
-    """(key, digest, signature) of (key, digest, text)."""
+    """(key, digest, signature, total) of (key, digest, text); total is the bag's weight."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,9 +142,10 @@ def signed(texts: DataFrame) -> DataFrame:
                 full = np.zeros(len(all_texts), bool)
                 full[owner] = True
                 rows = [s.tobytes() if f else b"" for s, f in zip(sig, full, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(rows, pa.binary())], names=["key", "digest", "signature"])
+                total = np.bincount(owner, weight, len(all_texts)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(rows, pa.binary()), pa.array(total)], names=["key", "digest", "signature", "total"])
 
-    return texts.mapInArrow(run, "key long, digest binary, signature binary")
+    return texts.mapInArrow(run, "key long, digest binary, signature binary, total long")
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
@@ -160,10 +162,11 @@ def _buckets(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "signature").mapInArrow(run, "bucket long, node long")
 
 
-def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _agreeing(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     """Of (a, b) pairs those whose signatures agree in LOOKS_ALIKE registers."""
-    sig = nodes.select("node", "signature")
-    both = pairs.join(sig.select(F.col("node").alias("a"), F.col("signature").alias("x")), "a").join(sig.select(F.col("node").alias("b"), F.col("signature").alias("y")), "b")
+    sig = nodes.select("node", "signature", "total")
+    both = pairs.join(sig.select(F.col("node").alias("a"), F.col("signature").alias("x"), F.col("total").alias("s")), "a").join(sig.select(F.col("node").alias("b"), F.col("signature").alias("y"), F.col("total").alias("t")), "b")
+    both = both.where(F.least("s", "t") >= least * F.greatest("s", "t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,31 +258,49 @@ def _overlapping(least: float):
     return run
 
 
-def _partners(open_: DataFrame, nodes: DataFrame, seed: int, most: int, everywhere: bool) -> DataFrame:
+def _partners(open_: DataFrame, nodes: DataFrame, seed: int, lo: int, hi: int | None, everywhere: bool, least: float) -> DataFrame:
     """(a, b, more): for members outside the largest class of their bucket the
-    ``most`` members of other classes whose signatures agree best, if they look
-    alike; ``more`` tells that some were left out. Members meet in blocks, each
-    with itself or, ``everywhere``, with every block of its bucket."""
+    members of other classes that look alike; ``more`` tells that some were
+    left out. Members meet in blocks of their bucket.
+
+    Not ``everywhere``: a block meets itself, and a member takes its ``hi``
+    best partners. ``everywhere``: each block meets every block, and a member
+    takes those ranked lo to hi by agreement among all that look alike in the
+    block, whatever their class - so the ranks stay as classes grow, and two
+    calls with adjoining ranks leave no pair out."""
     largest = open_.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket").agg(F.sum("c").alias("n"), F.max_by("class", F.struct("c", "class")).alias("main"))
     sized = open_.join(largest, "bucket").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     sized = sized.withColumn("block", F.pmod(F.xxhash64("node", F.lit(seed)), F.col("blocks")).cast("int"))
     to = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)) if everywhere else F.col("block")
     sent = sized.select("bucket", "node", "class", "main", "block", to.alias("_o")).select("bucket", F.least("block", "_o").alias("p"), F.greatest("block", "_o").alias("q"), "block", "node", "class", "main")
-    sent = sent.join(nodes.select("node", "signature"), "node").select("bucket", "p", "q", "block", "node", "class", "main", "signature")
+    sent = sent.join(nodes.select("node", "signature", "total"), "node").select("bucket", "p", "q", "block", "node", "class", "main", "signature", "total")
 
     def compare(rows: pa.Table) -> pa.Table:
         sig = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint32).reshape(-1, REGISTERS)
         node, cls, block = (rows[c].to_numpy() for c in ("node", "class", "block"))
-        p, q, main = (rows[c][0].as_py() for c in ("p", "q", "main"))
+        p, q, main, bucket = (rows[c][0].as_py() for c in ("p", "q", "main", "bucket"))
+        keys = band_keys(sig)
+        total = rows["total"].to_numpy()
         a, b, more = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
         for i in np.flatnonzero(cls != main):
-            others = np.flatnonzero((block == (q if block[i] == p else p)) & (cls != cls[i]))
+            # Bags whose weights differ too much cannot overlap enough.
+            sized = np.minimum(total, total[i]) >= least * np.maximum(total, total[i])
+            met = (block == (q if block[i] == p else p)) & (node != node[i]) & sized
+            others = np.flatnonzero(met if everywhere else met & (cls != cls[i]))
             agree = (sig[others] == sig[i]).sum(1)
             good = np.flatnonzero(agree >= LOOKS_ALIKE)
-            best = others[good[np.argsort(-agree[good], kind="stable")[:most]]]
+            others = others[good[np.lexsort((node[others[good]], -agree[good]))]]
+            # A pair belongs to the first of the buckets that it shares.
+            first = (keys[others] == keys[i]).argmax(1)
+            own = (keys[i][first] == bucket) & (cls[others] != cls[i])
+            best, rest = others[lo:hi][own[lo:hi]], [] if hi is None else others[hi:][own[hi:]]
             a.append(np.minimum(node[best], node[i]))
             b.append(np.maximum(node[best], node[i]))
-            more.append(np.full(len(best), len(good) > most))
+            more.append(np.full(len(best), False))
+            if len(rest):  # told by a row that pairs the member with itself
+                a.append(node[i : i + 1])
+                b.append(node[i : i + 1])
+                more.append(np.array([True]))
         return pa.table({"a": np.concatenate(a), "b": np.concatenate(b), "more": np.concatenate(more)})
 
     return sent.groupBy("bucket", "p", "q").applyInArrow(compare, "a long, b long, more boolean")
@@ -301,7 +322,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text_column: str = "text"
 
     stars = shared.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     links = _Links(nodes, rows, least)
-    classes = links.compare(_agreeing(stars, nodes))
+    classes = links.compare(_agreeing(stars, nodes, least))
     step = 0
     while True:
         members = shared.join(classes, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("class"))
@@ -309,12 +330,13 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text_column: str = "text"
         open_ = stored(members.join(split, "bucket"), "near_open")
         if not open_.take(1):
             break
-        # First a quick round, then every look-alike pair between classes, the
-        # best of each member first, until none has been left out.
+        # First a quick round, then every look-alike pair between classes: the
+        # best of each member, and in a last round the others.
         everywhere = step > 0
-        found = stored(_partners(open_, nodes, step, 8**step if everywhere else QUICK, everywhere), "near_partners")
-        classes = links.compare(found)
-        if everywhere and not found.where("more").take(1):
+        lo, hi = [(0, QUICK), (0, BEST), (BEST, None)][step]
+        found = stored(_partners(open_, nodes, step, lo, hi, everywhere, least), "near_partners")
+        classes = links.compare(found.where("a <> b"))
+        if everywhere and (hi is None or not found.where("more").take(1)):
             break
         step += 1
 
