@@ -258,31 +258,38 @@ def _overlapping(least: float):
     return run
 
 
-def _partners(open_: DataFrame, nodes: DataFrame, seed: int, lo: int, hi: int | None, everywhere: bool, least: float) -> DataFrame:
-    """(a, b, more): for members outside the largest class of their bucket the
-    members of other classes that look alike; ``more`` tells that some were
-    left out. Members meet in blocks of their bucket.
+def _dealt(open_: DataFrame, seed: int) -> DataFrame:
+    """(bucket, node, class, searches, blocks, block): a member outside the
+    largest class of its bucket searches; ``seed`` deals members to blocks."""
+    largest = open_.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket").agg(F.sum("c").alias("n"), F.max_by("class", F.struct("c", "class")).alias("main"))
+    sized = open_.join(largest, "bucket").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    block = F.pmod(F.xxhash64("node", F.lit(seed)), F.col("blocks")).cast("int").alias("block")
+    return sized.select("bucket", "node", "class", (F.col("class") != F.col("main")).alias("searches"), "blocks", block)
+
+
+def _partners(dealt: DataFrame, nodes: DataFrame, lo: int, hi: int | None, everywhere: bool, least: float) -> DataFrame:
+    """(a, b, more): for the searching members of the buckets the members of
+    other classes that look alike; ``more`` tells that some were left out.
+    Members meet in blocks of their bucket.
 
     Not ``everywhere``: a block meets itself, and a member takes its ``hi``
     best partners. ``everywhere``: each block meets every block, and a member
     takes those ranked lo to hi by agreement among all that look alike in the
     block, whatever their class - so the ranks stay as classes grow, and two
-    calls with adjoining ranks leave no pair out."""
-    largest = open_.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket").agg(F.sum("c").alias("n"), F.max_by("class", F.struct("c", "class")).alias("main"))
-    sized = open_.join(largest, "bucket").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    sized = sized.withColumn("block", F.pmod(F.xxhash64("node", F.lit(seed)), F.col("blocks")).cast("int"))
+    calls with adjoining ranks and the same searching members and blocks
+    leave no pair out."""
     to = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)) if everywhere else F.col("block")
-    sent = sized.select("bucket", "node", "class", "main", "block", to.alias("_o")).select("bucket", F.least("block", "_o").alias("p"), F.greatest("block", "_o").alias("q"), "block", "node", "class", "main")
-    sent = sent.join(nodes.select("node", "signature", "total"), "node").select("bucket", "p", "q", "block", "node", "class", "main", "signature", "total")
+    sent = dealt.select("bucket", "node", "class", "searches", "block", to.alias("_o")).select("bucket", F.least("block", "_o").alias("p"), F.greatest("block", "_o").alias("q"), "block", "node", "class", "searches")
+    sent = sent.join(nodes.select("node", "signature", "total"), "node").select("bucket", "p", "q", "block", "node", "class", "searches", "signature", "total")
 
     def compare(rows: pa.Table) -> pa.Table:
         sig = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint32).reshape(-1, REGISTERS)
         node, cls, block = (rows[c].to_numpy() for c in ("node", "class", "block"))
-        p, q, main, bucket = (rows[c][0].as_py() for c in ("p", "q", "main", "bucket"))
+        p, q, bucket = (rows[c][0].as_py() for c in ("p", "q", "bucket"))
         keys = band_keys(sig)
         total = rows["total"].to_numpy()
         a, b, more = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
-        for i in np.flatnonzero(cls != main):
+        for i in np.flatnonzero(rows["searches"].to_numpy()):
             # Bags whose weights differ too much cannot overlap enough.
             sized = np.minimum(total, total[i]) >= least * np.maximum(total, total[i])
             met = (block == (q if block[i] == p else p)) & (node != node[i]) & sized
@@ -331,10 +338,13 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text_column: str = "text"
         if not open_.take(1):
             break
         # First a quick round, then every look-alike pair between classes: the
-        # best of each member, and in a last round the others.
+        # best of each member, and in a last round the others. The last round
+        # keeps the searching members and blocks of the one before, whose ranks
+        # it goes on from; only the classes are those of now.
         everywhere = step > 0
         lo, hi = [(0, QUICK), (0, BEST), (BEST, None)][step]
-        found = stored(_partners(open_, nodes, step, lo, hi, everywhere, least), "near_partners")
+        dealt = dealt.drop("class").join(open_, ["bucket", "node"]) if lo else _dealt(open_, step)
+        found = stored(_partners(dealt, nodes, lo, hi, everywhere, least), "near_partners")
         classes = links.compare(found.where("a <> b"))
         if everywhere and (hi is None or not found.where("more").take(1)):
             break

@@ -158,6 +158,47 @@ def test_near_classes_against_brute_force(spark, monkeypatch, block):
     assert all(r.kept == (r.doc_id == r.class_id) for r in got)
 
 
+def test_look_alikes_of_large_buckets_are_all_compared(spark, monkeypatch):
+    """Of two bucket mates that look alike and stay in different classes, both
+    bags have been compared, also where blocks are many and ranks past BEST."""
+    for name, n in (("BLOCK", 6), ("BEST", 2), ("QUICK", 1)):
+        monkeypatch.setattr(minhash, name, n)
+    made = []
+
+    class Kept(minhash._Links):
+        def __init__(self, *a):
+            super().__init__(*a)
+            made.append(self)
+
+    monkeypatch.setattr(minhash, "_Links", Kept)
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for at in rng.sample(range(5, 295), 5):
+            words[at] = f"e{i}_{at}"
+        rows.append((i, " ".join(words)))
+        for k in range(i % 4):  # links of their own: the largest classes change
+            words[7 * k] += "!"
+            rows.append((100 + 10 * i + k, " ".join(words)))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: r.class_id for r in minhash.classes_report(docs).collect()}
+    assert got == classes(rows)
+    links = made[0]
+    nodes = links.nodes.select("node", "key", "signature").collect()
+    sig = np.array([np.frombuffer(r.signature, np.uint32) for r in nodes])
+    keys = minhash.band_keys(sig)
+    tested = {(r.a, r.b) for r in links.tested.collect()}
+    alike = 0
+    for i, r in enumerate(nodes):
+        for j in np.flatnonzero((keys == keys[i]).any(1) & ((sig == sig[i]).sum(1) >= minhash.LOOKS_ALIKE)):
+            if got[r.key] < got[nodes[j].key]:
+                alike += 1
+                assert (min(r.node, nodes[j].node), max(r.node, nodes[j].node)) in tested
+    assert alike > 200
+
+
 def test_near_copies_dropped_with_other_columns(spark):
     rows = [(1, "a b c d e f g", "x", 5), (1, "a b c d e f g", "x", 5), (2, "a b c d e f g", "y", 6), (3, None, "z", 7), (None, "h i j k l m", "n", 8)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, digest string, class_id int")
