@@ -367,12 +367,15 @@ def classes_report(docs: DataFrame) -> DataFrame:
 
 
 def without_near_copies(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` with one row of each class: the one of the least key."""
+    """``docs`` with one row of each class: the one of the least key. Rows are
+    told apart by key and text, as keys may be NULL or repeated."""
     found = near_classes(docs.select(key, "text"), key)
-    gone = found.where(~(F.col("first") & F.col(key).eqNullSafe(F.col("class_id")))).select(F.col(key).alias("_k")).distinct()
-    kept = docs.join(gone, docs[key].eqNullSafe(F.col("_k")), "left_anti")
-    again = found.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col(key).alias("_k"))
-    # Repeated keys are rare; only their rows are counted out one by one.
-    single = kept.join(again, kept[key].eqNullSafe(F.col("_k")), "left_anti")
-    repeated = kept.join(again, kept[key].eqNullSafe(F.col("_k")), "left_semi").dropDuplicates([key])
-    return single.unionByName(repeated)
+    one = [F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("_key"), F.col("digest").alias("_digest")]
+    gone = found.where(~(F.col("first") & F.col(key).eqNullSafe(F.col("class_id")))).select(*one).distinct()
+    rows = docs.withColumns({"_key": F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)), "_digest": F.unhex(F.md5(text_of(docs)))})
+    kept = rows.join(gone, ["_key", "_digest"], "left_anti")
+    again = found.select(*one).groupBy("_key", "_digest").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    # Repeated rows are rare; only they are counted out one by one.
+    single = kept.join(again, ["_key", "_digest"], "left_anti")
+    repeated = kept.join(again, ["_key", "_digest"], "left_semi").dropDuplicates(["_key", "_digest"])
+    return single.unionByName(repeated).select(*docs.columns)
