@@ -37,9 +37,10 @@ WORDS = 5
 LEAST = 0.8
 BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
-# Registers that agree, of REGISTERS, for a pair to be verified: three
-# standard deviations below what a similarity of LEAST gives.
-LOOKS_ALIKE = int(REGISTERS * LEAST - 3 * (REGISTERS * LEAST * (1 - LEAST)) ** 0.5)
+# Registers that agree, of REGISTERS, for a pair to be verified: five standard
+# deviations below what a similarity of LEAST gives, so that this loses less
+# than the bands do.
+LOOKS_ALIKE = int(REGISTERS * LEAST - 5 * (REGISTERS * LEAST * (1 - LEAST)) ** 0.5)
 BROADCAST_ROWS = 500_000  # of 40 bytes
 SALTS = 8  # tasks that share the members compared with one node
 BEST = 16  # partners of a block that a member meets before all others

@@ -135,6 +135,12 @@ def test_bagminhash_estimates_weighted_jaccard():
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.06
 
 
+def test_look_alikes_lose_fewer_links_than_the_bands():
+    n, p = minhash.REGISTERS, minhash.LEAST
+    lost = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(minhash.LOOKS_ALIKE))
+    assert lost < (1 - p**minhash.ROWS) ** minhash.BANDS / 10
+
+
 def near_rows():
     """A chain of edits (neighbours alike, ends not), copies, repeats, and short and empty texts."""
     rng = random.Random(9)
