@@ -4,7 +4,8 @@ Suspect words (leetspeak inside letters, letters spaced or dotted apart,
 stretched letters) become character lattices: a symbol may stand for the
 letters it imitates, a separator may vanish, a repeat may collapse. Viterbi
 decoding under a character trigram model, counted over every document, gives
-the restored text. A logistic model over the words and affixes of restored
+the restored text. A suspect run with more letters than a word is read as
+several words: a blank or separator in it may also be the end of one. A logistic model over the words and affixes of restored
 texts, fitted on labelled rows that are not held out, gives the score.
 
 Bounds: the classifier is fitted on at most ``POSITIVES`` and ``NEGATIVES``
@@ -44,6 +45,9 @@ LEET = {
 SEPARATORS = frozenset(".-_*~'`^")
 # Nats for reading a symbol as a letter, for a dropped separator, symbol, repeat.
 COST_LEET, COST_SEPARATOR, COST_DROP, COST_REPEAT = 0.5, 0.3, 12.0, 1.0
+LONGEST_WORD = 24  # letters of a suspect run that is read as one word
+PIECE = 64  # characters decoded between two links of what is done
+EDGES = "%#&*?,.;:\"'()[]<>{}/\\="
 
 L = r"[^\W\d_]"
 IMITATES = "[" + re.escape("".join(LEET)) + "]"
@@ -54,6 +58,26 @@ SUSPECT = re.compile(
     rf"|(?<!\S)(?:[^\W_]|{IMITATES})(?:[ ](?:[^\W_]|{IMITATES})){{2,}}(?!\S)"  # spaced apart
 )
 NOT_LETTERS = re.compile(r"[\W\d_]+")
+# Shapes of what is no word. Letters set apart by dots are no address.
+ADDRESS = re.compile(r"(?<![\w.+%-])(?:\w\.){0,3}[\w+%-]+(?:\.[\w+%-]{2,})*@[\w-]+(?:\.[\w-]+)*\.[a-z]{2,}(?!\w)")
+PATH = re.compile(
+    r"[a-z][a-z0-9+.-]*://|www\.[\w-]{2,}\.|[\w-]{2,}(?:\.[\w-]+)*\.[a-z]{2,}(?::\d+)?/"  # an address of the web, with or without scheme
+    r"|(?:~|\.\.?|[a-z]:)[/\\]|[/\\][^/\\]+[/\\]"  # a path from a root
+    r"|\S*/[\w-]{2,}(?:\.[\w-]{2,})*\.[a-z]\w{0,4}\Z"  # a path to a file
+)
+HEXADECIMAL = re.compile(r"(?:0x)?(?=[a-f-]*\d)[0-9a-f]{8,}(?:-?[0-9a-f]{4,})*")
+TOKEN = re.compile(r"[a-z0-9+/=_-]{40,}")
+
+
+def is_key(word: str) -> bool:
+    """A long hexadecimal number, or random letters and digits: letters that
+    are rare in words are then as frequent as others."""
+    if len(word) >= 32 and HEXADECIMAL.fullmatch(word):
+        return True
+    if not TOKEN.fullmatch(word):
+        return False
+    rare = [word.count(c) for c in "jqxz"]
+    return sum(n > 0 for n in rare) >= 3 and sum(rare) >= 0.06 * len(word) and sum(map(word.count, "0123456789")) >= 0.05 * len(word)
 
 
 class Restorer:
@@ -72,10 +96,13 @@ class Restorer:
     def symbol(c: str) -> int:
         return ord(c) - 96 if "a" <= c <= "z" else 27 if c.isalpha() else 0
 
-    def options(self, c: str, last: str) -> list[tuple[str, float]]:
-        """What a character may stand for after a given letter, with costs."""
+    def options(self, c: str, last: str, words: bool) -> list[tuple[str, float]]:
+        """What a character may stand for after a given letter, with costs; of
+        several words, a blank or separator may end one."""
         if c.isalpha():
             return [(c, 0.0), ("", COST_REPEAT)] if c == last else [(c, 0.0)]
+        if words and (c == " " or c in SEPARATORS):
+            return [("", 0.0)] + [(" ", 0.0)] * (last not in ("", " "))
         out = [(x, COST_LEET) for x in LEET.get(c, "")]
         if last in LEET.get(c, "#"):
             out.append(("", COST_REPEAT))
@@ -87,22 +114,31 @@ class Restorer:
         if word in self.known:
             return self.known[word]
         cost, symbol = self.cost, self.symbol
-        # Best (cost, letters) by the last two symbols and the last letter.
-        beam = {(0, 0, ""): (0.0, "")}
-        for c in word:
-            new: dict[tuple[int, int, str], tuple[float, str]] = {}
-            for (a, b, last), (total, done) in beam.items():
-                for letter, extra in self.options(c, last):
-                    if letter:
-                        s = symbol(letter)
-                        key, value = (b, s, letter), total + extra + cost[(a * SYMBOLS + b) * SYMBOLS + s]
-                    else:
-                        key, value = (a, b, last), total + extra
-                    if key not in new or value < new[key][0]:
-                        new[key] = (value, done + letter)
-            beam = new
-        ends = [(total + cost[(a * SYMBOLS + b) * SYMBOLS], done) for (a, b, _), (total, done) in beam.items()]
-        best = min(ends)[1]
+        words = sum(map(str.isalnum, word)) > LONGEST_WORD
+        # Best (cost, letters, letters of the pieces before) by the last two symbols and the last letter.
+        beam = {(0, 0, ""): (0.0, "", None)}
+        for at in range(0, len(word), PIECE):
+            for c in word[at : at + PIECE]:
+                new: dict[tuple[int, int, str], tuple[float, str, tuple | None]] = {}
+                for (a, b, last), (total, done, before) in beam.items():
+                    for letter, extra in self.options(c, last, words):
+                        if letter:
+                            s = symbol(letter)
+                            key, value = (b, s, letter), total + extra + cost[(a * SYMBOLS + b) * SYMBOLS + s]
+                        else:
+                            key, value = (a, b, last), total + extra
+                        if key not in new or value < new[key][0]:
+                            new[key] = (value, done + letter, before)
+                beam = new
+            if at + PIECE < len(word):
+                beam = {key: (total, "", (done, before)) for key, (total, done, before) in beam.items()}
+        ends = [(total + (cost[(a * SYMBOLS + b) * SYMBOLS] if last != " " else 0.0), done, before) for (a, b, last), (total, done, before) in beam.items()]
+        _, best, before = min(ends, key=lambda e: e[:2])
+        pieces = [best]
+        while before:
+            pieces.append(before[0])
+            before = before[1]
+        best = "".join(reversed(pieces))
         if len(word) <= 40:
             if len(self.known) > 100_000:
                 self.known.clear()
@@ -122,11 +158,15 @@ class Restorer:
             while end < len(text) and not text[end].isspace():
                 end += 1
             word = text[start:end]
-            core = word.replace(" ", "").strip("%#&*?,.;:\"'()[]<>{}/\\=")
-            core = re.sub(r"([^\w])\1+$", "", core)
-            if "@" in core[1:-1] and "." in core.rpartition("@")[2] or "/" in core or len(core) > 64:
-                continue  # an address, a path or a key, not a word
-            out += [text[at:start], self.decode(core) if any(c.isalpha() for c in core) else word]
+            core = re.sub(r"([^\w\s])(?:\s*\1)+$", "", word.strip(EDGES + " "))
+            if " " not in word and (ADDRESS.search(core) or PATH.match(word.strip("\"'()[]<>{},;")) or is_key(core)):
+                out += [text[at:start], word]  # an address, a path or a key, not a word
+                at = end
+                continue
+            if sum(map(str.isalnum, core)) <= LONGEST_WORD:
+                core = core.replace(" ", "")
+            parts = [self.decode(p) if any(c.isalpha() for c in p) else p for p in core.split("/")]
+            out += [text[at:start], "/".join(parts) if any(c.isalpha() for c in core) else word]
             at = end
         return "".join([*out, text[at:]]) if out else text
 

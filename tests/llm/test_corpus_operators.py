@@ -340,6 +340,25 @@ def test_toxicity_restores_noisy_words(toxic):
     assert score("the mail of a.b@c.de and 12 of 345")[1] == "the mail of a.b@c.de and 12 of 345"
 
 
+def test_toxicity_restores_runs_of_any_length(toxic):
+    model = toxic[2]
+    score = model.scorer()
+    weights = {f: w for f, w in model.weights.items() if f[0] == f[-1] == " " and len(f) > 4}
+    assert weights
+    word = max(weights, key=weights.get).strip()
+    plain = score(f"the {word} and")
+    assert score(f"the {word[0]}{word[1] * 90}{word[2:]} and")[0] == pytest.approx(plain[0])  # stretched
+    assert score("the idi0t/m0r0n and")[1] == "the idiot/moron and"
+    sentence = " ".join(["the idiot and the moron of the trash"] * 4).replace(" ", "")
+    for by in (" ", ".", "_"):
+        restored = score("so " + by.join(sentence))[1]
+        assert restored.replace(" ", "") == "so" + sentence and "idiot" in restored, by
+        assert max(map(len, restored.split())) <= 30, by
+    assert score(" ".join(sentence * 300))[1].replace(" ", "") == sentence * 300
+    for kept in ("john.d0e@mail.example.org", "https://example.org/a1b/c2d", "/usr/l1b/x86", "src/ma1n/f1le.py", "0123456789abcdef" * 6, "9f86d081-884c-7d65-9a2f-eaa0c55ad015"):
+        assert score(f"the {kept} and")[1] == f"the {kept} and", kept
+
+
 def test_toxicity_defined_cases(spark, toxic):
     docs, labels, model = toxic
     odd = spark.createDataFrame([(1, None, 9.0), (2, "", 9.0), (2, "", 9.0), (None, "z" * 100_000, 9.0)], "doc_id long, text string, score double")
