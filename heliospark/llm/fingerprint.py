@@ -10,7 +10,9 @@ the greatest overlap possible.
 Defined cases: NULL text is empty; an empty text has an empty fingerprint,
 alike 1 to another empty one and 0 to any other; a text with fewer than
 ``FEW`` improbable windows has every ``TINY``-byte window (or itself, if
-shorter) as a feature; repeated doc_ids are ordered by a hash of their text;
+shorter) as a feature, and so has, for this comparison, any text that it is
+compared with (a text with fewer than ``SOME`` keeps them in its fingerprint; a
+longer one has them as long as its text is at hand); repeated doc_ids are ordered by a hash of their text;
 a NULL doc_id comes last in descending order; an empty table gives an empty
 table. Long texts are worked through in blocks, with the same result.
 """
@@ -32,6 +34,7 @@ WINDOW = 32  # bytes of a feature
 NEAR = 32  # windows of a neighbourhood
 POPULAR = 8  # neighbourhoods that a feature must be rarest in
 FEW, TINY = 8, 8
+SOME = 4 * FEW  # features of a text below which its fingerprint also holds its TINY-byte windows
 BITS, PER_FILTER = 2048, 160  # of a Bloom filter; 5 bits a feature
 BINS = 512  # of entropy
 DULL = 0.2  # share of the greatest entropy below which a window is no feature
@@ -128,11 +131,14 @@ def _window_hashes(x: np.ndarray, starts: np.ndarray, powers: np.ndarray) -> np.
 
 
 class Fingerprint:
-    """A chain of Bloom filters: ``bits`` (filters x 64-bit words), ``loads`` features in each."""
+    """A chain of Bloom filters: ``bits`` (filters x 64-bit words), ``loads``
+    features in each. ``tiny`` tells that they are TINY-byte windows; else
+    ``short`` is the fingerprint of those, or the text to make it of."""
 
-    __slots__ = ("bits", "loads")
+    __slots__ = ("bits", "loads", "tiny", "short")
 
-    def __init__(self, hashes: np.ndarray) -> None:
+    def __init__(self, hashes: np.ndarray, tiny: bool = False, short: Fingerprint | bytes | None = None) -> None:
+        self.tiny, self.short = tiny, short
         _, first = np.unique(hashes, return_index=True)
         hashes = hashes[np.sort(first)]
         k = -(-len(hashes) // PER_FILTER)
@@ -143,25 +149,49 @@ class Fingerprint:
             flags[row, ((hashes >> np.uint64(11 * j)) & np.uint64(BITS - 1)).astype(np.int64)] = 1
         self.bits = np.packbits(flags, axis=1).view(np.uint64).reshape(k, BITS // 64)
 
+    def of_tiny_windows(self) -> Fingerprint | None:
+        if self.tiny:
+            return self
+        if isinstance(self.short, bytes):
+            self.short = Fingerprint(_tiny_hashes(np.frombuffer(self.short, np.uint8)), True)
+        return self.short
+
     def text(self) -> str:
-        """features:filters in base64, empty for an empty text."""
+        """features:filters in base64, empty for an empty text; that of the
+        TINY-byte windows, if any, follows a semicolon."""
         if not len(self.loads):
             return ""
-        return f"{int(self.loads.sum())}:" + base64.b64encode(self.bits.tobytes()).decode()
+        own = f"{int(self.loads.sum())}:" + base64.b64encode(self.bits.tobytes()).decode()
+        return ";" + own if self.tiny else own + self.short.text() if isinstance(self.short, Fingerprint) and self.loads.sum() < SOME else own
 
     @classmethod
     def parse(cls, text: str) -> Fingerprint:
-        out = cls(np.empty(0, np.uint64))
-        if text:
-            count, _, data = text.partition(":")
+        if not text:
+            return cls(np.empty(0, np.uint64))
+
+        def chain(part: str, tiny: bool) -> Fingerprint:
+            out = cls(np.empty(0, np.uint64), tiny)
+            count, _, data = part.partition(":")
             out.bits = np.frombuffer(base64.b64decode(data), np.uint64).reshape(-1, BITS // 64)
             left = int(count)
             out.loads = np.array([min(PER_FILTER, left - i * PER_FILTER) for i in range(len(out.bits))], np.int64)
+            return out
+
+        own, _, short = text.partition(";")
+        if not own:
+            return chain(short, True)
+        out = chain(own, False)
+        out.short = chain(short, True) if short else None
         return out
 
     def likeness(self, other: Fingerprint) -> float:
         """0 to 1: each filter of the shorter chain against the filter of the
-        other that it overlaps most, weighted by load."""
+        other that it overlaps most, weighted by load. A text of few features
+        is compared by the TINY-byte windows of both."""
+        if self.tiny != other.tiny and len(self.loads) and len(other.loads):
+            x, y = self.of_tiny_windows(), other.of_tiny_windows()
+            if x is not None and y is not None:
+                return x.likeness(y)
         a, b = sorted((self, other), key=lambda f: (int(f.loads.sum()), f.bits.tobytes()))
         if not len(a.loads):
             return 1.0 if not len(b.loads) else 0.0
@@ -177,6 +207,12 @@ class Fingerprint:
         return total / float(a.loads.sum())
 
 
+def _tiny_hashes(y: np.ndarray) -> np.ndarray:
+    if len(y) >= TINY:
+        return _window_hashes(y, np.arange(len(y) - TINY + 1), _TINY_POWERS)
+    return _window_hashes(y, np.zeros(1, np.int64), _POWERS[: len(y)])
+
+
 def _blocks(texts: list[bytes]) -> Iterator[list[int]]:
     """Numbers of texts to work on together."""
     group, size = [], 0
@@ -213,12 +249,11 @@ def fingerprints(texts: list[bytes], ranks: np.ndarray) -> list[Fingerprint]:
             own = hashes[at:cut]
             at = cut
             if len(own) < FEW and texts[i]:
-                y = x[end - len(texts[i]) : end]
-                if len(y) >= TINY:
-                    own = _window_hashes(y, np.arange(len(y) - TINY + 1), _TINY_POWERS)
-                else:
-                    own = _window_hashes(y, np.zeros(1, np.int64), _POWERS[: len(y)])
-            out[i] = Fingerprint(own)
+                out[i] = Fingerprint(_tiny_hashes(x[end - len(texts[i]) : end]), True)
+            else:
+                out[i] = Fingerprint(own, short=texts[i])
+                if out[i].loads.sum() < SOME and texts[i]:
+                    out[i].of_tiny_windows()
     return out
 
 

@@ -79,6 +79,23 @@ def test_blocks_of_a_long_text_change_nothing(spark, monkeypatch):
     assert fingerprint.Fingerprint.parse(whole[0].text()).likeness(whole[0]) == 1.0
 
 
+def test_likeness_does_not_jump_where_features_are_few(spark):
+    ranks = fingerprint.rarity_ranks(fingerprint.entropy_histogram(documents(spark)))
+    found = 0
+    for text in (r.text.encode() for r in documents(spark).limit(40).collect() if r.text and len(r.text) > 400):
+        counts = [len(fingerprint.feature_starts(np.frombuffer(text[:n], np.uint8), np.array([n]), ranks)) for n in range(len(text))]
+        cut = next((n for n in range(1, len(text)) if counts[n] == fingerprint.FEW and counts[n - 1] == fingerprint.FEW - 1), None)
+        if cut is None:
+            continue
+        found += 1
+        few, enough, longer = fingerprint.fingerprints([text[: cut - 1], text[:cut], text], ranks)
+        assert few.likeness(enough) > 0.9 and enough.likeness(few) > 0.9
+        assert few.likeness(longer) > 0.5
+        parse = fingerprint.Fingerprint.parse
+        assert parse(few.text()).likeness(parse(enough.text())) == few.likeness(enough)
+    assert found > 3
+
+
 def test_edited_report(spark):
     docs = plus(spark, [(900001, None), (900002, ""), (900003, ""), (900004, "same text, twice here"), (900005, "same text, twice here"), (900006, "y" * 5000)])
     rows = {r.doc_id: r for r in fingerprint.edited_report(docs).collect()}
