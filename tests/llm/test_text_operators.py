@@ -142,6 +142,18 @@ def test_bpe_query(spark, library):
 GPT = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def test_packing_ids_of_written_out_special_tokens(spark):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(GPT)  # with its default settings
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", "<|endoftext |> <|endoftext", "plain words"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in packing.document_pieces(docs, GPT).collect()}
+    for k, text in enumerate(texts):
+        own = np.array([*tok.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        assert (rows[k].length, rows[k].ids_crc32) == (len(own), zlib.crc32(own.tobytes())), text
+
+
 def test_packing_pieces_and_places(spark):
     from tokenizers import Tokenizer
 
