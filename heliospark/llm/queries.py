@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, hnsw, htmlcut, minhash, mixing, packing, pii, ranked, secret_scan, suffix, toxicity
+from . import bpe, fingerprint, hnsw, htmlcut, minhash, mixing, packing, pii, ranked, repair, secret_scan, suffix, toxicity
 from .common import read
 
 
@@ -58,6 +58,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.conversations_report(read(spark, sf_dir, "conversations"))
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read(spark, sf_dir, "documents"))
 
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_secret_scan": op10_secret_scan,
     "op11_ranked_search": op11_ranked_search,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_mixing": op13_mixing,
 }
 # The other operators are not expressible in DuckDB SQL within reach; each is
