@@ -85,5 +85,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # tested against brute force, a round trip or held-out accuracy in tests/llm.
 ORACLES: dict[str, str] = {
     "op11_ranked_search": ranked.RANKED_SQL,
+    "op12_conversation_repair": repair.REPAIR_SQL,
     "op13_mixing": mixing.MIX_SQL,
 }

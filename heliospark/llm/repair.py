@@ -432,3 +432,84 @@ def repair_report(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
 def conversations_report(conversations: DataFrame) -> DataFrame:
     return repair_report(damaged(conversations))
+
+
+def _sql() -> str:
+    """The report in SQL. A path is its cost in nine digits and its initials, so
+    the least string is the cheapest and, among those, the least in ASCII."""
+
+    def plus(x: str, cost: str, label: str) -> str:
+        return f"(printf('%09d', substr({x}, 1, 9)::BIGINT + {cost}) || substr({x}, 10) || '{label}')"
+
+    def least(*xs: str) -> str:
+        return f"least({', '.join(xs)})"
+
+    keep = "CASE WHEN cut THEN 3 ELSE 0 END"
+    rerole = "CASE WHEN cut THEN 6 ELSE 3 END"
+    may = "CASE WHEN NOT gone"
+    users = [f"{may} AND initial = 'u' THEN {plus(least('i0', 'i1', 'i3'), keep, 'K')} END", f"{may} THEN {plus(least('i0', 'i1', 'i3'), rerole, 'R')} END"]
+    assistants = [f"{may} AND initial = 'a' THEN {plus('i2', keep, 'K')} END", f"{may} THEN {plus('i2', rerole, 'R')} END"]
+    return rf"""
+WITH RECURSIVE dealt AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce([4294967295] || list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ord(c)::BIGINT),
+           lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) % 20 AS damage
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN damage = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN damage = 1 THEN '' WHEN damage = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN damage = 0 THEN [] WHEN damage = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM dealt),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen,
+         rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body, left(role, 1) AS initial
+  FROM damaged),
+told AS (
+  SELECT *, body = '' AS blank, body <> '' AND seen AS duplicate, body = '' OR seen AS gone,
+         body <> '' AND NOT seen AND right(body, 1) NOT IN ('.', '!', '?') AS cut,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS neighbours
+  FROM ordered),
+paths AS (
+  SELECT conv_id, 0::BIGINT AS i, '000000000' AS x0, NULL::VARCHAR AS x1, NULL::VARCHAR AS x2, NULL::VARCHAR AS x3 FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i, {plus('i0', '4', 'D')},
+         {least(plus('i1', '4', 'D'), f"{may} AND initial = 's' THEN {plus('i0', keep, 'K')} END")},
+         {least(plus('i2', '4', 'D'), *users)},
+         {least(plus('i3', '4', 'D'), *assistants)}
+  FROM (
+    SELECT p.conv_id, t.i, initial, gone, cut, x0 AS i0, x1 AS i1,
+           {least('x2', plus('x0', '3', 'I'), plus('x1', '3', 'I'), plus('x3', '3', 'I'))} AS i2,
+           {least('x3', plus('x2', '3', 'I'), plus('x0', '6', 'II'), plus('x1', '6', 'II'))} AS i3
+    FROM paths p JOIN told t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.i = p.i + 1)),
+best AS (
+  SELECT conv_id, i AS n, {least('x0', plus('x1', '6', 'II'), plus('x2', '3', 'I'), 'x3')} AS path
+  FROM paths QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+edits AS (
+  SELECT conv_id, unnest(string_split(substr(path, 10), '')) AS edit, generate_subscripts(string_split(substr(path, 10), ''), 1) AS place FROM best WHERE length(path) > 9),
+placed AS (
+  SELECT conv_id, edit, place, count(*) FILTER (edit <> 'I') OVER (PARTITION BY conv_id ORDER BY place) AS i,
+         count(*) FILTER (edit <> 'D') OVER (PARTITION BY conv_id ORDER BY place) AS emitted
+  FROM edits),
+turns AS (
+  SELECT p.conv_id, p.place, p.edit, p.emitted, t.role, t.text, t.initial,
+         max(CASE WHEN p.edit = 'K' AND p.emitted = 1 AND t.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY p.conv_id) AS led
+  FROM placed p LEFT JOIN told t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.i = p.i AND p.edit <> 'I'),
+repaired AS (
+  SELECT conv_id, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (emitted - led) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY place)) AS digest
+  FROM turns WHERE edit <> 'D' GROUP BY conv_id),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (cut) AS truncated,
+         count(*) FILTER (neighbours IS NOT NULL AND neighbours NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM told GROUP BY conv_id)
+SELECT b.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, substr(path, 1, 9)::BIGINT AS cost,
+       substr(path, 10) AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM best b
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM b.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
+
+
+REPAIR_SQL = _sql()
