@@ -10,10 +10,12 @@ similarity. Bands of registers propose candidates; every link is verified by
 the exact overlap of the two bags.
 
 Groups are never expanded into pairs. Equal texts are one node. The members of
-a bucket are compared with its least node; where that leaves several classes
-in a bucket, its members meet in blocks that compare whole signatures across
-classes and hand on the pairs that look alike. A node's bag travels once for
-each node that it is compared with.
+a bucket are compared with its least node, and where that leaves several
+classes in a bucket, with the best partners in a block of it. Where that leaves
+several classes, the blocks of a bucket meet two by two: whole signatures tell
+who looks like a member of another class, and those members meet again with
+their bags, in one task that compares every such pair and hands on the links
+that join classes.
 
 Defined cases: NULL text is empty; a text of fewer than five words is one
 shingle, an empty text none (all empty texts are one class); repeated rows are
@@ -42,10 +44,10 @@ REGISTERS = BANDS * ROWS
 # than the bands do.
 LOOKS_ALIKE = int(REGISTERS * LEAST - 5 * (REGISTERS * LEAST * (1 - LEAST)) ** 0.5)
 BROADCAST_ROWS = 500_000  # of 40 bytes
-SALTS = 8  # tasks that share the members compared with one node
-BEST = 16  # partners of a block that a member meets before all others
-QUICK = 2  # partners of its block that a member meets in the first round
+TASK_PARTNERS = 2000  # members compared with one node in a task
+QUICK = 2  # partners of its block that a member meets before all others
 BLOCK = 512  # members of a bucket compared at once
+PAIRS = 256  # bags compared with one at once
 KNOWN_WORDS = 300_000  # hashes remembered by a worker; emptied when full
 
 NO_KEY = -(1 << 63)  # stands for a NULL key
@@ -187,9 +189,9 @@ class _Links:
         self.tested: DataFrame | None = None
         self.bags: DataFrame | None = None
 
-    def _hold(self, pairs: DataFrame) -> None:
-        """Compute the bags of nodes that have none yet."""
-        wanted = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().select(F.col("a").alias("node"))
+    def hold(self, wanted: DataFrame) -> None:
+        """Compute the bags of the given nodes that have none yet."""
+        wanted = wanted.select("node").distinct()
         if self.bags is not None:
             wanted = wanted.join(self.bags.select("node"), "node", "left_anti")
         wanted = stored(self.nodes.select("node", "key", "digest").join(wanted, "node"), "near_wanted")
@@ -210,34 +212,57 @@ class _Links:
         more = stored(texts.mapInArrow(bag, "node long, bag binary"), "near_bags")
         self.bags = more if self.bags is None else self.bags.unionByName(more)
 
+    def link(self, found: DataFrame) -> DataFrame:
+        """Take in (a, b) links and return the (node, component) rows."""
+        if self.stars is not None:  # old links count as the stars they have made
+            found = found.unionByName(self.stars.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        self.stars = component_labels(found, "near_classes")
+        return self.stars
+
     def compare(self, pairs: DataFrame) -> DataFrame:
-        """Verify (a, b) pairs by the exact overlap of their bags and return the
-        new (node, component) rows. The bag of b goes to the tasks of a, where
-        the bag of a waits, one copy for each salt."""
+        """Verify (a, b) pairs, few for each b, by the exact overlap of their
+        bags and return the new (node, component) rows. The bag of b goes to
+        the tasks of a, where the bag of a waits, one copy for each task."""
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         pairs = stored(pairs.select("a", "b").distinct(), "near_pairs")
-        self._hold(pairs)
+        self.hold(pairs.select(F.explode(F.array("a", "b")).alias("node")))
         self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
         if self.bags is None:
-            found = pairs
-        else:
-            salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-            centre = pairs.select("a").distinct().join(self.bags, F.col("a") == F.col("node")).select("a", salts.alias("salt"), F.lit(None).cast("long").alias("b"), "bag")
-            member = pairs.join(self.bags, F.col("b") == F.col("node")).select("a", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int").alias("salt"), "b", "bag")
-            meeting = centre.unionByName(member).repartition("a", "salt").sortWithinPartitions("a", "salt", F.asc_nulls_first("b"))
-            found = stored(meeting.mapInArrow(_overlapping(self.least), "a long, b long"), "near_links")
-        if self.stars is not None:  # old links count as the stars they have made
-            found = found.unionByName(self.stars.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        self.stars = component_labels(found, "near_classes")
-        return self.stars
+            return self.link(pairs)
+        # Only nodes with many partners need several tasks.
+        many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TASK_PARTNERS).cast("int").alias("salts")).where("salts > 1")
+        own = pairs.select("a").distinct().join(many, "a", "left").select("a", F.coalesce("salts", F.lit(1)).alias("salts"))
+        centre = own.join(self.bags, F.col("a") == F.col("node")).select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "bag")
+        member = pairs.join(many, "a", "left").join(self.bags, F.col("b") == F.col("node")).select("a", F.pmod(F.xxhash64("b"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"), "b", "bag")
+        meeting = centre.unionByName(member).repartition("a", "salt").sortWithinPartitions("a", "salt", F.asc_nulls_first("b"))
+        return self.link(stored(meeting.mapInArrow(_overlapping(self.least), "a long, b long"), "near_links"))
+
+    def compare_all(self, dealt: DataFrame) -> DataFrame:
+        """Verify every look-alike pair of bucket mates of different classes and
+        return the new (node, component) rows.
+
+        The blocks of a bucket meet two by two. First they meet with signatures,
+        which tells the members that look like one of another class; only those
+        then meet again, with their bags, and a task hands on no more links than
+        join its classes. A pair is never a row."""
+        alike = stored(_met(dealt, self.nodes, _look_alikes(self.least), "bucket long, p int, q int, block int, node long, class long"), "near_alike")
+        self.hold(alike)
+        if self.bags is None:
+            return self.link(alike.select(F.col("node").alias("a"), F.col("node").alias("b")))
+        nodes = self.nodes.select("node", "signature", "total").join(self.bags, "node")
+        found = stored(_met(alike, nodes, _linked(self.least), "a long, b long"), "near_found")
+        # What has been compared, for audits; not computed otherwise.
+        self.tested = self.tested.unionByName(_met(alike, nodes, _linked(self.least, audit=True), "a long, b long"))
+        return self.link(found)
 
 
-def _overlapping(least: float):
-    def parse(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-        n = len(data) // 12
-        return np.frombuffer(data, np.uint64, n), np.frombuffer(data, np.uint32, n, 8 * n)
+def _parsed(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(data) // 12
+    return np.frombuffer(data, np.uint64, n), np.frombuffer(data, np.uint32, n, 8 * n)
 
+
+def _overlapping(least: float):
     def overlap(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
         at = np.searchsorted(x[0], y[0])
         at[at == len(x[0])] = 0
@@ -251,67 +276,135 @@ def _overlapping(least: float):
             found = []
             for a, b, data in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "bag")), strict=True):
                 if b is None:
-                    own = parse(data)
-                elif overlap(own, parse(data)) >= least:
+                    own = _parsed(data)
+                elif overlap(own, _parsed(data)) >= least:
                     found.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
 
     return run
 
 
-def _dealt(open_: DataFrame, seed: int) -> DataFrame:
-    """(bucket, node, class, searches, blocks, block): a member outside the
-    largest class of its bucket searches; ``seed`` deals members to blocks."""
-    largest = open_.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket").agg(F.sum("c").alias("n"), F.max_by("class", F.struct("c", "class")).alias("main"))
-    sized = open_.join(largest, "bucket").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    block = F.pmod(F.xxhash64("node", F.lit(seed)), F.col("blocks")).cast("int").alias("block")
-    return sized.select("bucket", "node", "class", (F.col("class") != F.col("main")).alias("searches"), "blocks", block)
-
+def _dealt(open_: DataFrame) -> DataFrame:
+    """(bucket, node, class, blocks, block): the members of each bucket in blocks."""
+    sizes = open_.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    return open_.join(sizes, "bucket").select("bucket", "node", "class", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
 
-def _partners(dealt: DataFrame, nodes: DataFrame, lo: int, hi: int | None, everywhere: bool, least: float) -> DataFrame:
-    """(a, b, more): for the searching members of the buckets the members of
-    other classes that look alike; ``more`` tells that some were left out.
-    Members meet in blocks of their bucket.
 
-    Not ``everywhere``: a block meets itself, and a member takes its ``hi``
-    best partners. ``everywhere``: each block meets every block, and a member
-    takes those ranked lo to hi by agreement among all that look alike in the
-    block, whatever their class - so the ranks stay as classes grow, and two
-    calls with adjoining ranks and the same searching members and blocks
-    leave no pair out."""
-    to = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)) if everywhere else F.col("block")
-    sent = dealt.select("bucket", "node", "class", "searches", "block", to.alias("_o")).select("bucket", F.least("block", "_o").alias("p"), F.greatest("block", "_o").alias("q"), "block", "node", "class", "searches")
-    sent = sent.join(nodes.select("node", "signature", "total"), "node").select("bucket", "p", "q", "block", "node", "class", "searches", "signature", "total")
+def _quick(dealt: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """(a, b): for the members of a block outside its largest class the QUICK
+    members of other classes that look most alike."""
+    sent = dealt.join(nodes.select("node", "signature", "total"), "node").select("bucket", "block", "node", "class", "signature", "total")
 
     def compare(rows: pa.Table) -> pa.Table:
         sig = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint32).reshape(-1, REGISTERS)
-        node, cls, block = (rows[c].to_numpy() for c in ("node", "class", "block"))
-        p, q, bucket = (rows[c][0].as_py() for c in ("p", "q", "bucket"))
-        keys = band_keys(sig)
-        total = rows["total"].to_numpy()
-        a, b, more = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
-        for i in np.flatnonzero(rows["searches"].to_numpy()):
+        node, cls, total = (rows[c].to_numpy() for c in ("node", "class", "total"))
+        names, counts = np.unique(cls, return_counts=True)
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for i in np.flatnonzero(cls != names[counts.argmax()]):
             # Bags whose weights differ too much cannot overlap enough.
-            sized = np.minimum(total, total[i]) >= least * np.maximum(total, total[i])
-            met = (block == (q if block[i] == p else p)) & (node != node[i]) & sized
-            others = np.flatnonzero(met if everywhere else met & (cls != cls[i]))
+            others = np.flatnonzero((cls != cls[i]) & (np.minimum(total, total[i]) >= least * np.maximum(total, total[i])))
             agree = (sig[others] == sig[i]).sum(1)
             good = np.flatnonzero(agree >= LOOKS_ALIKE)
-            others = others[good[np.lexsort((node[others[good]], -agree[good]))]]
-            # A pair belongs to the first of the buckets that it shares.
-            first = (keys[others] == keys[i]).argmax(1)
-            own = (keys[i][first] == bucket) & (cls[others] != cls[i])
-            best, rest = others[lo:hi][own[lo:hi]], [] if hi is None else others[hi:][own[hi:]]
-            a.append(np.minimum(node[best], node[i]))
-            b.append(np.maximum(node[best], node[i]))
-            more.append(np.full(len(best), False))
-            if len(rest):  # told by a row that pairs the member with itself
-                a.append(node[i : i + 1])
-                b.append(node[i : i + 1])
-                more.append(np.array([True]))
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b), "more": np.concatenate(more)})
-
-    return sent.groupBy("bucket", "p", "q").applyInArrow(compare, "a long, b long, more boolean")
+            best = node[others[good[np.lexsort((node[others[good]], -agree[good]))[:QUICK]]]]
+            a.append(np.minimum(best, node[i]))
+            b.append(np.maximum(best, node[i]))
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    return sent.groupBy("bucket", "block").applyInArrow(lambda t: compare(t), "a long, b long")
+
+
+def _met(members: DataFrame, nodes: DataFrame, compare, schema: str) -> DataFrame:
+    """``compare`` over the members of every two blocks of a bucket (and of each
+    block by itself) with what ``nodes`` has of them. Members come with
+    ``blocks``, for all pairs of blocks, or with the pair (p, q) itself."""
+    if "blocks" in members.columns:
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_o")
+        members = members.select("bucket", "node", "class", "block", other).select("bucket", F.least("block", "_o").alias("p"), F.greatest("block", "_o").alias("q"), "block", "node", "class")
+    columns = [c for c in nodes.columns if c in ("signature", "total", "bag")]
+    sent = members.join(nodes.select("node", *columns), "node").select("bucket", "p", "q", "block", "node", "class", *columns)
+    return sent.groupBy("bucket", "p", "q").applyInArrow(lambda t: compare(t), schema)
+
+
+class _Meeting:
+    """The members of two blocks of a bucket; class labels that links join."""
+
+    def __init__(self, rows: pa.Table, least: float) -> None:
+        self.bucket, self.p, self.q = (rows[c][0].as_py() for c in ("bucket", "p", "q"))
+        self.sig = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint32).reshape(-1, REGISTERS)
+        self.node, self.cls, self.block, self.total = (rows[c].to_numpy() for c in ("node", "class", "block", "total"))
+        self.keys, self.least = band_keys(self.sig), least
+        self.label = np.unique(self.cls, return_inverse=True)[1]
+
+    def first(self) -> np.ndarray:
+        return np.flatnonzero(self.block == self.p)
+
+    def partners(self, i: int) -> np.ndarray:
+        """Members not yet joined with member i that look like it; a pair of one
+        block is told to its first member, and a pair to the first bucket that it shares."""
+        met = self.block == self.q
+        if self.p == self.q:
+            met[: i + 1] = False
+        total = self.total
+        # Bags whose weights differ too much cannot overlap enough.
+        others = np.flatnonzero(met & (self.label != self.label[i]) & (np.minimum(total, total[i]) >= self.least * np.maximum(total, total[i])))
+        others = others[(self.sig[others] == self.sig[i]).sum(1) >= LOOKS_ALIKE]
+        return others[self.keys[i][(self.keys[others] == self.keys[i]).argmax(1)] == self.bucket]
+
+
+def _look_alikes(least: float):
+    """The members that look like one of another class, as rows for ``_met``."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        meeting = _Meeting(rows, least)
+        alike = np.zeros(len(meeting.node), bool)
+        for i in meeting.first():
+            others = meeting.partners(i)
+            alike[others] = True
+            alike[i] |= len(others) > 0
+        return rows.select(["bucket", "p", "q", "block", "node", "class"]).filter(pa.array(alike))
+
+    return run
+
+
+def _linked(least: float, audit: bool = False):
+    """Links between look-alikes of different classes that join these classes
+    (for an audit, the pairs that are compared)."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        meeting = _Meeting(rows, least)
+        node, total, label = meeting.node, meeting.total, meeting.label
+        each = [_parsed(d) for d in rows["bag"].to_pylist()]
+        sizes = np.array([len(h) for h, _ in each])
+        begin = np.cumsum(sizes) - sizes
+        _, shingle = np.unique(np.concatenate([h for h, _ in each]), return_inverse=True)
+        weight = np.concatenate([w for _, w in each]).astype(np.int64)
+        own = np.zeros(int(shingle.max(initial=-1)) + 1, np.int64)
+        a, b = [], []
+        for i in meeting.first():
+            others = meeting.partners(i)
+            mine = slice(begin[i], begin[i] + sizes[i])
+            own[shingle[mine]] = weight[mine]
+            for lo in range(0, len(others), PAIRS):
+                some = others[lo : lo + PAIRS]
+                if not audit:
+                    some = some[label[some] != label[i]]
+                if not len(some):
+                    continue
+                # The entries of the partners' bags, one after the other.
+                ends = np.cumsum(sizes[some])
+                at = np.repeat(begin[some] - (ends - sizes[some]), sizes[some]) + np.arange(ends[-1])
+                shared = np.add.reduceat(np.minimum(own[shingle[at]], weight[at]), ends - sizes[some])
+                linked = some if audit else some[shared >= least * (total[i] + total[some] - shared)]
+                for j in linked:
+                    if audit or label[j] != label[i]:
+                        a.append(min(node[i], node[j]))
+                        b.append(max(node[i], node[j]))
+                        if not audit:
+                            label[label == label[j]] = label[i]
+            own[shingle[mine]] = 0
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
 
 
 def near_classes(docs: DataFrame, key: str = "doc_id", text_column: str = "text", least: float = LEAST) -> DataFrame:
@@ -328,28 +421,22 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text_column: str = "text"
     heads = buckets.groupBy("bucket").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "head")
     shared = stored(buckets.join(heads, "bucket").select("bucket", "node", "head"), "near_buckets")
 
+    def open_buckets(classes: DataFrame) -> DataFrame:
+        """The members of buckets that hold several classes."""
+        members = shared.join(classes, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("class"))
+        split = members.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
+        return stored(members.join(split, "bucket"), "near_open")
+
     stars = shared.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     links = _Links(nodes, rows, least)
     classes = links.compare(_agreeing(stars, nodes, least))
-    step = 0
-    while True:
-        members = shared.join(classes, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("class"))
-        split = members.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
-        open_ = stored(members.join(split, "bucket"), "near_open")
+    # What the heads have left open: the best partners in a block, then all.
+    for last in (False, True):
+        open_ = open_buckets(classes)
         if not open_.take(1):
             break
-        # First a quick round, then every look-alike pair between classes: the
-        # best of each member, and in a last round the others. The last round
-        # keeps the searching members and blocks of the one before, whose ranks
-        # it goes on from; only the classes are those of now.
-        everywhere = step > 0
-        lo, hi = [(0, QUICK), (0, BEST), (BEST, None)][step]
-        dealt = dealt.drop("class").join(open_, ["bucket", "node"]) if lo else _dealt(open_, step)
-        found = stored(_partners(dealt, nodes, lo, hi, everywhere, least), "near_partners")
-        classes = links.compare(found.where("a <> b"))
-        if everywhere and (hi is None or not found.where("more").take(1)):
-            break
-        step += 1
+        dealt = _dealt(open_)
+        classes = links.compare_all(dealt) if last else links.compare(_quick(dealt, nodes, least))
 
     own = nodes.select("digest", "node", "key").join(classes, "node", "left").select("digest", "key", F.coalesce("component", "node").alias("class"))
     # Of a class the least key; among texts of one key the least digest.

@@ -183,8 +183,8 @@ def test_near_classes_against_brute_force(spark, monkeypatch, block):
 
 def test_look_alikes_of_large_buckets_are_all_compared(spark, monkeypatch):
     """Of two bucket mates that look alike and stay in different classes, both
-    bags have been compared, also where blocks are many and ranks past BEST."""
-    for name, n in (("BLOCK", 6), ("BEST", 2), ("QUICK", 1)):
+    bags have been compared, also where blocks are many."""
+    for name, n in (("BLOCK", 6), ("QUICK", 1), ("PAIRS", 3), ("TASK_PARTNERS", 5)):
         monkeypatch.setattr(minhash, name, n)
     made = []
 
