@@ -1,7 +1,7 @@
 """Removal of byte strings that repeat anywhere in the corpus, by suffix arrays.
 
-1. Routing. Of the ``GRAM``-byte windows inside every LENGTH-byte string the
-   one of least hash (the leftmost) is its anchor; equal strings have equal
+1. Routing. Of the shorter windows inside every LENGTH-byte string the one of
+   least hash (the leftmost) is its anchor; equal strings have equal
    anchors at the same place. A document falls into fragments: runs of strings
    with one anchor. Only fragments whose anchor occurs again can hold a repeat.
 2. Collapse. Equal fragments of an anchor are counted; those seen twice are
@@ -21,9 +21,10 @@
 Everything is exact but for 64-bit hashes of fragments within an anchor.
 
 Defined cases: NULL text is empty; a text shorter than LENGTH bytes loses
-nothing; repeated rows count as occurrences of each other (rows alike in key
-and text have the same result); other columns are not needed; an empty table
-gives an empty table. Blocks of a long text overlap, with the same result.
+nothing; every row is a document of its own whatever its id, so repeated rows
+are occurrences of each other; other columns pass through, but for those named
+like the ones added; an empty table gives an empty table. Blocks of a long
+text overlap, with the same result.
 """
 
 from __future__ import annotations
@@ -37,16 +38,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_of
+from ..session import shared_path
+from .common import discard, stored, text_of
 
 LENGTH = 400
-GRAM = 128  # a power of two; strings of one class share at least so many bytes
 BLOCK = 1 << 20  # bytes worked on together
 CLASS_FRAGMENTS = 3000  # of one class in a shard; a larger class is halved
 SHARD_BYTES = 3 << 20
-# Rows per document are broadcast if their items, of so many bytes each, stay
-# below this size; beyond it both sides are shuffled.
-BROADCAST_BYTES, ITEM_BYTES = 160 << 20, 48
+BUCKET_BYTES = 64 << 20  # of texts in a bucket of the table that the runs are brought to
 
 _B = 0x9E3779B97F4A7C15
 
@@ -57,24 +56,30 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def gram_hashes(x: np.ndarray) -> np.ndarray:
-    """Hash of the GRAM bytes from each position on."""
+def gram_of(length: int) -> int:
+    """The bytes of an anchor for strings of a length: a power of two, a third
+    of the length at most; strings of one class share at least so many."""
+    return 1 << (max(1, length // 3)).bit_length() - 1
+
+
+def gram_hashes(x: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of the ``gram`` bytes from each position on."""
     h = x.astype(np.uint64) + np.uint64(1)
     span = 1
-    while span < GRAM:
+    while span < gram:
         h = h[:-span] * np.uint64(pow(_B, span, 1 << 64)) + h[span:]
         span *= 2
     return _mixed(h)
 
 
-def anchors(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(x: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(anchor hash, anchor position, first string, strings) of each fragment of
-    a text of at least LENGTH bytes."""
+    a text of at least ``length`` bytes."""
     hashes, places = [], []
-    n = len(x) - LENGTH + 1
-    window = LENGTH - GRAM + 1
+    n, gram = len(x) - length + 1, gram_of(length)
+    window = length - gram + 1
     for lo in range(0, n, BLOCK):
-        h = gram_hashes(x[lo : lo + BLOCK + LENGTH - 1])
+        h = gram_hashes(x[lo : lo + BLOCK + length - 1], gram)
         # Least hash, then leftmost place: the low bits of the hash make room for the place.
         key = h & ~np.uint64((1 << 22) - 1) | np.arange(len(h), dtype=np.uint64)
         span = 1
@@ -90,39 +95,39 @@ def anchors(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return h[first].view(np.int64), place[first], first, np.diff(np.append(first, n))
 
 
-def fragments(texts: DataFrame) -> DataFrame:
-    """(anchor, fragment, key, h, places, n, ahead): every fragment of every
-    (key, h, text). It has n strings, the first of which is ``ahead`` bytes
-    ahead of the anchor and starts at each of ``places`` in the text (a text
-    that repeats itself has one row with many places, not many rows)."""
+def fragments(texts: DataFrame, length: int) -> DataFrame:
+    """(anchor, fragment, row, places, n, ahead): every fragment of every
+    (row, text). It has n strings, the first of which is ``ahead`` bytes ahead
+    of the anchor and starts at each of ``places`` in the text (a text that
+    repeats itself has one row with many places, not many rows)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list[np.ndarray]] = []
             starts: list[np.ndarray] = []
-            for key, h, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            for row, text in zip(*(batch.column(k).to_pylist() for k in range(2)), strict=True):
                 data = text.encode()
-                if len(data) < LENGTH:
+                if len(data) < length:
                     continue
-                a, at, lo, n = anchors(np.frombuffer(data, np.uint8))
+                a, at, lo, n = anchors(np.frombuffer(data, np.uint8), length)
                 digest = xxhash.xxh3_64_intdigest
-                ends = (lo + n + LENGTH - 1).tolist()
+                ends = (lo + n + length - 1).tolist()
                 seeds = (at - lo).tolist()
                 own = np.fromiter((digest(data[i:j], s) for i, j, s in zip(lo.tolist(), ends, seeds, strict=True)), np.uint64, len(lo))
                 by = np.lexsort((lo, own, a))
                 a, own, lo, n, ahead = a[by], own.view(np.int64)[by], lo[by], n[by], (at - lo)[by]
                 first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (own[1:] != own[:-1])))
                 k = len(first)
-                out.append([a[first], own[first], np.full(k, key), np.full(k, h), n[first], ahead[first], np.diff(np.append(first, len(a)))])
+                out.append([a[first], own[first], np.full(k, row), n[first], ahead[first], np.diff(np.append(first, len(a)))])
                 starts.append(lo)
             if out:
-                a, own, key, h, n, ahead, count = (np.concatenate(c) for c in zip(*out, strict=True))
+                a, own, row, n, ahead, count = (np.concatenate(c) for c in zip(*out, strict=True))
                 ends = np.append(0, np.cumsum(count)).astype(np.int32)
                 places = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(starts).astype(np.int32)))
-                made = [pa.array(c.astype(np.int64)) for c in (a, own, key, h)] + [places] + [pa.array(c.astype(np.int32)) for c in (n, ahead)]
-                yield pa.RecordBatch.from_arrays(made, names=["anchor", "fragment", "key", "h", "places", "n", "ahead"])
+                made = [pa.array(c.astype(np.int64)) for c in (a, own, row)] + [places] + [pa.array(c.astype(np.int32)) for c in (n, ahead)]
+                yield pa.RecordBatch.from_arrays(made, names=["anchor", "fragment", "row", "places", "n", "ahead"])
 
-    return texts.mapInArrow(run, "anchor long, fragment long, key long, h long, places array<int>, n int, ahead int")
+    return texts.mapInArrow(run, "anchor long, fragment long, row long, places array<int>, n int, ahead int")
 
 
 def suffix_order(x: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
@@ -197,21 +202,21 @@ def common_prefixes(x: np.ndarray, order: np.ndarray, group: np.ndarray, begins:
     return out
 
 
-def repeated_strings(pieces: list[bytes]) -> list[np.ndarray]:
-    """For each piece the starts of its LENGTH-byte strings that occur again in these pieces."""
+def repeated_strings(pieces: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
+    """For each piece the starts of its ``length``-byte strings that occur again in these pieces."""
     lengths = np.array([len(p) for p in pieces], np.int64)
     x = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8).astype(np.uint16) + 1
     ends = np.cumsum(lengths + 1) - 1
     x[ends] = 0
     begins = ends - lengths
-    order, group = suffix_order(x, LENGTH)
-    shared = common_prefixes(x, order, group, begins, ends, LENGTH)
+    order, group = suffix_order(x, length)
+    shared = common_prefixes(x, order, group, begins, ends, length)
     place = np.empty(len(x), np.int64)
     place[order] = np.arange(len(x))
     # A string repeats if the suffix before or after it in the order shares all of it.
-    long = shared[order] >= LENGTH
+    long = shared[order] >= length
     again = (long | np.append(long[1:], False))[place]
-    return [np.flatnonzero(again[b : max(b, e - LENGTH + 1)]) for b, e in zip(begins, ends, strict=True)]
+    return [np.flatnonzero(again[b : max(b, e - length + 1)]) for b, e in zip(begins, ends, strict=True)]
 
 
 def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
@@ -222,13 +227,13 @@ def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(starts[np.append(0, cut + 1)].tolist(), (starts[np.append(cut, len(starts) - 1)] + 1).tolist(), strict=True))
 
 
-def _in_shards(pieces: DataFrame) -> DataFrame:
+def _in_shards(pieces: DataFrame, length: int) -> DataFrame:
     """(class, fragment, a, b): runs of repeated strings, classes whole in a shard."""
     total = pieces.agg(F.sum(F.length("data"))).first()[0] or 0
     shards = max(1, -(-int(total) // SHARD_BYTES))
 
     def run(rows: pa.Table) -> pa.Table:
-        found = repeated_strings(rows["data"].to_pylist())
+        found = repeated_strings(rows["data"].to_pylist(), length)
         c, f, a, b = [], [], [], []
         for cls, frag, starts in zip(rows["class"].to_pylist(), rows["fragment"].to_pylist(), found, strict=True):
             for i, j in _runs(starts):
@@ -242,7 +247,7 @@ def _in_shards(pieces: DataFrame) -> DataFrame:
     return dealt.groupBy("_shard").applyInArrow(lambda t: run(t), "class long, fragment long, a int, b int")
 
 
-def _halved(pieces: DataFrame, width: int) -> DataFrame:
+def _halved(pieces: DataFrame, width: int, length: int) -> DataFrame:
     """Pieces cut at multiples of ``width`` string starts (counted from the
     anchor): (class, fragment, sub, part, shift, ahead, n, data), where ``sub``
     is the hash of the core that the strings of that range have in common."""
@@ -259,8 +264,8 @@ def _halved(pieces: DataFrame, width: int) -> DataFrame:
                     # Strings are ``ahead - at`` bytes ahead of the anchor; a range holds [low, low + width).
                     low = (ahead - at) // width * width
                     to = min(n, ahead - low + 1)
-                    core = data[ahead - low : ahead - (low + width - 1) + LENGTH]
-                    part = data[at : to + LENGTH - 1]
+                    core = data[ahead - low : ahead - (low + width - 1) + length]
+                    part = data[at : to + length - 1]
                     sub = digest(core, (cls ^ low * 0x9E3779B9) & (1 << 64) - 1)
                     out.append((cls, frag, np.int64(np.uint64(sub)), np.int64(np.uint64(digest(part, ahead - at))), at, ahead - at, to - at, part))
                     at = to
@@ -269,88 +274,90 @@ def _halved(pieces: DataFrame, width: int) -> DataFrame:
     return pieces.select("class", "fragment", "ahead", "n", "data").mapInArrow(run, "class long, fragment long, sub long, part long, shift int, ahead int, n int, data binary")
 
 
-def repeated_runs(pieces: DataFrame, width: int = 256) -> DataFrame:
+def repeated_runs(pieces: DataFrame, length: int, used: list[DataFrame], width: int = 0) -> DataFrame:
     """(class, fragment, a, b) over the different pieces (class, fragment,
-    ahead, n, data) of each class: runs of strings that occur in another."""
+    ahead, n, data) of each class: runs of strings that occur in another. The
+    tables that the result is read from are added to ``used``."""
+    # A range of string starts, at first a power of two of those of an anchor.
+    width = width or 1 << (length - gram_of(length) + 1).bit_length() - 1
     pieces = stored(pieces, "repeat_pieces")
+    used.append(pieces)
     sizes = pieces.groupBy("class").agg(F.count(F.lit(1)).alias("_v"))
     large = stored(sizes.where(F.col("_v") > CLASS_FRAGMENTS).select("class"), "repeat_large")
     if not large.take(1):
-        return _in_shards(pieces)
-    found = _in_shards(pieces.join(large, "class", "left_anti"))
-    parts = stored(_halved(pieces.join(large, "class"), width), "repeat_parts")
+        return _in_shards(pieces, length)
+    found = _in_shards(pieces.join(large, "class", "left_anti"), length)
+    parts = stored(_halved(pieces.join(large, "class"), width, length), "repeat_parts")
     same = parts.groupBy("sub", "part").agg(F.count(F.lit(1)).alias("c"), F.first("data").alias("data"), F.first("ahead").alias("ahead"), F.first("n").alias("n"))
     same = stored(same, "repeat_same")
+    used += [large, parts, same]
     whole = same.where("c > 1").select("sub", "part", F.lit(0).alias("a"), F.col("n").alias("b"))
     several = same.groupBy("sub").agg(F.count(F.lit(1)).alias("_v")).where("_v > 1").select("sub")
     rest = same.join(several, "sub").select(F.col("sub").alias("class"), F.col("part").alias("fragment"), "ahead", "n", "data")
-    below = whole.unionByName(repeated_runs(rest, width // 2).withColumnsRenamed({"class": "sub", "fragment": "part"})) if width > 1 else whole
+    below = whole.unionByName(repeated_runs(rest, length, used, width // 2).withColumnsRenamed({"class": "sub", "fragment": "part"})) if width > 1 else whole
     return found.unionByName(parts.join(below, ["sub", "part"]).select("class", "fragment", (F.col("a") + F.col("shift")).alias("a"), (F.col("b") + F.col("shift")).alias("b")))
 
 
-def _beside(texts: DataFrame, few: DataFrame, items: F.Column, how: str) -> DataFrame:
-    """Join of texts with rows of some of them, each with a number of items."""
-    few = stored(few, "repeat_rows")
-    size = ITEM_BYTES * (few.agg(F.sum(items + 1)).first()[0] or 0)
-    return texts.join(F.broadcast(few) if size <= BROADCAST_BYTES else few, ["key", "h"], how)
-
-
-NO_KEY = -(1 << 63)  # stands for a NULL key
-
-
-def keyed(docs: DataFrame, key: str, text_column: str) -> DataFrame:
+def bucketed(docs: DataFrame, text_column: str) -> DataFrame:
+    """``docs`` as a table of (row, text, rest) in buckets by ``row``, a number
+    of each row: texts are shuffled once, here, and every later join brings
+    the other side to their bucket. No key of docs decides where a row goes."""
+    spark = docs.sparkSession
     text = text_of(docs, text_column)
-    return docs.withColumns({"key": F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)), "h": F.xxhash64(text), text_column: text})
-
-
-def repeats(texts: DataFrame) -> DataFrame:
-    """(key, h, runs) of the (key, h, text) rows with repeated strings: runs of
-    their starts, as array<struct<places, a, b>>: [p + a, p + b) for each place p."""
-    every = stored(fragments(texts), "fragments")
-    again = every.groupBy("anchor").agg(F.sum(F.size("places")).alias("_c")).where("_c > 1").select("anchor")
-    every = stored(every.join(again, "anchor"), "repeat_fragments")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), text.alias("text"), F.struct(*[c for c in docs.columns if c != text_column]).alias("rest"))
+    size = docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    path = shared_path(spark, "repeat_texts")
+    name = f"repeat_texts_{path[-12:]}"
+    rows.repartition(n, "row").write.bucketBy(n, "row").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def repeats(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(row, runs) of the (row, text) rows with repeated strings: runs of their
+    starts, as array<struct<places, a, b>>: [p + a, p + b) for each place p."""
+    first = stored(fragments(texts.select("row", "text"), length), "fragments")
+    again = first.groupBy("anchor").agg(F.sum(F.size("places")).alias("_c")).where("_c > 1").select("anchor")
+    every = stored(first.join(again, "anchor"), "repeat_fragments")
+    discard(first)
     # Of equal fragments one place stands for all.
-    same = every.groupBy("anchor", "fragment").agg(F.sum(F.size("places")).alias("c"), F.min(F.struct("key", "h", F.col("places")[0].alias("lo"), "n", "ahead")).alias("at"))
+    same = every.groupBy("anchor", "fragment").agg(F.sum(F.size("places")).alias("c"), F.min(F.struct("row", F.col("places")[0].alias("lo"), "n", "ahead")).alias("at"))
     same = stored(same, "repeat_variants")
     whole = same.where("c > 1").select("anchor", "fragment", F.lit(0).alias("a"), F.col("at.n").alias("b"))
     # Only a fragment seen once, beside others of its anchor, is still open.
     several = same.groupBy("anchor").agg(F.count(F.lit(1)).alias("_v"), F.min("c").alias("_c")).where("_v > 1 AND _c = 1").select("anchor")
-    fetch = same.join(several, "anchor").groupBy("at.key", "at.h").agg(F.collect_list(F.struct("anchor", "fragment", "at.lo", "at.n", "at.ahead")).alias("wanted"))
+    fetch = same.join(several, "anchor").groupBy("at.row").agg(F.collect_list(F.struct("anchor", "fragment", "at.lo", "at.n", "at.ahead")).alias("wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 data = text.encode()
-                rows += [(w["anchor"], w["fragment"], w["ahead"], w["n"], data[w["lo"] : w["lo"] + w["n"] + LENGTH - 1]) for w in wanted]
+                rows += [(w["anchor"], w["fragment"], w["ahead"], w["n"], data[w["lo"] : w["lo"] + w["n"] + length - 1]) for w in wanted]
             types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["class", "fragment", "ahead", "n", "data"])
 
-    pieces = _beside(texts, fetch, F.size("wanted"), "inner").select("text", "wanted").mapInArrow(cut, "class long, fragment long, ahead int, n int, data binary").dropDuplicates(["class", "fragment"])
-    sorted_ = repeated_runs(pieces).withColumnRenamed("class", "anchor")
+    pieces = texts.join(fetch.hint("shuffle_hash"), "row").select("text", "wanted").mapInArrow(cut, "class long, fragment long, ahead int, n int, data binary")
+    used = [same]
+    sorted_ = repeated_runs(pieces, length, used).withColumnRenamed("class", "anchor")
     # Fragments seen twice are whole already; of the others the runs that shards found.
     marked = whole.unionByName(sorted_.join(whole.select("anchor", "fragment"), ["anchor", "fragment"], "left_anti"))
-    found = every.join(stored(marked, "repeat_marked"), ["anchor", "fragment"])
-    # Rows alike in key and text bring every run again.
-    found = found.groupBy("key", "h", "anchor", "fragment", "a", "b").agg(F.first("places").alias("places"))
-    return found.groupBy("key", "h").agg(F.collect_list(F.struct("places", "a", "b")).alias("runs"))
+    marked = stored(marked, "repeat_marked")
+    for table in used:
+        discard(table)
+    return every.join(marked, ["anchor", "fragment"]).groupBy("row").agg(F.collect_list(F.struct("places", "a", "b")).alias("runs"))
 
 
-def cleaned(docs: DataFrame, key: str = "doc_id", text_column: str = "text", as_text: bool = False) -> DataFrame:
+def cleaned(docs: DataFrame, text_column: str = "text", length: int = LENGTH, as_text: bool = False) -> DataFrame:
     """``docs`` with the text replaced by ``kept`` (its remaining bytes, or the
     text they make without characters that a cut has split) and with
     ``n_bytes``, ``n_removed``, ``n_spans``."""
     from pyspark.sql import types as T
 
     names = ("kept", "n_bytes", "n_removed", "n_spans")
-    docs = docs.drop(*names)
-    rest = [c for c in docs.columns if c != text_column]
-    rows = keyed(docs, key, text_column)
-    found = repeats(rows.select("key", "h", F.col(text_column).alias("text")))
-    packed = rows.select("key", "h", F.struct(*rest).alias("_rest"), F.col(text_column).alias("_text"))
-    items = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + F.size(r["places"]) + 1)
-    both = _beside(packed, found, items, "left").select("_rest", "_text", "runs")
-    schema = T.StructType([T.StructField("_rest", both.schema["_rest"].dataType)] + [T.StructField("kept", T.StringType() if as_text else T.BinaryType())] + [T.StructField(c, T.LongType()) for c in names[1:]])
+    texts = bucketed(docs.drop(*names), text_column)
+    both = texts.join(repeats(texts, length).hint("shuffle_hash"), "row", "left").select("rest", "text", "runs")
+    schema = T.StructType([T.StructField("rest", both.schema["rest"].dataType)] + [T.StructField("kept", T.StringType() if as_text else T.BinaryType())] + [T.StructField(c, T.LongType()) for c in names[1:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -358,7 +365,7 @@ def cleaned(docs: DataFrame, key: str = "doc_id", text_column: str = "text", as_
             for text, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 data = text.encode()
                 spans: list[list[int]] = []
-                for a, b in sorted((p + r["a"], p + r["b"] + LENGTH - 1) for r in runs or () for p in r["places"]):
+                for a, b in sorted((p + r["a"], p + r["b"] + length - 1) for r in runs or () for p in r["places"]):
                     if spans and a <= spans[-1][1]:
                         spans[-1][1] = max(spans[-1][1], b)
                     else:
@@ -369,16 +376,18 @@ def cleaned(docs: DataFrame, key: str = "doc_id", text_column: str = "text", as_
             made = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), made, *(pa.array(c, pa.int64()) for c in zip(*counts, strict=True))], names=schema.names)
 
-    return both.mapInArrow(run, schema).select("_rest.*", *names)
+    return both.mapInArrow(run, schema).select("rest.*", *names)
 
 
 def repeats_report(docs: DataFrame) -> DataFrame:
-    """Per document: bytes, removed bytes, removed runs and digest of the rest."""
-    return cleaned(docs.select("doc_id", "text")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    """Per document: bytes, removed bytes, removed runs, digest of the rest, and
+    whether anything was removed."""
+    found = cleaned(docs.select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), (F.col("n_removed") > 0).alias("has_repeat"))
 
 
-def without_repeats(docs: DataFrame, key: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with repeated strings cut out of the text; a character that a
-    cut has split goes as well."""
+def without_repeats(docs: DataFrame, text_column: str = "text", length: int = LENGTH) -> DataFrame:
+    """``docs`` with strings of ``length`` bytes that repeat cut out of the text;
+    a character that a cut has split goes as well."""
     names = [F.col("kept").alias(c) if c == text_column else F.col(c) for c in docs.columns]
-    return cleaned(docs, key, text_column, as_text=True).select(*names)
+    return cleaned(docs, text_column, length, as_text=True).select(*names)

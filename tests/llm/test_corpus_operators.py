@@ -242,9 +242,8 @@ def test_near_copies_of_shared_and_missing_ids(spark):
 # -- repeats -----------------------------------------------------------------
 
 
-def repeats(rows):
+def repeats(rows, n=suffix.LENGTH):
     data = [(k, (t or "").encode()) for k, t in rows]
-    n = suffix.LENGTH
     seen = collections.Counter(b[i : i + n] for _, b in data for i in range(len(b) - n + 1))
     out = {}
     for k, b in data:
@@ -285,8 +284,21 @@ def test_repeats_against_brute_force(spark, monkeypatch, most):
     extra += [(940000, None), (940001, ""), (940002, "x" * 1000), (940003, "é" * 399 + "ab" * 300), (940004, "short"), (940005, "short")]
     docs = plus(spark, extra)
     want = repeats([(r.doc_id, r.text) for r in docs.collect()])
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix.repeats_report(docs).collect()}
-    assert got == want
+    rows = suffix.repeats_report(docs).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == want
+    assert all(r.has_repeat == (r.n_removed > 0) for r in rows)
+
+
+@pytest.mark.parametrize("length, most", [(200, 3000), (200, 2), (37, 2)])
+def test_shorter_repeats_against_brute_force(spark, monkeypatch, length, most):
+    monkeypatch.setattr(suffix, "CLASS_FRAGMENTS", most)
+    rng = random.Random(8)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(2 * length))
+    rows = [(i, "".join(rng.choice("ijklmnop ") for _ in range(30)) + passage[i : length + 2 * i - 3] + str(i) * 40) for i in range(12)]
+    rows += [(90, None), (91, ""), (92, "x" * length), (93, "x" * (length + 1)), (94, passage[: length - 1]), (95, passage), (96, passage)]
+    want = repeats(rows, length)
+    got = suffix.cleaned(spark.createDataFrame(rows, SCHEMA), length=length).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in got} == want
 
 
 def test_repeats_of_repeated_rows_and_columns(spark):
@@ -402,7 +414,7 @@ def test_pipeline_stages(spark):
             want = classes([(r.doc_id, r.text) for r in before.collect()])
             assert {r.doc_id for r in after.collect()} == set(want.values())
         if name == "suffix_repeats":
-            gone = repeats([(r.doc_id, r.text) for r in before.collect()])
+            gone = repeats([(r.doc_id, r.text) for r in before.collect()], corpus_pipeline.REPEAT_BYTES)
             assert {r.doc_id: r.n_chars for r in after.collect()}.keys() == gone.keys()
             assert all(r.n_chars == len(r.text) for r in after.collect())
             assert all(r.text == t for r, t in ((r, {x.doc_id: x.text for x in before.collect()}[r.doc_id]) for r in after.collect()) if gone[r.doc_id][1] == 0)
