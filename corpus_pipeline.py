@@ -15,6 +15,8 @@ from heliospark.llm import minhash, packing, secret_scan, suffix, toxicity
 from heliospark.llm.common import read, stored
 
 CAPACITY = 2048
+# Fifty words are hardly shorter; chance repeats of the words' order are.
+REPEAT_BYTES = 200
 
 
 def _recounted(docs: DataFrame) -> DataFrame:
@@ -33,8 +35,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte strings that repeat anywhere are cut out; every document stays."""
-    return _recounted(suffix.without_repeats(docs))
+    """Strings of REPEAT_BYTES that repeat anywhere are cut out; every document stays."""
+    return _recounted(suffix.without_repeats(docs, length=REPEAT_BYTES))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
