@@ -470,10 +470,10 @@ def ghi_histogram(hourly: DataFrame, width: int = 100) -> DataFrame:
 def corr_matrix(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
     """Pairwise-complete Pearson matrix in long form (NULL on zero variance).
 
-    One global aggregate over the unordered pairs: count, sums and products of
-    the columns, a third of the work of three (co-)moment aggregates a pair. r lies in [-1, 1] and is reported at
-    ``digits`` decimals, so row order cannot change it. ANSI-safe: zero
-    variance gives NULL instead of a division error.
+    One global aggregate of (co-)variances over the unordered pairs, of moments
+    about the mean, which keep their digits on large means. r lies in [-1, 1]
+    and is reported at ``digits`` decimals, so row order cannot change it.
+    ANSI-safe: zero variance gives NULL instead of a division error.
     """
     exprs = []
     names = []
@@ -483,16 +483,10 @@ def corr_matrix(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
             if j < i:
                 continue  # r is symmetric: aggregate each unordered pair once
             both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            xa = F.when(both, F.col(a))
-            xb = F.when(both, F.col(b))
             p = f"p{i}_{j}"
-            parts = {"n": F.count(xa), "a": F.sum(xa), "b": F.sum(xb), "ab": F.sum(xa * xb), "aa": F.sum(xa * xa), "bb": F.sum(xb * xb)}
-            sums += [e.cast("double").alias(f"{p}_{k}") for k, e in parts.items()]
-            n, sa, sb, sab, saa, sbb = (F.col(f"{p}_{k}") for k in parts)
-            va, vb = n * saa - sa * sa, n * sbb - sb * sb
-            # A variance within rounding of nothing counts as none.
-            some = (va > 1e-12 * n * saa) & (vb > 1e-12 * n * sbb)
-            r = F.when(some, (n * sab - sa * sb) / (F.sqrt(va) * F.sqrt(vb)))
+            sums += [F.covar_pop(a, b).alias(f"{p}_c"), F.var_pop(F.when(both, F.col(a))).alias(f"{p}_a"), F.var_pop(F.when(both, F.col(b))).alias(f"{p}_b")]
+            c, va, vb = (F.col(f"{p}_{k}") for k in "cab")
+            r = F.when((va > 0) & (vb > 0), c / (F.sqrt(va) * F.sqrt(vb)))
             exprs.append(F.round(F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)), digits).alias(p))
             names.append((a, b, p))
     wide = df.agg(*sums).select(*exprs)
@@ -596,15 +590,20 @@ def regression_metrics(pred: DataFrame, group: list[str], y: str = "actual", yha
     )
 
 
-def residual_density(resid: DataFrame, group: list[str], value: str = "residual", points: int = 64) -> DataFrame:
-    """Gaussian KDE of residuals on a fixed grid per group.
+KDE_BINS_PER_STEP = 65  # bins between two grid places
 
-    Bandwidth = sample sigma * n^(-1/5) (exact moments); grid spans
-    [min - 3h, max + 3h]. One map-side-combined aggregate holds an average for
-    each of the ``points`` grid places -- linear in the data, no fan-out of
-    rows and no pairwise join. Spark sizes the join with the group statistics.
+
+def residual_density(resid: DataFrame, group: list[str], value: str = "residual", points: int = 64, per_step: int = KDE_BINS_PER_STEP) -> DataFrame:
+    """Gaussian KDE of residuals on a fixed grid per group, linearly binned.
+
+    Bandwidth = sample sigma * n^(-1/5) (exact moments); the grid spans
+    [min - 3h, max + 3h]. Every residual is shared by its two nearest bins, of
+    which ``per_step`` lie between two grid places, in exact units of 2^-20;
+    the density is the sum of bins x kernel. The data are aggregated once to a
+    row a bin, whatever the number of places; only that table meets the grid.
     """
     x = quantize(F.col(value)).cast(MOMENT)
+    last = (points - 1) * per_step  # bins 0 .. last, grid places every per_step-th
     stats = (
         resid.groupBy(*group)
         .agg(
@@ -625,21 +624,28 @@ def residual_density(resid: DataFrame, group: list[str], value: str = "residual"
             ).alias("_h"),
         )
         .filter((F.col("_n") >= 2) & (F.col("_h") > 0))
+        .select(
+            *group,
+            "_n",
+            "_h",
+            (F.col("_lo") - F.lit(3.0) * F.col("_h")).alias("_x0"),
+            ((F.col("_hi") - F.col("_lo") + F.lit(6.0) * F.col("_h")) / F.lit(float(last))).alias("_w"),
+        )
+    )
+    placed = resid.select(*group, value).where(F.col(value).isNotNull()).join(stats, group).withColumn("_p", (F.col(value) - F.col("_x0")) / F.col("_w"))
+    placed = placed.withColumn("_bin", F.least(F.floor("_p"), F.lit(last - 1)))
+    share = F.floor((F.col("_p") - F.col("_bin")) * F.lit(float(1 << 20)) + F.lit(0.5)).cast("bigint")
+    bins = placed.groupBy(*group, "_n", "_h", "_x0", "_w", "_bin").agg(F.count(F.lit(1)).alias("_c"), F.sum(share).alias("_up"))
+    # What a bin has handed up belongs to the next one.
+    both = F.explode(F.array(F.struct(F.col("_bin").alias("j"), (F.col("_c") * F.lit(1 << 20) - F.col("_up")).alias("m")), F.struct((F.col("_bin") + 1).alias("j"), F.col("_up").alias("m"))))
+    mass = bins.select(*group, "_n", "_h", "_x0", "_w", both.alias("_b")).select(*group, "_n", "_h", "_x0", "_w", "_b.j", "_b.m")
+    at = mass.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("_k"))
+    z = (F.col("_k") * F.lit(per_step) - F.col("j")) * F.col("_w") / F.col("_h")
+    total = F.sum(F.col("m").cast("double") * F.exp(F.lit(-0.5) * z * z))
+    norm = F.col("_n") * F.col("_h") * F.lit((2.0 * 3.141592653589793) ** 0.5) * F.lit(float(1 << 20))
+    return at.groupBy(*group, "_n", "_h", "_x0", "_w", "_k").agg(total.alias("_t")).select(
+        *group, F.col("_k").cast("bigint").alias("grid_idx"), (F.col("_x0") + F.col("_k") * F.lit(per_step) * F.col("_w")).alias("x"), (F.col("_t") / norm).alias("density")
     )
-    joined = resid.select(*group, value).join(stats, group)
-    step = (F.col("_hi") - F.col("_lo") + F.lit(6.0) * F.col("_h")) / F.lit(float(points - 1))
-    g = joined.select(*group, value, "_h", (F.col("_lo") - F.lit(3.0) * F.col("_h")).alias("_x0"), step.alias("_step"))
-
-    def place(k: int) -> Column:
-        return F.col("_x0") + F.lit(k) * F.col("_step")
-
-    def kernel(k: int) -> Column:
-        z = (place(k) - F.col(value)) / F.col("_h")
-        return F.exp(F.lit(-0.5) * z * z) / (F.col("_h") * F.lit((2.0 * 3.141592653589793) ** 0.5))
-
-    wide = g.groupBy(*group, "_x0", "_step").agg(*[F.avg(kernel(k)).alias(f"d{k}") for k in range(points)])
-    grid = F.array(*[F.struct(F.lit(k).cast("bigint").alias("grid_idx"), place(k).alias("x"), F.col(f"d{k}").alias("density")) for k in range(points)])
-    return wide.select(*group, F.explode(grid).alias("_g")).select(*group, "_g.*")
 
 
 def model_rank(metrics: DataFrame) -> DataFrame:

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..config import ImputeConfig
 from ..operators import timeseries as TS
 from ..sources import fixtures as FX
+from ..sources.grid_store import bucketed_table, input_state
 
 # Injected "now" for every wall-clock-dependent operator (F1 spans 2024-01).
 AS_OF = "2024-01-28"
@@ -38,3 +40,9 @@ def long_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sites_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F2 on its per-site hourly grid."""
     return TS.hourly_grid(FX.sites(spark, sf_dir))
+
+
+def stored_grid(spark: SparkSession, sf_dir: str, view=FX.sites, name: str = "sites_grid") -> DataFrame:
+    """The imputed hourly grid of a view (T1, T6), bucketed and sorted by (city, ts)."""
+    src = view(spark, sf_dir)
+    return bucketed_table(spark, name, input_state(src), lambda: TS.impute(TS.hourly_grid(src), ImputeConfig()))

@@ -9,16 +9,18 @@ from ..operators import analytics as A
 from ..operators import timeseries as TS
 from ..sources import fixtures as FX
 from ..sources import ingest as I
-from ..sources.payload import parse_wall_time
+from ..sources.payload import fold_payloads, parse_wall_time
 from ..session import shared_path
 from ..sources.tables import append_registry, read_registry, weather_scan
-from ..sources.upsert import upsert
+from ..sources.upsert import UpsertTable, upsert
+from ..streaming.jobs import UpsertLog, payload_stream
 from . import catalog
 from . import q_features as Q
 from . import sqltext as S
 from .catalog import query
 from .common import AS_OF, dense_hourly, long_hourly
 from .q_forecast import predictions
+from .q_ingest import DENSE_CITIES, PAYLOAD_VARS, REDELIVER_FROM, UPSERT_CUTOFF, _upsert_inputs
 from .q_quality import clip_and_drop_sparse_days, training_window
 
 # -- values that are missing, NaN or out of order ---------------------------------
@@ -72,24 +74,103 @@ def nan_daily_summary(spark, sf_dir):
     "WITH base AS (SELECT user_id AS k, max(value) AS v FROM events WHERE event_id % 2 = 0 GROUP BY 1), "
     "batch AS (SELECT user_id AS k, CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS v, "
     "CASE WHEN event_id % 4 = 1 THEN NULL ELSE event_id - 40 END AS seq FROM events WHERE event_id % 2 = 1), "
-    "last AS (SELECT k, v FROM (SELECT k, v, row_number() OVER (PARTITION BY k ORDER BY seq DESC NULLS LAST, v DESC NULLS LAST) AS rn, "
-    "seq FROM batch) q WHERE rn = 1 AND seq IS NOT NULL) "
+    "last AS (SELECT k, v FROM (SELECT k, v, row_number() OVER (PARTITION BY k ORDER BY seq DESC NULLS LAST, v DESC NULLS LAST) AS rn "
+    "FROM batch) q WHERE rn = 1) "
     "SELECT b.k, b.v, 'target' AS origin FROM base b WHERE b.k NOT IN (SELECT k FROM batch) "
     "UNION ALL SELECT k, v, 'batch' AS origin FROM last",
     dates=(),
 )
 def upsert_null_sequence(spark, sf_dir):
     """Keyed merge whose deliveries have negative and NULL sequences (NULL is
-    the lowest; keys delivered without any sequence are left to unit tests,
-    as their winner is not determined)."""
+    the lowest; among equal ones the greatest value wins)."""
     ev = FX.table(spark, sf_dir, "events").select(F.col("user_id").alias("k"), "event_id", "value")
     base = ev.where("event_id % 2 = 0").groupBy("k").agg(F.max("value").alias("v"))
     batch = ev.where("event_id % 2 = 1").select(
         "k", F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("v"), F.when(F.col("event_id") % 4 != 1, F.col("event_id") - 40).alias("seq")
     )
-    known = batch.groupBy("k").agg(F.max("seq").alias("_s"))
-    unknown = known.where("_s IS NULL").select("k")
-    return upsert(base, batch, ["k"], "seq").join(unknown, "k", "left_anti")
+    return upsert(base, batch, ["k"], "seq")
+
+
+# Two deliveries to a stored table: the re-delivered hours, then the odd hours of
+# the last two days again with their radiation taken back and no temperature.
+_SECOND_FROM = "2024-01-27 00:00:00"
+_STORED_SQL = (
+    f"WITH {S.CTE_DENSE}, base AS (SELECT city AS city_name, date_trunc('hour', ts) AS timestamp, "
+    f"{S.xavg('temp')} AS temperature_2m, {S.xavg('ghi')} AS shortwave_radiation FROM dense "
+    f"WHERE ts < TIMESTAMP '{UPSERT_CUTOFF}' GROUP BY 1, 2), one AS (SELECT city AS city_name, "
+    f"date_trunc('hour', ts) AS timestamp, CASE WHEN count(*) > 1 THEN {S.xavg('temp')} END AS temperature_2m, "
+    f"{S.xavg('ghi')} AS shortwave_radiation FROM dense WHERE ts >= TIMESTAMP '{REDELIVER_FROM}' GROUP BY 1, 2), "
+    "two AS (SELECT city_name, timestamp, CAST(NULL AS DOUBLE) AS temperature_2m, -shortwave_radiation AS shortwave_radiation "
+    f"FROM one WHERE timestamp >= TIMESTAMP '{_SECOND_FROM}' AND hour(timestamp) % 2 = 1), "
+    "u AS (SELECT *, 0 AS r FROM base UNION ALL SELECT *, 1 FROM one UNION ALL SELECT *, 2 FROM two) "
+    "SELECT city_name, timestamp, temperature_2m, shortwave_radiation FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY city_name, timestamp ORDER BY r DESC) AS rn FROM u) q WHERE rn = 1"
+)
+
+
+def _deliveries(spark, sf_dir):
+    base, one = _upsert_inputs(spark, sf_dir)
+    late = (F.col("timestamp") >= F.lit(_SECOND_FROM).cast("timestamp")) & (F.hour("timestamp") % 2 == 1)
+    two = one.where(late).withColumns({"temperature_2m": F.lit(None).cast("double"), "shortwave_radiation": -F.col("shortwave_radiation")})
+    return base, one, two
+
+
+@query("upsert_stored", "S5 J4 S6", _STORED_SQL, dates=())
+def upsert_stored(spark, sf_dir):
+    """A table partitioned by city and day takes in a first load and two
+    deliveries, one of them twice, and is read back."""
+    loads = [d.withColumn("day", F.to_date("timestamp")) for d in _deliveries(spark, sf_dir)]
+    table = UpsertTable(spark, shared_path(spark, "raw-hourly"), ["city_name", "timestamp"], ["city_name", "day"], loads[0].schema)
+    for number in (0, 1, 1, 2):
+        table.apply(loads[number], number)
+    return table.read().drop("day")
+
+
+@query("stream_upsert_compacted", "ST2 S5", _STORED_SQL, dates=())
+def stream_upsert_compacted(spark, sf_dir):
+    """The deliveries as a stream into a log that is compacted after the first
+    two; the snapshot and the batches after it are read."""
+    loads = [d.withColumn("_delivery", F.lit(k)) for k, d in enumerate(_deliveries(spark, sf_dir))]
+    landing = shared_path(spark, "landing-log")
+    log = UpsertLog(spark, shared_path(spark, "upsert-log"), loads[0].schema, ["city_name", "timestamp"], "_delivery")
+    for k, load in enumerate(loads):
+        load.write.parquet(f"{landing}/d{k}")
+        log.append(spark.readStream.schema(load.schema).option("recursiveFileLookup", "true").parquet(landing))
+        if k == 1:
+            log.compact()
+    return log.read()
+
+
+@query(
+    "stream_payloads",
+    "ST1 S1 S2 F4",
+    f"WITH {S.CTE_DENSE_HOURLY}, d AS (SELECT *, (day(ts) + length(city)) % 7 AS kind FROM hourly) "
+    "SELECT city AS city_name, ts AS timestamp, temp AS temperature_2m, ghi AS shortwave_radiation, 'hour' AS part FROM d WHERE kind > 2 "
+    "UNION ALL SELECT city, CAST(CAST(ts AS DATE) AS TIMESTAMP), NULL, NULL, "
+    "CASE kind WHEN 0 THEN 'malformed' WHEN 1 THEN 'no hourly object' ELSE 'no time array' END FROM d WHERE kind <= 2 GROUP BY ALL",
+    dates=(),
+)
+def stream_payloads(spark, sf_dir):
+    """City-day payloads land as JSON files, some broken off, some without
+    hours, and are streamed to hourly rows and rejects."""
+    day = (F.dayofmonth("date") + F.length("city")) % 7
+    made = fold_payloads(dense_hourly(spark, sf_dir), PAYLOAD_VARS).withColumn("kind", day)
+    whole = F.concat(F.lit('{"city":"'), "city", F.lit('","day":"'), F.col("date").cast("string"), F.lit('",'), F.substr("payload", F.lit(2)))
+    line = (
+        F.when(F.col("kind") == 0, F.left(whole, F.length(whole) - 9))
+        .when(F.col("kind") == 1, F.regexp_replace(whole, '"hourly"', '"daily"'))
+        .when(F.col("kind") == 2, F.regexp_replace(whole, '"time"', '"moment"'))
+        .otherwise(whole)
+    )
+    landing = shared_path(spark, "landing-payloads")
+    made.select(line.alias("value"), "date").write.partitionBy("date").text(landing)
+    hourly, rejected = payload_stream(spark, landing, shared_path(spark, "payloads"), max_files=20)
+    hours = hourly.select("city_name", "timestamp", "temperature_2m", "shortwave_radiation", F.lit("hour").alias("part"))
+    # What a broken record still tells of its city and day is in its text.
+    no = F.lit(None).cast("double")
+    city, date = (F.regexp_extract("record", f'"{k}":"([^"]*)"', 1) for k in ("city", "day"))
+    back = rejected.select(city.alias("city_name"), date.cast("timestamp").alias("timestamp"), no.alias("temperature_2m"), no.alias("shortwave_radiation"), F.col("reason").alias("part"))
+    return hours.unionByName(back)
 
 
 @query(

@@ -16,7 +16,7 @@ from ..operators import timeseries as TS
 from ..sources import fixtures as FX
 from . import sqltext as S
 from .catalog import query
-from .common import AS_OF_TS, sites_grid
+from .common import AS_OF_TS, sites_grid, stored_grid
 
 IMP = ImputeConfig()
 TWO_PI = 2.0 * math.pi
@@ -34,14 +34,16 @@ def imputed_sites(spark, sf_dir):
     return TS.impute(sites_grid(spark, sf_dir), IMP)
 
 
-def features_unscaled(spark, sf_dir, grid_fn=sites_grid):
-    imp = TS.impute(grid_fn(spark, sf_dir), IMP).select("city", "ts", "i", "ghi", "temp")
-    return TS.with_features(imp).drop("i")
+def features_unscaled(spark, sf_dir):
+    """B8, T7, T8, T9 over the stored grid: one scan in (city, ts) order."""
+    return TS.with_features(stored_grid(spark, sf_dir).select("city", "ts", "ghi", "temp"))
 
 
 def feature_matrix(spark, sf_dir):
-    """T1 -> T6 -> B8 -> T7 -> T8 -> T9 -> T10."""
-    return TS.standardise(features_unscaled(spark, sf_dir))
+    """T1 -> T6 (the stored grid) -> B8 -> T7 -> T8 -> T9 -> T10. The fit
+    and its use each pass over the stored grid; no feature is stored for it."""
+    features = features_unscaled(spark, sf_dir)
+    return TS.apply_scaler(features, TS.scaler_params(features, SCALED))
 
 
 def _round_cyc(df, digits=9):
@@ -246,19 +248,19 @@ def cyclical(spark, sf_dir):
 
 @query("lags", "T7 J1", f"WITH {CTE_FEATURES} SELECT city, ts, {', '.join(LAG_NAMES)} FROM lg", dates=())
 def lags(spark, sf_dir):
-    imp = imputed_sites(spark, sf_dir).select("city", "ts", "ghi", "temp")
+    imp = stored_grid(spark, sf_dir).select("city", "ts", "ghi", "temp")
     return TS.with_lags(imp).select("city", "ts", *LAG_NAMES)
 
 
 @query("rolling", "T8", f"WITH {CTE_FEATURES} SELECT city, ts, {', '.join(ROLL_NAMES)} FROM rl", dates=())
 def rolling(spark, sf_dir):
-    imp = imputed_sites(spark, sf_dir).select("city", "ts", "ghi", "temp")
+    imp = stored_grid(spark, sf_dir).select("city", "ts", "ghi", "temp")
     return TS.with_rolling(imp).select("city", "ts", *ROLL_NAMES)
 
 
 @query("targets", "T9", f"WITH {CTE_FEATURES} SELECT city, ts, {', '.join(TARGETS)} FROM feat", dates=())
 def targets(spark, sf_dir):
-    imp = imputed_sites(spark, sf_dir).select("city", "ts", "ghi", "temp")
+    imp = stored_grid(spark, sf_dir).select("city", "ts", "ghi", "temp")
     return TS.with_targets(imp).select("city", "ts", *TARGETS)
 
 

@@ -9,7 +9,7 @@ from ..operators import timeseries as TS
 from ..sources import fixtures as FX
 from . import sqltext as S
 from .catalog import query
-from .common import AS_OF, dense_hourly
+from .common import AS_OF, dense_hourly, stored_grid
 
 LAGS = (1, 24)
 KDE_POINTS = 64
@@ -137,18 +137,24 @@ def model_comparison(spark, sf_dir):
 def _kde_sql() -> str:
     x = f"CAST({_q('residual')} AS {MOMENT})"
     xw = f"CAST({_q('residual')} AS {WIDE})"
+    per, unit = A.KDE_BINS_PER_STEP, S.dbl(float(1 << 20))
+    last = (KDE_POINTS - 1) * per
     return (
         f"WITH {CTE_PRED}, r AS (SELECT model_name, predicted - actual AS residual FROM pred), "
         f"st AS (SELECT model_name, count({x}) AS n, CAST(sum({x}) AS DOUBLE) AS sx, CAST(sum({xw} * {x}) AS DOUBLE) AS sxx, "
         "min(residual) AS lo, max(residual) AS hi FROM r GROUP BY 1), "
         f"st2 AS (SELECT model_name, n, lo, hi, sqrt(greatest((sxx - sx * sx / n) / (n - 1), {S.dbl(0)})) * "
-        f"pow(CAST(n AS DOUBLE), {S.dbl(-0.2)}) AS h FROM st WHERE n >= 2), st3 AS (SELECT * FROM st2 WHERE h > 0), "
-        f"g AS (SELECT r.model_name, r.residual, st3.h, st3.lo - {S.dbl(3)} * st3.h + k * "
-        f"((st3.hi - st3.lo + {S.dbl(6)} * st3.h) / {S.dbl(KDE_POINTS - 1)}) AS x, k AS grid_idx "
-        f"FROM r JOIN st3 USING (model_name), range(0, {KDE_POINTS}) t(k)) "
-        "SELECT model_name, CAST(grid_idx AS BIGINT) AS grid_idx, round(max(x), 6) AS x, "
-        f"round(avg(exp({S.dbl(-0.5)} * ((x - residual) / h) * ((x - residual) / h)) / "
-        f"(h * {S.dbl((2.0 * 3.141592653589793) ** 0.5)})), 10) AS density FROM g GROUP BY 1, 2"
+        f"pow(CAST(n AS DOUBLE), {S.dbl(-0.2)}) AS h FROM st WHERE n >= 2), "
+        f"st3 AS (SELECT model_name, n, h, lo - {S.dbl(3)} * h AS x0, (hi - lo + {S.dbl(6)} * h) / {S.dbl(last)} AS w FROM st2 WHERE h > 0), "
+        "p AS (SELECT model_name, n, h, x0, w, (residual - x0) / w AS p FROM r JOIN st3 USING (model_name) WHERE residual IS NOT NULL), "
+        f"b AS (SELECT *, least(CAST(floor(p) AS BIGINT), {last - 1}) AS bin FROM p), "
+        f"c AS (SELECT model_name, n, h, x0, w, bin, count(*) AS c, CAST(sum(CAST(floor((p - bin) * {unit} + {S.dbl(0.5)}) AS BIGINT)) AS BIGINT) AS up "
+        "FROM b GROUP BY ALL), "
+        f"m AS (SELECT model_name, n, h, x0, w, bin AS j, c * {1 << 20} - up AS m FROM c UNION ALL SELECT model_name, n, h, x0, w, bin + 1, up FROM c), "
+        f"g AS (SELECT model_name, n, h, x0, w, k, sum(CAST(m AS DOUBLE) * exp({S.dbl(-0.5)} * ((k * {per} - j) * w / h) * ((k * {per} - j) * w / h))) AS t "
+        f"FROM m, range(0, {KDE_POINTS}) q(k) GROUP BY ALL) "
+        f"SELECT model_name, CAST(k AS BIGINT) AS grid_idx, round(x0 + k * {per} * w, 6) AS x, "
+        f"round(t / (n * h * {S.dbl((2.0 * 3.141592653589793) ** 0.5)} * {unit}), 10) AS density FROM g"
     )
 
 
@@ -236,11 +242,9 @@ def chrono_split(spark, sf_dir):
 def _dense_features(spark, sf_dir):
     from ..operators import timeseries as TS
     from ..sources import fixtures as FX
-    from .q_features import IMP
 
-    grid = TS.hourly_grid(FX.dense(spark, sf_dir))
-    imp = TS.impute(grid, IMP).select("city", "ts", "ghi", "temp")
-    feats = TS.with_targets(TS.with_rolling(TS.with_lags(TS.with_cyclical(imp))))
+    imp = stored_grid(spark, sf_dir, FX.dense, "dense_grid").select("city", "ts", "ghi", "temp")
+    feats = TS.with_features(imp)
     return TS.standardise(feats)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import analytics as A
+from ..operators.quantiles import exact_quantiles
 from ..sources import fixtures as FX
 from . import sqltext as S
 from .catalog import query
@@ -17,15 +18,28 @@ PSI_EPS = 1e-6
 GATE_IMPROVEMENT = 0.02
 
 
-@query("data_quality_report", "D1")
+@query(
+    "data_quality_report",
+    "D1",
+    f"WITH {S.CTE_DENSE}, q AS (SELECT city, quantile_cont(ghi, 0.25) AS q1, quantile_cont(ghi, 0.75) AS q3, "
+    "count(*) AS n, count(*) FILTER (WHERE ghi IS NULL) AS mg, count(*) FILTER (WHERE temp IS NULL) AS mt FROM dense GROUP BY 1), "
+    "d AS (SELECT city, count(*) FILTER (WHERE c > 1) AS v FROM (SELECT city, date_trunc('hour', ts) AS h, count(*) AS c "
+    "FROM dense GROUP BY 1, 2) k GROUP BY 1), o AS (SELECT r.city, count(*) FILTER (WHERE ghi < q1 - 1.5::DOUBLE * (q3 - q1) "
+    "OR ghi > q3 + 1.5::DOUBLE * (q3 - q1)) AS v FROM dense r JOIN q USING (city) GROUP BY 1) "
+    'SELECT q.city, CAST(n AS BIGINT) AS "rows", CAST(mg AS BIGINT) AS missing_ghi, CAST(mt AS BIGINT) AS missing_temp, q1 AS ghi_q1, q3 AS ghi_q3, '
+    "CAST(d.v AS BIGINT) AS duplicate_hours, CAST(o.v AS BIGINT) AS ghi_outliers FROM q JOIN d USING (city) JOIN o USING (city)",
+    dates=(),
+)
 def data_quality_report(spark, sf_dir):
-    """Per city: rows, missing cells, duplicate hour keys, IQR outliers.
-
-    Quartiles come from ``percentile_approx`` (a bounded sketch per group,
-    safe for a hot city), so this plan is checked by rows only."""
+    """Per city: rows, missing cells, duplicate hour keys, exact quartiles and
+    the values outside 1.5 interquartile ranges."""
     raw = FX.dense(spark, sf_dir)
-    q = raw.groupBy("city").agg(
-        F.percentile_approx("ghi", [0.25, 0.75], 10000).alias("_q"),
+    found = exact_quantiles(raw, "city", "ghi", [0.25, 0.75])
+    quartiles = found.groupBy("city").agg(
+        F.max(F.when(F.col("prob") == 0.25, F.col("quantile"))).alias("ghi_q1"),
+        F.max(F.when(F.col("prob") == 0.75, F.col("quantile"))).alias("ghi_q3"),
+    )
+    counts = raw.groupBy("city").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("ghi").isNull()).alias("missing_ghi"),
         F.count_if(F.col("temp").isNull()).alias("missing_temp"),
@@ -36,14 +50,10 @@ def data_quality_report(spark, sf_dir):
         .groupBy("city")
         .agg(F.count_if(F.col("count") > 1).alias("duplicate_hours"))
     )
-    iqr = F.col("_q")[1] - F.col("_q")[0]
-    bounds = q.select("city", (F.col("_q")[0] - 1.5 * iqr).alias("_lo"), (F.col("_q")[1] + 1.5 * iqr).alias("_hi"))
-    out = (
-        raw.join(bounds, "city")  # one row per city: broadcast only if Spark's size estimate allows
-        .groupBy("city")
-        .agg(F.count_if((F.col("ghi") < F.col("_lo")) | (F.col("ghi") > F.col("_hi"))).alias("ghi_outliers"))
-    )
-    return q.drop("_q").join(dup, "city").join(out, "city")
+    reach = F.lit(1.5) * (F.col("ghi_q3") - F.col("ghi_q1"))
+    outside = (F.col("ghi") < F.col("ghi_q1") - reach) | (F.col("ghi") > F.col("ghi_q3") + reach)
+    out = raw.join(quartiles, "city").groupBy("city").agg(F.count_if(outside).alias("ghi_outliers"))
+    return counts.join(quartiles, "city").join(dup, "city").join(out, "city")
 
 
 def _psi_sql() -> str:

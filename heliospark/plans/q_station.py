@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..config import STATION_GHI_LAGS
 from ..operators import station as ST
 from ..sources import fixtures as FX
+from ..session import shared_path
 from ..sources import station as SS
 from . import sqltext as S
 from .catalog import query
@@ -128,6 +129,22 @@ def station_harmonised(spark, sf_dir):
     return st.select("timestamp", *NUM, "source_file")
 
 
+@query(
+    "station_files_landed",
+    "S9 B4 B5 B6 B7 U1",
+    f"WITH {_ST} SELECT timestamp, {', '.join(NUM)} FROM st",
+    dates=(),
+)
+def station_files_landed(spark, sf_dir):
+    """The station views written out as CSV files, many of each header, and
+    read back: one scan a header, whatever the number of files."""
+    root = shared_path(spark, "station-files")
+    for name, frame in FX.station_files(spark, sf_dir).items():
+        frame.drop("_row").repartition(40).write.option("header", "true").csv(f"{root}/{name}")
+    paths = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(root).inputFiles()
+    return SS.read_station_files(spark, paths).select("timestamp", *NUM)
+
+
 def station_models(spark, sf_dir, target_mode: str = "ghi"):
     """M6 on the station frame with the station hyper-parameters (depth 6,
     500 trees, 0.9 row / column sampling) and B28 target selection. Not a

@@ -22,6 +22,8 @@ BASE_CONF: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Buckets of one sorted file each give their order to the windows above.
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Remove checkpoint files once their DataFrames are garbage collected.

@@ -66,15 +66,24 @@ def explode_payload(df: DataFrame, city: str = "city", payload: str = "payload",
         )
     else:
         parsed = parsed.filter(F.col("p.hourly").isNotNull())
+    return payload_rows(parsed)
+
+
+def payload_rows(parsed: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The hours of parsed payloads: one row per parseable time of
+    (``city_name``, ``p``), with the columns ``keep`` beside them."""
+    keep = keep or []
     rows = parsed.select(
         "city_name",
         "p",
+        *keep,
         F.posexplode(F.coalesce(F.col("p.hourly.time"), F.array().cast("array<string>"))).alias("pos", "t"),
     )
     out = rows.select(
         "city_name",
         parse_wall_time(F.col("t")).alias("timestamp"),
         *[no_nan(F.get(F.col(f"p.hourly.{v}"), F.col("pos"))).alias(v) for v in HOURLY_VARIABLES],
+        *keep,
     )
     return out.filter(F.col("timestamp").isNotNull())
 

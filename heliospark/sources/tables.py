@@ -64,13 +64,29 @@ def first_existing(spark: SparkSession, candidates: Sequence[Source], required=W
     raise ValueError(f"none of the sources exist: {[c.name for c in candidates]}")
 
 
-def write_features(df: DataFrame, path: str, split_col: str | None = "slice") -> None:
+FILE_BYTES = 256 << 20  # of a feature file, by Spark's estimate of the matrix
+FILE_ROWS = 5_000_000
+
+
+def write_features(df: DataFrame, path: str, split_col: str | None = "slice", ts: str = "ts", file_rows: int = FILE_ROWS) -> None:
     """Feature matrix sink, partitioned by city (and slice when present)
-    so readers prune partitions; written with dynamic partition overwrite."""
+    so readers prune partitions; written with dynamic partition overwrite.
+
+    Rows are first dealt by ranges of (city, slice, time): a task holds a few
+    neighbouring partitions or a stretch of one, so it opens those files only,
+    a hot city is shared by several tasks, and files cover disjoint stretches
+    of time. There are at most tasks + partitions files, and none has over
+    ``file_rows`` rows.
+    """
     parts = ["city"] + ([split_col] if split_col and split_col in df.columns else [])
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-min(estimate, 1 << 50) // FILE_BYTES))
     (
-        df.write.mode("overwrite")
+        df.repartitionByRange(tasks, *parts, ts)
+        .sortWithinPartitions(*parts, ts)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", str(file_rows))
         .partitionBy(*parts)
         .parquet(path)
     )

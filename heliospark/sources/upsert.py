@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 # Room for every BIGINT sequence, negative ones included, within one rank.
@@ -33,12 +34,17 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], seq: str | None
     Empty batch -> target unchanged. Duplicate keys inside one batch: the
     highest ``seq`` wins (Postgres would reject the statement; here the
     latest delivery wins deterministically); a NULL ``seq`` is the lowest.
+    Among rows of a key and ``seq`` the one wins whose values, compared in
+    column order with NULL lowest, are the greatest.
     """
     cols = [c for c in target.columns]
+    vals = [c for c in cols if c not in keys]
     t = target.select(*cols, delivery_order(F.lit(0), F.lit(0)).alias("_ord"))
     b = batch.select(*cols, delivery_order(F.lit(1), F.col(seq) if seq else F.lit(0)).alias("_ord"))
+    if seq:
+        # Rows of one sequence, NULL included, would tie: one row stays of each.
+        b = b.groupBy(*keys, "_ord").agg(F.max(F.struct(*vals)).alias("_v")).select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals], "_ord")
     u = t.unionByName(b)
-    vals = [c for c in cols if c not in keys]
     merged = u.groupBy(*keys).agg(*[F.max_by(c, "_ord").alias(c) for c in vals], F.max("_ord").alias("_ord"))
     return merged.select(
         *keys,
@@ -71,10 +77,69 @@ def upsert_partitions(
     """S5 at scale: merge only the target partitions the batch touches.
 
     The batch's distinct partition values (e.g. city, date) semi-join the
-    target, so the merge reads and rewrites those partitions alone; write the
-    result with ``partitionOverwriteMode=dynamic``. Untouched partitions are
-    never read.
+    target, so the merge reads those partitions alone (the join's small side
+    prunes the scan); untouched partitions are never read.
     """
     touched = batch.select(*partition_cols).distinct()
     affected = target.join(touched, partition_cols, "left_semi")
     return upsert(affected, batch, keys, seq)
+
+
+class UpsertTable:
+    """S5 as a stored table: deliveries merged into parquet partitions.
+
+    ``path/data`` holds the rows, partitioned by ``partition_cols`` (of columns
+    that are never NULL, as the table's contract has it);
+    ``path/commits`` one row for each delivery that is in. A delivery is
+    merged with the partitions it touches into ``path/staged``, from where
+    dynamic partition overwrite replaces just those partitions; files of
+    other partitions stay as they are. A delivery that broke off at any point
+    can be applied again: staging starts anew, and rows that are already in
+    are replaced by themselves. One that is committed, or older than the last
+    commit, is left alone.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], partition_cols: list[str], schema: T.StructType) -> None:
+        self.spark, self.path = spark, path
+        self.keys, self.partition_cols, self.schema = keys, partition_cols, schema
+
+    def read(self) -> DataFrame:
+        """The rows of the table (none before the first delivery)."""
+        if not has_data(self.spark, f"{self.path}/data"):
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/data").select(*self.schema.names)
+
+    def last_commit(self) -> int:
+        if not has_data(self.spark, f"{self.path}/commits"):
+            return -1
+        last = self.spark.read.schema("delivery long").parquet(f"{self.path}/commits").agg(F.max("delivery")).first()[0]
+        return -1 if last is None else last
+
+    def _stage(self, batch: DataFrame, delivery: int, seq: str | None) -> DataFrame:
+        merged = upsert_partitions(self.read(), batch, self.keys, self.partition_cols, seq).drop("origin")
+        staged = f"{self.path}/staged/{delivery}"
+        merged.write.mode("overwrite").parquet(staged)
+        return self.spark.read.schema(merged.schema).parquet(staged)
+
+    def apply(self, batch: DataFrame, delivery: int, seq: str | None = None) -> bool:
+        """Merge ``batch`` as delivery number ``delivery``; False if it is in already."""
+        if delivery <= self.last_commit():
+            return False
+        staged = self._stage(batch, delivery, seq)
+        # Rows of a partition meet in one task, in key order; hot partitions are split by AQE's rebalancing.
+        rows = staged.hint("rebalance", *self.partition_cols).sortWithinPartitions(*self.partition_cols, *self.keys)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*self.partition_cols).parquet(f"{self.path}/data")
+        self.spark.range(1).select(F.lit(delivery).cast("long").alias("delivery")).write.mode("append").parquet(f"{self.path}/commits")
+        remove_folder(self.spark, f"{self.path}/staged/{delivery}")
+        return True
+
+
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether anything has been written to ``path`` (readers bring their schema)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

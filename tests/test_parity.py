@@ -15,7 +15,7 @@ NAMES = sorted(catalog.ORACLES)
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float) and math.isnan(v):
         return None

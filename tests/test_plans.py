@@ -38,10 +38,15 @@ def test_no_single_partition_window_over_data(spark):
         assert not bad, (name, bad)
 
 
-def test_city_windows_share_one_exchange(spark):
-    plan = _plan(catalog.QUERIES["lags"](spark, SMALL))
-    # scan-side aggregates + the city window exchange; no per-window reshuffle
-    assert plan.count("Exchange hashpartitioning(city") <= 4
+def test_city_windows_take_the_order_of_the_stored_grid(spark):
+    spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
+    for name in ("lags", "rolling", "targets"):
+        plan = _plan(catalog.QUERIES[name](spark, SMALL))
+        assert "Bucketed: true" in plan and "Exchange" not in plan and "Sort [" not in plan, name
+    for name in ("corr_matrix", "scaled_features", "feature_matrix"):
+        plan = _plan(catalog.QUERIES[name](spark, SMALL))
+        # Only the one-row result of a global aggregate is exchanged.
+        assert "hashpartitioning" not in plan and "Sort [" not in plan, name
 
 
 def test_grid_scans_once_without_a_join(spark):

@@ -183,3 +183,137 @@ def test_coercion_zero_fill_historic_window_and_missing_keys(spark):
     exp = spark.createDataFrame([("a",), ("b",)], "city string")
     got = I.missing_keys(exp, spark.createDataFrame([("a",)], "city string")).collect()
     assert [r["city"] for r in got] == ["b"]
+
+
+def test_many_station_files_are_one_scan_a_header(spark):
+    d = tempfile.mkdtemp(prefix="heliospark-test-many-")
+    want = []
+    for i in range(200):
+        if i % 3 == 0:
+            _csv(d, f"f{i:03d}.csv", f"TIMESTAMP,GHI,Tair_Avg\n2024-01-01 00:00:{i % 60:02d},{i},20\n2024-01-01 01:00:00,n/a,1\n2024-01-01 02:00:00,{i}.5,\n")
+            want += [(f"f{i:03d}.csv", float(i)), (f"f{i:03d}.csv", i + 0.5)]
+        elif i % 3 == 1:
+            _csv(d, f"f{i:03d}.csv", f'Date,Time,"ghi",GHI\n2024-01-02,00:30:00,,{i}\n')
+            want.append((f"f{i:03d}.csv", float(i)))
+        else:
+            _csv(d, f"f{i:03d}.csv", "Timestamp,Tamb\n2024-01-01,5\n" if i % 2 else "")  # no GHI, or empty
+    out = SS.read_station_files(spark, [os.path.join(d, n) for n in os.listdir(d)] + [os.path.join(d, "missing.csv")])
+    plan = out.select("ghi")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 2
+    rows = sorted((r["source_file"], r["_row"], r["ghi"]) for r in out.collect())
+    assert [(f, g) for f, _, g in rows] == sorted(want)  # file order, here that of the values
+    assert len({(f, n) for f, n, _ in rows}) == len(rows)
+
+
+def test_feature_files_are_few_and_pruned(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="heliospark-test-sink-"), "features")
+    ts = F.timestamp_add("HOUR", F.col("id"), F.lit(T0))
+    df = spark.range(4000).select(F.concat(F.lit("c"), F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 40)).alias("city"), ts.alias("ts"), F.rand(1).alias("x")).repartition(30)
+    df = df.withColumn("slice", F.when(F.col("ts") < F.lit(T0 + dt.timedelta(hours=2000)), "stable").otherwise("recent"))
+    TB.write_features(df, path, file_rows=300)
+    back = TB.read_features(spark, path)
+    assert back.count() == 4000 and sorted(map(tuple, back.select(*df.columns).collect())) == sorted(map(tuple, df.collect()))
+    files = back.groupBy(F.col("_metadata.file_path").alias("f"), "city", "slice").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("lo"), F.max("ts").alias("hi")).collect()
+    assert max(r["n"] for r in files) <= 300
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(files) <= tasks + 42 + 4000 // 300  # tasks, partitions, and files cut for their size
+    hot = sorted((r["slice"], r["lo"], r["hi"]) for r in files if r["city"] == "c0")
+    assert all(a[0] != b[0] or a[2] < b[1] for a, b in zip(hot, hot[1:]))  # disjoint stretches of time
+    one = back.where("city = 'c3' AND slice = 'stable'")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(city" in plan.lower().replace("partitionfilters", "PartitionFilters") and one.count() == df.where("city = 'c3' AND slice = 'stable'").count()
+
+
+def _table(spark, rows, name):
+    from heliospark.sources.upsert import UpsertTable
+
+    schema = "city string, ts timestamp, v double, day date"
+    df = spark.createDataFrame([(c, T0 + dt.timedelta(hours=h), v, (T0 + dt.timedelta(hours=h)).date()) for c, h, v in rows], schema)
+    path = os.path.join(tempfile.mkdtemp(prefix="heliospark-test-table-"), name)
+    return UpsertTable(spark, path, ["city", "ts"], ["city", "day"], df.schema), df
+
+
+def _files(path):
+    return {os.path.join(r, f) for r, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def _kept(table):
+    return {(r["city"], r["ts"]): r["v"] for r in table.read().collect()}
+
+
+def test_stored_upsert_touches_its_partitions_only(spark):
+    table, first = _table(spark, [("a", h, float(h)) for h in range(48)] + [("b", h, 1.0) for h in range(24)], "t")
+    assert table.read().count() == 0 and table.apply(first, 0)
+    before = _files(table.path + "/data")
+    _, second = _table(spark, [("a", 30, None), ("a", 50, 9.0)], "t")
+    assert table.apply(second, 1) and not table.apply(second, 1) and not table.apply(first, 0)
+    after = _files(table.path + "/data")
+    assert {f for f in before if "day=2024-01-01" in f} <= after  # of both cities
+    assert not {f for f in before if "city=a/day=2024-01-02" in f} & after
+    want = {("a", T0 + dt.timedelta(hours=h)): float(h) for h in range(48)} | {("b", T0 + dt.timedelta(hours=h)): 1.0 for h in range(24)}
+    want |= {("a", T0 + dt.timedelta(hours=30)): None, ("a", T0 + dt.timedelta(hours=50)): 9.0}
+    assert _kept(table) == want
+    # An empty delivery changes nothing but is committed.
+    assert table.apply(second.limit(0), 2) and _kept(table) == want and table.last_commit() == 2
+
+
+@pytest.mark.parametrize("after", ["staging", "data"])
+def test_stored_upsert_after_a_break(spark, after):
+    """A delivery that broke off after staging, or with the data written but not
+    committed, is applied again with the same result."""
+    table, first = _table(spark, [("a", h, float(h)) for h in range(24)], "t")
+    table.apply(first, 0)
+    _, second = _table(spark, [("a", 3, -1.0), ("a", 30, 5.0)], "t")
+    if after == "staging":
+        table._stage(second, 1, None)
+    else:
+        real = table.spark
+
+        class Broken:
+            def __getattr__(self, name):
+                if name == "range":  # the commit's row
+                    raise RuntimeError("lost before the commit")
+                return getattr(real, name)
+
+        table.spark = Broken()
+        with pytest.raises(RuntimeError):
+            table.apply(second, 1)
+        table.spark = real
+    assert table.last_commit() == 0 and table.apply(second, 1)
+    got = _kept(table)
+    assert len(got) == 25 and got[("a", T0 + dt.timedelta(hours=3))] == -1.0 and got[("a", T0 + dt.timedelta(hours=30))] == 5.0
+
+
+def test_upsert_ties_of_one_sequence(spark):
+    from heliospark.sources.upsert import upsert
+
+    target = spark.createDataFrame([("k", 1.0, "t")], "k string, v double, w string")
+    batch = spark.createDataFrame([("k", None, "z", None), ("k", 2.0, "a", None), ("j", 5.0, "x", 3), ("j", 5.0, "y", 3), ("j", 9.0, "q", 2)], "k string, v double, w string, s long")
+    got = {r["k"]: (r["v"], r["w"], r["origin"]) for r in upsert(target, batch, ["k"], "s").collect()}
+    assert got == {"k": (2.0, "a", "batch"), "j": (5.0, "y", "batch")}
+
+
+@pytest.mark.parametrize("few, bins", [(10_000, 1024), (3, 4)])
+def test_exact_quantiles(spark, few, bins):
+    import numpy as np
+
+    from heliospark.operators.quantiles import exact_quantiles
+
+    rng = np.random.default_rng(3)
+    groups = {
+        "many": rng.normal(size=4000).round(2).tolist(),
+        "one": [7.5],
+        "same": [3.0] * 500,
+        "wide": [*(10.0 ** rng.uniform(-300, 300, 200)).tolist(), -1e308, 1e308],
+        "two": [1.0, 2.0],
+        None: rng.integers(0, 5, 99).astype(float).tolist(),
+        "none": [None, None],
+    }
+    rows = [(g, v) for g, values in groups.items() for v in values] + [("many", None)]
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    df = spark.createDataFrame(rows, "g string, v double").where("g IS NOT NULL")
+    got = {(r["g"], r["prob"]): r["quantile"] for r in exact_quantiles(df, "g", "v", probs, bins, few).collect()}
+    want = {(g, p): float(np.quantile(v, p)) for g, v in groups.items() if g not in (None, "none") for p in probs}
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], rel=1e-12) for k in want if np.isfinite(want[k]))
+    assert exact_quantiles(df.limit(0), "g", "v", probs).count() == 0
