@@ -125,6 +125,11 @@ def day_hour_label(day: str | Column, hour: str | Column) -> Column:
     )
 
 
+def daylight_range(sunrise: str | Column, sunset: str | Column) -> Column:
+    """``HH:00 – HH:00``, or a dash for a day without sun."""
+    return F.coalesce(F.concat(hour_label(sunrise), F.lit(" – "), hour_label(sunset)), F.lit("—"))
+
+
 def clamp(x: str | Column, lo: float, hi: float) -> Column:
     """B22 (NULL stays NULL: ``greatest``/``least`` alone would skip it)."""
     v = _c(x)

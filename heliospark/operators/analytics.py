@@ -102,10 +102,23 @@ def daily_decision_summary(hourly: DataFrame, cfg: CoolingConfig = CoolingConfig
 
 
 def daily_detail(hourly: DataFrame, as_of, cfg: CoolingConfig = CoolingConfig()) -> DataFrame:
-    """A3: A2 plus source mode and the day's hour list (bounded: <= 24)."""
+    """A3: A2 plus source mode, the labels of the hours present, and the day's
+    24 hour records (T17) as ``profile``: hour, ghi and temp, NULL where the
+    hour is missing. Both lists are bounded by the day."""
     summary = daily_decision_summary(hourly, cfg)
-    hours = hourly.groupBy(KEY, _date().alias("date")).agg(
-        F.array_join(F.array_sort(F.collect_list(D.hour_label(F.hour("ts")))), ",").alias("hours")
+    h = F.hour("ts")
+    present = F.array_sort(F.collect_list(F.struct(h.alias("hour"), F.col("ghi").alias("ghi"), F.col("temp").alias("temp"))))
+    days = hourly.groupBy(KEY, _date().alias("date")).agg(present.alias("_hours"))
+
+    def slot(k: Column) -> Column:
+        found = F.get(F.filter("_hours", lambda r: r["hour"] == k), F.lit(0))
+        return F.struct(k.alias("hour"), found["ghi"].alias("ghi"), found["temp"].alias("temp"))
+
+    hours = days.select(
+        KEY,
+        "date",
+        F.array_join(F.transform("_hours", lambda r: D.hour_label(r["hour"])), ",").alias("hours"),
+        F.transform(F.sequence(F.lit(0), F.lit(23)), slot).alias("profile"),
     )
     return summary.join(hours, [KEY, "date"]).withColumn("source_mode", D.source_mode(F.col("date"), as_of))
 
@@ -250,12 +263,13 @@ def seasonal_summary(curve: DataFrame) -> DataFrame:
     )
 
 
-def hour_pivot(curve: DataFrame, dim: str = "season", values=SEASONS, value: str = "avg_ghi_wm2") -> DataFrame:
-    """A10: hour x dim pivot on a 24-hour spine, missing -> 0."""
-    piv = curve.groupBy(KEY, "hour").pivot(dim, list(values)).agg(F.first(value))
-    keys = curve.select(KEY).distinct()
-    spine = keys.select(KEY, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(23).cast("bigint"))).alias("hour"))
-    out = spine.join(piv, [KEY, "hour"], "left")
+def hour_pivot(curve: DataFrame, dim: str = "season", values=SEASONS, value: str = "avg_ghi_wm2", key: str = KEY) -> DataFrame:
+    """A10: hour x dim pivot (season, city or date) for each ``key`` on a
+    24-hour spine, missing -> 0."""
+    piv = curve.groupBy(key, "hour").pivot(dim, list(values)).agg(F.first(value))
+    keys = curve.select(key).distinct()
+    spine = keys.select(key, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(23).cast("bigint"))).alias("hour"))
+    out = spine.join(piv, [key, "hour"], "left")
     return out.fillna(0.0, subset=list(values))
 
 

@@ -38,9 +38,9 @@ def coerce_numeric(df: DataFrame, cols) -> DataFrame:
     return out
 
 
-def model_matrix(df: DataFrame, categories: list[str], numeric: list[str], key: str = "city", ts: str = "ts") -> DataFrame:
+def model_matrix(df: DataFrame, categories: list[str], numeric: list[str], key: str = "city", ts: str = "ts", labels: tuple[str, ...] = ()) -> DataFrame:
     """Epoch seconds, one-hot city over sorted categories (all kept),
-    numeric features with NULL -> 0."""
+    numeric features with NULL -> 0; ``labels`` stay as they are."""
     cats = sorted(categories)
     onehot = [F.when(F.col(key) == c, F.lit(1)).otherwise(F.lit(0)).cast("int").alias(f"{key}_{c}") for c in cats]
     return df.select(
@@ -49,6 +49,7 @@ def model_matrix(df: DataFrame, categories: list[str], numeric: list[str], key:
         F.unix_seconds(F.col(ts)).alias("epoch_seconds"),
         *onehot,
         *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in numeric],
+        *labels,
     )
 
 
@@ -73,3 +74,8 @@ def select_for_target(df: DataFrame, mode: str, target_cols: dict[str, str], exc
     excluded = set(exclude) | set(target_cols.values())
     feats = [c for c, t in df.dtypes if c not in excluded and t in ("double", "float", "int", "bigint")]
     return feats, target_cols[mode]
+
+
+def selections(df: DataFrame, mode: str, target_cols: dict[str, str], exclude=("ts", "timestamp")) -> dict[str, tuple[list[str], str]]:
+    """B28 by target: one mode, or every target for ``both``."""
+    return {m: select_for_target(df, m, target_cols, exclude) for m in (target_cols if mode == "both" else [mode])}

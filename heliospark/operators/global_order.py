@@ -152,3 +152,46 @@ def with_halo(df: DataFrame, back: int, ahead: int, idx: str = "gidx") -> DataFr
         .withColumn("_own", F.lit(False))
     )
     return home.unionByName(copies)
+
+
+def with_edges(df: DataFrame, order: str, cols: list[str], back: int, ahead: int) -> DataFrame:
+    """The rows around each range partition's own (P5), as arrays.
+
+    ``df`` has the partitions ``_pid`` in global order and distinct ``order``
+    values inside each. Every row gets its place ``_at`` in the partition and
+    the number ``_left`` of rows after it; rows within ``back`` of the start
+    (or ``ahead`` of the end) also get ``_before``: the last ``back`` rows of
+    the partitions before, nearest last (``_after``: the first rows behind). A
+    partition shorter than that is bridged. The arrays come from a table with
+    one row per partition; no row is copied and nothing is collected.
+    """
+    up = Window.partitionBy("_pid").orderBy(order)
+    down = Window.partitionBy("_pid").orderBy(F.col(order).desc())
+    placed = df.withColumns({"_at": F.row_number().over(up) - 1, "_left": F.row_number().over(down) - 1})
+    row = F.struct(F.col(order).alias("_o"), *cols)
+    ends = placed.where((F.col("_left") < back) | (F.col("_at") < max(ahead, 1))).groupBy("_pid").agg(
+        F.array_sort(F.collect_list(F.when(F.col("_left") < back, row))).alias("_tail"),
+        F.array_sort(F.collect_list(F.when(F.col("_at") < ahead, row))).alias("_head"),
+    )
+    # Each partition has a row at least, so ``back`` of them hold all that is asked for.
+    past = Window.orderBy("_pid").rowsBetween(-max(back, 1), -1)
+    next_ = Window.orderBy("_pid").rowsBetween(1, max(ahead, 1))
+    edges = ends.select(
+        "_pid",
+        F.slice(F.reverse(F.flatten(F.collect_list("_tail").over(past))), 1, back).alias("_before"),
+        F.slice(F.flatten(F.collect_list("_head").over(next_)), 1, max(ahead, 1)).alias("_after"),
+    ).select("_pid", F.reverse("_before").alias("_before"), "_after")
+    near = (F.col("_at") < back) | (F.col("_left") < ahead)
+    return placed.withColumn("_near", F.when(near, F.col("_pid"))).join(F.broadcast(edges.withColumnRenamed("_pid", "_near")), "_near", "left").drop("_near")
+
+
+def edge_lag(col: str, k: int, order: str) -> Column:
+    """The value ``k`` rows before (after, for negative ``k``) in global order;
+    needs the columns of :func:`with_edges`."""
+    w = Window.partitionBy("_pid").orderBy(order)
+    if k < 0:
+        beyond = F.get("_after", -k - 1 - F.col("_left"))[col]
+        return F.when(F.col("_left") >= -k, F.lead(col, -k).over(w)).otherwise(beyond)
+    place = F.size("_before") - (k - F.col("_at"))
+    beyond = F.when(place >= 0, F.get("_before", place)[col])
+    return F.when(F.col("_at") >= k, F.lag(col, k).over(w)).otherwise(beyond)

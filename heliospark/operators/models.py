@@ -8,7 +8,9 @@ compared by tolerance, not equality.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import BoostedTreeParams
+from ..session import ensure_checkpoint_dir
 from . import analytics as A
 from .global_order import with_global_index
 
@@ -64,26 +67,46 @@ def feature_importances(spark: SparkSession, model: PipelineModel, features: lis
     return spark.createDataFrame(list(zip(features, [float(v) for v in imp])), "feature string, importance double")
 
 
+def train_targets(df: DataFrame, features: list[str], labels: dict[str, str], params: BoostedTreeParams) -> dict[str, PipelineModel]:
+    """M2 for several targets on one frame with a ``split`` column.
+
+    The features are assembled once and kept for all fits, which run side by
+    side: a boosted tree is a chain of short jobs that leave a cluster idle
+    between them, and chains of different targets fill each other's gaps.
+    (Spark bins the features once per fit and cuts the lineage of the running
+    prediction every ``checkpointInterval`` trees in the shared folder.)
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
+    # Rows stay in memory or on disk for all fits, in the input's own partitions.
+    train = assembler.transform(df.filter(F.col("split") == "train")).select("features", *labels.values()).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fit(label: str) -> PipelineModel:
+        gbt = boosted_tree_estimator(features, label, params).getStages()[-1]
+        return PipelineModel([assembler, gbt.fit(train.filter(F.col(label).isNotNull()))])
+
+    with ThreadPoolExecutor(len(labels)) as pool:
+        fits = [pool.submit(inheritable_thread_target(df.sparkSession)(fit), label) for label in labels.values()]
+        models = {target: f.result() for target, f in zip(labels, fits, strict=True)}
+    train.unpersist()
+    return models
+
+
+def evaluate(model: PipelineModel, split: DataFrame, label: str, model_name: str) -> tuple[DataFrame, DataFrame]:
+    """M3 and A22 on the test rows: (scored rows, metrics with the number of train rows)."""
+    rows = split.filter(F.col(label).isNotNull())
+    scored = score(model, rows.filter(F.col("split") == "test"), label)
+    named = scored.select(F.lit(model_name).alias("model_name"), F.col(label).alias("actual"), F.col("prediction").alias("predicted"))
+    n_train = rows.filter(F.col("split") == "train").count()
+    return scored, A.regression_metrics(named, ["model_name"]).withColumn("n_train", F.lit(n_train).cast("bigint"))
+
+
 def train_and_evaluate(
     df: DataFrame, features: list[str], label: str, params: BoostedTreeParams, model_name: str
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """M6 for one target: M1 -> M2 -> M3 -> A22. Returns (model, scored test, metrics)."""
-    split = df.filter(F.col(label).isNotNull())
-    # Boosting runs several distributed passes per tree: keep the rows in memory
-    # or on disk for the whole fit, in the input's own partitions.
-    train = split.filter(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
-    n_train = train.count()
-    test = split.filter(F.col("split") == "test")
-    model = boosted_tree_estimator(features, label, params).fit(train)
-    scored = score(model, test, label)
-    metrics = A.regression_metrics(
-        scored.select(F.col(label).alias("actual"), F.col("prediction").alias("predicted")).withColumn(
-            "model_name", F.lit(model_name)
-        ),
-        ["model_name"],
-    )
-    train.unpersist()
-    return model, scored, metrics.withColumn("n_train", F.lit(n_train).cast("bigint"))
+    model = train_targets(df, features, {label: label}, params)[label]
+    return model, *evaluate(model, df, label, model_name)
 
 
 def promotion_gate(candidates: DataFrame, champion: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..config import LAG_HOURS, ImputeConfig
 from ..functions.calendar import cyclical_columns, local_ts
 from ..session import materialize
+from .global_order import with_edges, with_global_index
 from ..functions.numeric import EXACT, MOMENT, exact_avg, mean_of_nonnull, quantize, quantized_mean
 
 KEY = "city"
@@ -415,6 +416,21 @@ def sequences(
     return out
 
 
+def sequences_global(df: DataFrame, features: list[str], label: str, n: int = 24, order: tuple[str, ...] = ("ts", "city"), dtype: str = "double") -> DataFrame:
+    """T16 in global order (R4): the ``n`` rows before in the order of all rows,
+    across keys. Range partitions with arrays of the rows beyond their edges."""
+    idx = with_global_index(df, list(order), "gidx")
+    vec = F.array(*[F.col(f).cast(dtype) for f in features])
+    edged = with_edges(idx.withColumn("_vec", vec), "gidx", ["_vec"], back=n, ahead=0)
+    own = F.collect_list("_vec").over(Window.partitionBy("_pid").orderBy("gidx").rowsBetween(-n, -1))
+    # The nearest rows before the partition make up what is missing.
+    missing = F.lit(n) - F.size(own)
+    before = F.coalesce(F.transform("_before", lambda r: r["_vec"]), F.array().cast(f"array<array<{dtype}>>"))
+    taken = F.least(missing, F.size(before))
+    seq = F.concat(F.slice(before, F.size(before) - taken + 1, taken), own)
+    return edged.select(*order, seq.alias("sequence"), F.col(label).alias("label")).filter(F.size("sequence") == n)
+
+
 def daily_profile(hourly: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
     """24 UTC hour slots for every (city, date) present; missing -> NULL."""
     days = hourly.select(key, F.to_date(ts).alias("date")).distinct()

@@ -1,8 +1,9 @@
 """Composite GHI analysis for one city and date.
 
-One hourly table, cached once, feeds the four parts (daily statistics,
-seven-day trend, per-city profile on the date, seasonal curve). Each part is
-an ordinary DataFrame; nothing is collected.
+Four parts (daily statistics, seven-day trend, per-city profile on the date,
+seasonal curve), each an ordinary DataFrame over the hourly table that reads
+only what it needs: the filters on city and date reach the scan below the
+hourly means. Nothing is cached or collected.
 """
 
 from __future__ import annotations
@@ -15,12 +16,11 @@ from ..functions.decisions import source_mode
 
 
 def ghi_analysis(hourly: DataFrame, city: str, date, as_of, seasonal: DataFrame | None = None) -> dict[str, DataFrame]:
-    h = hourly.cache()
     d = F.lit(date).cast("date")
-    daily = A.ghi_daily(h.filter(F.col("city") == city))
+    day = F.to_date("ts")
+    own = hourly.filter(F.col("city") == city)
+    daily = A.ghi_daily(own.filter(day.between(F.date_sub(d, 6), d)))
     stats = daily.filter(F.col("date") == d).withColumn("source_mode", source_mode(F.col("date"), as_of))
-    trend = daily.filter(F.col("date").between(F.date_sub(d, 6), d))
-    cities = A.city_profile(h).filter(F.col("date") == d)
-    curve_src = seasonal if seasonal is not None else h
-    curves = A.seasonal_curve(curve_src.filter(F.col("city") == city), "representative")
-    return {"statistics": stats, "weekly_trend": trend, "city_comparison": cities, "seasonal": curves}
+    cities = A.city_profile(hourly.filter(day == d))
+    curves = A.seasonal_curve((seasonal if seasonal is not None else hourly).filter(F.col("city") == city), "representative")
+    return {"statistics": stats, "weekly_trend": daily, "city_comparison": cities, "seasonal": curves}

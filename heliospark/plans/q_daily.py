@@ -60,7 +60,21 @@ def daily_decision_summary(spark, sf_dir):
     "FROM summ JOIN hl USING (city, date)",
 )
 def daily_detail(spark, sf_dir):
-    return A.daily_detail(dense_hourly(spark, sf_dir), AS_OF, CFG)
+    return A.daily_detail(dense_hourly(spark, sf_dir), AS_OF, CFG).drop("profile")
+
+
+@query(
+    "daily_detail_hours",
+    "A3 T17",
+    f"WITH {S.CTE_DENSE_HOURLY}, d AS (SELECT DISTINCT city, CAST(ts AS DATE) AS date FROM hourly), "
+    "spine AS (SELECT city, date, CAST(h AS INTEGER) AS hour FROM d, range(0, 24) r(h)) "
+    f"SELECT s.city, s.date, CASE WHEN s.date <= DATE '{AS_OF}' THEN 'HISTORICAL' ELSE 'PREDICTION' END AS source_mode, s.hour, h.ghi, h.temp "
+    "FROM spine s LEFT JOIN hourly h ON s.city = h.city AND s.date = CAST(h.ts AS DATE) AND s.hour = hour(h.ts)",
+)
+def daily_detail_hours(spark, sf_dir):
+    """The 24 hour records of each city-day's detail."""
+    detail = A.daily_detail(dense_hourly(spark, sf_dir), AS_OF, CFG)
+    return detail.select("city", "date", "source_mode", F.explode("profile").alias("h")).select("city", "date", "source_mode", "h.*")
 
 
 @query(

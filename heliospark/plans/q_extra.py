@@ -6,19 +6,24 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import analytics as A
+from ..functions import decisions as D
 from ..operators import timeseries as TS
+from ..operators.global_order import with_global_index
+from ..operators.models import chronological_split
 from ..sources import fixtures as FX
 from ..sources import ingest as I
 from ..sources.payload import fold_payloads, parse_wall_time
 from ..session import shared_path
 from ..sources.tables import append_registry, read_registry, weather_scan
-from ..sources.upsert import UpsertTable, upsert
+from ..sources.upsert import UpsertTable, contract_violations, request_rules, upsert
 from ..streaming.jobs import UpsertLog, payload_stream
 from . import catalog
 from . import q_features as Q
 from . import sqltext as S
 from .catalog import query
 from .common import AS_OF, dense_hourly, long_hourly
+from .ghi_analysis import ghi_analysis
+from .q_daily import _SQL_GHI_DAILY, _SQL_SUMMARY_CTE
 from .q_forecast import predictions
 from .q_ingest import DENSE_CITIES, PAYLOAD_VARS, REDELIVER_FROM, UPSERT_CUTOFF, _upsert_inputs
 from .q_quality import clip_and_drop_sparse_days, training_window
@@ -211,15 +216,16 @@ def city_time_slice(spark, sf_dir):
 @query(
     "city_daylight_summary",
     "A11 B23",
-    f"WITH {S.CTE_DENSE_HOURLY}, d AS (SELECT DISTINCT city, CAST(ts AS DATE) AS date FROM hourly), "
+    f"WITH {S.CTE_DENSE_HOURLY}, {_SQL_SUMMARY_CTE}, "
     f"g AS (SELECT city, CAST(ts AS DATE) AS date, max(ghi) AS peak, count(*) AS n, {S.xsum('ghi')} AS sg FROM hourly "
     "WHERE hour(ts) BETWEEN 8 AND 17 GROUP BY 1, 2) SELECT d.city, d.date, "
+    f"{S.qmean(f'CAST((solar_hours + no_cooling_hours) * 100 AS {S.DEC})', 'greatest(total_hours, 1)', 1)} AS operating_pct, "
     "coalesce(CASE WHEN n < 10 THEN greatest(peak, 0.0) ELSE peak END, 0.0) AS peak_ghi, "
-    "CAST(coalesce(sg, 0) AS DOUBLE) / 10.0 AS avg_ghi, CAST(coalesce(sg, 0) AS DOUBLE) / 1000.0 AS psh FROM d LEFT JOIN g USING (city, date)",
+    "CAST(coalesce(sg, 0) AS DOUBLE) / 10.0 AS avg_ghi, CAST(coalesce(sg, 0) AS DOUBLE) / 1000.0 AS psh FROM summ d LEFT JOIN g USING (city, date)",
 )
 def city_daylight_summary(spark, sf_dir):
-    """The city summary over hours 8 to 17 only."""
-    return A.city_operating(dense_hourly(spark, sf_dir), hour_range=(8, 17)).select("city", "date", "peak_ghi", "avg_ghi", "psh")
+    """The city summary over hours 8 to 17, with the day's operating percentage."""
+    return A.city_operating(dense_hourly(spark, sf_dir), hour_range=(8, 17))
 
 
 @query(
@@ -263,44 +269,166 @@ def clipped_days(spark, sf_dir):
     return clip_and_drop_sparse_days(TS.hourly_means(holed_readings(spark, sf_dir)))
 
 
-@query(
-    "hour_pivot_by_city",
-    "A10",
-    f"WITH {S.CTE_DENSE_HOURLY}, d AS (SELECT DISTINCT CAST(ts AS DATE) AS date FROM hourly), "
-    "spine AS (SELECT date, CAST(h AS BIGINT) AS hour FROM d, range(0, 24) r(h)) SELECT s.date, s.hour, "
-    + ", ".join(f"coalesce(max(CASE WHEN h.city = '{c}' THEN h.ghi END), 0.0) AS \"{c}\"" for c in ("click", "view", "purchase"))
-    + " FROM spine s LEFT JOIN hourly h ON s.date = CAST(h.ts AS DATE) AND s.hour = hour(h.ts) GROUP BY 1, 2",
-)
+_SPINE_SQL = "spine AS (SELECT {k}, CAST(h AS BIGINT) AS hour FROM (SELECT DISTINCT {k} FROM cells) d, range(0, 24) r(h))"
+
+
+def _pivot_sql(key: str, dim: str, values) -> str:
+    cells = ", ".join(f"coalesce(max(CASE WHEN c.{dim} = '{v}' THEN c.ghi END), 0.0) AS \"{v}\"" for v in values)
+    return (
+        f"WITH {S.CTE_DENSE_HOURLY}, cells AS (SELECT CAST(ts AS DATE) AS date, strftime(ts, '%Y-%m-%d') AS day, hour(ts) AS hour, city, ghi FROM hourly), "
+        f"{_SPINE_SQL.format(k=key)} SELECT s.{key}, s.hour, {cells} FROM spine s LEFT JOIN cells c ON s.{key} = c.{key} AND s.hour = c.hour GROUP BY 1, 2"
+    )
+
+
+def _cells(spark, sf_dir):
+    day = F.to_date("ts")
+    return dense_hourly(spark, sf_dir).select(day.alias("date"), day.cast("string").alias("day"), F.hour("ts").cast("bigint").alias("hour"), "city", "ghi")
+
+
+@query("hour_pivot_by_city", "A10", _pivot_sql("date", "city", DENSE_CITIES))
 def hour_pivot_by_city(spark, sf_dir):
     """For each date an hour by city table of GHI, missing cells 0."""
-    h = dense_hourly(spark, sf_dir).select(F.to_date("ts").alias("date"), F.hour("ts").cast("bigint").alias("hour"), "city", "ghi")
-    cells = h.groupBy("date").agg(F.lit(1).alias("_one")).select("date", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(23).cast("bigint"))).alias("hour"))
-    wide = h.groupBy("date", "hour").agg(*[F.max(F.when(F.col("city") == c, F.col("ghi"))).alias(c) for c in ("click", "view", "purchase")])
-    return cells.join(wide, ["date", "hour"], "left").fillna(0.0, subset=["click", "view", "purchase"])
+    return A.hour_pivot(_cells(spark, sf_dir), "city", DENSE_CITIES, "ghi", key="date")
+
+
+WEEK = [f"2024-01-{d:02d}" for d in range(22, 29)]  # the seven days up to AS_OF
+
+
+@query("hour_pivot_by_date", "A10", _pivot_sql("city", "day", WEEK), dates=())
+def hour_pivot_by_date(spark, sf_dir):
+    """For each city an hour by date table of GHI over a week, missing cells 0."""
+    return A.hour_pivot(_cells(spark, sf_dir), "day", WEEK, "ghi")
 
 
 @query(
-    "ghi_analysis",
-    "A30",
-    f"WITH {S.CTE_DENSE_HOURLY}, daily AS (SELECT city, CAST(ts AS DATE) AS date, {S.xsum('ghi')} AS s FROM hourly GROUP BY 1, 2) "
-    f"SELECT 'trend' AS part, city AS label, CAST(date AS VARCHAR) AS place, CAST(round(CAST(s AS DOUBLE), 3) AS DOUBLE) AS value FROM daily "
-    f"WHERE city = 'click' AND date BETWEEN DATE '{AS_OF}' - 6 AND DATE '{AS_OF}' "
-    f"UNION ALL SELECT 'cities', city, CAST(date AS VARCHAR), CAST(round(CAST(s AS DOUBLE), 3) AS DOUBLE) FROM daily WHERE date = DATE '{AS_OF}' "
-    f"UNION ALL SELECT 'season', {S.season_of('month(ts)')}, CAST(hour(ts) AS VARCHAR), CAST(round(CAST(max(ghi) AS DOUBLE), 3) AS DOUBLE) FROM hourly "
-    "WHERE city = 'click' GROUP BY 2, 3",
-    dates=(),
+    "daylight_labels",
+    "B18 A5",
+    f"WITH {S.CTE_DENSE_HOURLY}, d AS ({_SQL_GHI_DAILY}) SELECT city, date, 24 - zero_hours AS daylight_hours, "
+    f"coalesce({S.hour_label('sunrise_hour')} || ' – ' || {S.hour_label('sunset_hour')}, '—') AS daylight FROM d",
 )
+def daylight_labels(spark, sf_dir):
+    """Hours of daylight and their range as text for each city-day."""
+    daily = A.ghi_daily(dense_hourly(spark, sf_dir))
+    return daily.select("city", "date", (24 - F.col("zero_hours")).alias("daylight_hours"), D.daylight_range("sunrise_hour", "sunset_hour").alias("daylight"))
+
+
+# The composite analysis: one city and day of seven years of hours.
+A30_CITY, A30_DAY = "R", "1994-03-15"
+_METRICS = ("peak_ghi", "avg_ghi", "total_irradiance_whm2", "psh", "zero_hours", "sunrise_hour", "sunset_hour")
+_PROFILE = ("peak_ghi", "avg_ghi", "psh")
+_CURVE = ("avg_ghi_wm2", "avg_temp_c")
+
+
+def _ghi_analysis_sql() -> str:
+    from .q_dashboard import _curve_sql
+
+    def metrics(part: str, src: str, label: str, place: str, names) -> str:
+        return " UNION ALL ".join(f"SELECT '{part}' AS part, {label} AS label, {place} AS place, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM {src}" for m in names)
+
+    day = f"DATE '{A30_DAY}'"
+    mode = f"SELECT 'statistics', city || ' ' || CASE WHEN date <= DATE '{AS_OF}' THEN 'HISTORICAL' ELSE 'PREDICTION' END, CAST(date AS VARCHAR), 'source_mode', NULL FROM daily WHERE date = {day}"
+    return (
+        f"WITH {S.CTE_LONG_HOURLY}, every AS ({_SQL_GHI_DAILY}), daily AS (SELECT * FROM every WHERE city = '{A30_CITY}'), "
+        f"curve AS (SELECT * FROM ({_curve_sql('representative')}) c WHERE city = '{A30_CITY}'), "
+        f"prof AS (SELECT city, CAST(ts AS DATE) AS date, {S.rnd('max(ghi)', 2)} AS peak_ghi, {S.qmean(S.xsum('ghi'), '24', 2)} AS avg_ghi, "
+        f"{S.psh_from_sum(S.xsum('ghi'), 3)} AS psh FROM hourly GROUP BY 1, 2) "
+        + " UNION ALL ".join([
+            metrics("statistics", f"daily WHERE date = {day}", "city", "CAST(date AS VARCHAR)", _METRICS),
+            mode,
+            metrics("weekly_trend", f"daily WHERE date BETWEEN {day} - 6 AND {day}", "city", "CAST(date AS VARCHAR)", _METRICS),
+            metrics("city_comparison", f"prof WHERE date = {day}", "city", "CAST(date AS VARCHAR)", _PROFILE),
+            metrics("seasonal", "curve", "season", "CAST(hour AS VARCHAR)", _CURVE),
+        ])
+    )
+
+
+@query("ghi_analysis", "A30", _ghi_analysis_sql(), dates=())
 def ghi_analysis_parts(spark, sf_dir):
-    """The parts of the composite analysis of one city and date in long form:
-    daily sums of the week, sums of all cities on the date, seasonal peaks."""
-    h = dense_hourly(spark, sf_dir)
-    daily = h.groupBy("city", F.to_date("ts").alias("date")).agg(F.round(F.sum(F.col("ghi").cast("decimal(24,6)")).cast("double"), 3).alias("value"))
-    day = F.lit(AS_OF).cast("date")
-    place = F.col("date").cast("string").alias("place")
-    trend = daily.where((F.col("city") == "click") & F.col("date").between(F.date_sub(day, 6), day)).select(F.lit("trend").alias("part"), F.col("city").alias("label"), place, "value")
-    cities = daily.where(F.col("date") == day).select(F.lit("cities").alias("part"), F.col("city").alias("label"), place, "value")
-    season = h.where("city = 'click'").groupBy(A.season_of(F.month("ts")).alias("label"), F.hour("ts").cast("string").alias("place")).agg(F.round(F.max("ghi"), 3).alias("value"))
-    return trend.unionByName(cities).unionByName(season.select(F.lit("season").alias("part"), "label", "place", "value"))
+    """The four parts of the composite analysis of one city and day, in long form."""
+    parts = ghi_analysis(long_hourly(spark, sf_dir), A30_CITY, A30_DAY, AS_OF)
+
+    def long(part: str, label, place, names):
+        cells = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in names])).alias("c")
+        return parts[part].select(F.lit(part).alias("part"), label.alias("label"), place.cast("string").alias("place"), cells).select("part", "label", "place", "c.metric", "c.value")
+
+    city, date = F.col("city"), F.col("date")
+    mode = parts["statistics"].select(
+        F.lit("statistics").alias("part"), F.concat_ws(" ", "city", "source_mode").alias("label"), date.cast("string").alias("place"), F.lit("source_mode").alias("metric"), F.lit(None).cast("double").alias("value")
+    )
+    out = long("statistics", city, date, _METRICS).unionByName(mode).unionByName(long("weekly_trend", city, date, _METRICS))
+    return out.unionByName(long("city_comparison", city, date, _PROFILE)).unionByName(long("seasonal", F.col("season"), F.col("hour"), _CURVE))
+
+
+# -- contracts, coverage, guards and order ------------------------------------------
+
+
+@query(
+    "request_contract",
+    "B19 S6",
+    "WITH r AS (SELECT user_id, CAST(ts AS DATE) AS day, min(event_id) % 5 AS panels, min(value) - 5 AS rating, min(event_id) % 14 AS month, "
+    "count(*) FILTER (WHERE value > 20) AS hours, count(*) FILTER (WHERE value > 20 AND value < 30) AS low FROM events GROUP BY 1, 2) "
+    "SELECT unnest(['null_user_id', 'null_day', 'negative_ghi', 'panel_count_below_1', 'rating_not_positive', 'month_out_of_range', 'no_hours', 'duplicate_key']) AS rule, "
+    "unnest([0, 0, count(*) FILTER (WHERE low > 0), count(*) FILTER (WHERE panels < 1), count(*) FILTER (WHERE rating <= 0), "
+    "count(*) FILTER (WHERE month < 1 OR month > 12), count(*) FILTER (WHERE hours = 0), 0]) AS violations FROM r",
+    dates=(),
+)
+def request_contract(spark, sf_dir):
+    """Simulation requests, one for each user's day, against the request rules."""
+    ev = FX.table(spark, sf_dir, "events")
+    requests = ev.groupBy("user_id", F.to_date("ts").alias("day")).agg(
+        (F.min("event_id") % 5).alias("panel_count"),
+        (F.min("value") - 5).alias("panel_watt_rating"),
+        (F.min("event_id") % 14).alias("month"),
+        F.collect_list(F.when(F.col("value") > 20, F.col("value") - 30)).alias("hourly_ghi"),  # a user's day
+    )
+    return contract_violations(requests, ["user_id", "day"], ["user_id", "day"], request_rules())
+
+
+@query(
+    "ingest_report",
+    "S12 J6",
+    f"WITH {S.CTE_SITES}, e AS (SELECT DISTINCT 'site_' || c_custkey AS city FROM customer), b AS (SELECT DISTINCT city FROM sites "
+    f"WHERE ts BETWEEN TIMESTAMP '{AS_OF} 09:00:00' AND TIMESTAMP '{AS_OF} 13:00:00') "
+    "SELECT count(*) AS total, count(b.city) AS successes, count(*) - count(b.city) AS failures, count(*) > count(b.city) AS partial FROM e LEFT JOIN b USING (city)",
+    dates=(),
+)
+def ingest_report(spark, sf_dir):
+    """The latest poll against a given list of stations (one a customer)."""
+    expected = FX.table(spark, sf_dir, "customer").select(F.concat(F.lit("site_"), F.col("c_custkey").cast("string")).alias("city"))
+    return I.ingest_summary(I.coverage(expected, I.incremental_slice(FX.sites(spark, sf_dir), f"{AS_OF} 12:00:00")))
+
+
+@query(
+    "guarded_training_rows",
+    "B21 B20 M1",
+    f"WITH {S.CTE_DENSE_HOURLY}, s AS (SELECT * FROM hourly WHERE ts <= TIMESTAMP '{AS_OF} 12:00:00' - INTERVAL 2 DAY), "
+    "r AS (SELECT city, ts, ghi, temp, row_number() OVER (ORDER BY ts, city) - 1 AS i, count(*) OVER () AS n FROM s) "
+    "SELECT city, ts, ghi, temp, CASE WHEN i < CAST(floor(n * 0.8) AS BIGINT) THEN 'train' ELSE 'test' END AS split FROM r",
+    dates=(),
+)
+def guarded_training_rows(spark, sf_dir):
+    """The rows that training may see: the stable slice, past the guard, split by time."""
+    rows = I.stable_recent_split(dense_hourly(spark, sf_dir), f"{AS_OF} 12:00:00", 2)
+    guarded = I.guard_training_slice(rows.where("slice = 'stable'"))
+    return chronological_split(guarded, ["ts", "city"], 0.8).select("city", "ts", "ghi", "temp", "split")
+
+
+@query(
+    "ordered_scan",
+    "O1 S3",
+    f"WITH {S.CTE_DENSE} SELECT city, CAST(row_number() OVER (ORDER BY city) AS BIGINT) AS place, min(ts) AS first_ts, max(ts) AS last_ts, "
+    "CAST(count(*) AS BIGINT) AS n FROM dense GROUP BY city",
+    dates=(),
+)
+def ordered_scan(spark, sf_dir):
+    """The scan sorted by city and time, written and read back: each city's
+    place in the order and its first and last row."""
+    raw = FX.dense(spark, sf_dir)
+    path = shared_path(spark, "ordered")
+    ordered = weather_scan(raw, {c: c for c in ("city", "ts", "ghi", "temp")}, order=True)
+    ordered.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    cities = spark.read.parquet(path).groupBy("city").agg(F.min("_at").alias("_a"), F.min_by("ts", "_at").alias("first_ts"), F.max_by("ts", "_at").alias("last_ts"), F.count(F.lit(1)).alias("n"))
+    return with_global_index(cities, ["_a"], "place").select("city", (F.col("place") + 1).cast("bigint").alias("place"), "first_ts", "last_ts", "n")
 
 
 # -- saved parameters and registries -------------------------------------------------

@@ -344,24 +344,19 @@ def profile_counts(spark, sf_dir):
     return A.profile_counts(sites_grid(spark, sf_dir), ["ghi", "temp"])
 
 
-@query(
-    "sequence_digest",
-    "T16",
-    f"WITH {S.CTE_DENSE}, {S.hourly_cte('dense', 'sh')}, "
-    "q AS (SELECT city, ts, ghi, "
-    f"count(*) OVER ({_W} ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS seq_len, "
-    f"first_value(ghi) OVER ({_W} ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS first_ghi, "
-    f"last_value(ghi) OVER ({_W} ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS last_ghi, "
-    f"CAST(sum(CAST(ghi AS {S.DEC})) OVER ({_W} ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS DOUBLE) AS sum_ghi, "
-    f"CAST(sum(CAST(temp AS {S.DEC})) OVER ({_W} ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS DOUBLE) AS sum_temp "
-    "FROM sh) SELECT city, ts, CAST(seq_len AS BIGINT) AS seq_len, first_ghi, last_ghi, sum_ghi, sum_temp, "
-    "ghi AS label FROM q WHERE seq_len = 24",
-    dates=(),
-)
-def sequence_digest(spark, sf_dir):
-    """T16 on F1 hourly rows; digests of each 24-step input window."""
-    h = TS.hourly_means(FX.dense(spark, sf_dir))
-    seq = TS.sequences(h, ["ghi", "temp"], "ghi", 24)
+def _sequence_sql(w: str) -> str:
+    frame = f"OVER ({w} ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING)"
+    return (
+        f"WITH {S.CTE_DENSE}, {S.hourly_cte('dense', 'sh')}, "
+        "q AS (SELECT city, ts, ghi, "
+        f"count(*) {frame} AS seq_len, first_value(ghi) {frame} AS first_ghi, last_value(ghi) {frame} AS last_ghi, "
+        f"CAST(sum(CAST(ghi AS {S.DEC})) {frame} AS DOUBLE) AS sum_ghi, CAST(sum(CAST(temp AS {S.DEC})) {frame} AS DOUBLE) AS sum_temp "
+        "FROM sh) SELECT city, ts, CAST(seq_len AS BIGINT) AS seq_len, first_ghi, last_ghi, sum_ghi, sum_temp, "
+        "ghi AS label FROM q WHERE seq_len = 24"
+    )
+
+
+def _digest(seq):
     dec, acc_t = "decimal(24,6)", "decimal(38,6)"
     return seq.select(
         "city",
@@ -379,6 +374,18 @@ def sequence_digest(spark, sf_dir):
     )
 
 
+@query("sequence_digest", "T16", _sequence_sql(_W), dates=())
+def sequence_digest(spark, sf_dir):
+    """T16 on F1 hourly rows; digests of each 24-step input window."""
+    return _digest(TS.sequences(TS.hourly_means(FX.dense(spark, sf_dir)), ["ghi", "temp"], "ghi", 24))
+
+
+@query("sequence_digest_global", "T16", _sequence_sql("ORDER BY ts, city"), dates=())
+def sequence_digest_global(spark, sf_dir):
+    """T16 in global order: windows of 24 rows across cities, as they interleave by time."""
+    return _digest(TS.sequences_global(TS.hourly_means(FX.dense(spark, sf_dir)), ["ghi", "temp"], "ghi", 24))
+
+
 @query(
     "feature_roundtrip",
     "S7 S8 B2 B20 T11",

@@ -239,58 +239,83 @@ def chrono_split(spark, sf_dir):
 # -- boosted trees (M2-M4, M6, A27, S10, S11): rows-only checks ------------------
 
 
-def _dense_features(spark, sf_dir):
-    from ..operators import timeseries as TS
-    from ..sources import fixtures as FX
-
-    imp = stored_grid(spark, sf_dir, FX.dense, "dense_grid").select("city", "ts", "ghi", "temp")
-    feats = TS.with_features(imp)
-    return TS.standardise(feats)
-
-
 TARGETS = {"GHI": "target_ghi_next_1h", "Temp": "target_temp_next_1h"}
 
 
-def trained_models(spark, sf_dir, targets=tuple(TARGETS)):
-    """M6: chronological split, one boosted-tree model per asked target,
-    holdout metrics."""
-    from ..config import HOURLY_TREE_PARAMS
+def training_frame(spark, sf_dir):
+    """B26 matrix with both targets, split by time (M1): (frame, features)."""
     from ..operators import clean as C
     from ..operators import models as M
-    from ..sources import fixtures as FX
 
-    feats = _dense_features(spark, sf_dir)
+    feats = TS.with_features(stored_grid(spark, sf_dir, FX.dense, "dense_grid").select("city", "ts", "ghi", "temp"))
+    feats = TS.apply_scaler(feats, TS.scaler_params(feats, TS.scaled_columns(feats.columns)))
     cats = C.categories_of(FX.dense(spark, sf_dir).select("city"))
     numeric = [c for c, t in feats.dtypes if t in ("double", "bigint", "int") and not c.startswith("target_")]
-    matrix = C.model_matrix(feats, cats, numeric)
-    matrix = matrix.join(feats.select("city", "ts", "target_ghi_next_1h", "target_temp_next_1h"), ["city", "ts"])
-    split = M.chronological_split(matrix, ["ts", "city"], TRAIN_FRACTION)
-    features = ["epoch_seconds", *[f"city_{c}" for c in cats], *numeric]
-    out = {}
-    for target in targets:
-        label = TARGETS[target]
-        model, scored, metrics = M.train_and_evaluate(
-            split, features, label, HOURLY_TREE_PARAMS, f"boosted_trees_{target}"
-        )
-        out[target] = (model, features, metrics.withColumn("target", F.lit(target)))
-    return out
+    matrix = C.model_matrix(feats, cats, numeric, labels=tuple(TARGETS.values()))
+    return M.chronological_split(matrix, ["ts", "city"], TRAIN_FRACTION), ["epoch_seconds", *[f"city_{c}" for c in cats], *numeric]
+
+
+def trained_models(spark, sf_dir, split, features):
+    """M6: one boosted-tree model a target, trained once for these inputs and
+    parameters, saved, and loaded for every use."""
+    from ..config import HOURLY_TREE_PARAMS
+    from ..operators import models as M
+    from ..sources.grid_store import input_state
+    from ..sources.model_store import saved_models
+
+    state = f"{input_state(FX.dense(spark, sf_dir))}-{HOURLY_TREE_PARAMS}"
+    names = {t: f"boosted_trees_{t}-{state}" for t in TARGETS}
+    return saved_models(spark, names, lambda targets: M.train_targets(split, features, {t: TARGETS[t] for t in targets}, HOURLY_TREE_PARAMS))
 
 
 @query("gbt_train_score", "M1 M2 M3 M6 A22 S10")
 def gbt_train_score(spark, sf_dir):
     """Holdout metrics of the boosted-tree models (one row per target)."""
-    models = trained_models(spark, sf_dir)
-    frames = [m[2] for m in models.values()]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.select("model_name", "target", "mae", "rmse", "r2", "n", "n_train")
+    from ..operators import models as M
+
+    split, features = training_frame(spark, sf_dir)
+    models = trained_models(spark, sf_dir, split, features)
+    found = [M.evaluate(models[t], split, label, f"boosted_trees_{t}")[1].withColumn("target", F.lit(t)) for t, label in TARGETS.items()]
+    return found[0].unionByName(found[1]).select("model_name", "target", "mae", "rmse", "r2", "n", "n_train")
 
 
 @query("feature_importance", "M4 A27 S11")
 def feature_importance(spark, sf_dir):
-    """Importance ranking of the GHI model's features (sorted, percent, rank)."""
+    """Importance ranking of the GHI model's features, written as a table, read
+    back, in percent and with ranks."""
     from ..operators import models as M
+    from ..session import shared_path
+    from ..sources.tables import write_importances
+
+    split, features = training_frame(spark, sf_dir)
+    model = trained_models(spark, sf_dir, split, features)["GHI"]
+    path = shared_path(spark, "importances")
+    write_importances(M.feature_importances(spark, model, features), path)
+    return A.importance_rank(spark.read.parquet(path))
+
 
-    model, features, _ = trained_models(spark, sf_dir, ["GHI"])["GHI"]
-    return A.importance_rank(M.feature_importances(spark, model, features))
+@query(
+    "holdout_predictions",
+    "S11 M1 M3",
+    f"WITH {CTE_PRED}, r AS (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY ts, city) - 1 AS i, "
+    "count(*) OVER (PARTITION BY model_name) AS n FROM pred) SELECT model_name, city, ts, actual, predicted, actual - predicted AS residual "
+    f"FROM r WHERE i >= CAST(floor(n * {TRAIN_FRACTION}) AS BIGINT)",
+    dates=(),
+)
+def holdout_predictions(spark, sf_dir):
+    """Predictions of the persistence models on each one's last fifth of rows,
+    written as the holdout table and read back."""
+    from ..operators import models as M
+    from ..session import shared_path
+    from ..sources.tables import write_holdout
+
+    path = shared_path(spark, "holdout")
+    parts = []
+    for name in [f"persistence_{k}h_{t}" for k in LAGS for t in ("GHI", "Temp")]:
+        own = predictions(spark, sf_dir).where(F.col("model_name") == name)
+        parts.append(M.chronological_split(own, ["ts", "city"], TRAIN_FRACTION).where("split = 'test'"))
+    test = parts[0]
+    for p in parts[1:]:
+        test = test.unionByName(p)
+    write_holdout(test.select("model_name", "city", "ts", "actual", "predicted"), path)
+    return spark.read.parquet(path).select("model_name", "city", "ts", "actual", "predicted", "residual")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..config import STATION_GHI_LAGS
+from ..config import STATION_GHI_LAGS, STATION_TREE_PARAMS
 from ..operators import station as ST
 from ..sources import fixtures as FX
 from ..session import shared_path
@@ -40,9 +40,9 @@ _ST = (
 )
 
 
-def _interp(c: str) -> str:
-    back = "OVER (ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    fwd = "OVER (ORDER BY g ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+def _interp(c: str, part: str = "") -> str:
+    back = f"OVER ({part}ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    fwd = f"OVER ({part}ORDER BY g ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
     return (
         f"max(CASE WHEN {c} IS NOT NULL THEN g END) {back} AS {c}_pi, last_value({c} IGNORE NULLS) {back} AS {c}_pv, "
         f"min(CASE WHEN {c} IS NOT NULL THEN g END) {fwd} AS {c}_ni, first_value({c} IGNORE NULLS) {fwd} AS {c}_nv"
@@ -61,33 +61,41 @@ def _q(x: str) -> str:
     return f"floor(({x}) * {S.dbl(1e6)} + {S.dbl(0.5)}) / {S.dbl(1e6)}"
 
 
-_W = "OVER (ORDER BY timestamp)"
-_W3 = "OVER (ORDER BY timestamp ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)"
 _TWO_PI = S.dbl(2 * 3.141592653589793)
 
-CTE_STATION = (
-    _ST
-    + ", ix AS (SELECT *, row_number() OVER (ORDER BY timestamp, source_file, _row) - 1 AS g FROM st)"
-    + ", nb AS (SELECT *, " + ", ".join(_interp(c) for c in NUM) + " FROM ix)"
-    + ", fi AS (SELECT timestamp, " + ", ".join(_filled(c) for c in NUM) + " FROM nb)"
-    + ", co AS (SELECT timestamp, "
-    + ", ".join(S.qmean(f"sum(CAST({_q(c)} AS {S.DEC}))", f"count({_q(c)})") + f" AS {c}" for c in NUM)
-    + " FROM fi GROUP BY timestamp)"
-    + ", fe AS (SELECT *, CAST(hour(timestamp) AS BIGINT) AS hour, CAST(dayofyear(timestamp) AS BIGINT) AS day_of_year, "
-    + "CAST(month(timestamp) AS BIGINT) AS month, "
-    + f"sin({_TWO_PI} * hour(timestamp) / {S.dbl(24)}) AS hour_sin, cos({_TWO_PI} * hour(timestamp) / {S.dbl(24)}) AS hour_cos, "
-    + f"sin({_TWO_PI} * dayofyear(timestamp) / {S.dbl(365.25)}) AS doy_sin, "
-    + f"cos({_TWO_PI} * dayofyear(timestamp) / {S.dbl(365.25)}) AS doy_cos, "
-    + ", ".join(f"lag(ghi, {k}) {_W} AS ghi_lag_{k}" for k in STATION_GHI_LAGS)
-    + f", lag(temperature, 1) {_W} AS temp_lag_1, "
-    + S.qmean(f"sum(CAST(ghi AS {S.DEC})) {_W3}", f"count(ghi) {_W3}")
-    + " AS ghi_rolling_mean_3h, "
-    + f"CASE WHEN count(ghi) {_W3} >= 2 THEN floor(sqrt(greatest((CAST(sum(CAST(ghi AS DECIMAL(19,6)) * "
-    + f"CAST(ghi AS DECIMAL(16,6))) {_W3} AS DOUBLE) - CAST(sum(CAST(ghi AS DECIMAL(16,6))) {_W3} AS DOUBLE) * "
-    + f"CAST(sum(CAST(ghi AS DECIMAL(16,6))) {_W3} AS DOUBLE) / count(ghi) {_W3}) / (count(ghi) {_W3} - 1), "
-    + f"{S.dbl(0)})) * {S.dbl(1e6)} + {S.dbl(0.5)}) / {S.dbl(1e6)} END AS ghi_rolling_std_3h, "
-    + f"lead(ghi, 1) {_W} AS target_ghi_next_1h, lead(temperature, 1) {_W} AS target_temperature_next_1h FROM co)"
-)
+
+def _station_cte(key: str = "") -> str:
+    """All files as one series, or a series for each value of ``key``."""
+    part = f"PARTITION BY {key} " if key else ""
+    also = f"{key}, " if key else ""
+    w = f"OVER ({part}ORDER BY timestamp)"
+    w3 = f"OVER ({part}ORDER BY timestamp ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)"
+    return (
+        _ST
+        + f", ix AS (SELECT *, row_number() OVER ({part}ORDER BY timestamp, source_file, _row) - 1 AS g FROM st)"
+        + ", nb AS (SELECT *, " + ", ".join(_interp(c, part) for c in NUM) + " FROM ix)"
+        + f", fi AS (SELECT {also}timestamp, " + ", ".join(_filled(c) for c in NUM) + " FROM nb)"
+        + f", co AS (SELECT {also}timestamp, "
+        + ", ".join(S.qmean(f"sum(CAST({_q(c)} AS {S.DEC}))", f"count({_q(c)})") + f" AS {c}" for c in NUM)
+        + f" FROM fi GROUP BY {also}timestamp)"
+        + ", fe AS (SELECT *, CAST(hour(timestamp) AS BIGINT) AS hour, CAST(dayofyear(timestamp) AS BIGINT) AS day_of_year, "
+        + "CAST(month(timestamp) AS BIGINT) AS month, "
+        + f"sin({_TWO_PI} * hour(timestamp) / {S.dbl(24)}) AS hour_sin, cos({_TWO_PI} * hour(timestamp) / {S.dbl(24)}) AS hour_cos, "
+        + f"sin({_TWO_PI} * dayofyear(timestamp) / {S.dbl(365.25)}) AS doy_sin, "
+        + f"cos({_TWO_PI} * dayofyear(timestamp) / {S.dbl(365.25)}) AS doy_cos, "
+        + ", ".join(f"lag(ghi, {k}) {w} AS ghi_lag_{k}" for k in STATION_GHI_LAGS)
+        + f", lag(temperature, 1) {w} AS temp_lag_1, "
+        + S.qmean(f"sum(CAST(ghi AS {S.DEC})) {w3}", f"count(ghi) {w3}")
+        + " AS ghi_rolling_mean_3h, "
+        + f"CASE WHEN count(ghi) {w3} >= 2 THEN floor(sqrt(greatest((CAST(sum(CAST(ghi AS DECIMAL(19,6)) * "
+        + f"CAST(ghi AS DECIMAL(16,6))) {w3} AS DOUBLE) - CAST(sum(CAST(ghi AS DECIMAL(16,6))) {w3} AS DOUBLE) * "
+        + f"CAST(sum(CAST(ghi AS DECIMAL(16,6))) {w3} AS DOUBLE) / count(ghi) {w3}) / (count(ghi) {w3} - 1), "
+        + f"{S.dbl(0)})) * {S.dbl(1e6)} + {S.dbl(0.5)}) / {S.dbl(1e6)} END AS ghi_rolling_std_3h, "
+        + f"lead(ghi, 1) {w} AS target_ghi_next_1h, lead(temperature, 1) {w} AS target_temperature_next_1h FROM co)"
+    )
+
+
+CTE_STATION = _station_cte()
 
 _OUT = (
     ["timestamp", *NUM, "hour", "day_of_year", "month", "hour_sin", "hour_cos", "doy_sin", "doy_cos"]
@@ -145,16 +153,83 @@ def station_files_landed(spark, sf_dir):
     return SS.read_station_files(spark, paths).select("timestamp", *NUM)
 
 
-def station_models(spark, sf_dir, target_mode: str = "ghi"):
-    """M6 on the station frame with the station hyper-parameters (depth 6,
-    500 trees, 0.9 row / column sampling) and B28 target selection. Not a
-    registered plan: its cost is the 500-iteration schedule."""
-    from ..config import STATION_TREE_PARAMS
+@query(
+    "station_features_per_file",
+    "T14 T12 T13 T15 B9 B27",
+    f"WITH {_station_cte('source_file')} SELECT source_file, {', '.join(_out_sql(c) for c in _OUT)} FROM fe "
+    "WHERE target_ghi_next_1h IS NOT NULL AND target_temperature_next_1h IS NOT NULL",
+    dates=(),
+)
+def station_features_per_file(spark, sf_dir):
+    """The station frame with every file a series of its own."""
+    f = ST.station_features(station_frame(spark, sf_dir), global_order=False)
+    return f.select("source_file", *[F.round(c, 9).alias(c) if c in _CYC else F.col(c) for c in _OUT])
+
+
+STATION_TARGETS = {"ghi": "target_ghi_next_1h", "temperature": "target_temperature_next_1h"}
+
+
+@query(
+    "station_target_selection",
+    "B28 T15",
+    f"WITH {CTE_STATION}, f AS (SELECT {', '.join(_out_sql(c) for c in _OUT)} FROM fe WHERE target_ghi_next_1h IS NOT NULL "
+    "AND target_temperature_next_1h IS NOT NULL) "
+    + " UNION ALL ".join(
+        f"SELECT '{mode}' AS mode, timestamp, {len(_OUT) - 3} AS n_features, {target} AS target, ghi_lag_24 + humidity AS probe FROM f"
+        for mode, target in STATION_TARGETS.items()
+    ),
+    dates=(),
+)
+def station_target_selection(spark, sf_dir):
+    """Target mode ``both``: the training rows of each target in turn."""
+    from ..operators import clean as C
+
+    feats = ST.station_features(station_frame(spark, sf_dir))
+    out = None
+    for mode, (features, label) in C.selections(feats, "both", STATION_TARGETS).items():
+        chosen = feats.select("timestamp", *features, F.col(label).alias("target"))
+        rows = chosen.select(
+            F.lit(mode).alias("mode"), "timestamp", F.lit(len(features)).alias("n_features"), "target", (F.col("ghi_lag_24") + F.col("humidity")).alias("probe")
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def station_training_frame(spark, sf_dir):
+    """The station frame split by time: (frame, selections of both targets)."""
     from ..operators import clean as C
     from ..operators import models as M
 
     feats = ST.station_features(station_frame(spark, sf_dir))
-    targets = {"ghi": "target_ghi_next_1h", "temperature": "target_temperature_next_1h"}
-    features, label = C.select_for_target(feats, target_mode, targets, exclude=("timestamp", *targets.values()))
-    split = M.chronological_split(feats, ["timestamp"], 0.8)
-    return M.train_and_evaluate(split, features, label, STATION_TREE_PARAMS, f"station_boosted_{target_mode}")
+    return M.chronological_split(feats, ["timestamp"], 0.8), C.selections(feats, "both", STATION_TARGETS)
+
+
+def station_models(spark, sf_dir, split, chosen, params=STATION_TREE_PARAMS):
+    """M6 on the station frame with the station hyper-parameters, both targets
+    fitted side by side, saved and loaded."""
+    from ..operators import models as M
+    from ..sources.grid_store import input_state
+    from ..sources.model_store import saved_models
+
+    state = f"{input_state(FX.events_raw(spark, sf_dir))}-{params}"
+    features = chosen["ghi"][0]
+    names = {t: f"station_boosted_{t}-{state}" for t in chosen}
+    return saved_models(spark, names, lambda targets: M.train_targets(split, features, {t: chosen[t][1] for t in targets}, params))
+
+
+# The station depth and sampling; a query cannot wait for all 500 trees.
+QUERY_TREES = 40
+
+
+@query("station_train_score", "M2 M6 B28 S10 M3")
+def station_train_score(spark, sf_dir):
+    """Holdout metrics of the station models of both targets, from the saved
+    pipelines (``station_models`` takes the full 500 trees by default)."""
+    from dataclasses import replace
+
+    from ..operators import models as M
+
+    split, chosen = station_training_frame(spark, sf_dir)
+    models = station_models(spark, sf_dir, split, chosen, replace(STATION_TREE_PARAMS, max_iter=QUERY_TREES))
+    found = [M.evaluate(models[t], split, label, f"station_boosted_{t}")[1].withColumn("target", F.lit(t)) for t, (_, label) in chosen.items()]
+    return found[0].unionByName(found[1])

@@ -102,3 +102,15 @@ def assert_any_delivered(report: DataFrame) -> DataFrame:
     if report.filter(F.col("delivered")).isEmpty():
         raise RuntimeError("no expected city delivered any record")
     return report
+
+
+def ingest_summary(report: DataFrame) -> DataFrame:
+    """One row: expected keys, those that delivered, those that failed, and
+    whether the poll was partial. An all-failed poll is an error."""
+    done = assert_any_delivered(report)
+    return done.agg(
+        F.count(F.lit(1)).cast("bigint").alias("total"),
+        F.count_if("delivered").cast("bigint").alias("successes"),
+        F.count_if(~F.col("delivered")).cast("bigint").alias("failures"),
+        (F.count_if(~F.col("delivered")) > 0).alias("partial"),
+    )

@@ -111,3 +111,14 @@ def append_registry(metrics: DataFrame, path: str, run_id: str) -> None:
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def write_holdout(scored: DataFrame, path: str, label: str = "actual", prediction: str = "predicted") -> None:
+    """Holdout predictions with their residuals, a partition a model."""
+    rows = scored.withColumn("residual", F.col(label) - F.col(prediction))
+    rows.write.mode("overwrite").partitionBy("model_name").parquet(path)
+
+
+def write_importances(importances: DataFrame, path: str) -> None:
+    """The features of a model, the most important first (a row a feature)."""
+    importances.orderBy(F.col("importance").desc(), F.col("feature")).coalesce(1).write.mode("overwrite").parquet(path)

@@ -71,6 +71,17 @@ def contract_violations(df: DataFrame, keys: list[str], not_null: list[str], che
     return rows.unionByName(keyrow).select("rule", F.col("violations").cast("bigint").alias("violations"))
 
 
+def request_rules() -> dict[str, Column]:
+    """What a simulation request must not have, by rule name."""
+    return {
+        "negative_ghi": F.exists("hourly_ghi", lambda g: g < 0),
+        "panel_count_below_1": F.col("panel_count") < 1,
+        "rating_not_positive": F.col("panel_watt_rating") <= 0,
+        "month_out_of_range": ~F.col("month").between(1, 12),
+        "no_hours": F.coalesce(F.size("hourly_ghi"), F.lit(0)) < 1,
+    }
+
+
 def upsert_partitions(
     target: DataFrame, batch: DataFrame, keys: list[str], partition_cols: list[str], seq: str | None = None
 ) -> DataFrame:
