@@ -5,7 +5,7 @@ piece when longer than a sequence. Pieces are dealt evenly into groups of a
 bounded size (by row number, so no key can be hot); each group is packed
 best-fit decreasing, then items move between its underfull bins - single
 moves, one-for-one and two-for-one exchanges - whenever that raises the sum of
-squared fills, until bins empty or nothing improves. Only (length, checksum)
+squared fills, until nothing improves. Only (length, checksum)
 rows are shuffled, never texts or ids.
 
 Defined cases: NULL or empty text is the end id alone; repeated rows are
@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 from .common import stored
 
 GROUP_PIECES = 40_000  # pieces packed together by one task
-PASSES = 6  # rounds of the local search over a group's underfull bins
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _TOKENIZERS: dict[str, object] = {}
@@ -106,13 +105,14 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[list[list[int]], list[
     return bins, slack
 
 
-def swap_search(lengths: np.ndarray, bins: list[list[int]], slack: list[int], passes: int) -> None:
+def swap_search(lengths: np.ndarray, bins: list[list[int]], slack: list[int], passes: int | None = None) -> None:
     """Local search over the underfull bins, in place; emptied bins stay as [].
 
     For an item y of a bin, the receivers are all items x of other underfull
     bins (x = nothing for a move): y (or a pair of y) goes over and x comes
     back. A change is taken when it raises the sum of squared fills, the one
-    that fills its receiver most first.
+    that fills its receiver most first. The sum only rises, so the search
+    ends; it goes on until no change is left (or for ``passes`` rounds).
     """
     under = [b for b, s in enumerate(slack) if s]
     if len(under) < 2:
@@ -128,14 +128,18 @@ def swap_search(lengths: np.ndarray, bins: list[list[int]], slack: list[int], pa
     for r, b in enumerate(home.tolist()):
         rows.setdefault(b, []).append(r)
 
-    def best(a: int, gives: int) -> int:
-        """Row of the exchange for ``gives`` tokens from bin ``a`` that raises the squares most, or -1."""
-        d = gives - size
+    def best(a: int, gives: np.ndarray | int) -> tuple[int, int]:
+        """(row, tokens) of the exchange from bin ``a`` that raises the squares
+        and fills its receiver most, or (-1, 0). ``gives`` are the tokens to
+        give, or a table of the most that can be given up to each number."""
         room = slacks[home]
-        good = (d > 0) & (d <= room) & (home != a) & (fills[home] + d > fills[a])
+        give = gives[np.minimum(size + room, capacity)] if isinstance(gives, np.ndarray) else np.where(gives <= size + room, gives, -1)
+        d = give - size
+        good = (give > 0) & (d > 0) & (home != a) & (fills[home] + d > fills[a])
         if not good.any():
-            return -1
-        return int(np.argmin(np.where(good, room - d, capacity + 1)))
+            return -1, 0
+        r = int(np.argmin(np.where(good, room - d, capacity + 1)))
+        return r, int(give[r])
 
     def exchange(a: int, out: list[int], r: int) -> None:
         """Items on rows ``out`` of bin a against the item on row r."""
@@ -153,7 +157,28 @@ def swap_search(lengths: np.ndarray, bins: list[list[int]], slack: list[int], pa
             slacks[x] -= by
             fills[x] += by
 
-    for _ in range(passes):
+    def pairs(own: list[int]) -> tuple[np.ndarray, dict[int, tuple[int, int]]]:
+        """By number of tokens the greatest sum of two items up to it (-1 for
+        none), and two rows for each sum. Items of one size are alike, and a
+        bin has few sizes: they add up to its capacity at most."""
+        of_size: dict[int, list[int]] = {}
+        for r in own:
+            of_size.setdefault(int(size[r]), []).append(r)
+        sums = {}
+        for m, some in of_size.items():
+            for n, others in of_size.items():
+                if m < n:
+                    sums.setdefault(m + n, (some[0], others[0]))
+                elif m == n and len(some) > 1:
+                    sums.setdefault(m + n, (some[0], some[1]))
+        table = np.full(capacity + 1, -1)
+        for total in sums:
+            table[total] = total
+        return np.maximum.accumulate(table), sums
+
+    done = 0
+    while passes is None or done < passes:
+        done += 1
         changed = False
         for a in sorted(under, key=lambda b: int(fills[b])):
             if not 0 < fills[a] < capacity:
@@ -161,16 +186,15 @@ def swap_search(lengths: np.ndarray, bins: list[list[int]], slack: list[int], pa
             own = [r for r in rows[a] if item[r] >= 0]
             moved = False
             for r in sorted(own, key=lambda r: -int(size[r])):
-                if home[r] == a and fills[a] < capacity and (to := best(a, int(size[r]))) >= 0:
+                if home[r] == a and fills[a] < capacity and (to := best(a, int(size[r]))[0]) >= 0:
                     exchange(a, [r], to)
                     changed = moved = True
-            if not moved and 2 <= len(own) <= 16:
-                pairs = sorted(((int(size[p] + size[q]), p, q) for i, p in enumerate(own) for q in own[i + 1 :]), reverse=True)
-                for total, p, q in pairs:
-                    if (to := best(a, total)) >= 0:
-                        exchange(a, [p, q], to)
-                        changed = True
-                        break
+            if not moved and len(own) > 1:
+                table, sums = pairs(own)
+                to, total = best(a, table)
+                if to >= 0:
+                    exchange(a, list(sums[total]), to)
+                    changed = True
         if not changed:
             break
     for b in under:
@@ -187,7 +211,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, group_pieces: int = GROUP_PIEC
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         lengths = rows["length"].to_numpy()
         bins, slack = best_fit(lengths, capacity)
-        swap_search(lengths, bins, slack, PASSES)
+        swap_search(lengths, bins, slack)
         sequence, offset = np.empty(len(rows), np.int64), np.empty(len(rows), np.int64)
         for k, items in enumerate(x for x in bins if x):
             sequence[items] = k

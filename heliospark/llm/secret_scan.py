@@ -4,7 +4,7 @@ false positives. DataFrame functions and Spark ML only.
 A candidate is a provider-shaped key, a private key block, a long run of key
 characters with a digit, or a quoted value given to a name like ``password``.
 The forest sees its length, character classes and transitions, entropy,
-dictionary coverage, the path it stands in and the neighbouring words. It is
+coverage by the frequent words of the corpus, the path it stands in and the neighbouring words. It is
 fitted on labelled findings: ``labelled_findings`` labels the clear cases of
 the table at hand (a reviewed table of the same columns may be given instead),
 at most ``SAMPLE`` of each label, the least by a hash. Everything is scanned
@@ -32,22 +32,21 @@ KEEP = 0.5
 REACH = 48
 MASK = "<SECRET>"
 
+# Runs are entered at their first character only and repeats are possessive, so
+# a value of any length is one candidate and the scan stays linear.
 KEY = "[A-Za-z0-9+/_=-]"
 CANDIDATE = (
-    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s:,-]{0,20000}?-----END [A-Z ]{0,40}PRIVATE KEY-----"
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[A-Za-z0-9+/=\s:,]++|-(?!----))*+-----END [A-Z ]*PRIVATE KEY-----"
     r"|\beyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"
-    r"|\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[0-9A-Za-z-]{10,}|sk_(?:live|test)_[0-9A-Za-z]{16,}|AIza[0-9A-Za-z_-]{35})\b"
-    rf"|(?<!{KEY})(?=[A-Za-z+/_=-]{{0,60}}[0-9]){KEY}{{16,}}+"
-    r"|(?<=(?i:passwd|password|pwd|secret|token)\s{0,3}[=:]\s{0,3}[\"'])[^\s\"']{6,64}(?=[\"'])"
+    r"|\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}+|xox[abprs]-[0-9A-Za-z-]{10,}|sk_(?:live|test)_[0-9A-Za-z]{16,}+|AIza[0-9A-Za-z_-]{35})\b"
+    rf"|(?<!{KEY})(?=[A-Za-z+/_=-]*+[0-9]){KEY}{{16,}}+"
+    r"|(?<=(?i:passwd|password|pwd|secret|token)\s{0,3}[=:]\s{0,3}[\"'])[^\s\"']{6,}+(?=[\"'])"
 )
 PROVIDER = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[0-9A-Za-z-]{10,}|sk_(live|test)_[0-9A-Za-z]{16,}|AIza[0-9A-Za-z_-]{35}|eyJ|-----BEGIN)"
 SECRET_WORDS = r"(?i)(secret|token|passwd|password|pwd|api[_-]?key|auth|bearer|credential|private|access[_-]?key)"
 OTHER_WORDS = r"(?i)(commit|sha-?\d*|md5|checksum|hash|uuid|guid|digest|revision|etag|example|placeholder|dummy|sample|version|isbn|order|invoice|card)"
 PLACEHOLDER = r"(?i)(xxxx|example|changeme|your[_-]|dummy|sample|placeholder|test1234|1234567890|(.)\2{7})"
-WORDS = (
-    "the and for that with this from have are not you was all can one has more but out use about other time will there their what when your which would make like into than then some these only over also after first well even because any give most time person year way day thing man world life hand part child eye place work week case point government company number group problem fact name user data file path test value key string index list image page home http www com org net html admin config local default public static class object function return true false null"
-).split()
-DICTIONARY = "(" + "|".join(sorted({w for w in WORDS if len(w) > 2}, key=lambda w: (-len(w), w))) + ")"
+RARE = 5000  # a word of the dictionary is at least one in so many of all words
 FEATURES = ["length", "digits", "upper", "hexadecimal", "transitions", "distinct", "entropy", "vowels", "dictionary", "provider", "assigned", "quoted", "secret_near", "other_near", "in_path", "test_path", "placeholder"]
 
 
@@ -79,12 +78,23 @@ def candidates(df: DataFrame, text_column: str = "text") -> DataFrame:
     )
 
 
+def dictionary(df: DataFrame, text_column: str = "text") -> list[str]:
+    """The frequent words of the whole corpus: of three ASCII letters or more,
+    at least one in RARE of all such words, so there are RARE at most."""
+    words = df.select(F.explode(F.split(F.lower(text_of(df, text_column)), "[^a-z]+")).alias("w")).where(F.length("w") > 2)
+    counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    counts = stored(counts, "secret_words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return [r["w"] for r in counts.where(F.col("n") * RARE >= total).select("w").collect()]
+
+
 def _share(value: Column, pattern: str) -> Column:
     return F.char_length(F.regexp_replace(value, pattern, "")) / F.greatest(F.char_length(value), F.lit(1))
 
 
-def with_features(found: DataFrame) -> DataFrame:
-    """Add the forest's inputs as double columns."""
+def with_features(found: DataFrame, words: list[str]) -> DataFrame:
+    """Add the forest's inputs as double columns. Dictionary coverage is the
+    share of characters in words, taken apart at changes of case and other signs."""
     v, n = F.col("value"), F.greatest(F.char_length("value"), F.lit(1))
     chars = F.split(v, "")
     # Class of each character, then how often neighbours differ in class.
@@ -96,6 +106,8 @@ def with_features(found: DataFrame) -> DataFrame:
         lambda acc, c: acc - (F.size(F.filter(chars, lambda x: x == c)) / n) * F.log2(F.size(F.filter(chars, lambda x: x == c)) / n),
     )
     path = F.coalesce(F.col("source").cast("string"), F.lit("")) if "source" in found.columns else F.lit("")
+    parts = F.split(F.lower(F.regexp_replace(F.regexp_replace(v, "([a-z])([A-Z])", "$1 $2"), "[^A-Za-z]+", " ")), " ")
+    covered = F.aggregate(F.filter(parts, lambda w: w.isin(words) if words else F.lit(False)), F.lit(0), lambda acc, w: acc + F.length(w))
     near = F.substr("before", F.greatest(F.char_length("before") - 23, F.lit(1)))
     made = {
         "length": n,
@@ -106,7 +118,7 @@ def with_features(found: DataFrame) -> DataFrame:
         "distinct": F.size(F.array_distinct(chars)) / n,
         "entropy": entropy,
         "vowels": _share(v, "[^aeiouAEIOU]"),
-        "dictionary": 1 - _share(F.lower(v), DICTIONARY),
+        "dictionary": covered / n,
         "provider": v.rlike(PROVIDER),
         "assigned": near.rlike(r"[\w-]\s{0,3}[=:]\s{0,3}[\"']?$"),
         "quoted": near.rlike("[\"']$") & F.col("after").rlike("^[\"']"),
@@ -146,7 +158,7 @@ def find_secrets(df: DataFrame, text_column: str = "text", labelled: DataFrame |
     ``end``, ``value`` and ``score``, the forest's share of votes."""
     df = df.drop("score")
     keep = [c for c in df.columns if c != text_column]
-    found = stored(with_features(candidates(df, text_column)), "secret_candidates")
+    found = stored(with_features(candidates(df, text_column), dictionary(df, text_column)), "secret_candidates")
     model = fit(stored(labelled if labelled is not None else labelled_findings(found), "secret_labels"))
     if model is None:
         scored = found.withColumn("score", F.coalesce(rule(found), F.lit(0)).cast("double"))
@@ -159,13 +171,21 @@ def find_secrets(df: DataFrame, text_column: str = "text", labelled: DataFrame |
 
 
 def mask_secrets(docs: DataFrame, key: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with every found secret replaced by ``MASK``; all rows and
-    columns stay. Only rows with findings meet the join's other side as text."""
-    found = find_secrets(docs.select(key, text_column, *(["source"] if "source" in docs.columns else [])), text_column)
-    values = found.groupBy(F.col(key).alias("_k")).agg(F.sort_array(F.collect_set("value"), asc=False).alias("_values"))
-    joined = docs.join(values, docs[key].eqNullSafe(F.col("_k")), "left")
-    masked = F.aggregate(F.coalesce("_values", F.array().cast("array<string>")), F.col(text_column), lambda t, v: F.replace(t, v, F.lit(MASK)))
-    return joined.withColumn(text_column, F.when(F.size("_values") > 0, masked).otherwise(F.col(text_column))).select(*docs.columns)
+    """``docs`` with every found secret replaced by ``MASK``, span by span; all
+    rows and columns stay. Findings meet their row by id and text, as ids may be
+    NULL or repeated: rows alike in both have the same spans."""
+    named = docs.withColumn("_th", F.xxhash64(text_of(docs, text_column)))
+    found = find_secrets(named.select(key, "_th", text_column, *(["source"] if "source" in docs.columns else [])), text_column)
+    spans = found.groupBy(F.col(key).alias("_k"), F.col("_th").alias("_h")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_spans"))
+    joined = named.join(spans, named[key].eqNullSafe(F.col("_k")) & (named["_th"] == F.col("_h")), "left")
+    text = F.col(text_column)
+    masked = F.aggregate(
+        "_spans",
+        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda acc, s: F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(MASK)).alias("out")),
+        lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)),
+    )
+    return joined.withColumn(text_column, F.when(F.size("_spans") > 0, masked).otherwise(text)).select(*docs.columns)
 
 
 def secret_findings(docs: DataFrame) -> DataFrame:

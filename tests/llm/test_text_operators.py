@@ -272,3 +272,78 @@ def test_secrets_found_and_masked(spark):
     assert after[900001] is None and after[900004] == 'token = "<SECRET>"'
     assert all(after[k] == t for k, t in texts.items() if k not in {x for x, _, _ in spans} and k != 900001)
     assert secret_scan.secret_findings(docs.limit(0)).count() == 0
+
+
+def test_secrets_of_any_length(spark):
+    rng = random.Random(3)
+    key = "".join(rng.choice("ABCDEFabcdef0123456789+/") for _ in range(22_000))
+    texts = [
+        f"-----BEGIN RSA PRIVATE KEY-----\n{key}\n-----END RSA PRIVATE KEY-----",
+        f"-----BEGIN {'VERY ' * 20}PRIVATE KEY-----\nab-cd\n-----END PRIVATE KEY-----",
+        "run " + "abcdefg" * 10 + "1xyz end",
+        'password = "' + (word := "".join(rng.choice("pq4s!xyzKLM#78") for _ in range(80))) + '"',
+        "-----BEGIN PRIVATE KEY-----" * 50 + "-" * 5000 + "=" * 5000,
+        "no" + "-" * 200_000 + "1" * 200_000,
+    ]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = {(r.doc_id, r.value) for r in secret_scan.candidates(docs).collect()}
+    assert {(0, texts[0]), (1, texts[1]), (2, "abcdefg" * 10 + "1xyz"), (3, word)} <= got
+    assert (5, "-" * 200_000 + "1" * 200_000) in got or (5, texts[5]) in got
+    masked = {r.doc_id: r.text for r in secret_scan.mask_secrets(docs).collect()}
+    assert masked[0] == "<SECRET>" and masked[1] == "<SECRET>" and masked[3] == 'password = "<SECRET>"'
+
+
+def test_masks_by_row_and_span(spark):
+    """Rows of one id, or none, keep their own findings; a value inside another
+    is not replaced on its own."""
+    value = "9c8b45435718dcc700c184a7e303cdc64c6a8f7f"
+    rows = [
+        (None, f'token = "{value}"', 1),
+        (None, f"commit {value}", 2),
+        (None, f'token = "{value}"', 3),
+        (7, f"commit {value}", 4),
+        (7, f'token = "{value}" and é token = "{value[:20]}"', 5),
+        (8, f'secret = "{value}" secret = "x{value}y"', 6),
+        (9, None, 7),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, start int")
+    got = {r.start: r.text for r in secret_scan.mask_secrets(docs).collect()}
+    assert got == {
+        1: 'token = "<SECRET>"', 2: f"commit {value}", 3: 'token = "<SECRET>"', 4: f"commit {value}",
+        5: 'token = "<SECRET>" and é token = "<SECRET>"', 6: 'secret = "<SECRET>" secret = "<SECRET>"', 7: None}
+
+
+def test_secret_dictionary_and_features_against_plain_python(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    counts = {}
+    for r in docs.collect():
+        for w in re.findall("[a-z]+", (r.text or "").lower()):
+            if len(w) > 2:
+                counts[w] = counts.get(w, 0) + 1
+    total = sum(counts.values())
+    words = secret_scan.dictionary(docs)
+    assert set(words) == {w for w, n in counts.items() if n * secret_scan.RARE >= total} and len(words) <= secret_scan.RARE
+    assert secret_scan.dictionary(docs.limit(0)) == []
+    some = spark.createDataFrame([("theirTokenAnd42the_X9",), ("deadBEEF0123",)], "value string").selectExpr("value", "0 AS start", "1 AS end", "'' AS before", "'' AS after")
+    for r in secret_scan.with_features(some, ["their", "token", "and", "the"]).collect():
+        v = r.value
+        parts = re.sub("[^A-Za-z]+", " ", re.sub("([a-z])([A-Z])", r"\1 \2", v)).lower().split()
+        assert r.dictionary == pytest.approx(sum(len(w) for w in parts if w in ("their", "token", "and", "the")) / len(v))
+        share = [v.count(c) / len(v) for c in set(v)]
+        assert r.entropy == pytest.approx(-sum(p * np.log2(p) for p in share)) and r.distinct == pytest.approx(len(share) / len(v))
+        kinds = ["9" if c.isdigit() else "Z" if c.isupper() else "a" if c.islower() else c for c in v]
+        assert r.transitions == pytest.approx((1 + sum(a != b for a, b in zip(kinds, kinds[1:], strict=False))) / len(v))
+        assert (r.length, r.digits, r.upper) == pytest.approx((len(v), sum(c.isdigit() for c in v) / len(v), sum(c.isupper() for c in v) / len(v)))
+
+
+def test_swap_search_finds_pairs_among_many_items():
+    """Two small items of a bin of many fill another bin that no single one improves."""
+    lengths = np.array([*[25] * 20, *[23] * 20, 2000, 30])
+    bins, slack = [list(range(40)), [40, 41]], [2048 - 960, 18]
+    packing.swap_search(lengths, bins, slack)
+    assert sorted(x for b in bins for x in b) == list(range(42))
+    assert slack[1] == 0 and lengths[bins[0]].sum() == 960 - 18  # 25 and 23 against 30
+    # Nothing is left to improve: another search changes nothing.
+    before = [sorted(b) for b in bins]
+    packing.swap_search(lengths, bins, slack)
+    assert [sorted(b) for b in bins] == before
