@@ -4,13 +4,14 @@ Suspect words (leetspeak inside letters, letters spaced or dotted apart,
 stretched letters) become character lattices: a symbol may stand for the
 letters it imitates, a separator may vanish, a repeat may collapse. Viterbi
 decoding under a character trigram model, counted over every document, gives
-the restored text. A suspect run with more letters than a word is read as
-several words: a blank or separator in it may also be the end of one. A logistic model over the words and affixes of restored
-texts, fitted on labelled rows that are not held out, gives the score.
+the restored text. A blank or separator in a run may also end a word, so a
+run of any length is read as one word or several by the same lattice. A
+logistic model over the words and affixes of restored texts, fitted on
+labelled rows that are not held out, gives the score.
 
 Bounds: the classifier is fitted on at most ``POSITIVES`` and ``NEGATIVES``
-labelled rows (the least by a hash of doc_id) and ``FEATURES`` features; the
-language model has ``SYMBOLS``^3 cells whatever the corpus. Every document is
+labelled rows (the least by a hash of doc_id), and their features of enough
+evidence are all used; the language model has ``SYMBOLS``^3 cells whatever the corpus. Every document is
 counted and scored whole.
 
 Defined cases: NULL or empty text scores as text without features; without
@@ -31,7 +32,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 POSITIVES, NEGATIVES = 3000, 6000
-FEATURES = 4000
 LEAST_DOCS = 4  # positive sample documents that a feature must occur in
 
 LEAST_EVIDENCE = 5.0  # log-likelihood ratio of a feature
@@ -43,9 +43,9 @@ LEET = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i", "×": "x",
 }
 SEPARATORS = frozenset(".-_*~'`^")
-# Nats for reading a symbol as a letter, for a dropped separator, symbol, repeat.
-COST_LEET, COST_SEPARATOR, COST_DROP, COST_REPEAT = 0.5, 0.3, 12.0, 1.0
-LONGEST_WORD = 24  # letters of a suspect run that is read as one word
+# Nats for reading a symbol as a letter, for a separator dropped or read as the
+# end of a word, for a dropped symbol and repeat.
+COST_LEET, COST_SEPARATOR, COST_END, COST_DROP, COST_REPEAT = 0.5, 0.3, 2.0, 12.0, 1.0
 PIECE = 64  # characters decoded between two links of what is done
 EDGES = "%#&*?,.;:\"'()[]<>{}/\\="
 
@@ -96,13 +96,14 @@ class Restorer:
     def symbol(c: str) -> int:
         return ord(c) - 96 if "a" <= c <= "z" else 27 if c.isalpha() else 0
 
-    def options(self, c: str, last: str, words: bool) -> list[tuple[str, float]]:
-        """What a character may stand for after a given letter, with costs; of
-        several words, a blank or separator may end one."""
+    def options(self, c: str, last: str) -> list[tuple[str, float]]:
+        """What a character may stand for after a given letter, with costs. A
+        blank or separator may stand for nothing or, less often, end a word,
+        in runs of any length."""
         if c.isalpha():
             return [(c, 0.0), ("", COST_REPEAT)] if c == last else [(c, 0.0)]
-        if words and (c == " " or c in SEPARATORS):
-            return [("", 0.0)] + [(" ", 0.0)] * (last not in ("", " "))
+        if c == " " or c in SEPARATORS and not LEET.get(c):
+            return [("", COST_SEPARATOR)] + [(" ", COST_END)] * (last not in ("", " "))
         out = [(x, COST_LEET) for x in LEET.get(c, "")]
         if last in LEET.get(c, "#"):
             out.append(("", COST_REPEAT))
@@ -114,14 +115,13 @@ class Restorer:
         if word in self.known:
             return self.known[word]
         cost, symbol = self.cost, self.symbol
-        words = sum(map(str.isalnum, word)) > LONGEST_WORD
         # Best (cost, letters, letters of the pieces before) by the last two symbols and the last letter.
         beam = {(0, 0, ""): (0.0, "", None)}
         for at in range(0, len(word), PIECE):
             for c in word[at : at + PIECE]:
                 new: dict[tuple[int, int, str], tuple[float, str, tuple | None]] = {}
                 for (a, b, last), (total, done, before) in beam.items():
-                    for letter, extra in self.options(c, last, words):
+                    for letter, extra in self.options(c, last):
                         if letter:
                             s = symbol(letter)
                             key, value = (b, s, letter), total + extra + cost[(a * SYMBOLS + b) * SYMBOLS + s]
@@ -163,8 +163,6 @@ class Restorer:
                 out += [text[at:start], word]  # an address, a path or a key, not a word
                 at = end
                 continue
-            if sum(map(str.isalnum, core)) <= LONGEST_WORD:
-                core = core.replace(" ", "")
             parts = [self.decode(p) if any(c.isalpha() for c in p) else p for p in core.split("/")]
             out += [text[at:start], "/".join(parts) if any(c.isalpha() for c in core) else word]
             at = end
@@ -319,7 +317,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
         ll = lambda k, n, p: (k * math.log(p) if k else 0.0) + ((n - k) * math.log(1 - p) if n - k else 0.0)
         return ll(a, n_pos, p) + ll(b, n_neg, q) - ll(a, n_pos, r) - ll(b, n_neg, r)
 
-    ranked = sorted(((evidence(f), f) for f in pos), key=lambda x: (-x[0], x[1]))[:FEATURES]
+    # All that the sample bears out, the strongest first.
+    ranked = sorted(((evidence(f), f) for f in pos), key=lambda x: (-x[0], x[1]))
     index = {f: i for i, (e, f) in enumerate(ranked) if e > LEAST_EVIDENCE}
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -388,6 +388,43 @@ def test_toxicity_restores_runs_of_any_length(toxic):
         assert score(f"the {kept} and")[1] == f"the {kept} and", kept
 
 
+def test_decoding_is_the_cheapest_lattice_path(toxic):
+    """Against all readings of short words, each scored by itself."""
+    restorer = toxicity.Restorer(toxic[2].counts)
+    cost, n = restorer.cost, toxicity.SYMBOLS
+    rng = random.Random(2)
+    for _ in range(150):
+        word = "".join(rng.choice("aillost0143$!.- ") for _ in range(rng.randint(1, 7)))
+        readings = [((0, 0), "", 0.0)]
+        for c in word:
+            new = []
+            for (a, b), done, total in readings:
+                for letter, extra in restorer.options(c, done[-1:]):
+                    if letter:
+                        s = restorer.symbol(letter)
+                        new.append(((b, s), done + letter, total + extra + cost[(a * n + b) * n + s]))
+                    else:
+                        new.append(((a, b), done, total + extra))
+            readings = new
+        ends = [(total + (cost[(a * n + b) * n] if done[-1:] != " " else 0.0), done) for (a, b), done, total in readings]
+        best = min(ends)[0]
+        got = restorer.decode(word)
+        assert min(t for t, d in ends if d == got) == pytest.approx(best, abs=1e-9), word
+
+
+def test_logistic_against_plain_newton():
+    rng = np.random.default_rng(4)
+    x = (rng.random((300, 6)) < 0.3).astype(float)
+    y = (rng.random(300) < 1 / (1 + np.exp(-(x @ [2, -1, 0, 1, 0.5, -2] - 0.3)))).astype(float)
+    w, b = toxicity._logistic([np.flatnonzero(r) for r in x], y, 6)
+    full, v = np.c_[x, np.ones(300)], np.zeros(7)
+    ridge = np.diag([0.5] * 6 + [0.0])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-full @ v))
+        v -= np.linalg.solve(full.T @ (full * (p * (1 - p))[:, None]) + ridge, full.T @ (p - y) + ridge @ v)
+    assert np.abs(np.append(w, b) - v).max() < 0.02
+
+
 def test_toxicity_defined_cases(spark, toxic):
     docs, labels, model = toxic
     odd = spark.createDataFrame([(1, None, 9.0), (2, "", 9.0), (2, "", 9.0), (None, "z" * 100_000, 9.0)], "doc_id long, text string, score double")
