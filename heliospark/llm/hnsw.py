@@ -4,9 +4,9 @@ Equal vectors become one node with a count. Nodes are dealt evenly into
 shards; each shard's task builds a hierarchical small-world graph, stored as a
 table. Every node then queries every shard in blocks: a beam search walks the
 graph for a whole block at once, beams that fill with links are widened, and
-each block is audited - some of its queries are answered exactly too, and all
-of it is searched again with twice the beam until the audit finds nothing
-missed. Links are verified by cosine in double precision; a block's links
+each block is audited: some of its queries are answered exactly too, the beam
+is widened until it finds their nearest neighbours, near or not, and the block
+is searched again with twice the beam until it misses none of their links. Links are verified by cosine in double precision; a block's links
 leave its task as counts and as a spanning star of each local component, never
 as all pairs, and the stars are united into components.
 
@@ -32,8 +32,9 @@ LINKS = 16  # links of a node in the upper layers; twice as many in the lowest
 BEAM_BUILD, BEAM = 64, 32  # beam widths at first
 WIDEST = 512  # a query that would need a wider beam is answered by an exact scan of the shard
 AUDITED = 8  # queries of a block that are answered exactly as well
-SHARDS = 8  # at least; more when a shard would pass SHARD_NODES
-SHARD_NODES = 250_000
+NEAREST, RECALL = 4, 0.95  # neighbours of an audited query, and the share of them to be found
+SHARDS = 8  # at least; more when a shard would pass SHARD_BYTES
+SHARD_BYTES = 128 << 20  # of a shard's vectors and links, its cell in the table of graphs
 BLOCK = 512  # queries walked at once
 SLACK = 1e-4  # below the threshold, for single precision on the way
 
@@ -218,10 +219,25 @@ class Graph:
             width *= 2
         return np.concatenate([*rows, np.empty(0, np.int64)]), np.concatenate([*nodes, np.empty(0, np.int64)])
 
-    def audited(self, q: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, int]:
-        """Like ``near``, the beam widened until the audited queries miss nothing."""
+    def width_for(self, q: np.ndarray) -> int:
+        """The least beam that finds RECALL of the NEAREST nearest neighbours of
+        the given queries, whatever their similarity."""
+        sims = q @ self.x.T
+        best = _best(sims, NEAREST)
         width = BEAM
+        while width <= WIDEST:
+            ids, _ = self.search(q, width)
+            found = (ids[:, :, None] == best[:, None, :]).any(1)
+            if found.mean() >= RECALL:
+                break
+            width *= 2
+        return width
+
+    def audited(self, q: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, int]:
+        """Like ``near``, with a beam that the audited queries bear out: it finds
+        their nearest neighbours, and misses none of their links."""
         sample = np.unique(np.linspace(0, len(q) - 1, AUDITED).astype(int))
+        width = self.width_for(q[sample])
         exact = q[sample] @ self.x.T >= least
         while True:
             rows, nodes = self.near(q, least, width)
@@ -283,7 +299,8 @@ def linked_nodes(nodes: DataFrame, least: float) -> DataFrame:
     NULL, the summed weight of the nodes linked with ``node`` (part of it by
     shard); else an edge of a spanning star."""
     dims = nodes.withColumn("dim", F.size("embedding"))
-    shards = max(SHARDS, -(-dims.count() // SHARD_NODES))
+    size = dims.agg(F.sum(8 * F.col("dim") + 4 * 4 * LINKS)).first()[0] or 0
+    shards = max(SHARDS, -(-size // SHARD_BYTES))
     dims = dims.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(shards)))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

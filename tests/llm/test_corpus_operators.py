@@ -340,6 +340,30 @@ def test_embedding_links_against_brute_force(spark):
     assert hnsw.near_duplicates(union.limit(0)).count() == 0
 
 
+def test_beams_are_audited_where_nothing_is_near():
+    """Without any link the audit still tells a narrow beam from a wide one."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(3000, 24)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph = hnsw.Graph.build(x)
+    q = x[:40]
+    width = graph.width_for(q)
+    best = np.argsort(-(q @ x.T), 1)[:, : hnsw.NEAREST]
+    ids, _ = graph.search(q, width)
+    assert np.mean([len(set(a) & set(b)) / hnsw.NEAREST for a, b in zip(ids, best, strict=True)]) >= hnsw.RECALL
+    cut = hnsw.Graph.build(x)
+    cut.links = [np.where(np.arange(t.shape[1]) < 1, t, -1) for t in cut.links]  # one link a node: hardly a graph
+    assert cut.width_for(q) > width
+
+
+def test_links_of_shared_and_missing_ids(spark):
+    a, b, c = [1.0, 0.0], [1.0, 0.01], [0.0, 1.0]
+    rows = [(None, a), (None, c), (5, b), (5, c), (6, None), (None, None)]
+    got = sorted(map(tuple, hnsw.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()), key=str)
+    assert sorted(r[1] for r in got) == [0, 0, 1, 1, 1, 1]
+    assert len(got) == 6 and all(r[3] == (r[0] == r[2]) for r in got)
+
+
 # -- toxicity ----------------------------------------------------------------
 
 
