@@ -44,24 +44,28 @@ CONTENT_TAGS = frozenset("article main".split())
 BOILER_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment comments consent cookie cookies disqus feedback footer form gdpr login menu modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo promoted promotion recommended related reply replies respond search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget alert complementary contentinfo".split()
 )
+# Words that name parts of pages and also what articles are about or made for:
+# evidence that content hints and prose can outweigh.
+WEAK_WORDS = frozenset("search share sharing social widget toolbar feedback login signup alert sponsor".split())
 HEADER_WORDS = frozenset("header masthead topbar".split())
 CONTENT_WORDS = frozenset("article content entry main post story text body".split())
 NOTICE = re.compile(r"©|all rights reserved|cookie|newsletter|subscribe|sign (?:in|up)|log in|advertisement|privacy policy|terms of (?:use|service)", re.I)
 
 # Weights of the classifier, in the unit of a terminal's capacity.
-W_BOILER_HINT, W_CONTENT_HINT = 12.0, 4.0
+W_BOILER_HINT, W_WEAK_HINT, W_CONTENT_HINT = 12.0, 5.0, 4.0
 W_LINKS, W_PROSE, W_SHORT, W_HEADING, W_NOTICE = 3.0, 2.0, 0.5, 1.0, 2.0
 # Capacities of the smoothness edges.
 W_ADJACENT, W_SAME_PARENT = 2.0, 1.5
 
 
 class Element:
-    __slots__ = ("boiler", "content", "depth", "parent", "tag")
+    __slots__ = ("boiler", "content", "depth", "parent", "tag", "weak")
 
     def __init__(self, tag: str, parent: Element | None, attributes: str) -> None:
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
         self.boiler = bool(parent and parent.boiler)
+        self.weak = bool(parent and parent.weak)
         self.content = bool(parent and parent.content)
         words: set[str] = set()
         if attributes:
@@ -74,12 +78,13 @@ class Element:
         if tag in ("html", "body"):
             return
         layout = words & CONTENT_WORDS and words & {"with", "has", "no"}
-        if tag in BOILER_TAGS or words & BOILER_WORDS and not layout:
+        if tag in BOILER_TAGS or words & (BOILER_WORDS - WEAK_WORDS) and not layout:
             self.boiler = True
         elif (tag == "header" or words & HEADER_WORDS) and not self.content:
             self.boiler = True
-        elif tag in CONTENT_TAGS or words & CONTENT_WORDS:
-            self.content = True
+        else:
+            self.weak |= bool(words & WEAK_WORDS) and not layout
+            self.content |= tag in CONTENT_TAGS or bool(words & CONTENT_WORDS)
 
 
 def blocks(html: str) -> list[tuple[str, Element, str, int]]:
@@ -160,8 +165,9 @@ def costs(block: tuple[str, Element, str, int]) -> tuple[float, float]:
     content = boiler = 0.0
     if parent.boiler:
         boiler += W_BOILER_HINT
-    elif parent.content:
-        content += W_CONTENT_HINT
+    else:
+        boiler += W_WEAK_HINT * parent.weak
+        content += W_CONTENT_HINT * parent.content
     if linked > 0.5 * len(text):
         boiler += W_LINKS
     words = text.count(" ") + 1

@@ -230,6 +230,23 @@ def test_html_boilerplate_outside_an_article():
     assert htmlcut.main_text("<p>Broken <b page with an unfinished tag and nothing else that matters.</p><p>It ends, after <em>these ten words or so, in a tag. <a hre") == "Broken\nIt ends, after these ten words or so, in a tag."
 
 
+def test_html_hints_that_prose_outweighs():
+    prose = "This is the story of a search that went on for ten long years, until it ended."
+    for page in (
+        f"<body><article class='search-result'><p>{prose}</p><p>{prose}</p></article><footer>(c)</footer>",
+        f"<body><nav><a href=a>Home</a></nav><div id='main'><div class='share-text'><p>{prose}</p><p>{prose}</p></div></div>",
+    ):
+        assert htmlcut.main_text(page) == f"{prose}\n{prose}"
+    # The same words around what is no prose still mark a part of the page.
+    page = f"<body><article><p>{prose}</p><div class='share'><a href=x>Share</a> <a href=y>Mail it</a></div><div class=search>Search here</div><p>{prose}</p></article>"
+    assert htmlcut.main_text(page) == f"{prose}\n{prose}"
+
+
+def test_html_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "<p>One two three four five six seven eight nine ten.</p>", "old", 5)], "page_id long, html string, text string, n_chars int")
+    assert [tuple(r) for r in htmlcut.extract(df).collect()] == [(1, 5, "One two three four five six seven eight nine ten.")]
+
+
 def test_minimum_cut_against_all_labellings():
     rng = random.Random(5)
     for _ in range(60):
