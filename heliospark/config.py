@@ -93,10 +93,6 @@ LOCAL_TZ = "Asia/Karachi"  # UTC+05:00, no daylight saving
 LOCAL_OFFSET_HOURS = 5
 CO2_KG_PER_KWH = 0.44
 
-# ---------------------------------------------------------------------------
-# Design choices (not reference values).
-# ---------------------------------------------------------------------------
-
 # Meteorological seasons used by the "average" seasonal mode.
 SEASON_OF_MONTH: dict[int, str] = {
     12: "Winter", 1: "Winter", 2: "Winter",
@@ -107,6 +103,10 @@ SEASON_OF_MONTH: dict[int, str] = {
 SEASONS: tuple[str, ...] = ("Winter", "Spring", "Summer", "Autumn")
 
 
+# The defaults of the classes below, cooling, dashboard and tree constants, are
+# fixed values as well.
+
+
 @dataclass(frozen=True)
 class CoolingConfig:
     """Server-side decision constants."""

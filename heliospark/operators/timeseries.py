@@ -311,7 +311,8 @@ def with_features(df: DataFrame, key: str = KEY, ts: str = TS, shard_hours: int
     return out.dropna(subset=["target_ghi_next_1h", "target_temp_next_1h"])
 
 
-# The continuous features; GHI itself, calendar and target columns stay as they are.
+# The continuous features; GHI itself, calendar and target columns stay as they
+# are. Which ones are scaled is fixed by the format of the feature matrix.
 CONTINUOUS = ("temp", *(f"{f}_lag_{k}" for f in BASE for k in LAG_HOURS), "ghi_rolling_mean_3h", "ghi_rolling_std_3h", "temp_rolling_mean_6h")
 
 

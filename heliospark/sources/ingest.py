@@ -27,8 +27,9 @@ def historic_window(as_of, lookback_days: int = 365, lag_days: int = 2) -> tuple
 def backfill_chunks(df: DataFrame, chunk_days: int = 90, ts: str = "ts", start=None, end=None) -> DataFrame:
     """Gapless inclusive <= ``chunk_days`` chunks over [start, end] (from
     the data when not given), with the number of rows falling in each."""
-    d = F.to_date(F.col(ts))
-    bounds = df.agg(F.min(d).alias("_s"), F.max(d).alias("_e"))
+    # One pass over the rows: a count for each day, from which all else is made.
+    daily = df.groupBy(F.to_date(F.col(ts)).alias("_day")).agg(F.count(F.lit(1)).alias("_rows"))
+    bounds = daily.agg(F.min("_day").alias("_s"), F.max("_day").alias("_e"))
     if start is not None:
         bounds = bounds.withColumn("_s", F.lit(start).cast("date"))
     if end is not None:
@@ -46,12 +47,8 @@ def backfill_chunks(df: DataFrame, chunk_days: int = 90, ts: str = "ts", start=N
         "_s",
     )
     # The range start is a one-value aggregate attached as a scalar subquery.
-    start_val = F.lit(start).cast("date") if start is not None else df.agg(F.min(d)).scalar()
-    counts = (
-        df.select(F.floor(F.datediff(d, start_val) / chunk_days).cast("bigint").alias("chunk_id"))
-        .groupBy("chunk_id")
-        .count()
-    )
+    start_val = F.lit(start).cast("date") if start is not None else daily.agg(F.min("_day")).scalar()
+    counts = daily.groupBy(F.floor(F.datediff("_day", start_val) / chunk_days).cast("bigint").alias("chunk_id")).agg(F.sum("_rows").alias("count"))
     return chunks.drop("_s").join(counts, "chunk_id", "left").select(
         "chunk_id", "chunk_start", "chunk_end", F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("n_rows")
     )

@@ -19,6 +19,14 @@ from heliospark.plans import catalog  # noqa: E402
 from heliospark.session import build_session  # noqa: E402
 
 
+def source(table: str, location: str) -> str:
+    """A table of the test data, a bucketed table, or what a plan has written."""
+    if table:
+        return "stored " + re.sub(r"_[0-9a-f]{16}$", "", table.rpartition(".")[2])
+    name = re.search(r"/(\w+)\.parquet", location)
+    return name.group(1) if name else "written " + re.sub(r"-[0-9a-f]{12}.*|\.\.\..*", "", location.rpartition("/tables/")[2])
+
+
 def summary(plan: str) -> dict:
     return {
         "shuffles": len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan)),
@@ -27,9 +35,10 @@ def summary(plan: str) -> dict:
         "windows": len(re.findall(r"\bWindow \[", plan)),
         "scans": sorted(
             {
-                f"{m.group(2)}: " + ",".join(re.sub(r"#\d+L?", "", c) for c in m.group(1).split(","))
-                for m in re.finditer(r"FileScan parquet \[([^\]]*)\][^\n]*?/(\w+)\.parquet\]", plan)
+                f"{source(m.group(1), m.group(3))}: " + ",".join(re.sub(r"#\d+L?", "", c) for c in m.group(2).split(","))
+                for m in re.finditer(r"FileScan parquet ([\w.]*) ?\[([^\]]*)\][^\n]*?Location: \w+\([^)]*\)\[([^\]]*)", plan)
             }
+            | {f"checkpointed rows: {len(m.group(1).split(','))} columns" for m in re.finditer(r"Scan ExistingRDD\[([^\]]*)\]", plan)}
         ),
         "pushed": sorted(set(re.findall(r"PushedFilters: \[([^\]]+)\]", plan))),
     }
