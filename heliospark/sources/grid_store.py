@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
+from .upsert import has_data
 
 BUCKET_ROWS = 5_000_000  # of the stored table in a bucket, as planned
 
@@ -33,6 +34,14 @@ def input_state(df: DataFrame) -> str:
     return hashlib.md5("\n".join(seen).encode()).hexdigest()[:16]
 
 
+def _is_there(spark: SparkSession, table: str) -> bool:
+    """Whether the catalog has the table and its folder still exists."""
+    if not spark.catalog.tableExists(table):
+        return False
+    place = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    return place is not None and has_data(spark, place["data_type"])
+
+
 def bucketed_table(spark: SparkSession, name: str, state: str, build: Callable[[], DataFrame], key: str = "city", ts: str = "ts", rows: int | None = None) -> DataFrame:
     """The table of ``build()`` in buckets by ``key``, sorted by (key, ts).
 
@@ -41,7 +50,8 @@ def bucketed_table(spark: SparkSession, name: str, state: str, build: Callable[[
     committed, so a write that broke off leaves nothing to be read.
     """
     table = f"{name}_{state}"
-    if not spark.catalog.tableExists(table):
+    if not _is_there(spark, table):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
         df = build()
         n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(rows or 0) // BUCKET_ROWS))
         (

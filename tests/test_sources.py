@@ -317,3 +317,24 @@ def test_exact_quantiles(spark, few, bins):
     assert got.keys() == want.keys()
     assert all(got[k] == pytest.approx(want[k], rel=1e-12) for k in want if np.isfinite(want[k]))
     assert exact_quantiles(df.limit(0), "g", "v", probs).count() == 0
+
+
+def test_stored_grid_is_built_once_for_each_state(spark):
+    import shutil
+
+    from heliospark.sources.grid_store import bucketed_table, input_state
+
+    path = os.path.join(tempfile.mkdtemp(prefix="heliospark-test-grid-"), "in")
+    spark.range(50).select((F.col("id") % 5).cast("string").alias("city"), F.timestamp_add("HOUR", F.col("id"), F.lit(T0)).alias("ts")).write.parquet(path)
+    built = []
+
+    def table():
+        src = spark.read.parquet(path)
+        return bucketed_table(spark, "test_grid", input_state(src), lambda: built.append(1) or src)
+
+    first = table()
+    assert first.count() == 50 and table().count() == 50 and len(built) == 1
+    spark.range(3).select(F.lit("9").alias("city"), F.lit(T0).cast("timestamp").alias("ts")).write.mode("append").parquet(path)
+    assert table().count() == 53 and len(built) == 2  # another state of the input
+    shutil.rmtree(os.path.dirname(table().inputFiles()[0]).removeprefix("file:"))
+    assert table().count() == 53 and len(built) == 3  # its files were lost
