@@ -39,6 +39,8 @@ BITS, PER_FILTER = 2048, 160  # of a Bloom filter; 5 bits a feature
 BINS = 512  # of entropy
 DULL = 0.2  # share of the greatest entropy below which a window is no feature
 BLOCK = 1 << 18  # bytes worked on together
+RUN_BYTES = 32 << 20  # of texts in a run of following documents, as planned
+PER_RUN = 64  # keys that place the end of a run
 
 FIXED = 1 << 20
 _F = np.array([0.0, *(c * np.log2(c) for c in range(1, WINDOW + 1))])
@@ -276,32 +278,55 @@ def with_fingerprint(df: DataFrame, text_column: str = "text") -> DataFrame:
 LEAST_ID = -(1 << 63)
 
 
+def run_bounds(rows: DataFrame, runs: int) -> tuple[dict[int, np.ndarray], tuple[int, int] | None]:
+    """(bounds, first) to cut (id, tie) rows into runs, in ascending order of id
+    and descending order of tie: by id the ties of the last rows of runs, and
+    the row that is first in descending order of id. The bounds are keys of
+    rows, every one in about PER_RUN of some that their hash picks."""
+    n, first = rows.agg(F.count(F.lit(1)), F.max(F.struct("id", F.bitwise_not("tie").alias("t")))).first()
+    if not n:
+        return {}, None
+    picked = F.pmod(F.xxhash64("tie", "id"), F.lit(max(1, n // (PER_RUN * runs)))) == 0
+    keys = sorted(((r["id"], r["tie"]) for r in rows.where(picked).distinct().collect()), key=lambda k: (k[0], -k[1]))
+    top = (first[0], ~first[1])
+    bounds: dict[int, list[int]] = {}
+    for i, tie in keys[PER_RUN - 1 :: PER_RUN] if len(keys) >= runs * PER_RUN else keys[:: max(1, len(keys) // runs)]:
+        if (i, tie) != top:
+            bounds.setdefault(i, []).append(tie)
+    return {i: np.array(sorted(ties), np.int64) for i, ties in bounds.items()}, top
+
+
 def in_descending_runs(docs: DataFrame) -> DataFrame:
-    """(run, guest, id, tie, doc_id, text) in sorted partitions. Ids are cut
-    into runs of about one input partition at values found by a quantile
-    sketch; each run also gets, as guest, the row that follows its last one
-    in descending order (the first of all after the last of all). One pass of
+    """(run, guest, id, tie, doc_id, text) in sorted partitions, by descending
+    id and ascending tie, a hash of the text. Rows are cut into runs of about
+    RUN_BYTES, whatever their ids; each run also gets, as guest, the row that
+    follows its last one (the first of all after the last of all). One pass of
     the texts through a shuffle."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("id"), F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    spark = docs.sparkSession
-    runs = max(spark.sparkContext.defaultParallelism, docs.select(F.spark_partition_id().alias("p")).distinct().count())
-    shares = [(k + 1) / runs for k in range(runs - 1)]
-    cut, most = rows.agg(F.percentile_approx("id", shares, 10 * runs + 1000), F.max("id")).first()
-    bounds = np.array(sorted({b for b in cut or [] if b != most}), np.int64)
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("id"), F.xxhash64(text_of(docs)).alias("tie"), F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    runs = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // RUN_BYTES))
+    bounds, first = run_bounds(rows.select("id", "tie"), runs)
+    by_id = np.sort(np.concatenate([np.empty(0, np.int64), *(np.full(len(ties), i, np.int64) for i, ties in bounds.items())]))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            own = np.searchsorted(bounds, ids, "left")
-            edge = np.flatnonzero(np.isin(ids, bounds))
-            last = np.flatnonzero(ids == most)
+            ids, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            # The bounds before a row: of lesser ids, or of its id and greater ties.
+            own = np.searchsorted(by_id, ids, "left")
+            edge = np.zeros(len(ids), bool)
+            for i in np.intersect1d(ids, by_id).tolist():
+                mine = ids == i
+                own[mine] += len(bounds[i]) - np.searchsorted(bounds[i], ties[mine], "right")
+                edge[mine] = np.isin(ties[mine], bounds[i])
+            edge = np.flatnonzero(edge)
+            last = np.flatnonzero((ids == first[0]) & (ties == first[1]))
             pick = pa.array(np.concatenate([np.arange(len(ids)), edge, last]))
             run = np.concatenate([own, own[edge] + 1, np.zeros(len(last), np.int64)])
             guest = np.concatenate([np.zeros(len(ids), bool), np.ones(len(edge) + len(last), bool)])
             yield pa.RecordBatch.from_arrays([pa.array(run, pa.int64()), pa.array(guest), *(c.take(pick) for c in batch.columns)], names=["run", "guest", *batch.schema.names])
 
-    dealt = rows.mapInArrow(deal, "run long, guest boolean, id long, doc_id long, text string")
-    return dealt.withColumn("tie", F.xxhash64("text")).repartition(runs, "run").sortWithinPartitions("run", "guest", F.desc("id"), "tie")
+    dealt = rows.mapInArrow(deal, "run long, guest boolean, id long, tie long, doc_id long, text string")
+    return dealt.repartition(runs, "run").sortWithinPartitions("run", "guest", F.desc("id"), "tie")
 
 
 def edited_report(docs: DataFrame) -> DataFrame:

@@ -117,6 +117,26 @@ def test_edited_report(spark):
     assert sorted(r.doc_id for r in alike) == [4, 5, 5, 5]
 
 
+@pytest.mark.parametrize("hot", [None, 5, 1000, 2**62 + 1])
+def test_ids_that_fill_several_runs(spark, monkeypatch, hot):
+    """Documents of one id (or none) are dealt to several runs and still follow
+    each other, in the order of their texts' hashes."""
+    monkeypatch.setattr(fingerprint, "RUN_BYTES", 600)
+    rng = random.Random(7)
+    rows = [(hot, " ".join(rng.choice(["ab", "cd", "efg"]) for _ in range(20)) + str(i)) for i in range(60)]
+    rows += [(i, f"text {i} " + "xyz " * rng.randint(0, 20)) for i in range(0, 40, 2)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    dealt = fingerprint.in_descending_runs(docs)
+    assert dealt.where("NOT guest").groupBy("id").agg(F.count_distinct("run").alias("n")).agg(F.max("n")).first()[0] > 3
+    order = docs.select("doc_id", "text", F.xxhash64("text").alias("t"), F.coalesce("doc_id", F.lit(fingerprint.LEAST_ID)).alias("i")).orderBy(F.desc("i"), "t").collect()
+    want = {}
+    for r, nxt in zip(order, order[1:] + order[:1], strict=True):
+        half = len(r.text) // 2
+        want[r.text] = hashlib.sha256((r.text[: len(r.text) - half] + nxt.text[:half]).encode()).hexdigest()
+    got = fingerprint.edited_report(docs).select("doc_id", "n_chars", "edited_sha256").collect()
+    assert sorted(r.edited_sha256 for r in got) == sorted(want.values())
+
+
 # -- near copies -------------------------------------------------------------
 
 
