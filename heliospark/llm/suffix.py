@@ -43,8 +43,8 @@ from .common import discard, stored, text_of
 
 LENGTH = 400
 BLOCK = 1 << 20  # bytes worked on together
-CLASS_FRAGMENTS = 3000  # of one class in a shard; a larger class is halved
-SHARD_BYTES = 3 << 20
+CLASS_FRAGMENTS = 2000  # of one class in a shard; a larger class is halved
+SHARD_BYTES = 1 << 20  # a task's arrays take some 150 bytes for each of them
 BUCKET_BYTES = 64 << 20  # of texts in a bucket of the table that the runs are brought to
 
 _B = 0x9E3779B97F4A7C15
