@@ -66,9 +66,14 @@ def first_existing(spark: SparkSession, candidates: Sequence[Source], required=W
 
 FILE_BYTES = 256 << 20  # of a feature file, by Spark's estimate of the matrix
 FILE_ROWS = 5_000_000
+MOST_CITIES = 1000  # with a folder each; more of them share folders
+GROUP_ROWS = 1_000_000  # of a shared folder, as planned
+GROUP = "city_group"
 
 
-def write_features(df: DataFrame, path: str, split_col: str | None = "slice", ts: str = "ts", file_rows: int = FILE_ROWS) -> None:
+def write_features(
+    df: DataFrame, path: str, split_col: str | None = "slice", ts: str = "ts", file_rows: int = FILE_ROWS, most_cities: int = MOST_CITIES
+) -> None:
     """Feature matrix sink, partitioned by city (and slice when present)
     so readers prune partitions; written with dynamic partition overwrite.
 
@@ -77,13 +82,28 @@ def write_features(df: DataFrame, path: str, split_col: str | None = "slice", ts
     a hot city is shared by several tasks, and files cover disjoint stretches
     of time. There are at most tasks + partitions files, and none has over
     ``file_rows`` rows.
+
+    Over ``most_cities`` cities are not given a folder each, as folders, files
+    and their commits would then outnumber the work: they share folders by
+    hash (``city_group``), sorted by city, whose place in a file its footer tells.
     """
-    parts = ["city"] + ([split_col] if split_col and split_col in df.columns else [])
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-min(estimate, 1 << 50) // FILE_BYTES))
+    split = [split_col] if split_col and split_col in df.columns else []
+    size = df.agg(F.count_distinct("city").alias("cities"), F.count(F.lit(1)).alias("rows")).first()
+    if size["cities"] > most_cities:
+        # Windows by city leave the rows dealt by city: no rows are ranked a
+        # second time to find ranges, and a task writes a folder (a slice).
+        groups = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size["rows"] // GROUP_ROWS))
+        parts, order = [GROUP, *split], [*split, "city", ts]
+        last = [c for c in df.columns if c not in ("city", *split)]
+        dealt = df.select(*last, "city", *split).withColumn(GROUP, F.pmod(F.hash("city"), F.lit(groups))).repartition(groups, F.col("city"))
+    else:
+        estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-min(estimate, 1 << 50) // FILE_BYTES))
+        parts = ["city", *split]
+        order = [*parts, ts]
+        dealt = df.repartitionByRange(tasks, *order)
     (
-        df.repartitionByRange(tasks, *parts, ts)
-        .sortWithinPartitions(*parts, ts)
+        dealt.sortWithinPartitions(*dict.fromkeys([*parts, *order]))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", str(file_rows))
@@ -94,7 +114,7 @@ def write_features(df: DataFrame, path: str, split_col: str | None = "slice", ts
 
 def read_features(spark: SparkSession, path: str, ts: str = "ts") -> DataFrame:
     """Reject an empty matrix and any unparseable timestamp (B2)."""
-    df = spark.read.parquet(path)
+    df = spark.read.parquet(path).drop(GROUP)
     require_columns(df, ["city", ts])
     return require_non_empty(parse_utc_strict(df, ts), f"feature matrix at {path}")
 
