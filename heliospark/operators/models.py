@@ -67,6 +67,9 @@ def feature_importances(spark: SparkSession, model: PipelineModel, features: lis
     return spark.createDataFrame(list(zip(features, [float(v) for v in imp])), "feature string, importance double")
 
 
+TRAIN_TASK_ROWS = 20_000  # of a task in a fit; fewer rows share one
+
+
 def train_targets(df: DataFrame, features: list[str], labels: dict[str, str], params: BoostedTreeParams) -> dict[str, PipelineModel]:
     """M2 for several targets on one frame with a ``split`` column.
 
@@ -74,12 +77,17 @@ def train_targets(df: DataFrame, features: list[str], labels: dict[str, str], pa
     side: a boosted tree is a chain of short jobs that leave a cluster idle
     between them, and chains of different targets fill each other's gaps.
     (Spark bins the features once per fit and cuts the lineage of the running
-    prediction every ``checkpointInterval`` trees in the shared folder.)
+    prediction every ``checkpointInterval`` trees in the shared folder.) Tasks
+    are sized by rows.
     """
     ensure_checkpoint_dir(df.sparkSession)
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    # Rows stay in memory or on disk for all fits, in the input's own partitions.
-    train = assembler.transform(df.filter(F.col("split") == "train")).select("features", *labels.values()).persist(StorageLevel.MEMORY_AND_DISK)
+    # Rows stay in memory or on disk for all fits.
+    rows = df.filter(F.col("split") == "train")
+    train = assembler.transform(rows).select("features", *labels.values())
+    # A fit runs over a thousand short jobs, so a task without enough rows costs
+    # more to start than it works, each time.
+    train = train.coalesce(max(1, -(-rows.count() // TRAIN_TASK_ROWS))).persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit(label: str) -> PipelineModel:
         gbt = boosted_tree_estimator(features, label, params).getStages()[-1]
