@@ -49,3 +49,48 @@ def test_scaler_is_bound_as_literals(spark):
     out = TS.apply_scaler(df, TS.scaler_params(df, ["temp"]))
     assert [r["temp"] for r in out.orderBy("temp").collect()] == [-1.0, 1.0]
     assert "scalar-subquery" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_training_tasks_follow_rows(spark, monkeypatch):
+    from heliospark.config import BoostedTreeParams
+    from heliospark.operators import models as M
+
+    seen = []
+
+    class Fit:
+        def fit(self, rows):
+            seen.append((rows.rdd.getNumPartitions(), rows.count()))
+            return self
+
+        def getStages(self):
+            return [self]
+
+    monkeypatch.setattr(M, "boosted_tree_estimator", lambda *_: Fit())
+    rows = spark.range(300).repartition(60).selectExpr("id + 0.5D AS x", "id + 1D AS y", "'train' AS split")
+    M.train_targets(rows, ["x"], {"t": "y"}, BoostedTreeParams())
+    monkeypatch.setattr(M, "TRAIN_TASK_ROWS", 100)
+    M.train_targets(rows, ["x"], {"t": "y"}, BoostedTreeParams())
+    assert seen == [(1, 300), (3, 300)]
+
+
+def test_a_file_is_shared_by_range_partitions(spark, monkeypatch):
+    """Series by file, cut into many partitions: no window holds a whole file."""
+    from heliospark.operators import station as ST
+
+    ts = F.timestamp_add("MINUTE", F.floor(F.col("id") / 2) * 7, F.lit(T0))
+    st = spark.range(600).select(
+        ts.alias("timestamp"),
+        F.when(F.col("id") % 3 > 0, F.col("id") * 1.5).alias("ghi"),
+        F.when(F.col("id") % 5 > 1, F.col("id") * 0.25).alias("temperature"),
+        F.when(F.col("id") % 10 == 0, "b").otherwise("a").alias("source_file"),
+        F.col("id").alias("_row"),
+    )
+    monkeypatch.setattr(ST, "_partitions", lambda _: 1)
+    want = ST.station_features(st, global_order=False)
+    monkeypatch.setattr(ST, "_partitions", lambda _: 24)
+    got = ST.station_features(st, global_order=False)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert all("_pid" in line for line in plan.splitlines() if " Window [" in line and "timestamp" in line)
+    cons = ST.consolidate_in_place(ST.interpolate_station(st, ("source_file",)), ("source_file",))
+    assert cons.where("source_file = 'a'").select("_pid").distinct().count() > 12
