@@ -31,6 +31,7 @@ from .common import component_labels, stored
 LINKS = 16  # links of a node in the upper layers; twice as many in the lowest
 BEAM_BUILD, BEAM = 64, 32  # beam widths at first
 WIDEST = 512  # a query that would need a wider beam is answered by an exact scan of the shard
+BEAM_NODES = 256  # a scan of so many nodes takes less than one more place in a beam
 AUDITED = 8  # queries of a block that are answered exactly as well
 NEAREST, RECALL = 4, 0.95  # neighbours of an audited query, and the share of them to be found
 SHARDS = 8  # at least; more when a shard would pass SHARD_BYTES
@@ -46,12 +47,19 @@ def _best(sims: np.ndarray, width: int) -> np.ndarray:
     return np.take_along_axis(part, np.argsort(-np.take_along_axis(sims, part, 1), axis=1, kind="stable"), 1)
 
 
+def widest(n: int) -> int:
+    """The widest beam worth a walk among ``n`` nodes; beyond, a scan of them
+    takes less (a wide beam sees most of a small shard, node by node)."""
+    return max(2 * BEAM, min(WIDEST, n // BEAM_NODES))
+
+
 class Graph:
     """Layered small-world graph over unit vectors (single precision)."""
 
     def __init__(self, x: np.ndarray) -> None:
         self.x = x
         n = len(x)
+        self.widest = widest(n)
         draw = np.random.default_rng(5).random(n)
         self.level = np.minimum((-np.log(np.maximum(draw, 1e-12)) / np.log(LINKS)).astype(int), 12)
         self.order = np.argsort(-self.level, kind="stable")  # highest nodes come first
@@ -205,7 +213,7 @@ class Graph:
         left = np.arange(len(q))
         rows, nodes = [], []
         while len(left):
-            if width > WIDEST:
+            if width > self.widest:
                 r, c = self.scan(q[left], least)
                 rows.append(left[r])
                 nodes.append(c)
@@ -225,7 +233,7 @@ class Graph:
         sims = q @ self.x.T
         best = _best(sims, NEAREST)
         width = BEAM
-        while width <= WIDEST:
+        while width <= self.widest:
             ids, _ = self.search(q, width)
             found = (ids[:, :, None] == best[:, None, :]).any(1)
             if found.mean() >= RECALL:
@@ -245,7 +253,7 @@ class Graph:
             place = np.searchsorted(sample, rows)
             audited = sample[np.minimum(place, len(sample) - 1)] == rows
             got[place[audited], nodes[audited]] = True
-            if width > WIDEST or not (exact & ~got).any():
+            if width > self.widest or not (exact & ~got).any():
                 return rows, nodes, width
             width *= 2
 
@@ -365,7 +373,7 @@ def linked_nodes(nodes: DataFrame, least: float) -> DataFrame:
                     with np.load(io.BytesIO(batch.column("data")[k].as_py())) as f:
                         raw, node, weight = f["raw"], f["node"], f["weight"]
                         graph = Graph.__new__(Graph)
-                        graph.x, graph.level, graph.order = _unit(raw), f["level"], f["order"]
+                        graph.x, graph.level, graph.order, graph.widest = _unit(raw), f["level"], f["order"], widest(len(raw))
                         graph.links = [f[f"links{i}"] for i in range(len(f.files) - 5)]
 
     return meeting.mapInArrow(ask, "node long, other long, weight long")

@@ -376,6 +376,23 @@ def test_beams_are_audited_where_nothing_is_near():
     assert cut.width_for(q) > width
 
 
+def test_no_beam_is_walked_that_costs_more_than_a_scan():
+    """In a shard where narrow beams miss links the block is scanned, not walked
+    with ever wider beams; no link is lost by it."""
+    rng = np.random.default_rng(9)
+    x = (rng.normal(size=(60, 1, 24)) + 0.1 * rng.normal(size=(60, 50, 24))).reshape(-1, 24).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph = hnsw.Graph.build(x)
+    graph.links = [np.where(np.arange(t.shape[1]) < 2, t, -1) for t in graph.links]
+    walked = []
+    search = graph.search
+    graph.search = lambda q, width: walked.append(width) or search(q, width)
+    rows, nodes, _ = graph.audited(x[:512], 0.95)
+    assert max(walked) <= hnsw.widest(len(x)) == 2 * hnsw.BEAM
+    assert len(rows) == (x[:512] @ x.T >= 0.95).sum()
+    assert hnsw.widest(1 << 20) == hnsw.WIDEST
+
+
 def test_links_of_shared_and_missing_ids(spark):
     a, b, c = [1.0, 0.0], [1.0, 0.01], [0.0, 1.0]
     rows = [(None, a), (None, c), (5, b), (5, c), (6, None), (None, None)]
