@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heliospark.llm import minhash, packing, secret_scan, suffix, toxicity
-from heliospark.llm.common import read, stored
+from heliospark.llm.common import batches_by_bytes, read, stored
 
 CAPACITY = 2048
 # Fifty words are hardly shorter; chance repeats of the words' order are.
@@ -26,26 +26,31 @@ def _recounted(docs: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go."""
+    batches_by_bytes(spark)
     return toxicity.without_toxic(docs, read(spark, sf_dir, "labels"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies stays, the one of least doc_id."""
+    batches_by_bytes(spark)
     return minhash.without_near_copies(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of REPEAT_BYTES that repeat anywhere are cut out; every document stays."""
+    batches_by_bytes(spark)
     return _recounted(suffix.without_repeats(docs, length=REPEAT_BYTES))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Found secrets are masked; every document stays."""
+    batches_by_bytes(spark)
     return _recounted(secret_scan.mask_secrets(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as pieces of packed sequences."""
+    batches_by_bytes(spark)
     return packing.packed_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), CAPACITY)
 
 

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +49,7 @@ TASK_PARTNERS = 2000  # members compared with one node in a task
 QUICK = 2  # partners of its block that a member meets before all others
 BLOCK = 512  # members of a bucket compared at once
 PAIRS = 256  # bags compared with one at once
+SIGNED_ROWS, SIGNED_BYTES = 1024, 1 << 20  # of texts signed at once; their arrays take many times that
 KNOWN_WORDS = 300_000  # hashes remembered by a worker; emptied when full
 
 NO_KEY = -(1 << 63)  # stands for a NULL key
@@ -132,13 +134,23 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def text_slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The rows in order, SIGNED_ROWS or SIGNED_BYTES of text at a time at most (one longer text by itself)."""
+    ends = np.cumsum(np.append(0, pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)), dtype=np.int64)
+    lo = 0
+    while lo < batch.num_rows:
+        fit = int(np.searchsorted(ends, ends[lo] + SIGNED_BYTES, "right")) - 1
+        hi = max(lo + 1, min(lo + SIGNED_ROWS, fit))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def signed(texts: DataFrame) -> DataFrame:
     """(key, digest, signature, total) of (key, digest, text); total is the bag's weight."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
+            for part in text_slices(batch, 2):
                 all_texts = part.column(2).to_pylist()
                 owner, h, weight = bags(all_texts)
                 sig = signatures(owner, h, weight, len(all_texts))

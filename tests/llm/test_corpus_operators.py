@@ -376,6 +376,30 @@ def test_beams_are_audited_where_nothing_is_near():
     assert cut.width_for(q) > width
 
 
+def test_texts_are_signed_and_sent_in_batches_by_bytes(spark):
+    """Long rows come to Python a few at a time, whatever their number."""
+    import corpus_pipeline
+    import pyarrow as pa
+
+    long = spark.range(3000, numPartitions=1).select("id", F.expr("repeat('x', 10000)").alias("text"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "bytes"])
+
+    corpus_pipeline.mask_secrets(spark, long.select(F.col("id").alias("doc_id"), "text").limit(3), "")
+    got = long.mapInArrow(sizes, "n long, bytes long").collect()
+    assert sum(r.n for r in got) == 3000
+    assert max(r.bytes for r in got) <= 1.5 * common.BATCH_BYTES
+
+    texts = ["a" * n for n in (0, 5, minhash.SIGNED_BYTES, 700_000, 300_000, 60_000, 2 * minhash.SIGNED_BYTES)] + ["b"] * 3000
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    parts = [p.column(0).to_pylist() for p in minhash.text_slices(batch, 0)]
+    assert [t for p in parts for t in p] == texts
+    assert all(len(p) <= minhash.SIGNED_ROWS and (len(p) == 1 or sum(map(len, p)) <= minhash.SIGNED_BYTES) for p in parts)
+    assert list(minhash.text_slices(batch.slice(0, 0), 0)) == []
+
+
 def test_no_beam_is_walked_that_costs_more_than_a_scan():
     """In a shard where narrow beams miss links the block is scanned, not walked
     with ever wider beams; no link is lost by it."""
