@@ -321,6 +321,22 @@ def test_shorter_repeats_against_brute_force(spark, monkeypatch, length, most):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in got} == want
 
 
+def test_shards_sort_only_strings_whose_core_is_shared():
+    rng = random.Random(5)
+    word = lambda n: bytes(rng.randrange(97, 123) for _ in range(n))
+    gram, left = word(128), word(300)
+    # The first two share 300 bytes ahead of the anchor; the third shares the anchor only, the last is of another class.
+    datas = [left + gram + word(270), left + gram + word(270), word(300) + gram + word(270), left + gram + word(270)]
+    counts = [min(len(d) - 399, 300 + 1) for d in datas]
+    classes, aheads = [1, 1, 1, 2], [300] * 4
+    some = suffix.shared_ranges(classes, aheads, counts, datas, 400)
+    assert {i for i, _, _ in some} == {0, 1} and sum(to - at for _, at, to in some) < sum(counts[:2])
+    whole = suffix.repeated_strings(datas[:3])
+    found = suffix.repeated_strings([datas[i][at : to + 399] for i, at, to in some])
+    assert {(i, int(s) + at) for (i, at, _), starts in zip(some, found, strict=True) for s in starts} == {(i, int(s)) for i, starts in enumerate(whole) for s in starts}
+    assert [len(s) for s in whole[:2]] == [29, 29]
+
+
 def test_repeats_of_repeated_rows_and_columns(spark):
     long = "".join(chr(97 + i * i % 26) for i in range(500))
     docs = spark.createDataFrame([(1, long, 3, "k"), (1, long, 3, "k"), (2, "rest " + long, 4, "m"), (None, "clean", 5, "n")], "doc_id long, text string, n_bytes int, key string")
