@@ -471,11 +471,14 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     told apart by key and text, as keys may be NULL or repeated."""
     found = near_classes(docs.select(key, "text"), key)
     one = [F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("_key"), F.col("digest").alias("_digest")]
-    gone = found.where(~(F.col("first") & F.col(key).eqNullSafe(F.col("class_id")))).select(*one).distinct()
+    stays = F.col("first") & F.col(key).eqNullSafe(F.col("class_id"))
+    # Rows to drop, and repeated rows, of which one stays. They are stored: the
+    # plan below reads them twice, and the driver plans it anew at each step. It
+    # is the same plan for few and many of them.
+    marks = found.select(*one, stays.alias("_stays")).groupBy("_key", "_digest").agg(F.first("_stays").alias("_stays"), F.count(F.lit(1)).alias("_n"))
+    marks = stored(marks.where("NOT _stays OR _n > 1").drop("_n"), "near_marks").hint("merge")
     rows = docs.withColumns({"_key": F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)), "_digest": F.unhex(F.md5(text_of(docs)))})
-    kept = rows.join(gone, ["_key", "_digest"], "left_anti")
-    again = found.select(*one).groupBy("_key", "_digest").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    single = rows.join(marks, ["_key", "_digest"], "left_anti")
     # Repeated rows are rare; only they are counted out one by one.
-    single = kept.join(again, ["_key", "_digest"], "left_anti")
-    repeated = kept.join(again, ["_key", "_digest"], "left_semi").dropDuplicates(["_key", "_digest"])
+    repeated = rows.join(marks.where("_stays").hint("merge"), ["_key", "_digest"], "left_semi").dropDuplicates(["_key", "_digest"])
     return single.unionByName(repeated).select(*docs.columns)

@@ -213,10 +213,9 @@ def character_counts(docs: DataFrame, text_column: str = "text") -> np.ndarray:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], names=["cell", "n"])
 
-    rows = docs.select(text_column).mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select(text_column).mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most SYMBOLS^3
     out = np.zeros(cells, np.int64)
-    for r in rows:  # at most SYMBOLS^3
-        out[r["cell"]] = r["n"]
+    out[rows["cell"].to_numpy()] = rows["n"].to_numpy()
     return out
 
 
@@ -275,6 +274,12 @@ class Model:
         return score
 
 
+def _counted(found: DataFrame) -> dict[str, int]:
+    """(feature, n) rows of the sample, which bounds them, without an object for each on the way."""
+    table = found.toArrow()
+    return dict(zip(table["feature"].to_pylist(), table["n"].to_pylist(), strict=True))
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     """Count the language model over all documents and fit the classifier."""
     counts = character_counts(docs)
@@ -297,7 +302,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     if not n_pos or not n_neg:
         sample.unpersist()
         return Model(counts, {}, -40.0)
-    pos = {r["feature"]: r["n"] for r in candidates.collect()}  # bounded by the sample
+    pos = _counted(candidates)
 
     def negative(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer, seen = Restorer(counts), Counter()
@@ -306,7 +311,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
                 seen.update(f for f in features(words_of(restorer, text)) if f in pos)
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["feature", "n"])
 
-    neg = {r["feature"]: r["n"] for r in sample.where("y = 0").select("text").mapInArrow(negative, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()}
+    neg = _counted(sample.where("y = 0").select("text").mapInArrow(negative, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n")))
 
     def evidence(f: str) -> float:
         """Log-likelihood ratio of a feature for the positive class."""
@@ -327,10 +332,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
             found = [[index[f] for f in features(words_of(restorer, text)) if f in index] for text in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1)], names=["found", "y"])
 
-    rows = sample.mapInArrow(present, "found array<int>, y int").collect()  # bounded by the sample
+    rows = sample.mapInArrow(present, "found array<int>, y int").toArrow()  # bounded by the sample
     sample.unpersist()
-    y = np.array([r["y"] for r in rows], float)
-    w, b = _logistic([np.array(sorted(r["found"]), np.int64) for r in rows], y, len(index))
+    y = rows["y"].to_numpy().astype(float)
+    w, b = _logistic([np.sort(r.values.to_numpy()).astype(np.int64) for r in rows["found"]], y, len(index))
     totals = labels.where(F.col(label).isNotNull()).where(~is_held_out(F.col("doc_id"))).agg(F.sum((F.col(label) > 0).cast("long")), F.sum((F.col(label) <= 0).cast("long"))).first()
     b += math.log((totals[0] / totals[1]) / (n_pos / n_neg))  # the sample's share of positives is not the labels'
     return Model(counts, {f: float(w[i]) for f, i in index.items()}, b)

@@ -251,6 +251,12 @@ def test_near_copies_dropped_with_other_columns(spark):
     assert minhash.without_near_copies(docs.limit(0)).count() == 0
 
 
+def test_near_copies_are_dropped_by_a_plan_of_few_joins(spark):
+    """The driver holds a plan, and plans it anew, for each of its stages."""
+    plan = minhash.without_near_copies(documents(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2 and plan.count("Aggregate ") == 1
+
+
 def test_near_copies_of_shared_and_missing_ids(spark):
     """Different texts of one id, or of none, stand or fall each by itself."""
     rows = [(None, "a b c d e f g"), (None, "h i j k l m n"), (None, "h i j k l m n"), (None, "o p q r s t u"), (5, "v w x y z a b"), (5, "one two three four five six"), (5, "a b c d e f g"), (6, "V w x y z a b"), (7, "o p q r s t u"), (7, "alone with its text here")]
